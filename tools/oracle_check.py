@@ -21,7 +21,7 @@ from tessera.session import TABLES, get_session  # noqa: E402
 
 
 def _norm(v):
-    if v is None:
+    if v is None or v is pd.NA or v is pd.NaT:
         return None
     if isinstance(v, float):
         if math.isnan(v):
@@ -95,8 +95,9 @@ def main():
             continue
         if sr != dr:
             bad += 1
-            diff_s = [r for r in sr if r not in set(dr)][:3]
-            diff_d = [r for r in dr if r not in set(sr)][:3]
+            ds, ss = set(dr), set(sr)
+            diff_s = [r for r in sr if r not in ds][:3]
+            diff_d = [r for r in dr if r not in ss][:3]
             print(f"MISMATCH {key}: rows spark={len(sr)} duck={len(dr)}\n   spark-only {diff_s}\n   duck-only  {diff_d}")
             continue
         ok += 1
