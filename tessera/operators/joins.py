@@ -159,21 +159,23 @@ def near_join(a: DataFrame, b: DataFrame, key: str, ts_a: str, ts_b: str,
 
 
 def as_of(facts: DataFrame, states: DataFrame, key: str, ts: str, eff_ts: str,
-          cols: Sequence[str]) -> DataFrame:
+          cols: Sequence[str], tie: str | None = None) -> DataFrame:
     """JOIN-14: each fact gets the state row with the latest ``eff_ts <= ts``.
 
     Union both sides with a side flag, sort per key by time (states before
     facts at equal times), carry the last state forward with
     ``last(ignorenulls)``; no range join, no pairs."""
     f = facts.withColumn("_side", F.lit(1)).withColumn("_t", F.col(ts))
-    s = states.select(F.col(key), F.col(eff_ts).alias("_t"), *[F.col(c).alias(f"_s_{c}") for c in cols]) \
-              .withColumn("_side", F.lit(0))
-    u = f.unionByName(s, allowMissingColumns=True)
-    w = (Window.partitionBy(key).orderBy("_t", "_side")
+    s = states.select(F.col(key), F.col(eff_ts).alias("_t"),
+                      (F.col(tie) if tie else F.lit(0)).alias("_tie"),
+                      *[F.col(c).alias(f"_s_{c}") for c in cols]).withColumn("_side", F.lit(0))
+    u = f.withColumn("_tie", F.lit(None).cast(s.schema["_tie"].dataType)).unionByName(s, allowMissingColumns=True)
+    # states sort before facts at equal times; equal-time states by ``tie``
+    w = (Window.partitionBy(key).orderBy("_t", "_side", "_tie")
          .rowsBetween(Window.unboundedPreceding, Window.currentRow))
     for c in cols:
         u = u.withColumn(c, F.last(f"_s_{c}", ignorenulls=True).over(w))
-    return u.filter(F.col("_side") == 1).drop("_side", "_t", *[f"_s_{c}" for c in cols])
+    return u.filter(F.col("_side") == 1).drop("_side", "_t", "_tie", *[f"_s_{c}" for c in cols])
 
 
 def pair_by_rank(a: DataFrame, b: DataFrame, key: str, order_a: str, order_b: str) -> DataFrame:
@@ -232,6 +234,18 @@ def pairs_with_sum(df: DataFrame, id_col: str, val: str, target) -> DataFrame:
     return a.join(b, (F.lit(target) - F.col("v_a") == F.col("v_b")) & (F.col("id_a") < F.col("id_b")))
 
 
+def pair_counts_with_sum(df: DataFrame, val: str, target) -> DataFrame:
+    """JOIN-25 at scale: number of unordered row pairs per value pair
+    (v_a <= v_b, v_a + v_b = target) from per-value counts, so a hot value
+    never expands into its pairs: n_a * n_b, or n(n-1)/2 when v_a = v_b."""
+    c = df.groupBy(F.col(val).alias("v")).agg(F.count(F.lit(1)).alias("n"))
+    a = c.select(F.col("v").alias("v_a"), F.col("n").alias("n_a"))
+    b = c.select(F.col("v").alias("v_b"), F.col("n").alias("n_b"))
+    j = a.join(b, (F.lit(target) - F.col("v_a") == F.col("v_b")) & (F.col("v_a") <= F.col("v_b")))
+    n = F.when(F.col("v_a") == F.col("v_b"), F.expr("n_a * (n_a - 1) div 2")).otherwise(F.col("n_a") * F.col("n_b"))
+    return j.select("v_a", "v_b", n.alias("n_pairs")).filter("n_pairs > 0")
+
+
 def no_mutual(edges: DataFrame, u: str, v: str) -> DataFrame:
     """JOIN-26: undirected edges whose endpoints share no neighbour.
 
