@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tessera.operators.common import _cols, attach_scalars
+from tessera.operators.joins import cross
 
 
 def aggregate(df: DataFrame, by, aggs: Sequence[Column], having: Column | None = None) -> DataFrame:
@@ -195,3 +196,94 @@ def has_duplicates(df, col, by=None):
     """AGG-33: does any value occur twice (per group)?"""
     g = df.groupBy(*_cols(by)) if by else df.groupBy()
     return g.agg((F.count(col) > F.count_distinct(col)).alias("has_duplicates"))
+
+
+def busiest_route(df, src: str, dst: str, round_trip: Column, n: int = 1, out="trips"):
+    """AGG-14: rows flagged round-trip count in both directions; top routes."""
+    legs = df.select(F.explode(F.when(round_trip, F.array(
+        F.struct(F.col(src).alias("src"), F.col(dst).alias("dst")),
+        F.struct(F.col(dst).alias("src"), F.col(src).alias("dst")))).otherwise(F.array(
+        F.struct(F.col(src).alias("src"), F.col(dst).alias("dst"))))).alias("l")).select(
+        F.col("l.src").cast("bigint").alias("src"), F.col("l.dst").cast("bigint").alias("dst"))
+    return (legs.groupBy("src", "dst").agg(F.count(F.lit(1)).alias(out))
+                .orderBy(F.col(out).desc(), "src", "dst").limit(n))
+
+
+def exclusive_usage(df, user, day, category, amount, classes):
+    """AGG-17: per day and class (each single class, or 'both'), spend and
+    users; every day lists every class, with zeros where absent."""
+    u = df.groupBy(user, day).agg(
+        F.when(F.count_distinct(category) == len(classes), F.lit("both"))
+         .otherwise(F.min(category)).alias("platform"),
+        F.sum(amount).alias("_amt"))
+    spark = df.sparkSession
+    kinds = spark.createDataFrame([(c,) for c in [*classes, "both"]], "platform string")
+    grid = cross(u.select(day).distinct(), kinds, max_rows=len(classes) + 1)
+    agg = u.groupBy(day, "platform").agg(F.sum("_amt").alias("_amt"), F.count(user).alias("total_users"))
+    return (grid.join(agg, [day, "platform"], "left")
+                .select(day, "platform", F.round(F.coalesce("_amt", F.lit(0.0)), 2).alias("total_amount"),
+                        F.coalesce("total_users", F.lit(0)).cast("bigint").alias("total_users")))
+
+
+def half_year_gain(df, key, date, val):
+    """AGG-25: average in months 1-6 versus 7-12; keep improvers."""
+    m = F.month(date)
+    g = df.groupBy(*_cols(key)).agg(F.avg(F.when(m <= 6, F.col(val))).alias("_h1"),
+                                    F.avg(F.when(m > 6, F.col(val))).alias("_h2"))
+    return g.filter(F.col("_h2") > F.col("_h1")).select(
+        *_cols(key), F.round("_h1", 4).alias("h1_avg"), F.round("_h2", 4).alias("h2_avg"))
+
+
+def two_fact_month(a, b, key):
+    """AGG-26: two monthly aggregates full-joined on month; all-zero rows dropped."""
+    j = a.join(b, key, "full")
+    vals = [c for c in j.columns if c != key]
+    for c in vals:
+        j = j.withColumn(c, F.coalesce(F.col(c), F.lit(0)))
+    counts = [c for c in vals if dict(j.dtypes)[c] in ("bigint", "int")]
+    return j.filter(sum((F.col(c) for c in counts), F.lit(0)) > 0)
+
+
+def missing_members(df, key, member, domain=None, max_domain: int = 10_000):
+    """AGG-27: (key, member) combinations absent from the data: distinct keys
+    times the member domain (a code set whose size is checked, then
+    broadcast), anti-joined to the facts."""
+    dom = domain if domain is not None else df.select(member).distinct()
+    grid = cross(df.select(key).distinct(), dom, max_rows=max_domain)
+    return grid.join(df.select(key, member), [key, member], "left_anti")
+
+
+def payout(df, pool: str, won: str, stake: str, out="payout"):
+    """AGG-28: losers' pot shared among winners in proportion to stake."""
+    w = Window.partitionBy(pool)
+    d = (df.withColumn("_win", F.sum(F.when(F.col(won), F.col(stake))).over(w))
+           .withColumn("_lose", F.sum(F.when(~F.col(won), F.col(stake))).over(w)))
+    return d.filter(F.col(won)).withColumn(
+        out, F.col(stake) + F.coalesce("_lose", F.lit(0.0)) * F.col(stake) / F.col("_win")).drop("_win", "_lose")
+
+
+def loyalty(df, customer, amount, out="loyalty"):
+    """AGG-34: count*10 + amount/100, half-up to 2 decimals."""
+    return df.groupBy(customer).agg(
+        F.round((F.count(F.lit(1)) * 10 + F.sum(amount) / 100).cast("decimal(38,9)"), 2).cast("double").alias(out))
+
+
+def category_diff(df, by, cat, plus, minus, val, out="diff"):
+    """AGG-35: sum of ``plus`` rows minus sum of ``minus`` rows per group."""
+    d = df.filter(F.col(cat).isin(plus, minus))
+    return d.groupBy(*_cols(by)).agg(F.sum(F.when(F.col(cat) == plus, F.col(val)).otherwise(-F.col(val))).alias(out))
+
+
+def above_all_means(df, order, qty):
+    """AGG-36: groups whose maximum exceeds every group's average."""
+    g = df.groupBy(order).agg(F.max(qty).alias("_mx"), F.avg(qty).alias("_av"))
+    top = g.agg(F.max("_av").alias("_top"))
+    return attach_scalars(g, top).filter(F.col("_mx") > F.col("_top")).select(order)
+
+
+def heavy_weeks(df, who, ts, amount, limit, min_weeks, out="heavy_weeks"):
+    """AGG-37: Monday-based weeks over ``limit``; keep subjects with
+    ``min_weeks`` or more such weeks."""
+    w = df.groupBy(who, F.date_trunc("week", F.col(ts)).alias("_wk")).agg(F.sum(amount).alias("_t"))
+    return (w.filter(F.col("_t") > limit).groupBy(who).agg(F.count(F.lit(1)).alias(out))
+             .filter(F.col(out) >= min_weeks))
