@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tessera.operators.common import _cols, _names, attach_scalars, global_prefix_sum, prefix_sum
+from tessera.operators.common import _cols, _names, attach_scalars, global_prefix_sum, prefix_sum, quantile_chunk
 
 _RANKERS = {"row_number": F.row_number, "rank": F.rank, "dense_rank": F.dense_rank}
 
@@ -235,3 +235,38 @@ def sorted_under(df, word: str, order_col: str, alphabet: str, by=None):
     d = d.withColumn("_prev", F.lag("_key").over(w))
     return d.withColumn("in_order", F.col("_prev").isNull() | (F.col("_prev") <= F.col("_key"))) \
             .drop("_key", "_prev")
+
+
+def pack_budget(df: DataFrame, cls: str, cost: str, tie: str, budget: float,
+                order_classes: Sequence[str]) -> DataFrame:
+    """WIN-15: cheapest first per class until the budget is used; each next
+    class gets what the previous classes left.  Running sums per class are
+    chunked prefix sums (quantile chunks of cost), so one class is not one
+    task."""
+    d = quantile_chunk(df, cost, 32, "_qc")
+    d = prefix_sum(d, [cls], [F.col(cost), F.col(tie)], cost, "_run", "_qc").drop("_qc")
+    left = F.lit(float(budget))
+    picked = None
+    for c in order_classes:
+        sel = d.filter((F.col(cls) == c) & (F.col("_run") <= left)) if picked is None else None
+        if picked is None:
+            picked = sel
+            spent = sel.agg(F.coalesce(F.sum(cost), F.lit(0.0)).alias("_spent"))
+        else:
+            cand = attach_scalars(d.filter(F.col(cls) == c), spent)
+            sel = cand.filter(F.col("_run") <= F.lit(float(budget)) - F.col("_spent")).drop("_spent")
+            spent2 = sel.agg(F.coalesce(F.sum(cost), F.lit(0.0)).alias("_s2"))
+            spent = attach_scalars(spent, spent2).select((F.col("_spent") + F.col("_s2")).alias("_spent"))
+            picked = picked.unionByName(sel)
+    return picked.drop("_run")
+
+
+def nth_matches(ref: DataFrame, df: DataFrame, key: str, order: Sequence, n: int, test: Column,
+                out: str = "matches") -> DataFrame:
+    """WIN-19: 'Yes' when the n-th row of the key passes ``test``; a key
+    without an n-th row gets 'No' (left join from the reference table)."""
+    w = Window.partitionBy(key).orderBy(*_cols(order))
+    nth = df.withColumn("_rn", F.row_number().over(w)).filter(F.col("_rn") == n) \
+            .select(key, test.alias("_ok"))
+    return ref.join(nth, key, "left").withColumn(
+        out, F.when(F.coalesce("_ok", F.lit(False)), "Yes").otherwise("No")).drop("_ok")
