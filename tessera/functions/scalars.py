@@ -86,7 +86,7 @@ def band(col, edges: Sequence, names: Sequence[str]) -> Column:
 def safe_cast(col, typ: str, fmt: str | None = None) -> Column:
     """SCL-06: string to number/date, NULL on failure (ANSI-safe)."""
     if typ == "date" and fmt:
-        return F.try_to_date(_c(col), F.lit(fmt)) if hasattr(F, "try_to_date") else F.to_date(_c(col), fmt)
+        return F.try_to_date(_c(col), fmt)
     if typ == "timestamp" and fmt:
         return F.try_to_timestamp(_c(col), F.lit(fmt))
     return F.expr(f"try_cast(`{col}` as {typ})") if isinstance(col, str) else _c(col).try_cast(typ)
