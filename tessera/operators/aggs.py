@@ -287,3 +287,17 @@ def heavy_weeks(df, who, ts, amount, limit, min_weeks, out="heavy_weeks"):
     w = df.groupBy(who, F.date_trunc("week", F.col(ts)).alias("_wk")).agg(F.sum(amount).alias("_t"))
     return (w.filter(F.col("_t") > limit).groupBy(who).agg(F.count(F.lit(1)).alias(out))
              .filter(F.col(out) >= min_weeks))
+
+
+def best_score(have: DataFrame, need: DataFrame, cand: str, project: str, skill: str, level: str,
+               importance: str, base: int = 100, plus: int = 10, minus: int = 5) -> DataFrame:
+    """AGG-29: candidates holding every skill a project needs (relational
+    division by counts), scored base + plus per skill above the need and
+    - minus per skill below; best candidate per project (ties: lower id)."""
+    req = need.groupBy(project).agg(F.count_distinct(skill).alias("_k"))
+    j = need.join(have, skill)
+    pts = F.when(F.col(level) > F.col(importance), plus).when(F.col(level) < F.col(importance), -minus).otherwise(0)
+    m = j.groupBy(project, cand).agg(F.count_distinct(skill).alias("_m"), (F.lit(base) + F.sum(pts)).alias("score"))
+    m = m.join(req, project).filter(F.col("_m") == F.col("_k"))
+    w = Window.partitionBy(project).orderBy(F.col("score").desc(), F.col(cand))
+    return m.withColumn("_r", F.row_number().over(w)).filter("_r = 1").select(project, cand, "score")
