@@ -114,7 +114,7 @@ def lines_with_numbers(spark: SparkSession, path: str) -> DataFrame:
     """SRC-11 for text files: (file, row_no, line).  Each file is read whole
     (``wholetext``), so use it for small landing files; large text files
     should be converted to Parquet, which carries a row index."""
-    w = spark.read.option("wholetext", "true").text(path).select(F.col("_metadata.file_name").alias("file"), "value")
+    w = spark.read.text(path, wholetext=True).select(F.col("_metadata.file_name").alias("file"), "value")
     return w.select("file", F.posexplode(F.split(F.regexp_replace("value", "\n$", ""), "\n")).alias("row_no", "line")) \
             .withColumn("row_no", F.col("row_no") + 1)
 
@@ -199,7 +199,7 @@ def parse_log(lines: DataFrame, col: str = "value") -> tuple[DataFrame, DataFram
     malformed lines go to a quarantine output."""
     ok = F.col(col).rlike(LOG_RE)
     parsed = lines.filter(ok).select(
-        F.to_timestamp(F.regexp_replace(F.regexp_extract(col, LOG_RE, 1), ",", ".")).alias("ts"),
+        F.try_to_timestamp(F.regexp_replace(F.regexp_extract(col, LOG_RE, 1), ",", ".")).alias("ts"),
         F.regexp_extract(col, LOG_RE, 2).alias("level"), F.regexp_extract(col, LOG_RE, 3).alias("thread"),
         F.regexp_extract(col, LOG_RE, 4).alias("message"))
     return parsed, lines.filter(~ok | F.col(col).isNull())

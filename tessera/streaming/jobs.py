@@ -21,6 +21,14 @@ from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 
+def event_time(df: DataFrame, ts: str) -> DataFrame:
+    """Watermarks need TIMESTAMP; a TIMESTAMP_NTZ column is read as session
+    time (UTC in this library's sessions)."""
+    if isinstance(df.schema[ts].dataType, T.TimestampNTZType):
+        return df.withColumn(ts, F.col(ts).cast("timestamp"))
+    return df
+
+
 def _run(writer, available_now: bool = True) -> StreamingQuery:
     w = writer.trigger(availableNow=True) if available_now else writer
     return w.start()
@@ -72,7 +80,7 @@ def start_ingest(spark: SparkSession, path: str, schema: T.StructType, out: str,
 
 def daily_summary(stream: DataFrame, ts: str, val: str, delay: str = "1 day") -> DataFrame:
     """STR-02: per-day revenue and count (event-time windows, watermark)."""
-    return (stream.withWatermark(ts, delay).groupBy(F.window(ts, "1 day").alias("w"))
+    return (event_time(stream, ts).withWatermark(ts, delay).groupBy(F.window(ts, "1 day").alias("w"))
                   .agg(F.sum(val).alias("revenue"), F.count(F.lit(1)).alias("events"))
                   .select(F.col("w.start").alias("day"), "revenue", "events"))
 
@@ -89,7 +97,7 @@ def alerts(stream: DataFrame, col: str, bands: Sequence[tuple[float, str]]) -> D
 def windowed(stream: DataFrame, ts: str, size: str, slide: str | None = None, by: Sequence[str] = (),
              delay: str | None = None) -> DataFrame:
     """STR-07: tumbling (slide None) or sliding window counts."""
-    s = stream.withWatermark(ts, delay) if delay else stream
+    s = event_time(stream, ts).withWatermark(ts, delay) if delay else stream
     w = F.window(ts, size, slide) if slide else F.window(ts, size)
     return s.groupBy(w.alias("w"), *by).agg(F.count(F.lit(1)).alias("n")) \
             .select(F.col("w.start").alias("window_start"), F.col("w.end").alias("window_end"), *by, "n")
@@ -97,7 +105,7 @@ def windowed(stream: DataFrame, ts: str, size: str, slide: str | None = None, by
 
 def sessions(stream: DataFrame, key: str, ts: str, gap: str = "30 minutes", delay: str | None = None) -> DataFrame:
     """STR-08: gap-based session windows per key."""
-    s = stream.withWatermark(ts, delay) if delay else stream
+    s = event_time(stream, ts).withWatermark(ts, delay) if delay else stream
     return s.groupBy(key, F.session_window(ts, gap).alias("s")).agg(F.count(F.lit(1)).alias("n_events")) \
             .select(key, F.col("s.start").alias("start"), F.col("s.end").alias("end"), "n_events")
 
@@ -154,7 +162,7 @@ def inventory(stream: DataFrame, item: str, qty: str, limit: float, opening: flo
 
 def dedup_within(stream: DataFrame, id_col: str, ts: str, delay: str) -> DataFrame:
     """STR-09: repeats of an id inside the watermark delay are dropped."""
-    return stream.withWatermark(ts, delay).dropDuplicatesWithinWatermark([id_col])
+    return event_time(stream, ts).withWatermark(ts, delay).dropDuplicatesWithinWatermark([id_col])
 
 
 def start_dedup_late(stream: DataFrame, id_col: str, ts: str, delay_s: int, out: str, late_out: str,
@@ -205,8 +213,8 @@ def near_join_stream(a: DataFrame, b: DataFrame, key: str, ts_a: str, ts_b: str,
                      delay: str = "1 hour") -> DataFrame:
     """STR-11: A then B within ``within_s`` seconds, stream-stream inner join
     bounded by watermarks on both sides (state is purged past the bound)."""
-    la = a.withWatermark(ts_a, delay).alias("a")
-    rb = b.withWatermark(ts_b, delay).withColumnRenamed(key, f"_{key}_b").alias("b")
+    la = event_time(a, ts_a).withWatermark(ts_a, delay).alias("a")
+    rb = event_time(b, ts_b).withWatermark(ts_b, delay).withColumnRenamed(key, f"_{key}_b").alias("b")
     cond = ((F.col(key) == F.col(f"_{key}_b")) & (F.col(ts_b) >= F.col(ts_a))
             & (F.col(ts_b) <= F.col(ts_a) + F.expr(f"INTERVAL {within_s} SECONDS")))
     return la.join(rb, cond, "inner").drop(f"_{key}_b")
@@ -223,7 +231,7 @@ def start_log_tail(spark: SparkSession, path: str, out: str, checkpoint: str,
     ok = F.col("value").rlike(LOG_RE)
     parsed = lines.select(
         ok.alias("_ok"), "value",
-        F.to_timestamp(F.regexp_replace(F.regexp_extract("value", LOG_RE, 1), ",", ".")).alias("ts"),
+        F.try_to_timestamp(F.regexp_replace(F.regexp_extract("value", LOG_RE, 1), ",", ".")).alias("ts"),
         F.regexp_extract("value", LOG_RE, 2).alias("level"), F.regexp_extract("value", LOG_RE, 3).alias("thread"),
         F.regexp_extract("value", LOG_RE, 4).alias("message"))
     return _run(parsed.writeStream.format("parquet").option("path", out)
