@@ -85,6 +85,28 @@ def prefix_sum(df: DataFrame, keys: Sequence[str], order: Sequence[ColLike],
              .drop("_chunk", "_v", "_local", "_offset"))
 
 
+def running_extreme(df: DataFrame, keys: Sequence[str], order: str, value: str, out: str, chunk: ColLike,
+                    fn: str = "min", descending: bool = False) -> DataFrame:
+    """Running min/max of ``value`` per ``keys`` along ``order`` (a single
+    column), chunked like ``prefix_sum``: local running extreme per
+    (keys, chunk), carried across chunks from a one-row-per-chunk table.
+    ``descending`` runs from the latest row backwards (suffix extreme)."""
+    keys = list(keys)
+    agg = F.min if fn == "min" else F.max
+    pick = F.least if fn == "min" else F.greatest
+    o = F.col(order).desc() if descending else F.col(order).asc()
+    d = df.withColumn("_chunk", F.col(chunk) if isinstance(chunk, str) else chunk)
+    w = Window.partitionBy(*keys, "_chunk").orderBy(o).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    d = d.withColumn("_loc", agg(value).over(w))
+    per = d.groupBy(*keys, "_chunk").agg(agg(value).alias("_cx"))
+    co = F.col("_chunk").desc() if descending else F.col("_chunk").asc()
+    wc = Window.partitionBy(*keys).orderBy(co).rowsBetween(Window.unboundedPreceding, -1)
+    carry = per.withColumn("_carry", agg("_cx").over(wc)).select(*keys, "_chunk", "_carry")
+    return (d.join(carry, [*keys, "_chunk"], "inner")
+             .withColumn(out, F.coalesce(pick("_loc", "_carry"), F.col("_loc"), F.col("_carry")))
+             .drop("_chunk", "_loc", "_carry"))
+
+
 def lag_chunked(df: DataFrame, keys: Sequence[str], order: str, cols: Sequence[str],
                 chunk: ColLike, prefix: str = "prev_") -> DataFrame:
     """Previous row's ``cols`` per ``keys`` ordered by ``order`` (single column).

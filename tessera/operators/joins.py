@@ -12,7 +12,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tessera.operators.common import _cols, attach_scalars, broadcast_bounded, is_bounded
+from tessera.operators.common import _cols, attach_scalars, broadcast_bounded, is_bounded, running_extreme
 
 
 def join_inner(a: DataFrame, b: DataFrame, on) -> DataFrame:
@@ -246,19 +246,39 @@ def pair_counts_with_sum(df: DataFrame, val: str, target) -> DataFrame:
     return j.select("v_a", "v_b", n.alias("n_pairs")).filter("n_pairs > 0")
 
 
-def no_mutual(edges: DataFrame, u: str, v: str) -> DataFrame:
-    """JOIN-26: undirected edges whose endpoints share no neighbour.
-
-    Mirror edges, build two-hop paths u-w-v only for pairs that are edges
-    (join edges to edges on w, then semi-join to the edge set), anti join."""
-    e = edges.select(F.least(u, v).alias("a"), F.greatest(u, v).alias("b")).filter("a <> b").distinct()
-    both = e.unionByName(e.select(F.col("b").alias("a"), F.col("a").alias("b")))
-    # common neighbour w of (a, b): a-w and b-w both exist; key the join by w
-    aw = both.select(F.col("a").alias("x"), F.col("b").alias("w"))
-    bw = both.select(F.col("a").alias("y"), F.col("b").alias("w"))
-    common = aw.join(bw, "w").filter("x < y").select(F.col("x").alias("a"), F.col("y").alias("b"))
-    common = common.join(e, ["a", "b"], "left_semi").distinct()
-    return e.join(common, ["a", "b"], "left_anti").select(F.col("a").alias(u), F.col("b").alias(v))
+def best_route(legs: DataFrame, src, dst, start_port: str, end_port: str, dep: str, arr: str,
+               chunk: Column | None = None) -> DataFrame:
+    """JOIN-24: fastest trip from ``src`` to ``dst``: a direct leg, or two
+    legs changing at a port where the second departs at or after the first
+    arrives; elapsed = final arrival - first departure.
+
+    No leg pairs are formed: per hub, second legs (hub -> dst) get the
+    suffix minimum of their arrival over departure time (chunked by day), and
+    each first leg (src -> hub) takes, as-of its arrival, the earliest
+    reachable final arrival by the union-sort as-of join.  Returns one row:
+    path, elapsed_s (ties: lexicographic path)."""
+    t = lambda c: F.unix_micros(F.col(c).cast("timestamp"))
+    direct = (legs.filter((F.col(start_port) == F.lit(src)) & (F.col(end_port) == F.lit(dst)))
+                  .select(F.concat_ws("-", F.lit(str(src)), F.lit(str(dst))).alias("path"),
+                          ((t(arr) - t(dep)) / 1e6).alias("elapsed_s")))
+    second = (legs.filter((F.col(end_port) == F.lit(dst)) & (F.col(start_port) != F.lit(src)))
+                  .select(F.col(start_port).alias("hub"), t(dep).alias("_t"), t(arr).alias("_arr2")))
+    ch = chunk if chunk is not None else F.floor(F.col("_t") / 86_400_000_000)
+    second = running_extreme(second, ["hub"], "_t", "_arr2", "_best_arr", ch, "min", descending=True)
+    first = (legs.filter((F.col(start_port) == F.lit(src)) & (F.col(end_port) != F.lit(dst)))
+                 .select(F.col(end_port).alias("hub"), t(arr).alias("_t"), t(dep).alias("_dep1")))
+    # as-of forward: for each first leg, the second-leg row with the smallest
+    # departure >= its arrival carries the suffix-min arrival
+    f = first.withColumn("_side", F.lit(1))
+    s2 = second.select("hub", "_t", "_best_arr").withColumn("_side", F.lit(0))
+    u = f.unionByName(s2, allowMissingColumns=True)
+    w = (Window.partitionBy("hub").orderBy(F.col("_t").desc(), F.col("_side").asc())
+         .rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    u = u.withColumn("_reach", F.last("_best_arr", ignorenulls=True).over(w))
+    via = (u.filter((F.col("_side") == 1) & F.col("_reach").isNotNull())
+             .select(F.concat_ws("-", F.lit(str(src)), F.col("hub").cast("string"), F.lit(str(dst))).alias("path"),
+                     ((F.col("_reach") - F.col("_dep1")) / 1e6).alias("elapsed_s")))
+    return direct.unionByName(via).orderBy("elapsed_s", "path").limit(1)
 
 
 def recommend(friends: DataFrame, likes: DataFrame, user: str, friend: str, page: str):

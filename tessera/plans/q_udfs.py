@@ -114,3 +114,23 @@ def semi13(spark, sf):
                                 "profile.nation": F.col("rec.profile.nation") + 100})
     return p.select("c_custkey", F.col("rec.profile.segment").alias("segment"),
                     F.col("rec.profile.nation").alias("nation"), F.col("rec.balance").alias("balance"))
+
+
+@register("JOIN-24", "join24_best_one_stop_route", """
+WITH legs AS (SELECT s.s_nationkey AS a, c.c_nationkey AS b, o.o_orderdate AS dep, l.l_shipdate AS arr
+              FROM lineitem l JOIN orders o ON l.l_orderkey = o.o_orderkey JOIN customer c ON o.o_custkey = c.c_custkey
+              JOIN supplier s ON l.l_suppkey = s.s_suppkey WHERE l.l_shipdate >= o.o_orderdate),
+ r AS (SELECT '1-2' AS path, (epoch_us(arr) - epoch_us(dep)) / 1e6 AS elapsed_s FROM legs WHERE a = 1 AND b = 2
+       UNION ALL
+       SELECT '1-' || CAST(x.b AS VARCHAR) || '-2', (epoch_us(y.arr) - epoch_us(x.dep)) / 1e6
+       FROM legs x JOIN legs y ON x.b = y.a AND y.dep >= x.arr WHERE x.a = 1 AND x.b <> 2 AND y.b = 2 AND y.a <> 1)
+SELECT path, elapsed_s FROM r ORDER BY elapsed_s, path LIMIT 1""")
+def join24(spark, sf):
+    from tessera.operators.joins import best_route
+    li = T(spark, sf, "lineitem").select(F.col("l_orderkey").alias("o_orderkey"), "l_suppkey", "l_shipdate")
+    o = T(spark, sf, "orders").select("o_orderkey", "o_custkey", "o_orderdate")
+    c = T(spark, sf, "customer").select(F.col("c_custkey").alias("o_custkey"), F.col("c_nationkey").alias("b"))
+    s = T(spark, sf, "supplier").select(F.col("s_suppkey").alias("l_suppkey"), F.col("s_nationkey").alias("a"))
+    legs = li.join(o, "o_orderkey").join(c, "o_custkey").join(s, "l_suppkey") \
+             .filter(F.col("l_shipdate") >= F.col("o_orderdate"))
+    return best_route(legs, 1, 2, "a", "b", "o_orderdate", "l_shipdate")

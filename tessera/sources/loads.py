@@ -168,3 +168,11 @@ def apply_error_policy(rows: DataFrame, file_col: str, bad: Column, policy: str,
     else:
         raise ValueError(policy)
     return d.filter(keep & ~F.col("_bad")).drop("_bad", "_nbad", "_n")
+
+
+def replace_all(stage: DataFrame, root: str, ts) -> int:
+    """LOAD-10: truncate and reload: the stage becomes a new complete
+    version folder; the version row (pointer) is written last, so readers
+    see the old table or the new one, never a mix."""
+    from tessera.operators.versions import write_version
+    return write_version(stage, root, ts)

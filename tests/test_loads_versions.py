@@ -150,3 +150,14 @@ def test_text_line_numbers_and_log_quarantine(spark, tmp):
     ok, bad = scans.parse_log(scans.scan_lines(spark, tmp))
     assert ok.count() == 2 and bad.count() == 1
     assert {r.level for r in ok.collect()} == {"INFO", "ERROR"}
+
+
+def test_replace_all_and_publish_view(spark, sf, tmp):
+    part = spark.read.parquet(f"{sf}/part.parquet")
+    root = os.path.join(tmp, "part_tbl")
+    assert loads.replace_all(part.limit(5), root, "2024-01-01 00:00:00") == 1
+    assert loads.replace_all(part, root, "2024-01-02 00:00:00") == 2
+    assert versions.read_at(spark, root, "2024-01-03 00:00:00").count() == part.count()
+    v = scans.publish_view(part.filter("p_size > 10"), "big_parts", cached=True)
+    assert spark.sql("SELECT count(*) FROM big_parts").first()[0] == v.count()
+    spark.catalog.uncacheTable("big_parts")
