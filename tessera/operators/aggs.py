@@ -136,12 +136,11 @@ def never_repeat(df, who, item, day):
 
 def arg_extremes(df, by, name, val):
     """AGG-21: name of the highest and lowest value per group; ties go to the
-    smallest name (min over the tied names)."""
-    w = Window.partitionBy(*_cols(by))
-    d = df.withColumn("_max", F.max(val).over(w)).withColumn("_min", F.min(val).over(w))
-    return d.groupBy(*_cols(by)).agg(
-        F.min(F.when(F.col(val) == F.col("_max"), F.col(name))).alias(f"top_{name}"),
-        F.min(F.when(F.col(val) == F.col("_min"), F.col(name))).alias(f"bottom_{name}"))
+    smallest name.  One aggregate (map-side combined): min_by over the sort
+    key (-value, name) for the top, (value, name) for the bottom."""
+    return df.groupBy(*_cols(by)).agg(
+        F.min_by(name, F.struct((-F.col(val)).alias("v"), F.col(name).alias("n"))).alias(f"top_{name}"),
+        F.min_by(name, F.struct(F.col(val).alias("v"), F.col(name).alias("n"))).alias(f"bottom_{name}"))
 
 
 def leave_one_out_mean(df, by, val, out="others_avg"):

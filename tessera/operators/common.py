@@ -53,9 +53,10 @@ def attach_scalars(df: DataFrame, one_row: DataFrame) -> DataFrame:
     The one-row side is an aggregate without grouping keys, so its size is
     bounded by construction; it is broadcast on a constant key (no shuffle of
     ``df``)."""
-    return (df.withColumn("_one", F.lit(1))
-              .join(F.broadcast(one_row.withColumn("_one", F.lit(1))), "_one")
-              .drop("_one"))
+    k = "__tessera_scalar_key"
+    return (df.withColumn(k, F.lit(1))
+              .join(F.broadcast(one_row.withColumn(k, F.lit(1))), k)
+              .drop(k))
 
 
 def prefix_sum(df: DataFrame, keys: Sequence[str], order: Sequence[ColLike],
@@ -70,19 +71,19 @@ def prefix_sum(df: DataFrame, keys: Sequence[str], order: Sequence[ColLike],
     keys = list(keys)
     chunk_col = F.col(chunk) if isinstance(chunk, str) else chunk
     value_col = F.col(value) if isinstance(value, str) else value
-    d = df.withColumn("_chunk", chunk_col).withColumn("_v", value_col)
-    w_local = (Window.partitionBy(*keys, "_chunk").orderBy(*_cols(order))
+    d = df.withColumn("__ps_chunk", chunk_col).withColumn("__ps_v", value_col)
+    w_local = (Window.partitionBy(*keys, "__ps_chunk").orderBy(*_cols(order))
                .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    d = d.withColumn("_local", F.sum("_v").over(w_local))
-    totals = d.groupBy(*keys, "_chunk").agg(F.sum("_v").alias("_chunk_total"))
-    w_off = (Window.partitionBy(*keys).orderBy("_chunk")
+    d = d.withColumn("__ps_local", F.sum("__ps_v").over(w_local))
+    totals = d.groupBy(*keys, "__ps_chunk").agg(F.sum("__ps_v").alias("__ps_total"))
+    w_off = (Window.partitionBy(*keys).orderBy("__ps_chunk")
              .rowsBetween(Window.unboundedPreceding, -1))
     offsets = totals.withColumn(
-        "_offset", F.coalesce(F.sum("_chunk_total").over(w_off), F.lit(0))
-    ).drop("_chunk_total")
-    return (d.join(offsets, [*keys, "_chunk"], "inner")
-             .withColumn(out, F.col("_local") + F.col("_offset"))
-             .drop("_chunk", "_v", "_local", "_offset"))
+        "__ps_offset", F.coalesce(F.sum("__ps_total").over(w_off), F.lit(0))
+    ).drop("__ps_total")
+    return (d.join(offsets, [*keys, "__ps_chunk"], "inner")
+             .withColumn(out, F.col("__ps_local") + F.col("__ps_offset"))
+             .drop("__ps_chunk", "__ps_v", "__ps_local", "__ps_offset"))
 
 
 def running_extreme(df: DataFrame, keys: Sequence[str], order: str, value: str, out: str, chunk: ColLike,
@@ -95,16 +96,16 @@ def running_extreme(df: DataFrame, keys: Sequence[str], order: str, value: str,
     agg = F.min if fn == "min" else F.max
     pick = F.least if fn == "min" else F.greatest
     o = F.col(order).desc() if descending else F.col(order).asc()
-    d = df.withColumn("_chunk", F.col(chunk) if isinstance(chunk, str) else chunk)
-    w = Window.partitionBy(*keys, "_chunk").orderBy(o).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    d = d.withColumn("_loc", agg(value).over(w))
-    per = d.groupBy(*keys, "_chunk").agg(agg(value).alias("_cx"))
-    co = F.col("_chunk").desc() if descending else F.col("_chunk").asc()
+    d = df.withColumn("__rx_chunk", F.col(chunk) if isinstance(chunk, str) else chunk)
+    w = Window.partitionBy(*keys, "__rx_chunk").orderBy(o).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    d = d.withColumn("__rx_loc", agg(value).over(w))
+    per = d.groupBy(*keys, "__rx_chunk").agg(agg(value).alias("__rx_cx"))
+    co = F.col("__rx_chunk").desc() if descending else F.col("__rx_chunk").asc()
     wc = Window.partitionBy(*keys).orderBy(co).rowsBetween(Window.unboundedPreceding, -1)
-    carry = per.withColumn("_carry", agg("_cx").over(wc)).select(*keys, "_chunk", "_carry")
-    return (d.join(carry, [*keys, "_chunk"], "inner")
-             .withColumn(out, F.coalesce(pick("_loc", "_carry"), F.col("_loc"), F.col("_carry")))
-             .drop("_chunk", "_loc", "_carry"))
+    carry = per.withColumn("__rx_carry", agg("__rx_cx").over(wc)).select(*keys, "__rx_chunk", "__rx_carry")
+    return (d.join(carry, [*keys, "__rx_chunk"], "inner")
+             .withColumn(out, F.coalesce(pick("__rx_loc", "__rx_carry"), F.col("__rx_loc"), F.col("__rx_carry")))
+             .drop("__rx_chunk", "__rx_loc", "__rx_carry"))
 
 
 def lag_chunked(df: DataFrame, keys: Sequence[str], order: str, cols: Sequence[str],
@@ -117,21 +118,21 @@ def lag_chunked(df: DataFrame, keys: Sequence[str], order: str, cols: Sequence[s
     """
     keys = list(keys)
     chunk_col = F.col(chunk) if isinstance(chunk, str) else chunk
-    d = df.withColumn("_chunk", chunk_col)
-    w = Window.partitionBy(*keys, "_chunk").orderBy(order)
+    d = df.withColumn("__lg_chunk", chunk_col)
+    w = Window.partitionBy(*keys, "__lg_chunk").orderBy(order)
     for c in cols:
-        d = d.withColumn(f"_in_{c}", F.lag(c).over(w))
-    d = d.withColumn("_first", F.row_number().over(w) == 1)
-    last = d.groupBy(*keys, "_chunk").agg(
-        *[F.max_by(c, order).alias(f"_last_{c}") for c in cols])
-    w_prev = Window.partitionBy(*keys).orderBy("_chunk")
-    prev = last.select(*keys, "_chunk",
-                       *[F.lag(f"_last_{c}").over(w_prev).alias(f"_pc_{c}") for c in cols])
-    d = d.join(prev, [*keys, "_chunk"], "inner")
+        d = d.withColumn(f"__lg_in_{c}", F.lag(c).over(w))
+    d = d.withColumn("__lg_first", F.row_number().over(w) == 1)
+    last = d.groupBy(*keys, "__lg_chunk").agg(
+        *[F.max_by(c, order).alias(f"__lg_last_{c}") for c in cols])
+    w_prev = Window.partitionBy(*keys).orderBy("__lg_chunk")
+    prev = last.select(*keys, "__lg_chunk",
+                       *[F.lag(f"__lg_last_{c}").over(w_prev).alias(f"__lg_pc_{c}") for c in cols])
+    d = d.join(prev, [*keys, "__lg_chunk"], "inner")
     for c in cols:
         d = d.withColumn(f"{prefix}{c}",
-                         F.when(F.col("_first"), F.col(f"_pc_{c}")).otherwise(F.col(f"_in_{c}")))
-    return d.drop("_chunk", "_first", *[f"_in_{c}" for c in cols], *[f"_pc_{c}" for c in cols])
+                         F.when(F.col("__lg_first"), F.col(f"__lg_pc_{c}")).otherwise(F.col(f"__lg_in_{c}")))
+    return d.drop("__lg_chunk", "__lg_first", *[f"__lg_in_{c}" for c in cols], *[f"__lg_pc_{c}" for c in cols])
 
 
 def quantile_chunk(df: DataFrame, col: str, buckets: int = 64, out: str = "_chunk") -> DataFrame:

@@ -100,6 +100,24 @@ def theta(a: DataFrame, b: DataFrame, condition: Column, how: str = "inner") ->
     return a.join(b, condition, how)
 
 
+def count_below(a: DataFrame, b: DataFrame, key: str, a_val: str, b_val: str, out: str = "n_below",
+                chunk_buckets: int = 64) -> DataFrame:
+    """JOIN-10 at scale: for every row of ``a``, the number of ``b`` rows with
+    the same key and ``b_val < a_val`` -- the count a theta join would give,
+    without forming pairs.  Both sides are unioned and sorted by value per
+    key (b rows before a rows only when strictly smaller); a chunked running
+    count of b rows is read at each a row."""
+    from tessera.operators.common import prefix_sum, quantile_chunk
+    ua = a.withColumn("_v", F.col(a_val).cast("double")).withColumn("_isb", F.lit(0)).withColumn("_one", F.lit(0))
+    ub = (b.select(F.col(key), F.col(b_val).cast("double").alias("_v"))
+           .withColumn("_isb", F.lit(1)).withColumn("_one", F.lit(1)))
+    u = ua.unionByName(ub, allowMissingColumns=True)
+    u = quantile_chunk(u, "_v", chunk_buckets, "_qc")
+    # at equal values a rows sort before b rows, so only strictly smaller b count
+    u = prefix_sum(u, [key], [F.col("_v"), F.col("_isb")], "_one", out, "_qc")
+    return u.filter(F.col("_isb") == 0).drop("_v", "_isb", "_one", "_qc").select(*a.columns, out)
+
+
 def band_join(df: DataFrame, bands: DataFrame, col: str, lo: str, hi: str,
               max_bands: int = 100_000) -> DataFrame:
     """JOIN-11: value into [lo, hi] bands.  Bands are a small dimension;

@@ -32,12 +32,32 @@ def sample_stable(df: DataFrame, key: str, p: float, seed: int = 0) -> DataFrame
     return df.filter(stable_hash(key, seed) < int(round(p * 10_000)))
 
 
-def sample_stratified(df: DataFrame, by, key: str, p: float, seed: int = 0) -> DataFrame:
-    """SMP-04: exactly ceil(p * n) rows of every group (at least one), the
-    rows with the smallest key hash (ties by key)."""
-    w = Window.partitionBy(*_cols(by)).orderBy(stable_hash(key, seed), F.col(key))
-    d = df.withColumn("_r", F.row_number().over(w)).withColumn("_n", F.count(F.lit(1)).over(Window.partitionBy(*_cols(by))))
-    return d.filter(F.col("_r") <= F.greatest(F.lit(1), F.ceil(F.col("_n") * p))).drop("_r", "_n")
+def sample_stratified(df: DataFrame, by, key: str, p: float, seed: int = 0, buckets: int = 10_000) -> DataFrame:
+    """SMP-04: exactly ceil(p * n) rows of every group (at least one): the
+    rows with the smallest (key hash, key).
+
+    No window spans a whole group: a histogram of hash buckets per group
+    (groups x buckets rows) gives, per group, the bucket where the quota is
+    reached; rows below it are taken, and only rows inside that one boundary
+    bucket are ranked (a bucket holds about n / buckets rows of a group)."""
+    h = stable_hash(key, seed, buckets)
+    d = df.withColumn("_h", h)
+    g = _cols(by)
+    hist = d.groupBy(*g, "_h").agg(F.count(F.lit(1)).alias("_c"))
+    w = Window.partitionBy(*g).orderBy("_h").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    hist = hist.withColumn("_cum", F.sum("_c").over(w)) \
+               .withColumn("_n", F.sum("_c").over(Window.partitionBy(*g)))
+    hist = hist.withColumn("_k", F.greatest(F.lit(1), F.ceil(F.col("_n") * p)))
+    # boundary bucket: first bucket whose cumulative count reaches the quota
+    bound = hist.filter(F.col("_cum") >= F.col("_k")).groupBy(*g).agg(
+        F.min_by(F.struct("_h", (F.col("_k") - (F.col("_cum") - F.col("_c"))).alias("_need")), "_h").alias("_b"))
+    bound = bound.select(*g, F.col("_b._h").alias("_bh"), F.col("_b._need").alias("_need"))
+    j = d.join(bound, [c for c in (by if isinstance(by, (list, tuple)) else [by])])
+    below = j.filter(F.col("_h") < F.col("_bh"))
+    edge = j.filter(F.col("_h") == F.col("_bh"))
+    wr = Window.partitionBy(*g, "_h").orderBy(F.col(key))
+    edge = edge.withColumn("_r", F.row_number().over(wr)).filter(F.col("_r") <= F.col("_need")).drop("_r")
+    return below.unionByName(edge).drop("_h", "_bh", "_need")
 
 
 def kfold(df: DataFrame, order: str, k: int, tie: str | None = None, out: str = "fold") -> DataFrame:

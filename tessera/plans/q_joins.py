@@ -146,8 +146,17 @@ GROUP BY c.c_custkey""")
 def join10(spark, sf):
     c = T(spark, sf, "customer").select("c_custkey", "c_nationkey", "c_acctbal")
     s = T(spark, sf, "supplier").select("s_suppkey", "s_nationkey", "s_acctbal")
-    cond = (F.col("c_nationkey") == F.col("s_nationkey")) & (F.col("s_acctbal") < F.col("c_acctbal"))
-    return J.theta(c, s, cond, "left").groupBy("c_custkey").agg(F.count("s_suppkey").alias("n_poorer_suppliers"))
+    d = J.count_below(c, s.withColumnRenamed("s_nationkey", "c_nationkey"), "c_nationkey", "c_acctbal", "s_acctbal",
+                      "n_poorer_suppliers")
+    return d.select("c_custkey", "n_poorer_suppliers")
+
+
+@register("JOIN-10", "join10_theta_small_side", """
+SELECT r.r_name, n.n_name FROM region r JOIN nation n ON n.n_regionkey < r.r_regionkey""")
+def join10b(spark, sf):
+    r = T(spark, sf, "region")
+    n = T(spark, sf, "nation").select("n_name", "n_regionkey")
+    return J.theta(r, F.broadcast(n), F.col("n_regionkey") < F.col("r_regionkey")).select("r_name", "n_name")
 
 
 @register("JOIN-11", "join11_band_between", """
