@@ -109,23 +109,24 @@ def running_extreme(df: DataFrame, keys: Sequence[str], order: str, value: str,
 
 
 def lag_chunked(df: DataFrame, keys: Sequence[str], order: str, cols: Sequence[str],
-                chunk: ColLike, prefix: str = "prev_") -> DataFrame:
+                chunk: ColLike, prefix: str = "prev_", descending: bool = False) -> DataFrame:
     """Previous row's ``cols`` per ``keys`` ordered by ``order`` (single column).
 
     Same chunk split as ``prefix_sum``: lag inside (keys, chunk); the first
     row of each chunk reads the last row of the previous non-empty chunk from
-    a one-row-per-chunk summary.
+    a one-row-per-chunk summary.  ``descending`` gives the next row (lead).
     """
     keys = list(keys)
     chunk_col = F.col(chunk) if isinstance(chunk, str) else chunk
     d = df.withColumn("__lg_chunk", chunk_col)
-    w = Window.partitionBy(*keys, "__lg_chunk").orderBy(order)
+    o = F.col(order).desc() if descending else F.col(order).asc()
+    w = Window.partitionBy(*keys, "__lg_chunk").orderBy(o)
     for c in cols:
         d = d.withColumn(f"__lg_in_{c}", F.lag(c).over(w))
     d = d.withColumn("__lg_first", F.row_number().over(w) == 1)
     last = d.groupBy(*keys, "__lg_chunk").agg(
-        *[F.max_by(c, order).alias(f"__lg_last_{c}") for c in cols])
-    w_prev = Window.partitionBy(*keys).orderBy("__lg_chunk")
+        *[(F.min_by(c, order) if descending else F.max_by(c, order)).alias(f"__lg_last_{c}") for c in cols])
+    w_prev = Window.partitionBy(*keys).orderBy(F.col("__lg_chunk").desc() if descending else F.col("__lg_chunk"))
     prev = last.select(*keys, "__lg_chunk",
                        *[F.lag(f"__lg_last_{c}").over(w_prev).alias(f"__lg_pc_{c}") for c in cols])
     d = d.join(prev, [*keys, "__lg_chunk"], "inner")

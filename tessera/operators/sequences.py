@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tessera.operators.common import (_cols, _names, attach_scalars, lag_chunked, month_index,
-                                      prefix_sum, quantile_chunk)
+                                      prefix_sum, quantile_chunk, running_extreme)
 
 __all__ = ["month_index"]
 
@@ -30,12 +30,19 @@ def running_group(df: DataFrame, by, order: Sequence, start_flag: Column, out: s
     return d.withColumn(out, F.sum("_start").over(w)).drop("_start")
 
 
-def islands(df: DataFrame, by, value: str) -> DataFrame:
-    """SEQ-01: runs of consecutive integers: key = value - dense_rank."""
-    w = Window.partitionBy(*_cols(by)).orderBy(value)
-    d = df.withColumn("_isl", F.col(value) - F.dense_rank().over(w))
+def islands(df: DataFrame, by, value: str, chunk=None) -> DataFrame:
+    """SEQ-01: runs of consecutive integers: key = value - rank among the
+    distinct values.  With ``chunk`` (monotone in the value) the rank is a
+    chunked prefix count, so a hot key is not one task."""
+    d = df.select(*_cols(by), value).distinct()
+    if chunk is None:
+        w = Window.partitionBy(*_cols(by)).orderBy(value)
+        d = d.withColumn("_rk", F.row_number().over(w))
+    else:
+        d = prefix_sum(d.withColumn("_one", F.lit(1)), _names(by), [F.col(value)], "_one", "_rk", chunk).drop("_one")
+    d = d.withColumn("_isl", F.col(value) - F.col("_rk"))
     return d.groupBy(*_cols(by), "_isl").agg(F.min(value).alias("start"), F.max(value).alias("end"),
-                                             F.count_distinct(value).alias("n")).drop("_isl")
+                                             F.count(F.lit(1)).alias("n")).drop("_isl")
 
 
 def date_islands(df: DataFrame, by, date: str, max_gap_days: int = 1, min_rows: int = 2) -> DataFrame:
@@ -111,22 +118,47 @@ def sessionize(df: DataFrame, key: str, ts: str, gap_s: int = 1800, chunk: Colum
                                 - F.unix_micros(F.col("start").cast("timestamp"))) / 1e6)
 
 
-def overlap_count(df: DataFrame, key: str, start: str, end: str, tie: str) -> DataFrame:
+def overlap_count(df: DataFrame, key: str, start: str, end: str, tie: str, chunk=None) -> DataFrame:
     """SEQ-07: intervals that start before some earlier interval ended
-    (running max of earlier ends > own start), counted per key."""
-    w = Window.partitionBy(key).orderBy(start, tie).rowsBetween(Window.unboundedPreceding, -1)
-    d = df.withColumn("_maxend", F.max(end).over(w))
+    (running max of earlier ends > own start), counted per key.  With
+    ``chunk`` the running max and the one-row shift are chunked."""
+    if chunk is None:
+        w = Window.partitionBy(key).orderBy(start, tie).rowsBetween(Window.unboundedPreceding, -1)
+        d = df.withColumn("_maxend", F.max(end).over(w))
+    else:
+        d = _earlier_max(df, key, start, end, tie, chunk)
     return d.groupBy(key).agg(F.count_if(F.col("_maxend") > F.col(start)).alias("overlaps"))
 
 
-def merge_intervals(df: DataFrame, key: str, start: str, end: str) -> DataFrame:
+def _earlier_max(df: DataFrame, key: str, start: str, end: str, tie: str, chunk) -> DataFrame:
+    """Max of ``end`` over the rows before each row (by start, tie): chunked
+    running max, then the previous row's value by a chunked lag."""
+    d = df.withColumn("_o", F.struct(start, tie)).withColumn("_ch", chunk)
+    d = running_extreme(d, [key], "_o", end, "_runmax", "_ch", "max")
+    d = lag_chunked(d, [key], "_o", ["_runmax"], "_ch", "_p")
+    return d.withColumnRenamed("_p_runmax", "_maxend").drop("_o", "_ch", "_runmax")
+
+
+def merge_intervals(df: DataFrame, key: str, start: str, end: str, chunk=None) -> DataFrame:
     """SEQ-08: merge overlapping (touching counts as overlapping) intervals.
-    One pass: running max of earlier ends, a new group when the start is
-    beyond it, running count of new groups; no recursion."""
-    w = Window.partitionBy(key).orderBy(start, end).rowsBetween(Window.unboundedPreceding, -1)
-    d = df.withColumn("_maxend", F.max(end).over(w))
-    d = running_group(d, [key], [start, end], F.col("_maxend").isNull() | (F.col(start) > F.col("_maxend")))
-    return d.groupBy(key, "grp").agg(F.min(start).alias("start"), F.max(end).alias("end")).drop("grp")
+
+    Works on distinct starts per key (each with its latest end), so the
+    order is total and every step is deterministic: running max of the ends
+    of earlier starts, a new group when the start is beyond it, running
+    count of new groups; no recursion.  With ``chunk`` (an expression of the
+    start that is monotone in it, e.g. its year) every step is chunked."""
+    st = df.groupBy(key, start).agg(F.max(end).alias("_e"))
+    if chunk is None:
+        w = Window.partitionBy(key).orderBy(start).rowsBetween(Window.unboundedPreceding, -1)
+        d = st.withColumn("_maxend", F.max("_e").over(w))
+        d = running_group(d, [key], [start], F.col("_maxend").isNull() | (F.col(start) > F.col("_maxend")))
+    else:
+        d = st.withColumn("_ch", chunk)
+        d = running_extreme(d, [key], start, "_e", "_runmax", "_ch", "max")
+        d = lag_chunked(d, [key], start, ["_runmax"], "_ch", "_p").withColumnRenamed("_p_runmax", "_maxend")
+        d = running_group(d, [key], [start], F.col("_maxend").isNull() | (F.col(start) > F.col("_maxend")),
+                          chunk="_ch")
+    return d.groupBy(key, "grp").agg(F.min(start).alias("start"), F.max("_e").alias("end")).drop("grp")
 
 
 def always_rising(df: DataFrame, key, order: Sequence, val: str) -> DataFrame:
@@ -138,10 +170,16 @@ def always_rising(df: DataFrame, key, order: Sequence, val: str) -> DataFrame:
              .filter("_ok").drop("_ok"))
 
 
-def next_latency(df: DataFrame, key: str, order: Sequence, ts: str, limit_s: float) -> DataFrame:
-    """SEQ-10: seconds to the key's next event, flag when above ``limit_s``."""
-    w = Window.partitionBy(key).orderBy(*_cols(order))
-    d = df.withColumn("_next", F.lead(ts).over(w))
+def next_latency(df: DataFrame, key: str, order: Sequence, ts: str, limit_s: float, chunk=None) -> DataFrame:
+    """SEQ-10: seconds to the key's next event, flag when above ``limit_s``
+    (chunked lead when ``chunk`` is given)."""
+    if chunk is None:
+        w = Window.partitionBy(key).orderBy(*_cols(order))
+        d = df.withColumn("_next", F.lead(ts).over(w))
+    else:
+        d = df.withColumn("_o", F.struct(*_cols(order)))
+        d = lag_chunked(d, [key], "_o", [ts], chunk, "_nx_", descending=True) \
+            .withColumnRenamed(f"_nx_{ts}", "_next").drop("_o")
     lat = (F.unix_micros(F.col("_next").cast("timestamp")) - F.unix_micros(F.col(ts).cast("timestamp"))) / 1e6
     return d.withColumn("latency_s", lat).withColumn("long_gap", F.col("latency_s") > limit_s).drop("_next")
 

@@ -7,7 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tessera.operators.common import _cols, _names, attach_scalars, global_prefix_sum, prefix_sum, quantile_chunk
+from tessera.operators.common import (_cols, _names, attach_scalars, global_prefix_sum, lag_chunked, prefix_sum,
+                                      quantile_chunk)
 
 _RANKERS = {"row_number": F.row_number, "rank": F.rank, "dense_rank": F.dense_rank}
 
@@ -37,14 +38,25 @@ def nth_or_last(df: DataFrame, by, order: Sequence, n: int) -> DataFrame:
 
 
 def shift(df: DataFrame, by, order: Sequence, col: str, n: int = 1, default=None,
-          lead: bool = False, out: str | None = None) -> DataFrame:
-    """WIN-04: lag/lead with offset; ``default`` may be a Column (own value)."""
+          lead: bool = False, out: str | None = None, chunk=None) -> DataFrame:
+    """WIN-04: lag/lead with offset; ``default`` may be a Column (own value).
+    With ``chunk`` (offset 1, order given as one sortable column or struct)
+    the chunked form is used so a hot key is spread over many tasks."""
+    out = out or f"{'next' if lead else 'prev'}_{col}"
+    if chunk is not None and n == 1:
+        oc = F.struct(*_cols(order)) if len(list(order)) > 1 else _cols(order)[0]
+        d = df.withColumn("__sh_o", oc).withColumn("__sh_v", F.col(col))
+        d = lag_chunked(d, _names(by), "__sh_o", ["__sh_v"], chunk, "__sh_p", descending=lead)
+        e = F.col("__sh_p__sh_v")
+        if default is not None:
+            e = F.coalesce(e, default if isinstance(default, Column) else F.lit(default))
+        return d.withColumn(out, e).drop("__sh_o", "__sh_v", "__sh_p__sh_v")
     w = Window.partitionBy(*_cols(by)).orderBy(*_cols(order))
     fn = F.lead if lead else F.lag
     expr = fn(col, n).over(w)
     if default is not None:
         expr = F.coalesce(expr, default if isinstance(default, Column) else F.lit(default))
-    return df.withColumn(out or f"{'next' if lead else 'prev'}_{col}", expr)
+    return df.withColumn(out, expr)
 
 
 def framed(df: DataFrame, by, order: Sequence, val: str, lo, hi, agg: str = "sum",

@@ -16,7 +16,7 @@ SELECT user_id, min(dn) AS start, max(dn) AS "end", count(*) AS n FROM g GROUP B
 def seq01(spark, sf):
     e = T(spark, sf, "events").filter("event_type = 'purchase'").select(
         "user_id", F.dayofmonth("ts").cast("bigint").alias("dn"))
-    return Q.islands(e, "user_id", "dn")
+    return Q.islands(e, "user_id", "dn", chunk=F.floor(F.col("dn") / 7))
 
 
 @register("SEQ-02", "seq02_date_gap_islands", """
@@ -97,7 +97,7 @@ SELECT l_partkey, count_if(mx > s) AS overlaps FROM (
   SELECT *, max(e) OVER (PARTITION BY l_partkey ORDER BY s, id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS mx
   FROM {_IV}) GROUP BY 1""")
 def seq07(spark, sf):
-    return Q.overlap_count(_intervals(spark, sf), "l_partkey", "s", "e", "id")
+    return Q.overlap_count(_intervals(spark, sf), "l_partkey", "s", "e", "id", chunk=F.year("s"))
 
 
 @register("SEQ-08", "seq08_merge_intervals", f"""
@@ -107,7 +107,7 @@ WITH m AS (SELECT *, max(e) OVER (PARTITION BY l_partkey ORDER BY s, e ROWS BETW
                  OVER (PARTITION BY l_partkey ORDER BY s, e ROWS UNBOUNDED PRECEDING) AS grp FROM m)
 SELECT l_partkey, min(s) AS start, max(e) AS "end" FROM g GROUP BY l_partkey, grp""")
 def seq08(spark, sf):
-    return Q.merge_intervals(_intervals(spark, sf), "l_partkey", "s", "e")
+    return Q.merge_intervals(_intervals(spark, sf), "l_partkey", "s", "e", chunk=F.year("s"))
 
 
 @register("SEQ-09", "seq09_always_rising", """
@@ -124,7 +124,7 @@ SELECT event_id, round(latency_s, 3) AS latency_s, latency_s > 3600 AS long_gap
   FROM events)""")
 def seq10(spark, sf):
     e = T(spark, sf, "events")
-    d = Q.next_latency(e, "user_id", ["ts", "event_id"], "ts", 3600)
+    d = Q.next_latency(e, "user_id", ["ts", "event_id"], "ts", 3600, chunk=F.to_date("ts"))
     return d.select("event_id", F.round("latency_s", 3).alias("latency_s"), "long_gap")
 
 

@@ -47,7 +47,8 @@ SELECT event_id, coalesce(lag(value) OVER w, value) AS prev_value, lead(value, 2
 FROM events WINDOW w AS (PARTITION BY user_id ORDER BY ts, event_id)""")
 def win04(spark, sf):
     e = T(spark, sf, "events").select("event_id", "user_id", "ts", "value")
-    d = W.shift(e, "user_id", ["ts", "event_id"], "value", 1, default=F.col("value"), out="prev_value")
+    d = W.shift(e, "user_id", ["ts", "event_id"], "value", 1, default=F.col("value"), out="prev_value",
+                chunk=F.to_date("ts"))
     d = W.shift(d, "user_id", ["ts", "event_id"], "value", 2, lead=True, out="next2_value")
     return d.select("event_id", "prev_value", "next2_value")
 

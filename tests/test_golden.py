@@ -101,3 +101,24 @@ def test_near_join_buckets_no_duplicates(spark):
 def test_symmetric_dedup_and_duplicates(spark):
     df = spark.createDataFrame([("A", "B", 100, 1), ("B", "A", 100, 2), ("A", "B", 200, 3)], "a string, b string, d int, o int")
     assert sets.dedup_symmetric(df, "a", "b", ["d"], ["o"]).count() == 2
+
+
+def test_chunked_forms_equal_plain_forms(spark):
+    rows = [(1, 1, 3), (1, 1, 3), (1, 3, 5), (1, 7, 8), (1, 8, 20), (1, 21, 22), (2, 1, 2), (2, 1, 9), (2, 30, 31)]
+    df = spark.createDataFrame(rows, "k int, s int, e int")
+    plain = sorted(tuple(r) for r in sequences.merge_intervals(df, "k", "s", "e").collect())
+    chunked = sorted(tuple(r) for r in sequences.merge_intervals(df, "k", "s", "e", chunk=F.floor(F.col("s") / 4)).collect())
+    assert plain == chunked == [(1, 1, 5), (1, 7, 20), (1, 21, 22), (2, 1, 9), (2, 30, 31)]
+    ov_plain = {r.k: r.overlaps for r in sequences.overlap_count(df.withColumn("id", F.monotonically_increasing_id()),
+                                                                  "k", "s", "e", "id").collect()}
+    ov_chunk = {r.k: r.overlaps for r in sequences.overlap_count(df.withColumn("id", F.monotonically_increasing_id()),
+                                                                  "k", "s", "e", "id", chunk=F.floor(F.col("s") / 4)).collect()}
+    assert ov_plain == ov_chunk
+    vals = spark.createDataFrame([(1, v) for v in [1, 2, 3, 5, 6, 9, 10, 11, 12]], "k int, v int")
+    a = sorted(tuple(r) for r in sequences.islands(vals, "k", "v").collect())
+    b = sorted(tuple(r) for r in sequences.islands(vals, "k", "v", chunk=F.floor(F.col("v") / 4)).collect())
+    assert a == b == [(1, 1, 3, 3), (1, 5, 6, 2), (1, 9, 12, 4)]
+    ev = spark.createDataFrame([(1, i, float(i * i)) for i in range(12)], "k int, t int, v double")
+    p1 = sorted(tuple(r) for r in windows.shift(ev, "k", ["t"], "v", lead=True, out="nx").collect())
+    p2 = sorted(tuple(r) for r in windows.shift(ev, "k", ["t"], "v", lead=True, out="nx", chunk=F.floor(F.col("t") / 5)).collect())
+    assert p1 == p2
