@@ -226,10 +226,12 @@ def orphans(fact: DataFrame, dim: DataFrame, fk: str, pk: str):
 
 def salted_join(big: DataFrame, small: DataFrame, key: str, buckets: int = 16,
                 how: str = "inner") -> DataFrame:
-    """JOIN-20: big side gets a random salt 0..buckets-1; the small side is
-    replicated once per salt value, so one hot key spreads over ``buckets``
-    tasks.  (AQE skew join does the same at run time for sort-merge joins.)"""
-    b = big.withColumn("_salt", F.floor(F.rand(17) * buckets).cast("int"))
+    """JOIN-20: big side gets a salt 0..buckets-1 from a hash of the whole
+    row (deterministic, so a task retried after an executor loss salts the
+    same way); the small side is replicated once per salt value, so one hot
+    key spreads over ``buckets`` tasks.  (AQE skew join does the same at run
+    time for sort-merge joins.)"""
+    b = big.withColumn("_salt", F.pmod(F.xxhash64(*[F.col(c) for c in big.columns]), F.lit(buckets)).cast("int"))
     s = small.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(buckets - 1))))
     return b.join(s, [key, "_salt"], how).drop("_salt")
 

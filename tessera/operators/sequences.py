@@ -45,25 +45,47 @@ def islands(df: DataFrame, by, value: str, chunk=None) -> DataFrame:
                                              F.count(F.lit(1)).alias("n")).drop("_isl")
 
 
-def date_islands(df: DataFrame, by, date: str, max_gap_days: int = 1, min_rows: int = 2) -> DataFrame:
-    """SEQ-02: runs of dates with gaps <= ``max_gap_days``, >= ``min_rows`` dates."""
+def date_islands(df: DataFrame, by, date: str, max_gap_days: int = 1, min_rows: int = 2,
+                 chunk_days: int | None = None) -> DataFrame:
+    """SEQ-02: runs of dates with gaps <= ``max_gap_days``, >= ``min_rows`` dates.
+    With ``chunk_days`` the previous-date lookup and the run numbering are
+    chunked by blocks of that many days."""
     d = df.select(*_cols(by), F.to_date(date).alias("_d")).distinct()
-    w = Window.partitionBy(*_cols(by)).orderBy("_d")
-    d = d.withColumn("_gap", F.datediff("_d", F.lag("_d").over(w)))
-    d = running_group(d, by, ["_d"], F.col("_gap").isNull() | (F.col("_gap") > max_gap_days))
+    if chunk_days is None:
+        w = Window.partitionBy(*_cols(by)).orderBy("_d")
+        d = d.withColumn("_prev", F.lag("_d").over(w))
+        ch = None
+    else:
+        ch = F.floor(F.unix_date("_d") / chunk_days)
+        d = lag_chunked(d, _names(by), "_d", ["_d"], ch, "_p").withColumnRenamed("_p_d", "_prev")
+    d = d.withColumn("_gap", F.datediff("_d", "_prev"))
+    d = running_group(d, by, ["_d"], F.col("_gap").isNull() | (F.col("_gap") > max_gap_days), chunk=ch)
     return (d.groupBy(*_cols(by), "grp").agg(F.min("_d").alias("start"), F.max("_d").alias("end"),
                                              F.count(F.lit(1)).alias("n_days"))
               .filter(F.col("n_days") >= min_rows).drop("grp"))
 
 
-def runs_of(df: DataFrame, by, order: Sequence, flag: Column, k: int) -> DataFrame:
-    """SEQ-03: rows inside runs of >= k consecutive flagged rows."""
-    w = Window.partitionBy(*_cols(by)).orderBy(*_cols(order))
-    d = df.withColumn("_f", flag).withColumn("_rn", F.row_number().over(w))
-    d = d.withColumn("_rnf", F.row_number().over(Window.partitionBy(*_cols(by), "_f").orderBy(*_cols(order))))
+def runs_of(df: DataFrame, by, order: Sequence, flag: Column, k: int, chunk=None) -> DataFrame:
+    """SEQ-03: rows inside runs of >= k consecutive flagged rows.  Run id =
+    position in the key minus position among rows with the same flag; with
+    ``chunk`` both positions are chunked prefix counts and run lengths come
+    from an aggregate joined back (no window spans a key)."""
+    d = df.withColumn("_f", flag)
+    if chunk is None:
+        w = Window.partitionBy(*_cols(by)).orderBy(*_cols(order))
+        d = d.withColumn("_rn", F.row_number().over(w))
+        d = d.withColumn("_rnf", F.row_number().over(Window.partitionBy(*_cols(by), "_f").orderBy(*_cols(order))))
+        d = d.withColumn("_isl", F.col("_rn") - F.col("_rnf"))
+        d = d.withColumn("_len", F.count(F.lit(1)).over(Window.partitionBy(*_cols(by), "_f", "_isl")))
+        return d.filter(F.col("_f") & (F.col("_len") >= k)).drop("_f", "_rn", "_rnf", "_isl", "_len")
+    keys = _names(by)
+    d = d.withColumn("_one", F.lit(1)).withColumn("_ch", chunk)
+    d = prefix_sum(d, keys, order, "_one", "_rn", "_ch")
+    d = prefix_sum(d, [*keys, "_f"], order, "_one", "_rnf", "_ch")
     d = d.withColumn("_isl", F.col("_rn") - F.col("_rnf"))
-    d = d.withColumn("_len", F.count(F.lit(1)).over(Window.partitionBy(*_cols(by), "_f", "_isl")))
-    return d.filter(F.col("_f") & (F.col("_len") >= k)).drop("_f", "_rn", "_rnf", "_isl", "_len")
+    runs = (d.filter("_f").groupBy(*keys, "_isl").agg(F.count(F.lit(1)).alias("_len"))
+              .filter(F.col("_len") >= k).select(*keys, "_isl"))
+    return d.filter("_f").join(runs, [*keys, "_isl"], "left_semi").drop("_f", "_rn", "_rnf", "_isl", "_one", "_ch")
 
 
 def free_blocks(df: DataFrame, row: str, seat: str, free: Column, k: int) -> DataFrame:
@@ -75,17 +97,26 @@ def free_blocks(df: DataFrame, row: str, seat: str, free: Column, k: int) -> Dat
     return d.filter(F.col("_len") >= k).drop("_isl", "_len")
 
 
-def on_off_runs(df: DataFrame, by, ts: str, is_on: Column) -> DataFrame:
+def on_off_runs(df: DataFrame, by, ts: str, is_on: Column, chunk: Column | None = None) -> DataFrame:
     """SEQ-05: each run of 'on' rows -> login (first on), logout (first row
-    of the following 'off' run, NULL when none), count of on rows."""
-    w = Window.partitionBy(*_cols(by)).orderBy(ts)
+    of the following 'off' run, NULL when none), count of on rows.  With
+    ``chunk`` (monotone in ``ts``, e.g. the day) every step is chunked."""
     d = df.withColumn("_on", is_on)
-    d = d.withColumn("_chg", F.coalesce(F.lag("_on").over(w) != F.col("_on"), F.lit(True)))
-    d = running_group(d, by, [ts], F.col("_chg"))
+    if chunk is None:
+        w = Window.partitionBy(*_cols(by)).orderBy(ts)
+        d = d.withColumn("_prevon", F.lag("_on").over(w))
+    else:
+        d = lag_chunked(d.withColumn("_ch", chunk), _names(by), ts, ["_on"], "_ch", "_p") \
+            .withColumnRenamed("_p_on", "_prevon")
+    d = d.withColumn("_chg", F.coalesce(F.col("_prevon") != F.col("_on"), F.lit(True)))
+    d = running_group(d, by, [ts], F.col("_chg"), chunk=None if chunk is None else "_ch")
     g = d.groupBy(*_cols(by), "grp").agg(F.first("_on").alias("_on"), F.min(ts).alias("_start"),
                                          F.count(F.lit(1)).alias("on_count"))
-    wg = Window.partitionBy(*_cols(by)).orderBy("grp")
-    g = g.withColumn("logout", F.lead("_start").over(wg))
+    if chunk is None:
+        g = g.withColumn("logout", F.lead("_start").over(Window.partitionBy(*_cols(by)).orderBy("grp")))
+    else:
+        g = lag_chunked(g.withColumn("_gch", F.to_date("_start")), _names(by), "grp", ["_start"], "_gch", "_n",
+                        descending=True).withColumnRenamed("_n_start", "logout").drop("_gch")
     return g.filter("_on").select(*_cols(by), F.col("_start").alias("login"), "logout", "on_count")
 
 

@@ -28,7 +28,7 @@ SELECT user_id, CAST(min(d) AS VARCHAR) AS start, CAST(max(d) AS VARCHAR) AS "en
 FROM g GROUP BY user_id, grp HAVING count(*) >= 2""")
 def seq02(spark, sf):
     e = T(spark, sf, "events").filter("value < 20")
-    d = Q.date_islands(e, "user_id", "ts", 1, 2)
+    d = Q.date_islands(e, "user_id", "ts", 1, 2, chunk_days=7)
     return d.select("user_id", date_str("start").alias("start"), date_str("end").alias("end"), "n_days")
 
 
@@ -40,7 +40,7 @@ WITH f AS (SELECT event_id, user_id, value > 25 AS f,
 SELECT event_id FROM r WHERE f AND len >= 3""")
 def seq03(spark, sf):
     e = T(spark, sf, "events")
-    return Q.runs_of(e, "user_id", ["ts", "event_id"], F.col("value") > 25, 3).select("event_id")
+    return Q.runs_of(e, "user_id", ["ts", "event_id"], F.col("value") > 25, 3, chunk=F.to_date("ts")).select("event_id")
 
 
 @register("SEQ-04", "seq04_free_seat_blocks", """
@@ -65,7 +65,7 @@ WITH s AS (SELECT user_id, ts, event_type IN ('view', 'click') AS on_ FROM event
 SELECT user_id, start AS login, logout, on_count FROM l WHERE on_""")
 def seq05(spark, sf):
     e = T(spark, sf, "events")
-    return Q.on_off_runs(e, "user_id", "ts", F.col("event_type").isin("view", "click"))
+    return Q.on_off_runs(e, "user_id", "ts", F.col("event_type").isin("view", "click"), chunk=F.to_date("ts"))
 
 
 @register("SEQ-06", "seq06_sessionize_30min", """
