@@ -99,11 +99,17 @@ def thread_stats(df: DataFrame, conv: str, turn: str, role: str, text: str) -> D
                                F.sum(F.length(text)).alias("chars"))
 
 
-def threads(df: DataFrame, conv: str, turn: str, role: str, text: str) -> DataFrame:
-    """TXT-13: ordered turns assembled into one ``role: text`` thread."""
-    return df.groupBy(conv).agg(F.array_join(F.transform(
-        F.array_sort(F.collect_list(F.struct(turn, role, text))),
-        lambda s: F.concat(s[role], F.lit(": "), s[text])), "\n").alias("thread"))
+def threads(df: DataFrame, conv: str, turn: str, role: str, text: str, turns_per_chunk: int = 1000) -> DataFrame:
+    """TXT-13: the ordered thread of each conversation as ``role: text``
+    lines with their character offset in the assembled thread (lines are
+    joined by newlines).  Offsets are a chunked prefix sum over turns, so a
+    very long conversation is neither gathered into one row nor one task;
+    writing the lines in (conv, offset) order yields the thread text."""
+    from tessera.operators.common import prefix_sum
+    d = df.withColumn("line", F.concat(F.col(role), F.lit(": "), F.col(text))) \
+          .withColumn("_len", F.length("line") + 1)
+    d = prefix_sum(d, [conv], [F.col(turn)], "_len", "_end", F.floor(F.col(turn) / turns_per_chunk))
+    return d.select(conv, turn, "line", (F.col("_end") - F.col("_len")).alias("char_offset"))
 
 
 # ---------------------------------------------------------------- chunking

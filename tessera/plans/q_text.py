@@ -104,3 +104,13 @@ def txt13(spark, sf):
 def txt14(spark, sf):
     docs = T(spark, sf, "documents")
     return X.chunk_audit(X.chunk_recursive(docs, "doc_id", "text", 500, 50), docs, "doc_id", "text")
+
+
+@register("TXT-13", "txt13_thread_lines_with_offsets", """
+SELECT conv_id, turn, md5(role || ': ' || text) AS line_md5,
+       sum(length(role || ': ' || text) + 1) OVER (PARTITION BY conv_id ORDER BY turn ROWS UNBOUNDED PRECEDING)
+         - (length(role || ': ' || text) + 1) AS char_offset
+FROM conversations""")
+def txt13b(spark, sf):
+    t = X.threads(T(spark, sf, "conversations"), "conv_id", "turn", "role", "text")
+    return t.select("conv_id", "turn", F.md5("line").alias("line_md5"), "char_offset")

@@ -62,3 +62,14 @@ def test_html_sections_and_main_text(spark):
     assert [(r.h1, r.h2, r.text) for r in secs] == [("Top", None, "intro"), ("Top", "Sub", "body bold main words"),
                                                     ("Next", None, "tail")]
     assert main_text(df, "page_id", "html").first().main_text == "main words"
+
+
+def test_thread_lines_rebuild_the_thread(spark):
+    from tessera.operators.text import threads
+    rows = [(1, t, "user" if t % 2 == 0 else "assistant", f"msg {t}" * (t + 1)) for t in range(7)]
+    df = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
+    lines = threads(df, "conv_id", "turn", "role", "text", turns_per_chunk=3).orderBy("char_offset").collect()
+    full = "\n".join(f"{r} : {x}".replace(" : ", ": ") for _, _, r, x in rows)
+    assert "\n".join(l.line for l in lines) == full
+    assert [l.char_offset for l in lines] == [full.index(l.line) if i == 0 else sum(len(x.line) + 1 for x in lines[:i])
+                                              for i, l in enumerate(lines)]
