@@ -75,8 +75,11 @@ def checkpoint_dir(spark: SparkSession) -> str:
     if path:
         return path
     path = spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
-    if not path:  # local tests only: the cluster names a shared folder
-        path = tempfile.mkdtemp(prefix="tessera-ckpt-")
+    if not path:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder: lineage cuts and scratch "
+                               "tables must survive executor loss")
+        path = tempfile.mkdtemp(prefix="tessera-ckpt-")  # local runs and tests only
     spark.sparkContext.setCheckpointDir(path)
     return spark.sparkContext.getCheckpointDir() or path
 
