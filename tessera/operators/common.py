@@ -154,6 +154,39 @@ def global_prefix_sum(df: DataFrame, order_col: str, tie: Sequence[ColLike], val
     return d.drop("_k", "_chunk")
 
 
+def shift_many_chunked(df: DataFrame, keys: Sequence[str], order: str, value: str, k: int, chunk: ColLike,
+                       prefix: str, descending: bool = False) -> DataFrame:
+    """Values 1..k rows before each row (``descending``: after), per key, in
+    one chunked pass: native ``lag(i)`` inside (keys, chunk); a row near its
+    chunk start reads the missing values from a halo holding the last k
+    values of the previous chunks.  The halo is bounded: each chunk
+    contributes at most k values and only the k previous non-empty chunks
+    can matter.  Adds columns ``{prefix}1 .. {prefix}k``."""
+    keys = list(keys)
+    o = F.col(order).desc() if descending else F.col(order).asc()
+    d = df.withColumn("__sm_c", F.col(chunk) if isinstance(chunk, str) else chunk)
+    w = Window.partitionBy(*keys, "__sm_c").orderBy(o)
+    wr = Window.partitionBy(*keys, "__sm_c").orderBy(F.col(order).asc() if descending else F.col(order).desc())
+    d = d.withColumn("__sm_pos", F.row_number().over(w)).withColumn("__sm_back", F.row_number().over(wr))
+    for i in range(1, k + 1):
+        d = d.withColumn(f"__sm_in{i}", F.lag(value, i).over(w))
+    # last k values of every chunk (in order), at most k rows per chunk
+    tail = (d.filter(F.col("__sm_back") <= k).groupBy(*keys, "__sm_c")
+              .agg(F.transform(F.array_sort(F.collect_list(F.struct((-F.col("__sm_back")).alias("p"),
+                                                                     F.col(value).alias("v")))),
+                               lambda x: x["v"]).alias("__sm_tail")))
+    co = F.col("__sm_c").desc() if descending else F.col("__sm_c").asc()
+    wc = Window.partitionBy(*keys).orderBy(co).rowsBetween(-k, -1)
+    tail = tail.withColumn("__sm_halo", F.flatten(F.collect_list("__sm_tail").over(wc))) \
+               .select(*keys, "__sm_c", "__sm_halo")
+    d = d.join(tail, [*keys, "__sm_c"], "inner")
+    for i in range(1, k + 1):
+        need = F.lit(i) - F.col("__sm_pos") + 1  # how far back into the halo
+        from_halo = F.when(F.size("__sm_halo") >= need, F.element_at("__sm_halo", -need))
+        d = d.withColumn(f"{prefix}{i}", F.when(F.col("__sm_pos") > i, F.col(f"__sm_in{i}")).otherwise(from_halo))
+    return d.drop("__sm_c", "__sm_pos", "__sm_back", "__sm_halo", *[f"__sm_in{i}" for i in range(1, k + 1)])
+
+
 def month_index(date_col: ColLike) -> Column:
     """Year-aware month number: consecutive months differ by exactly one."""
     c = F.col(date_col) if isinstance(date_col, str) else date_col

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tessera.operators.common import (_cols, _names, attach_scalars, global_prefix_sum, lag_chunked, prefix_sum,
-                                      quantile_chunk)
+                                      quantile_chunk, running_extreme, shift_many_chunked)
 
 _RANKERS = {"row_number": F.row_number, "rank": F.rank, "dense_rank": F.dense_rank}
 
@@ -282,3 +282,78 @@ def nth_matches(ref: DataFrame, df: DataFrame, key: str, order: Sequence, n: int
             .select(key, test.alias("_ok"))
     return ref.join(nth, key, "left").withColumn(
         out, F.when(F.coalesce("_ok", F.lit(False)), "Yes").otherwise("No")).drop("_ok")
+
+
+# ---------------------------------------------------------------- chunked frames
+
+def _order_col(order: Sequence) -> Column:
+    cols = _cols(order)
+    return F.struct(*cols) if len(cols) > 1 else cols[0]
+
+
+def framed_chunked(df: DataFrame, by, order: Sequence, val: str, lo: int, hi: int, agg: str, out: str,
+                   chunk, max_span: int = 64) -> DataFrame:
+    """ROWS frame ``lo .. hi`` (bounded, lo <= 0 <= hi) without a per-key
+    window: the values before and after each row come from one chunked
+    multi-lag pass each (``shift_many_chunked``), then the frame is
+    aggregated as an array."""
+    if -lo + hi > max_span:
+        raise ValueError("frame too wide for the chunked form")
+    keys = _names(by)
+    d = df.withColumn("__fo", _order_col(order)).withColumn("__fc", chunk)
+    if lo < 0:
+        d = shift_many_chunked(d, keys, "__fo", val, -lo, "__fc", "__fb")
+    if hi > 0:
+        d = shift_many_chunked(d, keys, "__fo", val, hi, "__fc", "__fa", descending=True)
+    names = [f"__fb{i}" for i in range(-lo, 0, -1)] + [val] + [f"__fa{i}" for i in range(1, hi + 1)]
+    arr = F.filter(F.array(*[F.col(n).cast("double") for n in names]), lambda x: x.isNotNull())
+    if agg == "sum":
+        e = F.aggregate(arr, F.lit(0.0), lambda a, x: a + x)
+    elif agg == "avg":
+        e = F.aggregate(arr, F.lit(0.0), lambda a, x: a + x) / F.size(arr)
+    elif agg == "max":
+        e = F.array_max(arr)
+    elif agg == "min":
+        e = F.array_min(arr)
+    elif agg == "count":
+        e = F.size(arr).cast("bigint")
+    else:
+        raise ValueError(agg)
+    return d.withColumn(out, e).drop("__fo", "__fc", *[n for n in names if n != val])
+
+
+def max_before_chunked(df: DataFrame, by, order: Sequence, val: str, out: str, chunk) -> DataFrame:
+    """WIN-12 chunked: running max excluding the current row = the previous
+    row's inclusive running max (chunked running max, then chunked lag)."""
+    keys = _names(by)
+    d = df.withColumn("__fo", _order_col(order)).withColumn("__fc", chunk)
+    d = running_extreme(d, keys, "__fo", val, "__rmax", "__fc", "max")
+    d = lag_chunked(d, keys, "__fo", ["__rmax"], "__fc", "__p")
+    return d.withColumnRenamed("__p__rmax", out).drop("__fo", "__fc", "__rmax")
+
+
+def best_spread_chunked(df: DataFrame, by, order: Sequence, val: str, chunk, out: str = "best_spread") -> DataFrame:
+    """WIN-20 chunked: value minus the chunked running minimum, max per key."""
+    keys = _names(by)
+    d = df.withColumn("__fo", _order_col(order)).withColumn("__fc", chunk)
+    d = running_extreme(d, keys, "__fo", val, "__rmin", "__fc", "min")
+    return d.groupBy(*keys).agg(F.max(F.col(val) - F.col("__rmin")).alias(out))
+
+
+def reverse_running_chunked(df: DataFrame, by, order: Sequence, val: str, out: str, chunk) -> DataFrame:
+    """WIN-10 chunked: current .. unbounded following = group total - running
+    total before the row (a chunked prefix sum and a grouped total)."""
+    keys = _names(by)
+    d = prefix_sum(df.withColumn("__fc", chunk), keys, order, val, "__run", "__fc")
+    tot = df.groupBy(*keys).agg(F.sum(val).alias("__tot"))
+    return d.join(tot, keys).withColumn(out, F.col("__tot") - F.col("__run") + F.col(val)) \
+            .drop("__fc", "__run", "__tot")
+
+
+def range_running_chunked(df: DataFrame, by, order_col: str, val: str, out: str, chunk) -> DataFrame:
+    """WIN-09 chunked: RANGE unbounded .. current (peers share the total) =
+    chunked prefix sum over the per-(key, order value) sums, joined back."""
+    keys = _names(by)
+    per = df.groupBy(*keys, order_col).agg(F.sum(val).alias("__s"))
+    per = prefix_sum(per.withColumn("__fc", chunk), keys, [F.col(order_col)], "__s", out, "__fc").drop("__fc", "__s")
+    return df.join(per, [*keys, order_col])

@@ -69,8 +69,8 @@ SELECT event_id, round(avg(value) OVER (PARTITION BY user_id ORDER BY ts, event_
        ROWS BETWEEN 2 PRECEDING AND CURRENT ROW), 4) AS avg3 FROM events""")
 def win06(spark, sf):
     e = T(spark, sf, "events")
-    return W.trailing(e, "user_id", ["ts", "event_id"], "value", 2, "avg", "avg3") \
-            .select("event_id", F.round("avg3", 4).alias("avg3"))
+    d = W.framed_chunked(e, "user_id", ["ts", "event_id"], "value", -2, 0, "avg", "avg3", F.to_date("ts"))
+    return d.select("event_id", F.round("avg3", 4).alias("avg3"))
 
 
 @register("WIN-07", "win07_centred_window", """
@@ -78,8 +78,8 @@ SELECT event_id, round(sum(value) OVER (PARTITION BY user_id ORDER BY ts, event_
        ROWS BETWEEN 1 PRECEDING AND 1 FOLLOWING), 4) AS sum3 FROM events""")
 def win07(spark, sf):
     e = T(spark, sf, "events")
-    return W.centred(e, "user_id", ["ts", "event_id"], "value", 1, 1, "sum", "sum3") \
-            .select("event_id", F.round("sum3", 4).alias("sum3"))
+    d = W.framed_chunked(e, "user_id", ["ts", "event_id"], "value", -1, 1, "sum", "sum3", F.to_date("ts"))
+    return d.select("event_id", F.round("sum3", 4).alias("sum3"))
 
 
 @register("WIN-08", "win08_partition_total", """
@@ -96,7 +96,8 @@ SELECT l_orderkey, l_linenumber, sum(l_quantity) OVER (PARTITION BY l_partkey OR
        RANGE BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS running FROM lineitem""")
 def win09(spark, sf):
     li = T(spark, sf, "lineitem")
-    return W.range_running(li, "l_partkey", "l_shipdate", "l_quantity").select("l_orderkey", "l_linenumber", "running")
+    return W.range_running_chunked(li, "l_partkey", "l_shipdate", "l_quantity", "running", F.year("l_shipdate")) \
+            .select("l_orderkey", "l_linenumber", "running")
 
 
 @register("WIN-10", "win10_reverse_running", """
@@ -104,8 +105,9 @@ SELECT l_orderkey, l_linenumber, l_partkey, sum(l_quantity) OVER (PARTITION BY l
        ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS remaining FROM lineitem""")
 def win10(spark, sf):
     li = T(spark, sf, "lineitem")
-    return W.reverse_running(li, "l_orderkey", ["l_linenumber", "l_partkey", "l_suppkey", "l_quantity"],
-                             "l_quantity").select("l_orderkey", "l_linenumber", "l_partkey", "remaining")
+    return W.reverse_running_chunked(li, "l_orderkey", ["l_linenumber", "l_partkey", "l_suppkey", "l_quantity"],
+                                     "l_quantity", "remaining", F.col("l_linenumber")) \
+            .select("l_orderkey", "l_linenumber", "l_partkey", "remaining")
 
 
 @register("WIN-11", "win11_look_ahead", """
@@ -114,8 +116,8 @@ SELECT event_id, max(value) OVER (PARTITION BY user_id ORDER BY ts, event_id ROW
 FROM events""")
 def win11(spark, sf):
     e = T(spark, sf, "events")
-    d = W.look_ahead(e, "user_id", ["ts", "event_id"], "value", 3, "max", "max_next")
-    d = W.look_ahead(d, "user_id", ["ts", "event_id"], "event_id", 3, "count", "n_next")
+    d = W.framed_chunked(e, "user_id", ["ts", "event_id"], "value", 0, 3, "max", "max_next", F.to_date("ts"))
+    d = W.framed_chunked(d, "user_id", ["ts", "event_id"], "event_id", 0, 3, "count", "n_next", F.to_date("ts"))
     return d.select("event_id", "max_next", "n_next")
 
 
@@ -124,7 +126,8 @@ SELECT event_id, max(value) OVER (PARTITION BY user_id ORDER BY ts, event_id
        ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS max_before FROM events""")
 def win12(spark, sf):
     e = T(spark, sf, "events")
-    return W.max_before(e, "user_id", ["ts", "event_id"], "value", "max_before").select("event_id", "max_before")
+    return W.max_before_chunked(e, "user_id", ["ts", "event_id"], "value", "max_before", F.to_date("ts")) \
+            .select("event_id", "max_before")
 
 
 @register("WIN-13", "win13_first_last_value", """
@@ -207,7 +210,8 @@ SELECT user_id, round(max(gain), 4) AS best_spread FROM (
   FROM events) GROUP BY user_id""")
 def win20(spark, sf):
     e = T(spark, sf, "events")
-    return W.best_spread(e, "user_id", ["ts", "event_id"], "value").withColumn("best_spread", F.round("best_spread", 4))
+    return W.best_spread_chunked(e, "user_id", ["ts", "event_id"], "value", F.to_date("ts")) \
+            .withColumn("best_spread", F.round("best_spread", 4))
 
 
 @register("WIN-21", "win21_repeat_within_k", """

@@ -122,3 +122,17 @@ def test_chunked_forms_equal_plain_forms(spark):
     p1 = sorted(tuple(r) for r in windows.shift(ev, "k", ["t"], "v", lead=True, out="nx").collect())
     p2 = sorted(tuple(r) for r in windows.shift(ev, "k", ["t"], "v", lead=True, out="nx", chunk=F.floor(F.col("t") / 5)).collect())
     assert p1 == p2
+
+
+def test_chunked_frames_equal_plain_frames_with_tiny_chunks(spark):
+    import random
+    rnd = random.Random(5)
+    rows = [(k, t, float(rnd.randint(-9, 9))) for k in (1, 2) for t in sorted(rnd.sample(range(200), 40))]
+    df = spark.createDataFrame(rows, "k int, t int, v double")
+    chunk = F.floor(F.col("t") / 7)  # many chunks with 0-3 rows: halo spans several chunks
+    for lo, hi, agg in [(-3, 0, "sum"), (-1, 1, "avg"), (0, 3, "max"), (-2, 2, "min"), (0, 4, "count")]:
+        plain = windows.framed(df, "k", ["t"], "v", lo, hi, agg, "x").select("k", "t", "x")
+        chunked = windows.framed_chunked(df, "k", ["t"], "v", lo, hi, agg, "x", chunk).select("k", "t", "x")
+        a = sorted((r.k, r.t, None if r.x is None else round(float(r.x), 9)) for r in plain.collect())
+        b = sorted((r.k, r.t, None if r.x is None else round(float(r.x), 9)) for r in chunked.collect())
+        assert a == b, (lo, hi, agg)
