@@ -72,7 +72,13 @@ def kfold(df: DataFrame, order: str, k: int, tie: str | None = None, out: str =
     return d.withColumn(out, F.expr(f"(_pos - 1) * {k} div _cnt").cast("int")).drop("_qc", "_one", "_k", "_pos", "_cnt")
 
 
-def holdout(df: DataFrame, user: str, order, lo: int, hi: int, out: str = "is_test") -> DataFrame:
-    """SMP-05: rows lo..hi (1-based, by order) of every user are test rows."""
-    w = Window.partitionBy(user).orderBy(*_cols(order))
-    return df.withColumn("_rn", F.row_number().over(w)).withColumn(out, F.col("_rn").between(lo, hi)).drop("_rn")
+def holdout(df: DataFrame, user: str, order, lo: int, hi: int, out: str = "is_test", chunk=None) -> DataFrame:
+    """SMP-05: rows lo..hi (1-based, by order) of every user are test rows
+    (position is a chunked prefix count when ``chunk`` is given)."""
+    if chunk is None:
+        w = Window.partitionBy(user).orderBy(*_cols(order))
+        d = df.withColumn("_rn", F.row_number().over(w))
+    else:
+        d = prefix_sum(df.withColumn("_one", F.lit(1)).withColumn("_ch", chunk), [user], order, "_one", "_rn", "_ch") \
+            .drop("_one", "_ch")
+    return d.withColumn(out, F.col("_rn").between(lo, hi)).drop("_rn")

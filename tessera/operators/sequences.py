@@ -192,10 +192,16 @@ def merge_intervals(df: DataFrame, key: str, start: str, end: str, chunk=None) -
     return d.groupBy(key, "grp").agg(F.min(start).alias("start"), F.max("_e").alias("end")).drop("grp")
 
 
-def always_rising(df: DataFrame, key, order: Sequence, val: str) -> DataFrame:
-    """SEQ-09: keys whose value strictly rises at every step (last row neutral)."""
-    w = Window.partitionBy(*_cols(key)).orderBy(*_cols(order))
-    d = df.withColumn("_next", F.lead(val).over(w))
+def always_rising(df: DataFrame, key, order: Sequence, val: str, chunk=None) -> DataFrame:
+    """SEQ-09: keys whose value strictly rises at every step (last row
+    neutral); the next value is a chunked lead when ``chunk`` is given."""
+    if chunk is None:
+        w = Window.partitionBy(*_cols(key)).orderBy(*_cols(order))
+        d = df.withColumn("_next", F.lead(val).over(w))
+    else:
+        d = df.withColumn("_o", F.struct(*_cols(order)))
+        d = lag_chunked(d, _names(key), "_o", [val], chunk, "_nx_", descending=True) \
+            .withColumnRenamed(f"_nx_{val}", "_next").drop("_o")
     return (d.groupBy(*_cols(key))
              .agg(F.bool_and(F.col("_next").isNull() | (F.col("_next") > F.col(val))).alias("_ok"))
              .filter("_ok").drop("_ok"))

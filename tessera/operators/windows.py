@@ -29,12 +29,14 @@ def top_n_per(df: DataFrame, by, order: Sequence, n: int, kind: str = "row_numbe
 
 
 def nth_or_last(df: DataFrame, by, order: Sequence, n: int) -> DataFrame:
-    """WIN-03: the n-th row per group, or the last one when the group is shorter."""
-    w = Window.partitionBy(*_cols(by)).orderBy(*_cols(order))
-    d = (df.withColumn("_rn", F.row_number().over(w))
-           .withColumn("_cnt", F.count(F.lit(1)).over(Window.partitionBy(*_cols(by)))))
-    return d.filter((F.col("_rn") == n) | ((F.col("_cnt") < n) & (F.col("_rn") == F.col("_cnt")))) \
-            .drop("_rn", "_cnt")
+    """WIN-03: the n-th row per group, or the last one when the group is
+    shorter.  Only the first n rows per group are ranked (a rank filter, so
+    Spark keeps n rows per group and task before the shuffle); group sizes
+    come from an aggregate joined back."""
+    keys = _names(by)
+    top = top_n_per(df, by, order, n, "row_number", "_rn")
+    cnt = df.groupBy(*_cols(by)).agg(F.count(F.lit(1)).alias("_cnt"))
+    return top.join(cnt, keys).filter(F.col("_rn") == F.least(F.lit(n), F.col("_cnt"))).drop("_rn", "_cnt")
 
 
 def shift(df: DataFrame, by, order: Sequence, col: str, n: int = 1, default=None,
@@ -86,8 +88,12 @@ def centred(df, by, order, val, before=1, after=1, agg="avg", out=None):
 
 
 def group_total(df, by, val, agg="sum", out=None):
-    """WIN-08: whole-partition aggregate (no order, no frame)."""
-    return df.withColumn(out or f"{agg}_{val}", getattr(F, agg)(val).over(Window.partitionBy(*_cols(by))))
+    """WIN-08: whole-partition aggregate: a grouped aggregate (map-side
+    combined) joined back on the key; AQE can split a hot key in that join,
+    which it cannot do for a window."""
+    out = out or f"{agg}_{val}"
+    g = df.groupBy(*_cols(by)).agg(getattr(F, agg)(val).alias(out))
+    return df.join(g, _names(by))
 
 
 def range_running(df, by, order_col: str, val, out="running"):
@@ -140,10 +146,13 @@ def pareto(df: DataFrame, item: str, val: str, share: float = 0.8, out_running="
              .drop("_k", "_qs", "_grand"))
 
 
-def every_nth(df, by, order, n):
-    """WIN-16: each n-th row per group."""
-    w = Window.partitionBy(*_cols(by)).orderBy(*_cols(order))
-    return df.withColumn("_rn", F.row_number().over(w)).filter(F.col("_rn") % n == 0).drop("_rn")
+def every_nth(df, by, order, n, chunk=None):
+    """WIN-16: each n-th row per group (chunked position when ``chunk``)."""
+    if chunk is None:
+        w = Window.partitionBy(*_cols(by)).orderBy(*_cols(order))
+        return df.withColumn("_rn", F.row_number().over(w)).filter(F.col("_rn") % n == 0).drop("_rn")
+    d = prefix_sum(df.withColumn("_one", F.lit(1)).withColumn("_ch", chunk), _names(by), order, "_one", "_rn", "_ch")
+    return d.filter(F.col("_rn") % n == 0).drop("_rn", "_one", "_ch")
 
 
 def form_teams(df: DataFrame, by: str, order: Sequence, size: int) -> DataFrame:
@@ -165,11 +174,12 @@ def form_teams(df: DataFrame, by: str, order: Sequence, size: int) -> DataFrame:
 
 
 def nth_else_only(df, by, order, n=2):
-    """WIN-18: the n-th row, or the only row of one-row groups."""
-    w = Window.partitionBy(*_cols(by)).orderBy(*_cols(order))
-    d = (df.withColumn("_rn", F.row_number().over(w))
-           .withColumn("_cnt", F.count(F.lit(1)).over(Window.partitionBy(*_cols(by)))))
-    return d.filter((F.col("_rn") == n) | (F.col("_cnt") == 1)).drop("_rn", "_cnt")
+    """WIN-18: the n-th row, or the only row of one-row groups (rank filter
+    on the first n rows plus group counts from an aggregate)."""
+    keys = _names(by)
+    top = top_n_per(df, by, order, n, "row_number", "_rn")
+    cnt = df.groupBy(*_cols(by)).agg(F.count(F.lit(1)).alias("_cnt"))
+    return top.join(cnt, keys).filter((F.col("_rn") == n) | (F.col("_cnt") == 1)).drop("_rn", "_cnt")
 
 
 def best_spread(df, by, order, val, out="best_spread"):
@@ -180,14 +190,17 @@ def best_spread(df, by, order, val, out="best_spread"):
     return d.groupBy(*_cols(by)).agg(F.max("_gain").alias(out))
 
 
-def repeat_within(df, key_cols, order_col: str, val: str, k: int):
-    """WIN-21: rows whose value appeared at most ``k`` positions earlier.
-
-    Positions are the ranks of ``order_col`` (dense, global); partitioning by
-    the value keeps the lag local to one value's rows."""
-    w = Window.partitionBy(val).orderBy(order_col)
-    return df.withColumn("_prev", F.lag(order_col).over(w)) \
-            .filter(F.col(order_col) - F.col("_prev") <= k).drop("_prev")
+def repeat_within(df, key_cols, order_col: str, val: str, k: int, chunk=None):
+    """WIN-21: rows whose value appeared at most ``k`` positions earlier
+    (positions = ``order_col``).  Partitioned by the value; with ``chunk``
+    the previous occurrence is a chunked lag, so a frequent value is not one
+    task."""
+    if chunk is None:
+        w = Window.partitionBy(val).orderBy(order_col)
+        d = df.withColumn("_prev", F.lag(order_col).over(w))
+    else:
+        d = lag_chunked(df, [val], order_col, [order_col], chunk, "_p").withColumnRenamed(f"_p{order_col}", "_prev")
+    return d.filter(F.col(order_col) - F.col("_prev") <= k).drop("_prev")
 
 
 def product_except_self(df, by, val, out="product_except_self"):

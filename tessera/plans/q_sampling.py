@@ -42,4 +42,5 @@ def smp05(spark, sf):
 @register("SMP-05", "smp05_per_user_holdout", """
 SELECT event_id, rn BETWEEN 11 AND 20 AS is_test FROM (SELECT event_id, row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) AS rn FROM events)""")
 def smp05b(spark, sf):
-    return S.holdout(T(spark, sf, "events"), "user_id", ["ts", "event_id"], 11, 20).select("event_id", "is_test")
+    return S.holdout(T(spark, sf, "events"), "user_id", ["ts", "event_id"], 11, 20, chunk=F.to_date("ts")) \
+            .select("event_id", "is_test")

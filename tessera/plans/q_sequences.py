@@ -115,7 +115,8 @@ SELECT o_custkey FROM (SELECT o_custkey, o_totalprice,
   lead(o_totalprice) OVER (PARTITION BY o_custkey ORDER BY o_orderdate, o_orderkey) AS nxt FROM orders)
 GROUP BY 1 HAVING bool_and(nxt IS NULL OR nxt > o_totalprice)""")
 def seq09(spark, sf):
-    return Q.always_rising(T(spark, sf, "orders"), "o_custkey", ["o_orderdate", "o_orderkey"], "o_totalprice")
+    return Q.always_rising(T(spark, sf, "orders"), "o_custkey", ["o_orderdate", "o_orderkey"], "o_totalprice",
+                           chunk=F.year("o_orderdate"))
 
 
 @register("SEQ-10", "seq10_next_event_latency", """

@@ -168,7 +168,7 @@ SELECT o_orderkey FROM (SELECT o_orderkey, row_number() OVER (PARTITION BY o_cus
 FROM orders) WHERE rn % 3 = 0""")
 def win16(spark, sf):
     o = T(spark, sf, "orders")
-    return W.every_nth(o, "o_custkey", ["o_orderdate", "o_orderkey"], 3).select("o_orderkey")
+    return W.every_nth(o, "o_custkey", ["o_orderdate", "o_orderkey"], 3, chunk=F.year("o_orderdate")).select("o_orderkey")
 
 
 @register("WIN-17", "win17_fixed_size_teams", """
@@ -219,7 +219,8 @@ SELECT event_id, user_id FROM (SELECT event_id, user_id, lag(event_id) OVER (PAR
 WHERE event_id - prev <= 5""")
 def win21(spark, sf):
     e = T(spark, sf, "events").select("event_id", "user_id")
-    return W.repeat_within(e, None, "event_id", "user_id", 5).select("event_id", "user_id")
+    return W.repeat_within(e, None, "event_id", "user_id", 5, chunk=F.floor(F.col("event_id") / 1000)) \
+            .select("event_id", "user_id")
 
 
 @register("WIN-22", "win22_product_except_self", """
