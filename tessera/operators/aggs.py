@@ -253,12 +253,13 @@ def missing_members(df, key, member, domain=None, max_domain: int = 10_000):
 
 
 def payout(df, pool: str, won: str, stake: str, out="payout"):
-    """AGG-28: losers' pot shared among winners in proportion to stake."""
-    w = Window.partitionBy(pool)
-    d = (df.withColumn("_win", F.sum(F.when(F.col(won), F.col(stake))).over(w))
-           .withColumn("_lose", F.sum(F.when(~F.col(won), F.col(stake))).over(w)))
-    return d.filter(F.col(won)).withColumn(
-        out, F.col(stake) + F.coalesce("_lose", F.lit(0.0)) * F.col(stake) / F.col("_win")).drop("_win", "_lose")
+    """AGG-28: losers' pot shared among winners in proportion to stake
+    (pool sums from one aggregate joined back, not a window per pool)."""
+    sums = df.groupBy(pool).agg(F.sum(F.when(F.col(won), F.col(stake))).alias("_win"),
+                                F.sum(F.when(~F.col(won), F.col(stake))).alias("_lose"))
+    d = df.filter(F.col(won)).join(sums, pool)
+    return d.withColumn(out, F.col(stake) + F.coalesce("_lose", F.lit(0.0)) * F.col(stake) / F.col("_win")) \
+            .drop("_win", "_lose")
 
 
 def loyalty(df, customer, amount, out="loyalty"):

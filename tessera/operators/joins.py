@@ -177,30 +177,45 @@ def near_join(a: DataFrame, b: DataFrame, key: str, ts_a: str, ts_b: str,
 
 
 def as_of(facts: DataFrame, states: DataFrame, key: str, ts: str, eff_ts: str,
-          cols: Sequence[str], tie: str | None = None) -> DataFrame:
+          cols: Sequence[str], tie: str | None = None, chunk_days: int | None = None) -> DataFrame:
     """JOIN-14: each fact gets the state row with the latest ``eff_ts <= ts``.
 
     Union both sides with a side flag, sort per key by time (states before
-    facts at equal times), carry the last state forward with
-    ``last(ignorenulls)``; no range join, no pairs."""
+    facts at equal times, equal-time states by ``tie``), carry the last state
+    forward (``last(ignorenulls)``); no range join, no pairs.  With
+    ``chunk_days`` the carry is the chunked fill-down, so one key with a third
+    of the rows is spread over many tasks."""
+    from tessera.operators.sequences import fill_down
     f = facts.withColumn("_side", F.lit(1)).withColumn("_t", F.col(ts))
     s = states.select(F.col(key), F.col(eff_ts).alias("_t"),
                       (F.col(tie) if tie else F.lit(0)).alias("_tie"),
                       *[F.col(c).alias(f"_s_{c}") for c in cols]).withColumn("_side", F.lit(0))
     u = f.withColumn("_tie", F.lit(None).cast(s.schema["_tie"].dataType)).unionByName(s, allowMissingColumns=True)
-    # states sort before facts at equal times; equal-time states by ``tie``
-    w = (Window.partitionBy(key).orderBy("_t", "_side", "_tie")
-         .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    for c in cols:
-        u = u.withColumn(c, F.last(f"_s_{c}", ignorenulls=True).over(w))
+    if chunk_days is None:
+        w = (Window.partitionBy(key).orderBy("_t", "_side", "_tie")
+             .rowsBetween(Window.unboundedPreceding, Window.currentRow))
+        for c in cols:
+            u = u.withColumn(c, F.last(f"_s_{c}", ignorenulls=True).over(w))
+    else:
+        u = u.withColumn("_ord", F.struct("_t", "_side", "_tie")) \
+             .withColumn("_ch", F.floor(F.unix_date(F.to_date("_t")) / chunk_days))
+        for c in cols:
+            u = fill_down(u, "_ord", f"_s_{c}", by=[key], chunk="_ch", out=c)
+        u = u.drop("_ord", "_ch")
     return u.filter(F.col("_side") == 1).drop("_side", "_t", "_tie", *[f"_s_{c}" for c in cols])
 
 
-def pair_by_rank(a: DataFrame, b: DataFrame, key: str, order_a: str, order_b: str) -> DataFrame:
-    """JOIN-15: the k-th row of ``a`` with the k-th row of ``b`` per key."""
-    ra = a.withColumn("_k", F.row_number().over(Window.partitionBy(key).orderBy(order_a)))
-    rb = b.withColumn("_k", F.row_number().over(Window.partitionBy(key).orderBy(order_b)))
-    return ra.join(rb, [key, "_k"])
+def pair_by_rank(a: DataFrame, b: DataFrame, key: str, order_a: str, order_b: str,
+                 chunk_a=None, chunk_b=None) -> DataFrame:
+    """JOIN-15: the k-th row of ``a`` with the k-th row of ``b`` per key.
+    With chunk expressions the positions are chunked prefix counts."""
+    def pos(d, order, chunk):
+        if chunk is None:
+            return d.withColumn("_k", F.row_number().over(Window.partitionBy(key).orderBy(order)))
+        from tessera.operators.common import prefix_sum
+        return prefix_sum(d.withColumn("_one", F.lit(1)).withColumn("_ch", chunk), [key], [F.col(order)],
+                          "_one", "_k", "_ch").drop("_one", "_ch")
+    return pos(a, order_a, chunk_a).join(pos(b, order_b, chunk_b), [key, "_k"])
 
 
 def join_on_expr(a: DataFrame, b: DataFrame, key_expr: Column, b_key: str, how="inner"):

@@ -396,8 +396,10 @@ def fill_down(df: DataFrame, order: str, col: str, by=None, chunk: Column | str
     w = (Window.partitionBy(*keys, "_chunk").orderBy(order)
          .rowsBetween(Window.unboundedPreceding, Window.currentRow))
     d = d.withColumn("_in", F.last(col, ignorenulls=True).over(w))
-    last = (d.filter(F.col(col).isNotNull()).groupBy(*keys, "_chunk")
-              .agg(F.max_by(col, order).alias("_lastv")))
+    # one row per chunk (also chunks without any non-null value): the last
+    # non-null value of the chunk, carried forward across chunks
+    last = d.groupBy(*keys, "_chunk").agg(
+        F.max_by(col, F.when(F.col(col).isNotNull(), F.col(order))).alias("_lastv"))
     wc = Window.partitionBy(*keys).orderBy("_chunk").rowsBetween(Window.unboundedPreceding, -1)
     carry = last.withColumn("_carry", F.last("_lastv", ignorenulls=True).over(wc)).select(*keys, "_chunk", "_carry")
     return (d.join(carry, [*keys, "_chunk"], "left")
@@ -484,9 +486,11 @@ def pair_adjacent(df: DataFrame, id_col: str, who: str) -> DataFrame:
 
 def team_eligibility(df: DataFrame, team: str, member: str, c1: Column, c2: Column, min_members: int):
     """SEQ-34: members meeting both criteria; the team qualifies with at
-    least ``min_members`` of them (NULL team keys kept as their own group)."""
+    least ``min_members`` of them (NULL team keys kept as their own group).
+    Team counts come from one aggregate joined back null-safely."""
     ok = c1 & c2
-    w = Window.partitionBy(team)
-    return (df.withColumn("qualified_members", F.count_if(ok).over(w))
-              .withColumn("team_qualifies", F.col("qualified_members") >= min_members)
-              .select(team, member, ok.alias("member_ok"), "qualified_members", "team_qualifies"))
+    d = df.withColumn("member_ok", ok)
+    cnt = d.groupBy(team).agg(F.count_if("member_ok").alias("qualified_members"))
+    j = d.join(cnt.withColumnRenamed(team, "_t"), d[team].eqNullSafe(F.col("_t"))).drop("_t")
+    return j.withColumn("team_qualifies", F.col("qualified_members") >= min_members) \
+            .select(team, member, "member_ok", "qualified_members", "team_qualifies")

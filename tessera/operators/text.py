@@ -81,10 +81,12 @@ def token_stats(df: DataFrame, by: Sequence[str], text: str, limit: int) -> Data
 def trim_history(df: DataFrame, conv: str, turn: str, role: str, text: str, budget: int) -> DataFrame:
     """TXT-12: newest turns whose running token total fits ``budget``; the
     kept window must start on a user turn; system turns are always kept."""
+    from tessera.operators.common import prefix_sum
     d = df.withColumn("_tok", token_count(F.col(text)))
     body = d.filter(F.col(role) != "system")
-    w = Window.partitionBy(conv).orderBy(F.col(turn).desc()).rowsBetween(Window.unboundedPreceding, 0)
-    body = body.withColumn("_run", F.sum("_tok").over(w)).filter(F.col("_run") <= budget)
+    # newest first: running tokens by descending turn, chunked by turn blocks
+    body = prefix_sum(body.withColumn("_neg", -F.col(turn)), [conv], [F.col("_neg")], "_tok", "_run",
+                      F.floor(F.col("_neg") / 1000)).drop("_neg").filter(F.col("_run") <= budget)
     first_user = body.filter(F.col(role) == "user").groupBy(conv).agg(F.min(turn).alias("_fu"))
     body = body.join(first_user, conv).filter(F.col(turn) >= F.col("_fu")).drop("_fu", "_run")
     return body.unionByName(d.filter(F.col(role) == "system")).drop("_tok")

@@ -218,9 +218,10 @@ def snapshot_fact(rows: DataFrame, key: str, date: str, val: str, out: str = "ba
     rng = daily.agg(F.min("day").alias("_a"), F.max("day").alias("_b"))
     cal = rng.select(F.explode(F.sequence("_a", "_b", F.expr("INTERVAL 1 DAY"))).alias("day"))
     grid = cross(daily.select(key).distinct(), cal, max_rows=1_000_000)  # calendar: bounded by the span
-    g = grid.join(daily, [key, "day"], "left")
-    w = Window.partitionBy(key).orderBy("day").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    return g.withColumn(out, F.sum(F.coalesce("_v", F.lit(0.0))).over(w)).drop("_v")
+    g = grid.join(daily, [key, "day"], "left").withColumn("_v", F.coalesce("_v", F.lit(0.0)))
+    # running balance per key over the calendar, chunked by month
+    from tessera.operators.common import prefix_sum
+    return prefix_sum(g, [key], [F.col("day")], "_v", out, F.trunc("day", "month")).drop("_v")
 
 
 def accumulating_fact(rows: DataFrame, key: str, ts: str, kind: str, milestones: Sequence[str]) -> DataFrame:

@@ -210,7 +210,7 @@ def join14(spark, sf):
     states = e.filter("event_type = 'signup'").select("user_id", F.col("ts").alias("eff_ts"),
                                                       F.col("event_id").alias("_tie"),
                                                       F.col("value").alias("state_value"))
-    return J.as_of(facts, states, "user_id", "ts", "eff_ts", ["state_value"], tie="_tie") \
+    return J.as_of(facts, states, "user_id", "ts", "eff_ts", ["state_value"], tie="_tie", chunk_days=3) \
             .select("event_id", "user_id", "state_value")
 
 
@@ -226,7 +226,7 @@ def join15(spark, sf):
                                                  F.struct("ts", "event_id").alias("oa"))
     b = e.filter("event_type = 'purchase'").select("user_id", F.col("event_id").alias("purchase_id"),
                                                    F.struct("ts", "event_id").alias("ob"))
-    return J.pair_by_rank(a, b, "user_id", "oa", "ob").select(
+    return J.pair_by_rank(a, b, "user_id", "oa", "ob", F.to_date("oa.ts"), F.to_date("ob.ts")).select(
         "user_id", F.col("_k").cast("bigint").alias("k"), "signup_id", "purchase_id")
 
 

@@ -136,3 +136,12 @@ def test_chunked_frames_equal_plain_frames_with_tiny_chunks(spark):
         a = sorted((r.k, r.t, None if r.x is None else round(float(r.x), 9)) for r in plain.collect())
         b = sorted((r.k, r.t, None if r.x is None else round(float(r.x), 9)) for r in chunked.collect())
         assert a == b, (lo, hi, agg)
+
+
+def test_chunked_fill_down_crosses_empty_chunks(spark):
+    rows = [(1, 1, "a"), (1, 2, None), (1, 9, None), (1, 20, None), (1, 21, "b"), (1, 30, None), (2, 5, None)]
+    df = spark.createDataFrame(rows, "k int, t int, c string")
+    plain = sorted(tuple(r) for r in sequences.fill_down(df, "t", "c", by=["k"]).collect())
+    chunked = sorted(tuple(r) for r in sequences.fill_down(df, "t", "c", by=["k"], chunk=F.floor(F.col("t") / 5)).collect())
+    assert plain == chunked
+    assert [r[2] for r in chunked if r[0] == 1] == ["a", "a", "a", "a", "b", "b"]
