@@ -87,17 +87,19 @@ def prefix_sum(df: DataFrame, keys: Sequence[str], order: Sequence[ColLike],
 
 
 def running_extreme(df: DataFrame, keys: Sequence[str], order: str, value: str, out: str, chunk: ColLike,
-                    fn: str = "min", descending: bool = False) -> DataFrame:
+                    fn: str = "min", descending: bool = False, exclusive: bool = False) -> DataFrame:
     """Running min/max of ``value`` per ``keys`` along ``order`` (a single
     column), chunked like ``prefix_sum``: local running extreme per
     (keys, chunk), carried across chunks from a one-row-per-chunk table.
-    ``descending`` runs from the latest row backwards (suffix extreme)."""
+    ``descending`` runs from the latest row backwards (suffix extreme);
+    ``exclusive`` leaves the current row out (extreme of the rows before)."""
     keys = list(keys)
     agg = F.min if fn == "min" else F.max
     pick = F.least if fn == "min" else F.greatest
     o = F.col(order).desc() if descending else F.col(order).asc()
     d = df.withColumn("__rx_chunk", F.col(chunk) if isinstance(chunk, str) else chunk)
-    w = Window.partitionBy(*keys, "__rx_chunk").orderBy(o).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    w = Window.partitionBy(*keys, "__rx_chunk").orderBy(o).rowsBetween(
+        Window.unboundedPreceding, -1 if exclusive else Window.currentRow)
     d = d.withColumn("__rx_loc", agg(value).over(w))
     per = d.groupBy(*keys, "__rx_chunk").agg(agg(value).alias("__rx_cx"))
     co = F.col("__rx_chunk").desc() if descending else F.col("__rx_chunk").asc()

@@ -165,9 +165,8 @@ def _earlier_max(df: DataFrame, key: str, start: str, end: str, tie: str, chunk)
     """Max of ``end`` over the rows before each row (by start, tie): chunked
     running max, then the previous row's value by a chunked lag."""
     d = df.withColumn("_o", F.struct(start, tie)).withColumn("_ch", chunk)
-    d = running_extreme(d, [key], "_o", end, "_runmax", "_ch", "max")
-    d = lag_chunked(d, [key], "_o", ["_runmax"], "_ch", "_p")
-    return d.withColumnRenamed("_p_runmax", "_maxend").drop("_o", "_ch", "_runmax")
+    d = running_extreme(d, [key], "_o", end, "_maxend", "_ch", "max", exclusive=True)
+    return d.drop("_o", "_ch")
 
 
 def merge_intervals(df: DataFrame, key: str, start: str, end: str, chunk=None) -> DataFrame:
@@ -185,8 +184,7 @@ def merge_intervals(df: DataFrame, key: str, start: str, end: str, chunk=None) -
         d = running_group(d, [key], [start], F.col("_maxend").isNull() | (F.col(start) > F.col("_maxend")))
     else:
         d = st.withColumn("_ch", chunk)
-        d = running_extreme(d, [key], start, "_e", "_runmax", "_ch", "max")
-        d = lag_chunked(d, [key], start, ["_runmax"], "_ch", "_p").withColumnRenamed("_p_runmax", "_maxend")
+        d = running_extreme(d, [key], start, "_e", "_maxend", "_ch", "max", exclusive=True)
         d = running_group(d, [key], [start], F.col("_maxend").isNull() | (F.col(start) > F.col("_maxend")),
                           chunk="_ch")
     return d.groupBy(key, "grp").agg(F.min(start).alias("start"), F.max("_e").alias("end")).drop("grp")

@@ -340,9 +340,8 @@ def max_before_chunked(df: DataFrame, by, order: Sequence, val: str, out: str, c
     row's inclusive running max (chunked running max, then chunked lag)."""
     keys = _names(by)
     d = df.withColumn("__fo", _order_col(order)).withColumn("__fc", chunk)
-    d = running_extreme(d, keys, "__fo", val, "__rmax", "__fc", "max")
-    d = lag_chunked(d, keys, "__fo", ["__rmax"], "__fc", "__p")
-    return d.withColumnRenamed("__p__rmax", out).drop("__fo", "__fc", "__rmax")
+    d = running_extreme(d, keys, "__fo", val, out, "__fc", "max", exclusive=True)
+    return d.drop("__fo", "__fc")
 
 
 def best_spread_chunked(df: DataFrame, by, order: Sequence, val: str, chunk, out: str = "best_spread") -> DataFrame:

@@ -59,9 +59,17 @@ def configure(spark: SparkSession) -> None:
     for k, v in _DEFAULTS.items():
         if k == "spark.ui.enabled":
             continue  # static conf; set at build time only
-        if spark.conf.get(k, None) is None:
-            spark.conf.set(k, v)
-    checkpoint_dir(spark)
+        try:
+            if spark.conf.get(k, None) is None:
+                spark.conf.set(k, v)
+        except Exception:  # noqa: BLE001 - read-only or unknown key: keep the session's value
+            pass
+    try:
+        checkpoint_dir(spark)
+    except RuntimeError:
+        raise
+    except Exception:  # noqa: BLE001 - sessions without a SparkContext (e.g. remote clients)
+        pass
 
 
 def checkpoint_dir(spark: SparkSession) -> str:
