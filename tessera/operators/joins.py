@@ -83,6 +83,13 @@ def anti(a: DataFrame, b: DataFrame, a_col: str, b_col: str, null_aware: bool =
     return kept.join(F.broadcast(nulls), F.lit(True), "left_anti")
 
 
+def anti_left_null(a: DataFrame, b: DataFrame, a_col: str, b_col: str) -> DataFrame:
+    """JOIN-08, third spelling: LEFT JOIN ... WHERE b.key IS NULL (same as
+    NOT EXISTS; Catalyst plans it as an outer join plus filter)."""
+    bb = b.select(F.col(b_col).alias("_bk")).distinct()
+    return a.join(bb, a[a_col] == F.col("_bk"), "left").filter(F.col("_bk").isNull()).drop("_bk")
+
+
 def tuple_semi(a, b, keys):
     """JOIN-09: (k1, k2) IN (subquery)."""
     return a.join(b.select(*keys), list(keys), "left_semi")

@@ -93,9 +93,13 @@ def load07(spark, sf):
 @register("LOAD-08", "load08_append_one_day", """
 SELECT o_orderkey, o_custkey FROM orders WHERE CAST(o_orderdate AS DATE) = (SELECT CAST(max(o_orderdate) AS DATE) FROM orders)""")
 def load08(spark, sf):
-    o = T(spark, sf, "orders")
-    last = o.agg(F.max("o_orderdate")).first()[0]  # one scalar: the stage's latest day
-    return L.append_day(o, "o_orderdate", last.date().isoformat()).select("o_orderkey", "o_custkey")
+    return L.append_latest_day(T(spark, sf, "orders"), "o_orderdate").select("o_orderkey", "o_custkey")
+
+
+@register("LOAD-08", "load08_append_given_day", """
+SELECT o_orderkey, o_custkey FROM orders WHERE CAST(o_orderdate AS DATE) = DATE '1998-03-15'""")
+def load08b(spark, sf):
+    return L.append_day(T(spark, sf, "orders"), "o_orderdate", "1998-03-15").select("o_orderkey", "o_custkey")
 
 
 @register("LOAD-11", "load11_rolling_window_reload", """

@@ -134,3 +134,39 @@ def join24(spark, sf):
     legs = li.join(o, "o_orderkey").join(c, "o_custkey").join(s, "l_suppkey") \
              .filter(F.col("l_shipdate") >= F.col("o_orderdate"))
     return best_route(legs, 1, 2, "a", "b", "o_orderdate", "l_shipdate")
+
+
+@register("JOIN-08", "join08_anti_left_join_null", """
+SELECT c.c_custkey FROM customer c LEFT JOIN (SELECT DISTINCT o_custkey FROM orders WHERE o_orderpriority = '1-URGENT') o
+ON o.o_custkey = c.c_custkey WHERE o.o_custkey IS NULL""")
+def join08d(spark, sf):
+    from tessera.operators.joins import anti_left_null
+    c = T(spark, sf, "customer").select("c_custkey")
+    o = T(spark, sf, "orders").filter("o_orderpriority = '1-URGENT'").select("o_custkey")
+    return anti_left_null(c, o, "c_custkey", "o_custkey")
+
+
+@register("AGG-11", "agg11_unpivot_all_columns", """
+SELECT o_orderkey, name, value FROM (SELECT o_orderkey, o_orderstatus, o_orderpriority FROM orders)
+UNPIVOT (value FOR name IN (COLUMNS(* EXCLUDE (o_orderkey))))""")
+def agg11b(spark, sf):
+    from tessera.operators.aggs import unpivot
+    o = T(spark, sf, "orders").select("o_orderkey", "o_orderstatus", "o_orderpriority")
+    return unpivot(o, ["o_orderkey"], [c for c in o.columns if c != "o_orderkey"], "name", "value")
+
+
+@register("SET-03", "set03_except_distinct", """
+SELECT o_custkey FROM orders WHERE o_orderstatus = 'F' EXCEPT SELECT o_custkey FROM orders WHERE o_orderstatus = 'O'""")
+def set03b(spark, sf):
+    from tessera.operators.sets import except_all
+    o = T(spark, sf, "orders")
+    return except_all(o.filter("o_orderstatus = 'F'").select("o_custkey"),
+                      o.filter("o_orderstatus = 'O'").select("o_custkey"), distinct=True)
+
+
+@register("WIN-23", "win23_last_rows_reverse_order", """
+SELECT event_id, ts FROM events ORDER BY ts DESC, event_id DESC LIMIT 7""")
+def win23b(spark, sf):
+    from tessera.operators.windows import sort_limit
+    e = T(spark, sf, "events").select("event_id", "ts")
+    return sort_limit(e, [F.col("ts").desc(), F.col("event_id").desc()], 7)

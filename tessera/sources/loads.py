@@ -129,6 +129,13 @@ def append_day(stage: DataFrame, date_col: str, day) -> DataFrame:
     return stage.filter(F.to_date(F.col(date_col)) == F.lit(day).cast("date"))
 
 
+def append_latest_day(stage: DataFrame, date_col: str) -> DataFrame:
+    """LOAD-08: the rows of the stage's latest day (the day is a one-row
+    aggregate attached by broadcast, nothing goes through the driver)."""
+    last = stage.agg(F.to_date(F.max(date_col)).alias("_last"))
+    return attach_scalars(stage, last).filter(F.to_date(date_col) == F.col("_last")).drop("_last")
+
+
 def rolling_reload(base: DataFrame, stage: DataFrame, date_col: str, days: int, as_of=None) -> DataFrame:
     """LOAD-11: drop the last ``days`` days (relative to ``as_of`` or the
     stage's latest date) from the base and insert the stage rows of the same
