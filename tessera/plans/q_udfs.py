@@ -170,3 +170,17 @@ def win23b(spark, sf):
     from tessera.operators.windows import sort_limit
     e = T(spark, sf, "events").select("event_id", "ts")
     return sort_limit(e, [F.col("ts").desc(), F.col("event_id").desc()], 7)
+
+
+@register("JOIN-23", "join23_anchored_basket_pairs", """
+WITH l AS (SELECT DISTINCT l_orderkey, l_partkey FROM lineitem),
+ a AS (SELECT l_partkey AS anchor FROM lineitem GROUP BY 1 ORDER BY count(*) DESC, l_partkey LIMIT 5)
+SELECT a.anchor, o.l_partkey AS other, count(*) AS baskets
+FROM l x JOIN a ON x.l_partkey = a.anchor JOIN l o ON o.l_orderkey = x.l_orderkey AND o.l_partkey <> a.anchor
+GROUP BY 1, 2""")
+def join23(spark, sf):
+    from tessera.operators.aggs import top_k
+    from tessera.operators.joins import anchored_pairs
+    li = T(spark, sf, "lineitem")
+    anchors = top_k(li, "l_partkey", 5)  # the five most frequent parts (a top-k report)
+    return anchored_pairs(li, "l_orderkey", "l_partkey", anchors)
