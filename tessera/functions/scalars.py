@@ -65,6 +65,11 @@ def round_half_up(col, n: int = 2) -> Column:
     return F.round(_c(col).cast("decimal(38,9)"), n).cast("double")
 
 
+def ts_str(col) -> Column:
+    """``yyyy-MM-dd HH:mm:ss.SSSSSS`` text of a timestamp (for exchange/compare)."""
+    return F.date_format(_c(col), "yyyy-MM-dd HH:mm:ss.SSSSSS")
+
+
 def date_str(col) -> Column:
     """ISO ``yyyy-MM-dd`` text of a date or timestamp (for exchange/compare)."""
     return F.date_format(_c(col), "yyyy-MM-dd")

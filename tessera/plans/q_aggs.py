@@ -75,8 +75,8 @@ def agg07(spark, sf):
 
 
 @register("AGG-08", "agg08_sum_of_case", f"""
-SELECT o_orderpriority, count_if(o_orderstatus = 'F') AS n_f, count_if(o_orderstatus = 'O') AS n_o,
-       count_if(o_orderstatus = 'P') AS n_p,
+SELECT o_orderpriority, CAST(count_if(o_orderstatus = 'F') AS BIGINT) AS n_f, CAST(count_if(o_orderstatus = 'O') AS BIGINT) AS n_o,
+       CAST(count_if(o_orderstatus = 'P') AS BIGINT) AS n_p,
        {R2.format("sum(CASE WHEN o_orderstatus = 'F' THEN o_totalprice ELSE 0 END)")} AS f_total
 FROM orders GROUP BY 1""")
 def agg08(spark, sf):
@@ -152,7 +152,7 @@ def _matches(spark, sf):
 
 
 @register("AGG-13", "agg13_standings", _MATCHES_SQL + """
-SELECT team, count(*) AS played, count_if(won) AS won, count_if(NOT draw AND NOT coalesce(won, false)) AS lost
+SELECT team, count(*) AS played, CAST(count_if(won) AS BIGINT) AS won, CAST(count_if(NOT draw AND NOT coalesce(won, false)) AS BIGINT) AS lost
 FROM (SELECT team_1 AS team, winner = team_1 AS won, winner IS NULL AS draw FROM m
       UNION ALL SELECT team_2, winner = team_2, winner IS NULL FROM m) GROUP BY team""")
 def agg13(spark, sf):

@@ -30,7 +30,8 @@ SELECT conv_id, turn, len(list_intersect({_W.format('text')}, ['the', 'and', 'le
 FROM conversations WHERE role = 'assistant'""")
 def evl01b(spark, sf):
     c = T(spark, sf, "conversations").filter("role = 'assistant'")
-    return E.score_keywords(c, "text", ["the", "and", "le"]).select("conv_id", "turn", "keyword_hits", "score")
+    return E.score_keywords(c, "text", ["the", "and", "le"]).select(
+        "conv_id", "turn", F.col("keyword_hits").cast("bigint").alias("keyword_hits"), "score")
 
 
 @register("EVL-02", "evl02_overlap_scorer", f"""
@@ -56,7 +57,7 @@ def evl03(spark, sf):
 WITH r AS (SELECT d.lang AS experiment, d.source AS example, l.quality AS score FROM labels l JOIN documents d USING (doc_id)),
  b AS (SELECT example, score AS base FROM r WHERE experiment = 'en')
 SELECT experiment, round(avg(score), 6) AS mean, round(stddev_pop(score), 6) AS spread,
-       round(avg(CASE WHEN score >= 1 THEN 1.0 ELSE 0.0 END), 6) AS pass_rate, count_if(score < base) AS regressions
+       round(avg(CASE WHEN score >= 1 THEN 1.0 ELSE 0.0 END), 6) AS pass_rate, CAST(count_if(score < base) AS BIGINT) AS regressions
 FROM r LEFT JOIN b USING (example) GROUP BY 1""")
 def evl04(spark, sf):
     l = T(spark, sf, "labels")

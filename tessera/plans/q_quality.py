@@ -18,7 +18,7 @@ def _holes(spark, sf):
 
 
 @register("DQ-01", "dq01_missing_value_report", f"""
-SELECT "column", nulls FROM (SELECT 'o_orderstatus' AS "column", count_if(o_orderstatus IS NULL) AS nulls FROM {_HOLES}
+SELECT "column", CAST(nulls AS BIGINT) AS nulls FROM (SELECT 'o_orderstatus' AS "column", count_if(o_orderstatus IS NULL) AS nulls FROM {_HOLES}
  UNION ALL SELECT 'o_orderpriority', count_if(o_orderpriority IS NULL) FROM {_HOLES}
  UNION ALL SELECT 'o_orderkey', count_if(o_orderkey IS NULL) FROM {_HOLES}
  UNION ALL SELECT 'o_totalprice', count_if(o_totalprice IS NULL) FROM {_HOLES}) WHERE nulls > 0""")
@@ -38,15 +38,15 @@ def _str_li(spark, sf):
 
 
 @register("DQ-02", "dq02_type_report", f"""
-SELECT 'qty' AS "column", 'double' AS expected, 'string' AS actual, count_if(TRY_CAST(qty AS DOUBLE) IS NULL) AS failures FROM {_STR_LI}
-UNION ALL SELECT 'line', 'int', 'string', count_if(TRY_CAST(line AS INTEGER) IS NULL) FROM {_STR_LI}""")
+SELECT 'qty' AS "column", 'double' AS expected, 'string' AS actual, CAST(count_if(TRY_CAST(qty AS DOUBLE) IS NULL) AS BIGINT) AS failures FROM {_STR_LI}
+UNION ALL SELECT 'line', 'int', 'string', CAST(count_if(TRY_CAST(line AS INTEGER) IS NULL) AS BIGINT) FROM {_STR_LI}""")
 def dq02(spark, sf):
     return Qy.type_report(_str_li(spark, sf), {"qty": "double", "line": "int"})
 
 
 @register("DQ-03", "dq03_combined_quality_report", f"""
-SELECT 'type' AS "check", 'qty' AS "column", count_if(TRY_CAST(qty AS DOUBLE) IS NULL) AS n FROM {_STR_LI}
-UNION ALL SELECT 'type', 'line', count_if(TRY_CAST(line AS INTEGER) IS NULL) FROM {_STR_LI}
+SELECT 'type' AS "check", 'qty' AS "column", CAST(count_if(TRY_CAST(qty AS DOUBLE) IS NULL) AS BIGINT) AS n FROM {_STR_LI}
+UNION ALL SELECT 'type', 'line', CAST(count_if(TRY_CAST(line AS INTEGER) IS NULL) AS BIGINT) FROM {_STR_LI}
 UNION ALL SELECT 'duplicate_rows', '*', CAST(coalesce(sum(c - 1), 0) AS BIGINT) FROM (SELECT qty, line, count(*) AS c FROM {_STR_LI} GROUP BY qty, line HAVING count(*) > 1)""")
 def dq03(spark, sf):
     return Qy.quality_report(_str_li(spark, sf), {"qty": "double", "line": "int"})

@@ -62,13 +62,13 @@ def scl05(spark, sf):
 
 @register("SCL-06", "scl06_safe_cast", """
 SELECT c_custkey, TRY_CAST(substring(c_name, 10, 9) AS BIGINT) AS num,
-       TRY_CAST(c_mktsegment AS BIGINT) AS bad_num,
+       CAST(TRY_CAST(c_mktsegment AS BIGINT) AS DOUBLE) AS bad_num,
        TRY_CAST(CAST(c_acctbal AS VARCHAR) AS DOUBLE) AS bal
 FROM customer""")
 def scl06(spark, sf):
     c = T(spark, sf, "customer")
     return c.select("c_custkey", S.safe_cast(S.cut("c_name", 10, 9), "bigint").alias("num"),
-                    S.safe_cast("c_mktsegment", "bigint").alias("bad_num"),
+                    S.safe_cast("c_mktsegment", "bigint").cast("double").alias("bad_num"),
                     S.safe_cast(F.col("c_acctbal").cast("string"), "double").alias("bal"))
 
 

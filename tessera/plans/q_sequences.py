@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from tessera.functions.scalars import date_str, round_half_up as r2
+from tessera.functions.scalars import date_str, round_half_up as r2, ts_str
 from tessera.operators import sequences as Q
 from tessera.operators.common import quantile_chunk
 from tessera.plans.registry import register
@@ -62,23 +62,26 @@ WITH s AS (SELECT user_id, ts, event_type IN ('view', 'click') AS on_ FROM event
  g AS (SELECT *, sum(chg) OVER (PARTITION BY user_id ORDER BY ts ROWS UNBOUNDED PRECEDING) AS grp FROM c),
  r AS (SELECT user_id, grp, first(on_) AS on_, min(ts) AS start, count(*) AS on_count FROM g GROUP BY 1, 2),
  l AS (SELECT *, lead(start) OVER (PARTITION BY user_id ORDER BY grp) AS logout FROM r)
-SELECT user_id, start AS login, logout, on_count FROM l WHERE on_""")
+SELECT user_id, strftime(start, '%Y-%m-%d %H:%M:%S.%f') AS login, strftime(logout, '%Y-%m-%d %H:%M:%S.%f') AS logout, on_count FROM l WHERE on_""")
 def seq05(spark, sf):
     e = T(spark, sf, "events")
-    return Q.on_off_runs(e, "user_id", "ts", F.col("event_type").isin("view", "click"), chunk=F.to_date("ts"))
+    d = Q.on_off_runs(e, "user_id", "ts", F.col("event_type").isin("view", "click"), chunk=F.to_date("ts"))
+    return d.withColumn("login", ts_str("login")).withColumn("logout", ts_str("logout"))
 
 
 @register("SEQ-06", "seq06_sessionize_30min", """
 WITH f AS (SELECT user_id, ts, CASE WHEN lag(ts) OVER w IS NULL OR ts - lag(ts) OVER w > INTERVAL 30 MINUTE THEN 1 ELSE 0 END AS s
            FROM events WINDOW w AS (PARTITION BY user_id ORDER BY ts, event_id)),
  g AS (SELECT *, sum(s) OVER (PARTITION BY user_id ORDER BY ts ROWS UNBOUNDED PRECEDING) AS session_no FROM f)
-SELECT user_id, session_no, min(ts) AS start, max(ts) AS "end", count(*) AS n_events,
+SELECT user_id, CAST(session_no AS BIGINT) AS session_no, strftime(min(ts), '%Y-%m-%d %H:%M:%S.%f') AS start,
+       strftime(max(ts), '%Y-%m-%d %H:%M:%S.%f') AS "end", count(*) AS n_events,
        round((epoch_us(max(ts)) - epoch_us(min(ts))) / 1e6, 3) AS duration_s
 FROM g GROUP BY 1, 2""")
 def seq06(spark, sf):
     e = T(spark, sf, "events")
     d = Q.sessionize(e, "user_id", "ts", 1800, id_col="event_id")
-    return d.withColumn("duration_s", F.round("duration_s", 3)).withColumn("session_no", F.col("session_no").cast("bigint"))
+    return d.withColumn("duration_s", F.round("duration_s", 3)).withColumn("session_no", F.col("session_no").cast("bigint")) \
+            .withColumn("start", ts_str("start")).withColumn("end", ts_str("end"))
 
 
 _IV = """(SELECT l_partkey, l_orderkey * 10 + l_linenumber AS id, l_shipdate AS s,
@@ -93,7 +96,7 @@ def _intervals(spark, sf):
 
 
 @register("SEQ-07", "seq07_overlap_count", f"""
-SELECT l_partkey, count_if(mx > s) AS overlaps FROM (
+SELECT l_partkey, CAST(count_if(mx > s) AS BIGINT) AS overlaps FROM (
   SELECT *, max(e) OVER (PARTITION BY l_partkey ORDER BY s, id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS mx
   FROM {_IV}) GROUP BY 1""")
 def seq07(spark, sf):
@@ -105,9 +108,11 @@ WITH m AS (SELECT *, max(e) OVER (PARTITION BY l_partkey ORDER BY s, e ROWS BETW
            FROM {_IV}),
  g AS (SELECT *, sum(CASE WHEN mx IS NULL OR s > mx THEN 1 ELSE 0 END)
                  OVER (PARTITION BY l_partkey ORDER BY s, e ROWS UNBOUNDED PRECEDING) AS grp FROM m)
-SELECT l_partkey, min(s) AS start, max(e) AS "end" FROM g GROUP BY l_partkey, grp""")
+SELECT l_partkey, strftime(min(s), '%Y-%m-%d %H:%M:%S.%f') AS start, strftime(max(e), '%Y-%m-%d %H:%M:%S.%f') AS "end"
+FROM g GROUP BY l_partkey, grp""")
 def seq08(spark, sf):
-    return Q.merge_intervals(_intervals(spark, sf), "l_partkey", "s", "e", chunk=F.year("s"))
+    d = Q.merge_intervals(_intervals(spark, sf), "l_partkey", "s", "e", chunk=F.year("s"))
+    return d.withColumn("start", ts_str("start")).withColumn("end", ts_str("end"))
 
 
 @register("SEQ-09", "seq09_always_rising", """
@@ -120,13 +125,13 @@ def seq09(spark, sf):
 
 
 @register("SEQ-10", "seq10_next_event_latency", """
-SELECT event_id, round(latency_s, 3) AS latency_s, latency_s > 3600 AS long_gap FROM (
+SELECT event_id, round(latency_s, 3) AS latency_s, CAST(latency_s > 3600 AS DOUBLE) AS long_gap FROM (
   SELECT event_id, (epoch_us(lead(ts) OVER (PARTITION BY user_id ORDER BY ts, event_id)) - epoch_us(ts)) / 1e6 AS latency_s
   FROM events)""")
 def seq10(spark, sf):
     e = T(spark, sf, "events")
     d = Q.next_latency(e, "user_id", ["ts", "event_id"], "ts", 3600, chunk=F.to_date("ts"))
-    return d.select("event_id", F.round("latency_s", 3).alias("latency_s"), "long_gap")
+    return d.select("event_id", F.round("latency_s", 3).alias("latency_s"), F.col("long_gap").cast("double").alias("long_gap"))
 
 
 @register("SEQ-11", "seq11_chained_rides", """
@@ -158,10 +163,11 @@ def seq13(spark, sf):
 @register("SEQ-14", "seq14_new_vs_repeat", """
 WITH f AS (SELECT o_custkey, min(o_orderdate) AS fd FROM orders GROUP BY 1),
  d AS (SELECT DISTINCT o_custkey, o_orderdate FROM orders)
-SELECT d.o_orderdate, count_if(d.o_orderdate = f.fd) AS new_users, count_if(d.o_orderdate > f.fd) AS repeat_users
+SELECT strftime(d.o_orderdate, '%Y-%m-%d %H:%M:%S.%f') AS o_orderdate, CAST(count_if(d.o_orderdate = f.fd) AS BIGINT) AS new_users,
+       CAST(count_if(d.o_orderdate > f.fd) AS BIGINT) AS repeat_users
 FROM d JOIN f USING (o_custkey) GROUP BY 1""")
 def seq14(spark, sf):
-    return Q.new_vs_repeat(T(spark, sf, "orders"), "o_custkey", "o_orderdate")
+    return Q.new_vs_repeat(T(spark, sf, "orders"), "o_custkey", "o_orderdate").withColumn("o_orderdate", ts_str("o_orderdate"))
 
 
 @register("SEQ-15", "seq15_first_seen_by_year", """
@@ -176,7 +182,7 @@ def seq15(spark, sf):
 
 @register("SEQ-16", "seq16_retention_churn", """
 WITH a AS (SELECT DISTINCT o_custkey, year(o_orderdate) * 12 + month(o_orderdate) - 1 AS m FROM orders)
-SELECT a.m, count_if(b.o_custkey IS NOT NULL) AS retained, count_if(b.o_custkey IS NULL) AS churned
+SELECT a.m, CAST(count_if(b.o_custkey IS NOT NULL) AS BIGINT) AS retained, CAST(count_if(b.o_custkey IS NULL) AS BIGINT) AS churned
 FROM a LEFT JOIN a b ON a.o_custkey = b.o_custkey AND b.m = a.m + 1 GROUP BY a.m""")
 def seq16(spark, sf):
     return Q.retention(T(spark, sf, "orders"), "o_custkey", "o_orderdate").withColumn("m", F.col("m").cast("bigint"))
@@ -349,10 +355,10 @@ def seq31(spark, sf):
 WITH v AS (SELECT DISTINCT p_brand, p_size FROM part WHERE p_size > 0),
  c AS (SELECT p_brand, count(*) AS n FROM v GROUP BY 1),
  k AS (SELECT p_brand, CAST(k AS INTEGER) AS k FROM c, range(1, n + 2) t(k))
-SELECT p_brand, min(k) AS first_missing FROM k WHERE NOT EXISTS (SELECT 1 FROM v WHERE v.p_brand = k.p_brand AND v.p_size = k.k)
+SELECT p_brand, CAST(min(k) AS BIGINT) AS first_missing FROM k WHERE NOT EXISTS (SELECT 1 FROM v WHERE v.p_brand = k.p_brand AND v.p_size = k.k)
 GROUP BY 1""")
 def seq32(spark, sf):
-    return Q.first_missing(T(spark, sf, "part"), "p_brand", "p_size")
+    return Q.first_missing(T(spark, sf, "part"), "p_brand", "p_size").withColumn("first_missing", F.col("first_missing").cast("bigint"))
 
 
 @register("SEQ-33", "seq33_adjacent_pairing", """
@@ -366,7 +372,7 @@ def seq33(spark, sf):
 
 @register("SEQ-34", "seq34_team_eligibility", """
 SELECT c_nationkey, c_custkey, c_acctbal > 5000 AND c_mktsegment IN ('BUILDING', 'MACHINERY') AS member_ok,
-  count_if(c_acctbal > 5000 AND c_mktsegment IN ('BUILDING', 'MACHINERY')) OVER (PARTITION BY c_nationkey) AS qualified_members,
+  CAST(count_if(c_acctbal > 5000 AND c_mktsegment IN ('BUILDING', 'MACHINERY')) OVER (PARTITION BY c_nationkey) AS BIGINT) AS qualified_members,
   count_if(c_acctbal > 5000 AND c_mktsegment IN ('BUILDING', 'MACHINERY')) OVER (PARTITION BY c_nationkey) >= 2 AS team_qualifies
 FROM customer""")
 def seq34(spark, sf):

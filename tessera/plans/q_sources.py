@@ -86,7 +86,7 @@ def src07(spark, sf):
             .select("l_orderkey", "l_extendedprice")
 
 
-@register("SRC-08", "src08_xml_row_tag", """SELECT n_nationkey AS id, n_name AS name FROM nation""")
+@register("SRC-08", "src08_xml_row_tag", """SELECT CAST(n_nationkey AS BIGINT) AS id, n_name AS name FROM nation""")
 def src08(spark, sf):
     p = _scratch(spark, sf, "nation_xml")
     n = T(spark, sf, "nation")
@@ -120,13 +120,13 @@ def src11(spark, sf):
 
 
 @register("SRC-13", "src13_schema_drift_superset", """
-SELECT n_nationkey, n_name, CASE WHEN n_regionkey >= 2 THEN n_regionkey END AS n_regionkey FROM nation""")
+SELECT n_nationkey, n_name, CAST(CASE WHEN n_regionkey >= 2 THEN n_regionkey END AS DOUBLE) AS n_regionkey FROM nation""")
 def src13(spark, sf):
     p = _scratch(spark, sf, "nation_gens")
     n = T(spark, sf, "nation")
     n.filter("n_regionkey < 2").select("n_nationkey", "n_name").write.mode("overwrite").parquet(f"{p}/gen=1")
     n.filter("n_regionkey >= 2").select("n_nationkey", "n_name", "n_regionkey").write.mode("overwrite").parquet(f"{p}/gen=2")
-    return S.scan_evolved(spark, p).select("n_nationkey", "n_name", "n_regionkey")
+    return S.scan_evolved(spark, p).select("n_nationkey", "n_name", F.col("n_regionkey").cast("double").alias("n_regionkey"))
 
 
 @register("SRC-14", "src14_positional_projection", """
@@ -158,7 +158,7 @@ def src17(spark, sf):
 
 
 @register("SRC-20", "src20_log_line_parse", """
-SELECT ts, CASE WHEN event_type = 'error' THEN 'ERROR' ELSE 'INFO' END AS level, 'user-' || CAST(user_id AS VARCHAR) AS thread,
+SELECT strftime(ts, '%Y-%m-%d %H:%M:%S.%f') AS ts, CASE WHEN event_type = 'error' THEN 'ERROR' ELSE 'INFO' END AS level, 'user-' || CAST(user_id AS VARCHAR) AS thread,
        event_type || ' value=' || CAST(value AS VARCHAR) AS message FROM events""")
 def src20(spark, sf):
     e = T(spark, sf, "events")
@@ -166,7 +166,7 @@ def src20(spark, sf):
                                      F.when(F.col("event_type") == "error", "ERROR").otherwise("INFO"), "user_id",
                                      "event_type", F.col("value").cast("string")).alias("value"))
     parsed, _ = S.parse_log(lines)
-    return parsed.withColumn("ts", F.col("ts").cast("timestamp_ntz"))
+    return parsed.withColumn("ts", F.date_format(F.col("ts").cast("timestamp_ntz"), "yyyy-MM-dd HH:mm:ss.SSSSSS"))
 
 
 @register("SRC-21", "src21_orc_scan", """SELECT p_partkey, p_name, p_size FROM part WHERE p_size > 40""")

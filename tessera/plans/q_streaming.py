@@ -26,22 +26,26 @@ def str03(spark, sf):
 @register("STR-07", "str07_sliding_windows", """
 WITH s AS (SELECT event_type, time_bucket(INTERVAL 5 MINUTE, ts) AS b FROM events),
  w AS (SELECT event_type, b AS window_start FROM s UNION ALL SELECT event_type, b - INTERVAL 5 MINUTE FROM s)
-SELECT window_start, window_start + INTERVAL 10 MINUTE AS window_end, event_type, count(*) AS n FROM w GROUP BY 1, 2, 3""")
+SELECT strftime(window_start, '%Y-%m-%d %H:%M:%S.%f') AS window_start,
+       strftime(window_start + INTERVAL 10 MINUTE, '%Y-%m-%d %H:%M:%S.%f') AS window_end, event_type, count(*) AS n
+FROM w GROUP BY window_start, event_type""")
 def str07(spark, sf):
     d = J.windowed(T(spark, sf, "events"), "ts", "10 minutes", "5 minutes", ["event_type"])
-    return d.select(F.col("window_start").cast("timestamp_ntz").alias("window_start"),
-                    F.col("window_end").cast("timestamp_ntz").alias("window_end"), "event_type", "n")
+    return d.select(F.date_format(F.col("window_start").cast("timestamp_ntz"), "yyyy-MM-dd HH:mm:ss.SSSSSS").alias("window_start"),
+                    F.date_format(F.col("window_end").cast("timestamp_ntz"), "yyyy-MM-dd HH:mm:ss.SSSSSS").alias("window_end"),
+                    "event_type", "n")
 
 
 @register("STR-08", "str08_session_windows", """
 WITH f AS (SELECT user_id, ts, CASE WHEN lag(ts) OVER w IS NULL OR ts - lag(ts) OVER w > INTERVAL 30 MINUTE THEN 1 ELSE 0 END AS s
            FROM events WINDOW w AS (PARTITION BY user_id ORDER BY ts, event_id)),
  g AS (SELECT *, sum(s) OVER (PARTITION BY user_id ORDER BY ts ROWS UNBOUNDED PRECEDING) AS session_no FROM f)
-SELECT user_id, min(ts) AS start, max(ts) + INTERVAL 30 MINUTE AS "end", count(*) AS n_events FROM g GROUP BY user_id, session_no""")
+SELECT user_id, strftime(min(ts), '%Y-%m-%d %H:%M:%S.%f') AS start, strftime(max(ts) + INTERVAL 30 MINUTE, '%Y-%m-%d %H:%M:%S.%f') AS "end",
+       count(*) AS n_events FROM g GROUP BY user_id, session_no""")
 def str08(spark, sf):
     d = J.sessions(T(spark, sf, "events"), "user_id", "ts", "30 minutes")
-    return d.select("user_id", F.col("start").cast("timestamp_ntz").alias("start"),
-                    F.col("end").cast("timestamp_ntz").alias("end"), "n_events")
+    return d.select("user_id", F.date_format(F.col("start").cast("timestamp_ntz"), "yyyy-MM-dd HH:mm:ss.SSSSSS").alias("start"),
+                    F.date_format(F.col("end").cast("timestamp_ntz"), "yyyy-MM-dd HH:mm:ss.SSSSSS").alias("end"), "n_events")
 
 
 @register("STR-10", "str10_enrich_with_dimension", """

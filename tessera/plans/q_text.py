@@ -22,12 +22,12 @@ def txt02(spark, sf):
 
 
 @register("TXT-03", "txt03_find_replace", """
-SELECT doc_id, len(regexp_extract_all(text, '(^|[^A-Za-z0-9_])the([^A-Za-z0-9_]|$)')) AS hits,
+SELECT doc_id, CAST(len(regexp_extract_all(text, '(^|[^A-Za-z0-9_])the([^A-Za-z0-9_]|$)')) AS BIGINT) AS hits,
        md5(regexp_replace(text, '(^|[^A-Za-z0-9_])the([^A-Za-z0-9_]|$)', '\\1THE\\2', 'g')) AS replaced_md5
 FROM documents""")
 def txt03(spark, sf):
     d = X.find_replace(T(spark, sf, "documents"), "text", "the", "THE")
-    return d.select("doc_id", "hits", F.md5("replaced").alias("replaced_md5"))
+    return d.select("doc_id", F.col("hits").cast("bigint").alias("hits"), F.md5("replaced").alias("replaced_md5"))
 
 
 @register("TXT-04", "txt04_line_hygiene", """
@@ -66,8 +66,8 @@ def txt09(spark, sf):
 
 @register("TXT-10", "txt10_token_statistics", """
 WITH d AS (SELECT source, len(regexp_extract_all(text, '[^ \\t\\n\\r\\f]+')) AS tok, length(text) AS chr FROM documents)
-SELECT source, sum(tok) AS tokens, sum(chr) AS chars, round(sum(tok) / sum(chr), 6) AS tokens_per_char,
-       count_if(tok > 500) AS over_limit FROM d GROUP BY 1""")
+SELECT source, CAST(sum(tok) AS BIGINT) AS tokens, CAST(sum(chr) AS BIGINT) AS chars, round(sum(tok) / sum(chr), 6) AS tokens_per_char,
+       CAST(count_if(tok > 500) AS BIGINT) AS over_limit FROM d GROUP BY 1""")
 def txt10(spark, sf):
     d = X.token_stats(T(spark, sf, "documents"), ["source"], "text", 500)
     return d.withColumn("tokens_per_char", F.round("tokens_per_char", 6))
@@ -94,7 +94,7 @@ def txt12(spark, sf):
 
 @register("TXT-13", "txt13_thread_assembly_checks", """
 SELECT conv_id, count(*) AS turns, arg_min(role, turn) AS first_role,
-       bool_and(prev IS NULL OR prev <> role) AS alternates, sum(length(text)) AS chars
+       bool_and(prev IS NULL OR prev <> role) AS alternates, CAST(sum(length(text)) AS BIGINT) AS chars
 FROM (SELECT *, lag(role) OVER (PARTITION BY conv_id ORDER BY turn) AS prev FROM conversations) GROUP BY 1""")
 def txt13(spark, sf):
     return X.thread_stats(T(spark, sf, "conversations"), "conv_id", "turn", "role", "text")
@@ -108,8 +108,8 @@ def txt14(spark, sf):
 
 @register("TXT-13", "txt13_thread_lines_with_offsets", """
 SELECT conv_id, turn, md5(role || ': ' || text) AS line_md5,
-       sum(length(role || ': ' || text) + 1) OVER (PARTITION BY conv_id ORDER BY turn ROWS UNBOUNDED PRECEDING)
-         - (length(role || ': ' || text) + 1) AS char_offset
+       CAST(sum(length(role || ': ' || text) + 1) OVER (PARTITION BY conv_id ORDER BY turn ROWS UNBOUNDED PRECEDING)
+         - (length(role || ': ' || text) + 1) AS BIGINT) AS char_offset
 FROM conversations""")
 def txt13b(spark, sf):
     t = X.threads(T(spark, sf, "conversations"), "conv_id", "turn", "role", "text")

@@ -65,7 +65,7 @@ WITH need AS (SELECT l_orderkey AS project, l_partkey % 20 AS skill, l_quantity
           FROM supplier, range(0, 20, 3) t(p)),
  req AS (SELECT project, count(DISTINCT skill) AS k FROM need GROUP BY 1),
  m AS (SELECT n.project, h.cand, count(DISTINCT n.skill) AS matched,
-              100 + sum(CASE WHEN h.proficiency > n.importance THEN 10 WHEN h.proficiency < n.importance THEN -5 ELSE 0 END) AS score
+              CAST(100 + sum(CASE WHEN h.proficiency > n.importance THEN 10 WHEN h.proficiency < n.importance THEN -5 ELSE 0 END) AS BIGINT) AS score
        FROM need n JOIN have h ON n.skill = h.skill GROUP BY 1, 2)
 SELECT project, cand, score FROM (SELECT m.*, row_number() OVER (PARTITION BY m.project ORDER BY score DESC, cand) AS r
   FROM m JOIN req USING (project) WHERE matched = k) WHERE r = 1""")
@@ -165,11 +165,12 @@ def set03b(spark, sf):
 
 
 @register("WIN-23", "win23_last_rows_reverse_order", """
-SELECT event_id, ts FROM events ORDER BY ts DESC, event_id DESC LIMIT 7""")
+SELECT event_id, strftime(ts, '%Y-%m-%d %H:%M:%S.%f') AS ts FROM events ORDER BY events.ts DESC, event_id DESC LIMIT 7""")
 def win23b(spark, sf):
     from tessera.operators.windows import sort_limit
     e = T(spark, sf, "events").select("event_id", "ts")
-    return sort_limit(e, [F.col("ts").desc(), F.col("event_id").desc()], 7)
+    return sort_limit(e, [F.col("ts").desc(), F.col("event_id").desc()], 7) \
+        .withColumn("ts", F.date_format("ts", "yyyy-MM-dd HH:mm:ss.SSSSSS"))
 
 
 @register("JOIN-23", "join23_anchored_basket_pairs", """

@@ -80,13 +80,14 @@ def ver12(spark, sf):
 
 
 @register("VER-13", "ver13_net_change_per_hour", _DIFF_SQL + """
-SELECT c.o_orderstatus, date_trunc('hour', o.o_orderdate) AS hour,
+SELECT c.o_orderstatus, strftime(date_trunc('hour', o.o_orderdate), '%Y-%m-%d %H:%M:%S.%f') AS hour,
        round(sum(CASE WHEN _action = 'INSERT' THEN c.o_totalprice ELSE -c.o_totalprice END), 2) AS net_qty
 FROM c JOIN orders o ON o.o_orderkey = c.o_orderkey GROUP BY 1, 2""")
 def ver13(spark, sf):
     old, new = _snaps(spark, sf)
     ch = V.diff(old, new, "o_orderkey").join(T(spark, sf, "orders").select("o_orderkey", "o_orderdate"), "o_orderkey")
-    return V.net_change(ch, "o_orderstatus", "o_orderdate", "o_totalprice").withColumn("net_qty", F.round("net_qty", 2))
+    return V.net_change(ch, "o_orderstatus", "o_orderdate", "o_totalprice").withColumn("net_qty", F.round("net_qty", 2)) \
+            .withColumn("hour", F.date_format(F.col("hour").cast("timestamp_ntz"), "yyyy-MM-dd HH:mm:ss.SSSSSS"))
 
 
 @register("VER-14", "ver14_soft_delete_current_view", f"SELECT * FROM {NEW}")

@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from tessera.functions.scalars import date_str, round_half_up as r2
+from tessera.functions.scalars import date_str, round_half_up as r2, ts_str
 from tessera.operators import warehouse as D
 from tessera.plans.registry import register
 from tessera.session import load_table as T
@@ -116,11 +116,12 @@ def dwh06(spark, sf):
 
 @register("DWH-07", "dwh07_scd3_previous_column", f"""
 SELECT coalesce(d.c_custkey, x.c_custkey) AS c_custkey, coalesce(x.c_nationkey, d.c_nationkey) AS c_nationkey,
-  CASE WHEN d.c_nationkey IS NOT NULL AND x.c_nationkey IS NOT NULL AND d.c_nationkey <> x.c_nationkey THEN d.c_nationkey END AS prev_c_nationkey
+  CAST(CASE WHEN d.c_nationkey IS NOT NULL AND x.c_nationkey IS NOT NULL AND d.c_nationkey <> x.c_nationkey THEN d.c_nationkey END AS DOUBLE) AS prev_c_nationkey
 FROM {DIM} d FULL JOIN {DELTA} x ON d.c_custkey = x.c_custkey""")
 def dwh07(spark, sf):
     dim, delta = _dim_delta(spark, sf)
-    return D.scd3(dim.select("c_custkey", "c_nationkey"), delta, "c_custkey", "c_nationkey")
+    d = D.scd3(dim.select("c_custkey", "c_nationkey"), delta, "c_custkey", "c_nationkey")
+    return d.withColumn("prev_c_nationkey", F.col("prev_c_nationkey").cast("double"))
 
 
 @register("DWH-08", "dwh08_scd4_history_table", f"""
@@ -267,14 +268,17 @@ def dwh19(spark, sf):
 
 
 @register("DWH-20", "dwh20_accumulating_snapshot", """
-SELECT user_id, min(ts) FILTER (WHERE event_type = 'signup') AS signup_at, min(ts) FILTER (WHERE event_type = 'view') AS view_at,
-  min(ts) FILTER (WHERE event_type = 'purchase') AS purchase_at,
+SELECT user_id, strftime(min(ts) FILTER (WHERE event_type = 'signup'), '%Y-%m-%d %H:%M:%S.%f') AS signup_at,
+  strftime(min(ts) FILTER (WHERE event_type = 'view'), '%Y-%m-%d %H:%M:%S.%f') AS view_at,
+  strftime(min(ts) FILTER (WHERE event_type = 'purchase'), '%Y-%m-%d %H:%M:%S.%f') AS purchase_at,
   round((epoch_us(min(ts) FILTER (WHERE event_type = 'view')) - epoch_us(min(ts) FILTER (WHERE event_type = 'signup'))) / 1e6, 3) AS signup_to_view_s,
   round((epoch_us(min(ts) FILTER (WHERE event_type = 'purchase')) - epoch_us(min(ts) FILTER (WHERE event_type = 'view'))) / 1e6, 3) AS view_to_purchase_s
 FROM events GROUP BY 1""")
 def dwh20(spark, sf):
     e = T(spark, sf, "events").withColumn("ts", F.col("ts"))
     d = D.accumulating_fact(e, "user_id", "ts", "event_type", ["signup", "view", "purchase"])
+    for c in ("signup_at", "view_at", "purchase_at"):
+        d = d.withColumn(c, ts_str(c))
     return d.withColumn("signup_to_view_s", F.round("signup_to_view_s", 3)) \
             .withColumn("view_to_purchase_s", F.round("view_to_purchase_s", 3))
 
@@ -381,7 +385,7 @@ def dwh28b(spark, sf):
 
 @register("DWH-29", "dwh29_primary_key_audit", """
 SELECT count(*) AS rows, count(DISTINCT (l_orderkey, l_linenumber)) AS distinct_keys,
-       count_if(l_orderkey IS NULL OR l_linenumber IS NULL) AS null_keys,
+       CAST(count_if(l_orderkey IS NULL OR l_linenumber IS NULL) AS BIGINT) AS null_keys,
        count(*) = count(DISTINCT (l_orderkey, l_linenumber)) AND count_if(l_orderkey IS NULL OR l_linenumber IS NULL) = 0 AS is_key
 FROM lineitem""")
 def dwh29(spark, sf):

@@ -19,6 +19,8 @@ def test_matches_oracle(spark, sf, duck, key):
     gc, gr = _rows(got)
     wc, wr = _rows(want)
     assert gc == wc, f"columns differ: {gc} vs {wc}"
+    dtypes = [(c, str(got[c].dtype), str(want[c].dtype)) for c in gc if str(got[c].dtype) != str(want[c].dtype)]
+    assert not dtypes, f"pandas dtypes differ: {dtypes}"
     assert len(gr) == len(wr)
     assert gr == wr
 

@@ -93,6 +93,11 @@ def main():
             bad += 1
             print(f"MISMATCH {key}: columns spark={sc} duck={dc}")
             continue
+        dt = [(c, str(spdf[c].dtype), str(dpdf[c].dtype)) for c in sc if str(spdf[c].dtype) != str(dpdf[c].dtype)]
+        if dt:
+            bad += 1
+            print(f"MISMATCH {key}: dtypes {dt}")
+            continue
         if sr != dr:
             bad += 1
             ds, ss = set(dr), set(sr)
