@@ -81,25 +81,41 @@ def scd2(dim: DataFrame, delta: DataFrame, key: str, cols: Sequence[str], day,
          sk: str = "sk") -> DataFrame:
     """DWH-06: close the current version of changed keys (valid_to = day - 1,
     is_current false) and open a new one from ``day``; new keys open a
-    version; unchanged and historical rows stay.  Change detection compares
-    a hash of ``cols`` (null-safe).  ``dim`` has columns
-    key, cols, valid_from, valid_to, is_current, sk."""
+    version; unchanged and historical rows stay.  ``dim`` has columns
+    key, cols, valid_from, valid_to, is_current, sk.
+
+    One full outer join of the current rows with the delta (change detected
+    by a null-safe hash of ``cols``) emits 1-2 rows per key through an array
+    explode; historical rows pass through untouched."""
     day_c = F.lit(day).cast("date")
+    names = dim.columns
     cur = dim.filter("is_current")
     hist = dim.filter(~F.col("is_current"))
-    d = delta.select(key, *cols).withColumn("_h", hash_key(cols))
-    c = cur.withColumn("_h", hash_key(cols))
-    j = c.select(key, F.col("_h").alias("_hc")).join(d.select(key, "_h"), key, "full")
-    changed = j.filter(F.col("_hc").isNotNull() & F.col("_h").isNotNull() & (F.col("_hc") != F.col("_h"))).select(key)
-    new = j.filter(F.col("_hc").isNull()).select(key)
-    closed = (cur.join(changed, key, "left_semi")
-                 .withColumn("valid_to", F.date_sub(day_c, 1)).withColumn("is_current", F.lit(False)))
-    kept = cur.join(changed, key, "left_anti")
-    opened = (d.join(changed.unionByName(new), key, "left_semi").drop("_h")
-               .withColumn("valid_from", day_c).withColumn("valid_to", F.lit(None).cast("date"))
-               .withColumn("is_current", F.lit(True)))
-    opened = opened.withColumn(sk, hash_key([key, "valid_from"]))
-    return hist.unionByName(kept).unionByName(closed).unionByName(opened.select(*dim.columns))
+    o = cur.select(key, F.struct(*[F.col(c) for c in names]).alias("_o"), hash_key(cols).alias("_ho"))
+    n = delta.select(key, F.struct(*[F.col(c) for c in cols]).alias("_n"), hash_key(cols).alias("_hn"))
+    j = o.join(n, key, "full")
+
+    def row(src: str, **over):
+        fields = []
+        for c in names:
+            if c in over:
+                fields.append(over[c].alias(c))
+            elif c == key:
+                fields.append(F.col(key).alias(c))
+            else:
+                fields.append(F.col(f"{src}.{c}").alias(c))
+        return F.struct(*fields)
+
+    kept = row("_o")
+    closed = row("_o", valid_to=F.date_sub(day_c, 1), is_current=F.lit(True) == F.lit(False))
+    opened = row("_n", valid_from=day_c, valid_to=F.lit(None).cast("date"), is_current=F.lit(True),
+                 **{sk: hash_key([F.col(key), day_c])})
+    changed = F.col("_o").isNotNull() & F.col("_n").isNotNull() & (F.col("_ho") != F.col("_hn"))
+    out = (F.when(F.col("_o").isNull(), F.array(opened))
+            .when(changed, F.array(closed, opened))
+            .otherwise(F.array(kept)))
+    new_rows = j.select(F.explode(out).alias("_r")).select("_r.*")
+    return hist.unionByName(new_rows)
 
 
 def scd2_init(df: DataFrame, key: str, cols: Sequence[str], day, sk: str = "sk") -> DataFrame:

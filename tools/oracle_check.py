@@ -93,10 +93,10 @@ def main():
             bad += 1
             print(f"MISMATCH {key}: columns spark={sc} duck={dc}")
             continue
-        dt = [(c, str(spdf[c].dtype), str(dpdf[c].dtype)) for c in sc if str(spdf[c].dtype) != str(dpdf[c].dtype)]
-        if dt:
+        dtd = [(c, str(spdf[c].dtype), str(dpdf[c].dtype)) for c in sc if str(spdf[c].dtype) != str(dpdf[c].dtype)]
+        if dtd:
             bad += 1
-            print(f"MISMATCH {key}: dtypes {dt}")
+            print(f"MISMATCH {key}: dtypes {dtd}")
             continue
         if sr != dr:
             bad += 1
