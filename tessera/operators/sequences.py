@@ -126,23 +126,30 @@ def sessionize(df: DataFrame, key: str, ts: str, gap_s: int = 1800, chunk: Colum
     new session (an event exactly ``gap_s`` later stays in the session).
 
     Returns one row per session: key, session_no, start, end, n_events,
-    duration_s.  Previous-row lookup and the running session count are both
-    chunked (default chunk: calendar day of ``ts``) so a hot key is processed
-    by many tasks; only the one-row-per-chunk summaries are windowed per key.
-    """
-    order = id_col or ts
+    duration_s.  One chunked pass (default chunk: calendar day of ``ts``):
+    inside each (key, chunk) the gaps and a local session count are computed
+    with the first row's flag left open; a one-row-per-chunk summary (first
+    and last time, local count) decides each chunk's first flag from the
+    previous chunk's last time and gives the session offsets.  A key holding
+    a third of the rows is spread over its chunks."""
     chunk = chunk if chunk is not None else F.to_date(F.col(ts))
-    d = df.select(key, ts, *([id_col] if id_col else []))
-    if id_col:
-        d = d.withColumn("_ord", F.struct(ts, id_col))
-        order = "_ord"
-    else:
-        d = d.withColumn("_ord", F.col(ts))
-        order = "_ord"
-    d = lag_chunked(d, [key], order, [ts], chunk, prefix="prev_")
-    gap = F.unix_micros(F.col(ts).cast("timestamp")) - F.unix_micros(F.col(f"prev_{ts}").cast("timestamp"))
-    d = d.withColumn("_new", F.col(f"prev_{ts}").isNull() | (gap > gap_s * 1_000_000))
-    d = running_group(d, [key], [order], F.col("_new"), "session_no", chunk=chunk)
+    us = F.unix_micros(F.col(ts).cast("timestamp"))
+    d = df.select(key, ts, *([id_col] if id_col else [])).withColumn("_us", us).withColumn("_ch", chunk)
+    order = [F.col("_us")] + ([F.col(id_col)] if id_col else [])
+    w = Window.partitionBy(key, "_ch").orderBy(*order)
+    d = d.withColumn("_prev", F.lag("_us").over(w))
+    d = d.withColumn("_f", ((F.col("_prev").isNotNull()) & (F.col("_us") - F.col("_prev") > gap_s * 1_000_000)).cast("int"))
+    d = d.withColumn("_loc", F.sum("_f").over(w.rowsBetween(Window.unboundedPreceding, Window.currentRow)))
+    summ = d.groupBy(key, "_ch").agg(F.min("_us").alias("_first"), F.max("_us").alias("_last"),
+                                     F.sum("_f").alias("_nloc"))
+    wc = Window.partitionBy(key).orderBy("_ch")
+    summ = summ.withColumn("_prev_last", F.lag("_last").over(wc))
+    summ = summ.withColumn("_ff", (F.col("_prev_last").isNull()
+                                   | (F.col("_first") - F.col("_prev_last") > gap_s * 1_000_000)).cast("int"))
+    summ = summ.withColumn("_off", F.coalesce(F.sum(F.col("_ff") + F.col("_nloc")).over(
+        wc.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
+    d = d.join(summ.select(key, "_ch", "_ff", "_off"), [key, "_ch"])
+    d = d.withColumn("session_no", (F.col("_off") + F.col("_ff") + F.col("_loc")).cast("bigint"))
     return d.groupBy(key, "session_no").agg(
         F.min(ts).alias("start"), F.max(ts).alias("end"), F.count(F.lit(1)).alias("n_events")
     ).withColumn("duration_s", (F.unix_micros(F.col("end").cast("timestamp"))

@@ -145,3 +145,31 @@ def test_chunked_fill_down_crosses_empty_chunks(spark):
     chunked = sorted(tuple(r) for r in sequences.fill_down(df, "t", "c", by=["k"], chunk=F.floor(F.col("t") / 5)).collect())
     assert plain == chunked
     assert [r[2] for r in chunked if r[0] == 1] == ["a", "a", "a", "a", "b", "b"]
+
+
+def test_sessionize_matches_python_reference_with_tiny_chunks(spark):
+    import random
+    rnd = random.Random(3)
+    base = ts("2024-01-01 00:00:00")
+    rows, eid = [], 0
+    for user in (1, 2, 3):
+        t = base
+        for _ in range(60):
+            t = t + dt.timedelta(seconds=rnd.choice([60, 600, 1799, 1800, 1801, 4000, 20000]))
+            rows.append((eid, user, t))
+            eid += 1
+    df = spark.createDataFrame(rows, "event_id long, user_id long, ts timestamp_ntz")
+    got = sorted((r.user_id, r.session_no, r.n_events) for r in
+                 sequences.sessionize(df, "user_id", "ts", 1800, chunk=F.date_trunc("hour", "ts"), id_col="event_id").collect())
+    want = []
+    for user in (1, 2, 3):
+        times = sorted(t for _, u, t in rows if u == user)
+        n, size = 1, 1
+        for a, b in zip(times, times[1:]):
+            if (b - a).total_seconds() > 1800:
+                want.append((user, n, size))
+                n, size = n + 1, 1
+            else:
+                size += 1
+        want.append((user, n, size))
+    assert got == sorted(want)
