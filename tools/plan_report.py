@@ -1,6 +1,6 @@
 """Write PLANS.md: a summary of the physical plan of each headline query.
 
-Usage: python tools/plan_report.py [sf_dir]   (default /root/testdata/sf0.1)
+Usage: python tools/plan_report.py [sf_dir] [--all]   (default /root/testdata/sf0.1)
 The static plan (AQE off) is summarised so the counts do not depend on
 runtime statistics; AQE re-plans joins and partition counts at run time.
 """
@@ -22,7 +22,7 @@ def summarise(plan: str) -> dict:
     lines = plan.splitlines()
     single = []
     for i, line in enumerate(lines):
-        if "Exchange SinglePartition" in line:
+        if "Exchange SinglePartition" in line and "ReusedExchange" not in line:
             child = lines[i + 1].strip().lstrip("+- :*()0123456789").split("(")[0] if i + 1 < len(lines) else ""
             single.append(child)
     scans = re.findall(r"FileScan parquet \[([^\]]*)\]", plan)
@@ -42,7 +42,8 @@ def summarise(plan: str) -> dict:
 
 
 def main() -> None:
-    sf = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.1"
+    args = [a for a in sys.argv[1:] if not a.startswith("--")]
+    sf = args[0] if args else "/root/testdata/sf0.1"
     spark = get_session()
     spark.conf.set("spark.sql.adaptive.enabled", "false")
     qs = all_queries()
@@ -63,6 +64,20 @@ def main() -> None:
     out += ["", "Nested-loop joins in these plans attach one-row aggregates (`attach_scalars`:",
             "totals, quantile boundaries) or the size-checked query set of exact vector search.",
             "Python appears only in the Arrow-batched chunker (`txt05`)."]
+    if "--all" in sys.argv:
+        out += ["", "## Every registered query", "",
+                "| query | shuffles | BHJ | SMJ | BNLJ | cartesian | WGL | single-partition inputs | Python |",
+                "| --- | --- | --- | --- | --- | --- | --- | --- | --- |"]
+        for name in sorted(qs):
+            try:
+                p = qs[name].build(spark, sf)._jdf.queryExecution().executedPlan().toString()
+            except Exception as e:  # noqa: BLE001
+                out.append(f"| {name} | plan error: {type(e).__name__} | | | | | | | |")
+                continue
+            s = summarise(p)
+            out.append(f"| {name} | {s['shuffles']} | {s['broadcast_joins']} | {s['sort_merge_joins']} | "
+                       f"{s['nested_loop']} | {s['cartesian']} | {'yes' if s['window_group_limit'] else '-'} | "
+                       f"{s['single_partition_inputs']} | {'yes' if s['python'] else '-'} |")
     with open(os.path.join(os.path.dirname(os.path.dirname(os.path.abspath(__file__))), "PLANS.md"), "w") as fh:
         fh.write("\n".join(out) + "\n")
     print("\n".join(out))
