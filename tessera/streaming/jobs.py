@@ -161,7 +161,10 @@ def inventory(stream: DataFrame, item: str, qty: str, limit: float, opening: flo
 # ------------------------------------------------------- STR-09 late + dedup
 
 def dedup_within(stream: DataFrame, id_col: str, ts: str, delay: str) -> DataFrame:
-    """STR-09: repeats of an id inside the watermark delay are dropped."""
+    """STR-09: repeats of an id inside the watermark delay are dropped (on a
+    batch DataFrame: plain de-duplication by id)."""
+    if not stream.isStreaming:
+        return stream.dropDuplicates([id_col])
     return event_time(stream, ts).withWatermark(ts, delay).dropDuplicatesWithinWatermark([id_col])
 
 
