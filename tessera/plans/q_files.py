@@ -182,3 +182,57 @@ def str11(spark, sf):
     a = e.filter("event_type = 'view'").select("user_id", F.col("event_id").alias("view_id"), F.col("ts").alias("ts_a"))
     b = e.filter("event_type = 'purchase'").select("user_id", F.col("event_id").alias("purchase_id"), F.col("ts").alias("ts_b"))
     return jobs.near_join_stream(a, b, "user_id", "ts_a", "ts_b", 900).select("view_id", "purchase_id")
+
+
+@register("VER-08", "ver08_change_feed_consumer", """SELECT o_orderkey, o_orderstatus FROM orders""")
+def ver08(spark, sf):
+    feed, sink, ck = _fresh(spark, "feed"), _fresh(spark, "consumer"), _fresh(spark, "consumer_ck")
+    o = T(spark, sf, "orders").select("o_orderkey", "o_orderstatus", "o_orderdate")
+    schema = T_.StructType.fromDDL("o_orderkey long, o_orderstatus string")
+    early = F.col("o_orderdate") < F.lit("1998-01-01").cast("timestamp_ntz")
+    o.filter(early).drop("o_orderdate").write.parquet(f"{feed}/part=1")
+    jobs.consume(spark, feed, schema, ck, sink).awaitTermination()       # first run: first change file
+    o.filter(~early).drop("o_orderdate").write.parquet(f"{feed}/part=2")
+    jobs.consume(spark, feed, schema, ck, sink).awaitTermination()       # restart: only the new file
+    return spark.read.parquet(sink).select("o_orderkey", "o_orderstatus")
+
+
+@register("VER-09", "ver09_replay_changes", """
+SELECT o_orderkey, o_orderstatus, CASE WHEN o_orderstatus = 'O' THEN o_totalprice + 1 ELSE o_totalprice END AS o_totalprice
+FROM orders WHERE o_orderdate >= TIMESTAMP '1995-06-01'""")
+def ver09(spark, sf):
+    root = _fresh(spark, "changes")
+    o = T(spark, sf, "orders")
+    old = o.filter(F.col("o_orderdate") < F.lit("2001-01-01").cast("timestamp_ntz")).select("o_orderkey", "o_orderstatus", "o_totalprice")
+    new = o.filter(F.col("o_orderdate") >= F.lit("1995-06-01").cast("timestamp_ntz")).select(
+        "o_orderkey", "o_orderstatus",
+        F.when(F.col("o_orderstatus") == "O", F.col("o_totalprice") + 1).otherwise(F.col("o_totalprice")).alias("o_totalprice"))
+    versions.write_version(versions.diff(old, new, "o_orderkey"), root, "2024-01-01 00:00:00")
+    once = versions.replay(spark, root, 1, 1, old, "o_orderkey")
+    return versions.replay(spark, root, 1, 1, once, "o_orderkey")  # replaying again changes nothing
+
+
+@register("STR-04", "str04_one_feed_many_sinks", """
+SELECT 'all' AS sink, count(*) AS n FROM events UNION ALL SELECT 'purchases', count(*) FROM events WHERE event_type = 'purchase'""")
+def str04(spark, sf):
+    src, a, b = _fresh(spark, "feed_events"), _fresh(spark, "sink_all"), _fresh(spark, "sink_purchases")
+    T(spark, sf, "events").select("event_id", "event_type", "value").write.parquet(src)
+    stream = spark.readStream.schema("event_id long, event_type string, value double").parquet(src)
+    sinks = {"all": jobs.folder_sink(a), "purchases": jobs.folder_sink(b, lambda d: d.filter("event_type = 'purchase'"))}
+    jobs.start_fanout(stream, sinks, _fresh(spark, "fanout_ck")).awaitTermination()
+    return (spark.read.parquet(a).agg(F.count(F.lit(1)).alias("n")).withColumn("sink", F.lit("all"))
+            .unionByName(spark.read.parquet(b).agg(F.count(F.lit(1)).alias("n")).withColumn("sink", F.lit("purchases"))))
+
+
+@register("STR-12", "str12_log_tail", """
+SELECT strftime(ts, '%Y-%m-%d %H:%M:%S.%f') AS ts, CASE WHEN event_type = 'error' THEN 'ERROR' ELSE 'INFO' END AS level,
+       'user-' || CAST(user_id AS VARCHAR) AS thread FROM events""")
+def str12(spark, sf):
+    src, out = _fresh(spark, "logs"), _fresh(spark, "parsed_logs")
+    e = T(spark, sf, "events")
+    e.select(F.format_string("%s %s [user-%d] %s value=%s", F.date_format("ts", "yyyy-MM-dd HH:mm:ss.SSSSSS"),
+                             F.when(F.col("event_type") == "error", "ERROR").otherwise("INFO"), "user_id",
+                             "event_type", F.col("value").cast("string")).alias("value")).write.text(src)
+    jobs.start_log_tail(spark, src, out, _fresh(spark, "tail_ck")).awaitTermination()
+    p = spark.read.parquet(out).filter("_ok")
+    return p.select(F.date_format(F.col("ts").cast("timestamp_ntz"), "yyyy-MM-dd HH:mm:ss.SSSSSS").alias("ts"), "level", "thread")
