@@ -12,7 +12,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tessera.operators.common import _cols, attach_scalars, broadcast_bounded, is_bounded, running_extreme
+from tessera.operators.common import attach_scalars, broadcast_bounded, is_bounded, running_extreme
 
 
 def join_inner(a: DataFrame, b: DataFrame, on) -> DataFrame:

@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tessera.operators.common import (_cols, _names, attach_scalars, lag_chunked, month_index,
-                                      prefix_sum, quantile_chunk, running_extreme)
+                                      prefix_sum, running_extreme)
 
 __all__ = ["month_index"]
 

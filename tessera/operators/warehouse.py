@@ -5,7 +5,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tessera.functions.scalars import hash_key
@@ -107,7 +107,7 @@ def scd2(dim: DataFrame, delta: DataFrame, key: str, cols: Sequence[str], day,
         return F.struct(*fields)
 
     kept = row("_o")
-    closed = row("_o", valid_to=F.date_sub(day_c, 1), is_current=F.lit(True) == F.lit(False))
+    closed = row("_o", valid_to=F.date_sub(day_c, 1), is_current=F.lit(False))
     opened = row("_n", valid_from=day_c, valid_to=F.lit(None).cast("date"), is_current=F.lit(True),
                  **{sk: hash_key([F.col(key), day_c])})
     changed = F.col("_o").isNotNull() & F.col("_n").isNotNull() & (F.col("_ho") != F.col("_hn"))

@@ -1,11 +1,9 @@
 """Registered queries for aggregation (AGG-*)."""
 
-from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from tessera.functions.scalars import date_str, round_half_up as r2
 from tessera.operators import aggs as A
-from tessera.operators.common import attach_scalars
 from tessera.plans.registry import register
 from tessera.session import load_table as T
 

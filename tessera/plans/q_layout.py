@@ -1,7 +1,5 @@
 """Registered queries for layout reports (LAY-*)."""
 
-from pyspark.sql import functions as F
-
 from tessera.operators import layout as Y
 from tessera.plans.registry import register
 from tessera.session import load_table as T

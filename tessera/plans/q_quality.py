@@ -2,7 +2,6 @@
 
 from pyspark.sql import functions as F
 
-from tessera.functions.scalars import date_str
 from tessera.operators import quality as Qy
 from tessera.plans.registry import register
 from tessera.session import load_table as T

@@ -1,6 +1,5 @@
 """Registered queries for set operations (SET-*)."""
 
-from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from tessera.operators import sets as S
