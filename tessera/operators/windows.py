@@ -20,6 +20,32 @@ def rank_rows(df: DataFrame, by, order: Sequence, kind: str = "row_number",
     return df.withColumn(out, _RANKERS[kind]().over(w))
 
 
+def rank_rows_chunked(df: DataFrame, by, order_col: str, kind: str, out: str, chunk, tie: Sequence = ()
+                      ) -> DataFrame:
+    """WIN-01 chunked (single order column, ascending): row_number is a
+    chunked prefix count over (order_col, *tie); rank = 1 + rows with a
+    smaller order value and dense_rank = number of distinct values up to
+    the row's, both from chunked prefix sums over the distinct values,
+    joined back.  ``chunk`` must be an expression of ``order_col`` that is
+    monotone in it."""
+    keys = _names(by)
+    if kind == "row_number":
+        d = df.withColumn("__rk_one", F.lit(1)).withColumn("__rk_c", chunk)
+        return prefix_sum(d, keys, [F.col(order_col), *_cols(tie)], "__rk_one", out, "__rk_c") \
+            .drop("__rk_one", "__rk_c").withColumn(out, F.col(out).cast("int"))
+    vals = df.groupBy(*keys, order_col).agg(F.count(F.lit(1)).alias("__rk_n")) \
+             .withColumn("__rk_one", F.lit(1)).withColumn("__rk_c", chunk)
+    if kind == "dense_rank":
+        v = prefix_sum(vals, keys, [F.col(order_col)], "__rk_one", out, "__rk_c")
+    elif kind == "rank":
+        v = prefix_sum(vals, keys, [F.col(order_col)], "__rk_n", "__rk_upto", "__rk_c") \
+            .withColumn(out, F.col("__rk_upto") - F.col("__rk_n") + 1).drop("__rk_upto")
+    else:
+        raise ValueError(kind)
+    v = v.select(*keys, order_col, F.col(out).cast("int").alias(out))
+    return df.join(v, [*keys, order_col])
+
+
 def top_n_per(df: DataFrame, by, order: Sequence, n: int, kind: str = "row_number",
               out: str = "rn") -> DataFrame:
     """WIN-02: top-n rows per group.  A rank filter lets Spark insert a

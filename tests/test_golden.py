@@ -173,3 +173,17 @@ def test_sessionize_matches_python_reference_with_tiny_chunks(spark):
                 size += 1
         want.append((user, n, size))
     assert got == sorted(want)
+
+
+def test_chunked_ranks_equal_plain_ranks(spark):
+    import random
+    rnd = random.Random(8)
+    rows = [(k, i, rnd.randint(0, 30)) for k in (1, 2) for i in range(80)]
+    df = spark.createDataFrame(rows, "k int, id int, v int")
+    for kind in ("row_number", "rank", "dense_rank"):
+        order = ["v", "id"] if kind == "row_number" else ["v"]
+        plain = sorted(tuple(r) for r in windows.rank_rows(df, "k", order, kind, "r").select("k", "id", "v", "r").collect())
+        chunked = sorted(tuple(r) for r in windows.rank_rows_chunked(df, "k", "v", kind, "r", F.floor(F.col("v") / 4),
+                                                                     tie=["id"] if kind == "row_number" else ())
+                         .select("k", "id", "v", "r").collect())
+        assert plain == chunked, kind
