@@ -14,8 +14,13 @@ _RANKERS = {"row_number": F.row_number, "rank": F.rank, "dense_rank": F.dense_ra
 
 
 def rank_rows(df: DataFrame, by, order: Sequence, kind: str = "row_number",
-              out: str = "rn") -> DataFrame:
-    """WIN-01: row_number / rank / dense_rank per group with a multi-key order."""
+              out: str = "rn", chunk=None) -> DataFrame:
+    """WIN-01: row_number / rank / dense_rank per group with a multi-key order.
+    With ``chunk`` (ascending column names; the first is the ranking value,
+    the rest break row_number ties) the chunked form is used."""
+    if chunk is not None:
+        names = _names(order)
+        return rank_rows_chunked(df, by, names[0], kind, out, chunk, tie=names[1:])
     w = Window.partitionBy(*_cols(by)).orderBy(*_cols(order))
     return df.withColumn(out, _RANKERS[kind]().over(w))
 

@@ -187,3 +187,6 @@ def test_chunked_ranks_equal_plain_ranks(spark):
                                                                      tie=["id"] if kind == "row_number" else ())
                          .select("k", "id", "v", "r").collect())
         assert plain == chunked, kind
+        via = sorted(tuple(r) for r in windows.rank_rows(df, "k", order, kind, "r", chunk=F.floor(F.col("v") / 4))
+                     .select("k", "id", "v", "r").collect())
+        assert via == plain, kind
