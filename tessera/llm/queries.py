@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from tessera.llm.common import table
 from tessera.llm.decontaminate import find_benchmark_words
 from tessera.llm.line_dedup import dedup_lines
+from tessera.llm.packing import pack
 from tessera.llm.token_counts import count_tokens
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -75,3 +76,8 @@ SELECT d.doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit,
        sha256(coalesce(items, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
 FROM d LEFT JOIN x ON d.doc_id = x.doc_id LEFT JOIN y ON d.doc_id = y.doc_id
 """
+
+
+@query
+def op10_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pack(table(spark, sf_dir, "documents"))
