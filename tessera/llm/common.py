@@ -6,6 +6,7 @@ import os
 import uuid
 from collections.abc import Iterable, Iterator
 
+import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -80,3 +81,55 @@ def fresh_name(df: DataFrame, stem: str) -> str:
 
 def numbered(df: DataFrame, name: str) -> DataFrame:
     return df.withColumn(name, F.monotonically_increasing_id())
+
+
+def bitmap_of(df: DataFrame, col: str, bits: int) -> bytes:
+    """Bitmap of a column of 64-bit hashes by their lowest bits.
+
+    Its size is ``bits`` / 8 bytes, however many rows there are; the more rows,
+    the more values it wrongly holds, but it never lacks one.
+    """
+    bit = F.col(col).bitwiseAND(bits - 1)
+    parts = (df.select(bit.alias("bit")).groupBy(F.bitmap_bucket_number("bit").alias("bucket"))
+             .agg(F.bitmap_construct_agg(F.bitmap_bit_position("bit")).alias("part")).collect())
+    out = np.zeros(bits // 8, np.uint8)
+    for bucket, part in parts:  # bucket b > 0 holds the values from (b - 1) * 32768 + 1 on, bucket 0 the value 0
+        values = np.flatnonzero(np.unpackbits(np.frombuffer(part, np.uint8), bitorder="little"))
+        values = values + ((bucket - 1) * 32768 + 1 if bucket > 0 else 0)
+        np.bitwise_or.at(out, values >> 3, (1 << (values & 7)).astype(np.uint8))
+    return out.tobytes()
+
+
+def in_bitmap(bitmap: np.ndarray, hashes: np.ndarray) -> np.ndarray:
+    """Which of the unsigned 64-bit hashes the bitmap (bytes) holds."""
+    bit = hashes & np.uint64(len(bitmap) * 8 - 1)
+    return (bitmap[bit >> np.uint64(3)] >> (bit & np.uint64(7)).astype(np.uint8)) & 1 == 1
+
+
+def components(edges: DataFrame, name: str = "components") -> DataFrame:
+    """(node, label) of every node of the edges (a, b): label is the least node it reaches.
+
+    Each round hooks every label onto its least neighbour, follows the hooks to
+    their ends and contracts the edges; edges between labels at least halve.
+    """
+    edges = edges.where(F.col("a") != F.col("b")).select(
+        F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
+    edges = through_table(edges, name)
+    labels = edges.select(F.col("a").alias("node")).union(edges.select("b")).distinct().withColumn("label", F.col("node"))
+    while not edges.isEmpty():
+        hooks = through_table(edges.groupBy(F.col("a").alias("from")).agg(F.min("b").alias("to")), name)
+        while True:  # pointer jumping: every hook ends at a label that hooks nowhere
+            further = hooks.select(F.col("from").alias("to"), F.col("to").alias("end"))
+            jumped = through_table(hooks.join(further, "to", "left").select(
+                "from", F.coalesce("end", "to").alias("to"), F.col("end").isNotNull().alias("moved")), name)
+            hooks = jumped.select("from", "to")
+            if jumped.where("moved").isEmpty():
+                break
+        labels = through_table(labels.join(hooks.withColumnRenamed("from", "label"), "label", "left").select(
+            "node", F.coalesce("to", "label").alias("label")), name)
+        ha, hb = hooks.toDF("a", "ta"), hooks.toDF("b", "tb")
+        edges = edges.join(ha, "a", "left").join(hb, "b", "left").select(
+            F.coalesce("ta", "a").alias("a"), F.coalesce("tb", "b").alias("b"))
+        edges = through_table(edges.where(F.col("a") != F.col("b")).select(
+            F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), name)
+    return labels

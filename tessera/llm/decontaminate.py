@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tessera.llm.common import fresh_name, numbered
+from tessera.llm.common import bitmap_of, fresh_name, in_bitmap, numbered
 from tessera.llm.words import ALNUM, grams, mix, steps, words_of
 
 _PRINT = T.StructType([
@@ -83,7 +83,7 @@ def _lists(x: np.ndarray) -> pa.Array:
     return pa.ListArray.from_arrays(pa.array(np.arange(n + 1, dtype=np.int32) * k), pa.array(x.reshape(-1).view(np.int64)))
 
 
-def _fingerprints(texts: pa.Array, lengths: list[int], outside: int, bitmap: np.ndarray | None, bits: int,
+def _fingerprints(texts: pa.Array, lengths: list[int], outside: int, bitmap: np.ndarray | None,
                   own_length: int | None = None) -> tuple[np.ndarray, pa.Array]:
     """Words per text, and per text the list of its fingerprints for the windows of ``lengths`` words.
 
@@ -101,8 +101,7 @@ def _fingerprints(texts: pa.Array, lengths: list[int], outside: int, bitmap: np.
             at = at[np.minimum(counts[row[at]], own_length) == n]
         fp = hashes[at]
         if bitmap is not None:
-            bit = fp & np.uint64(bits - 1)
-            known = (bitmap[bit >> np.uint64(3)] >> (bit & np.uint64(7)).astype(np.uint8)) & 1 == 1
+            known = in_bitmap(bitmap, fp)
             at, fp = at[known], fp[known]
         parts.append((row[at], pa.StructArray.from_arrays(
             [pa.array(np.full(len(at), n, np.int32)), pa.array(fp.view(np.int64)), pa.array(at - begin[row[at]]),
@@ -125,10 +124,9 @@ def fingerprints(df: DataFrame, text_col: str, lengths: list[int], outside: int,
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = np.frombuffer(held.value, np.uint8) if held is not None else None
-        bits = len(known) * 8 if known is not None else 0
         for b in batches:
             for at, texts in steps(b.column(b.num_columns - 1)):
-                counts, prints = _fingerprints(texts, lengths, outside, known, bits, own_length)
+                counts, prints = _fingerprints(texts, lengths, outside, known, own_length)
                 yield pa.RecordBatch.from_arrays(
                     [*(c.slice(at, len(texts)) for c in b.columns[:-1]), pa.array(counts, pa.int64()), prints],
                     names=schema.names)
@@ -136,21 +134,6 @@ def fingerprints(df: DataFrame, text_col: str, lengths: list[int], outside: int,
     return df.mapInArrow(cut, schema)
 
 
-def _bitmap(prints: DataFrame, bits: int) -> bytes:
-    """Bitmap of the fingerprints; ``bits`` / 8 bytes, however many fingerprints there are."""
-    bit = F.col("fp").bitwiseAND(bits - 1)
-    parts = (prints.select(bit.alias("bit"))
-             .groupBy(F.bitmap_bucket_number(F.col("bit")).alias("bucket"))
-             .agg(F.bitmap_construct_agg(F.bitmap_bit_position(F.col("bit"))).alias("part")).collect())
-    out = np.zeros(bits // 8, np.uint8)
-    for bucket, part in parts:  # bucket b holds the values from (b - 1) * 32768 + 1 on, b = 0 the value 0
-        values = np.flatnonzero(np.unpackbits(np.frombuffer(part, np.uint8), bitorder="little"))
-        values = values + ((bucket - 1) * 32768 + 1 if bucket > 0 else 0)
-        values = values[(values >= 0) & (values < bits)]
-        np.bitwise_or.at(out, values >> 3, (1 << (values & 7)).astype(np.uint8))
-    return out.tobytes()
-
-
 def _covered(spans):
     """Words covered by spans sorted by their start."""
     zero = F.struct(F.lit(0).cast("long").alias("sum"), F.lit(0).cast("long").alias("reach"))
@@ -175,7 +158,7 @@ def find_benchmark_words(df: DataFrame, items: DataFrame, id_col: str = "doc_id"
              .select("item", F.explode("prints").alias("p")).select("item", "p.*"))
     bench = (bench.groupBy("n", "fp", "left", "right").agg(F.sort_array(F.collect_set("item")).alias("items")))
     present = sorted(r.n for r in bench.select("n").distinct().collect())  # at most ``span`` numbers
-    bitmap = _bitmap(bench, filter_bits)
+    bitmap = bitmap_of(bench, "fp", filter_bits)
 
     rows = numbered(df.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")), "row")
     found = fingerprints(rows.select("row", "id", "text"), "text", present, 1, bitmap)

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from tessera.llm.common import table
 from tessera.llm.decontaminate import find_benchmark_words
+from tessera.llm.jaccard_join import near_duplicates
 from tessera.llm.line_dedup import dedup_lines
 from tessera.llm.packing import pack
 from tessera.llm.token_counts import count_tokens
@@ -81,3 +82,8 @@ FROM d LEFT JOIN x ON d.doc_id = x.doc_id LEFT JOIN y ON d.doc_id = y.doc_id
 @query
 def op10_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(table(spark, sf_dir, "documents"))
+
+
+@query
+def op3_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates(table(spark, sf_dir, "documents")).select("doc_id", "n_shingles", "component_id")
