@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from tessera.llm.common import table
 from tessera.llm.decontaminate import find_benchmark_words
+from tessera.llm.html_text import extract_pages
 from tessera.llm.jaccard_join import near_duplicates
 from tessera.llm.line_dedup import dedup_lines
 from tessera.llm.packing import pack
@@ -87,3 +88,8 @@ def op10_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op3_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents")).select("doc_id", "n_shingles", "component_id")
+
+
+@query
+def op6_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return extract_pages(table(spark, sf_dir, "pages"))
