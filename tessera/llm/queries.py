@@ -14,6 +14,7 @@ from tessera.llm.jaccard_join import near_duplicates
 from tessera.llm.line_dedup import dedup_lines
 from tessera.llm.packing import pack
 from tessera.llm.token_counts import count_tokens
+from tessera.llm.url_filter import UrlFilter
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -93,3 +94,14 @@ def op3_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op6_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     return extract_pages(table(spark, sf_dir, "pages"))
+
+
+#: (host, path, verdict)
+URL_RULES = [("org", "/", "allow"), ("example.org", "/es/", "block"), ("example.org", "/en/1", "block"),
+             ("com", "/fr/", "allow"), ("com", "/de/", "block")]
+
+
+@query
+def op9_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "pages")
+    return UrlFilter(URL_RULES).fit(pages, "url").judge(pages, "url")
