@@ -11,6 +11,7 @@ from tessera.llm.common import table
 from tessera.llm.decontaminate import find_benchmark_words
 from tessera.llm.html_text import extract_pages
 from tessera.llm.jaccard_join import near_duplicates
+from tessera.llm.language_id import add_language, fit, held_out
 from tessera.llm.line_dedup import dedup_lines
 from tessera.llm.packing import pack
 from tessera.llm.token_counts import count_tokens
@@ -105,3 +106,11 @@ URL_RULES = [("org", "/", "allow"), ("example.org", "/es/", "block"), ("example.
 def op9_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = table(spark, sf_dir, "pages")
     return UrlFilter(URL_RULES).fit(pages, "url").judge(pages, "url")
+
+
+@query
+def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    model = fit(docs.where(~held_out("doc_id")))
+    rows = docs.select("doc_id", held_out("doc_id").alias("held_out"), "text")
+    return add_language(rows, model).drop("text")
