@@ -2,7 +2,7 @@
 
 A text's vector counts the trigrams of its UTF-8 bytes (letters lower-cased,
 every run of other characters one space), hashed to ``DIMENSIONS`` places,
-dampened by a square root, weighted by inverse document frequency and
+dampened by a logarithm, weighted by inverse document frequency and
 normalised.  Each language has several centroids, found by spherical k-means
 over its training texts, and a text gets the language of the centroid with the
 greatest cosine.  A text is rejected when its distance to that centroid is
@@ -71,7 +71,7 @@ def trigrams(text: str | None) -> tuple[np.ndarray, np.ndarray, int] | None:
 def _vectors(sparse: list[tuple[np.ndarray, np.ndarray]], idf: np.ndarray) -> np.ndarray:
     out = np.zeros((len(sparse), DIMENSIONS), np.float32)
     for row, (places, counts) in zip(out, sparse):
-        row[places] = np.sqrt(counts) * idf[places]
+        row[places] = (1.0 + np.log(counts)) * idf[places]
     return out / np.maximum(np.linalg.norm(out, axis=1, keepdims=True), 1e-12)
 
 
