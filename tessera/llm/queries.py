@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tessera.llm import license_scan
 from tessera.llm.common import table
 from tessera.llm.decontaminate import find_benchmark_words
 from tessera.llm.html_text import extract_pages
@@ -114,3 +115,11 @@ def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     model = fit(docs.where(~held_out("doc_id")))
     rows = docs.select("doc_id", held_out("doc_id").alias("held_out"), "text")
     return add_language(rows, model).drop("text")
+
+
+@query
+def op4_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return license_scan.scan(table(spark, sf_dir, "documents"))
+
+
+ORACLES["op4_license_scan"] = license_scan.oracle()
