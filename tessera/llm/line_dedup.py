@@ -14,7 +14,7 @@ keys shorter than ``min_points`` code points are never dropped.  Keys found in
 at least ``min_docs`` documents lose their lines everywhere but in the
 largest id that holds them.  Hashes have 128 bits.
 
-Defined cases: a null or empty text is one empty line; rows that repeat an id
+Defined cases: a null or empty text is one empty line and stays as it is; rows that repeat an id
 are one document, and the keeper's rows all keep the line; rows with a null id
 are not counted and keep all their lines; an empty table gives no rows; other
 columns pass through.
@@ -147,7 +147,7 @@ def dedup_lines(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", m
                 if hashes.is_valid:
                     drop = set(hashes.as_py())
                     left = [x for x in lines if line_key(x, min_points) not in drop]
-                kept.append(b"\n".join(left).decode())
+                kept.append(b"\n".join(left).decode() if text.is_valid else None)
                 before.append(len(lines))
                 gone.append(len(lines) - len(left))
             columns = list(b.columns[:-1])

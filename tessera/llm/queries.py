@@ -36,7 +36,7 @@ def op2_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     kept = dedup_lines(table(spark, sf_dir, "documents").select("doc_id", "text"))
-    return kept.select("doc_id", "n_lines", "n_dropped", F.sha2(F.col("text"), 256).alias("kept_sha256"))
+    return kept.select("doc_id", "n_lines", "n_dropped", F.sha2(F.coalesce("text", F.lit("")), 256).alias("kept_sha256"))
 
 
 ORACLES["op8_line_dedup"] = """
