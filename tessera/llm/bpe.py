@@ -18,12 +18,12 @@ import re
 
 from tessera.llm.common import tokenizer_path
 
-#: Character classes below U+0250, as the pre-tokenizers use them.
-LETTERS = "A-Za-zªµºÀ-ÖØ-öø-ɏ"
+#: Character classes below U+0180, as the pre-tokenizers use them.
+LETTERS = "A-Za-zªµºÀ-ÖØ-öø-ſ"
 NUMBERS = "0-9²³¹¼-¾"
 SPACES = "\\t\\n\\x0b\\x0c\\r \u0085 "
 #: Beyond Latin, and the one Latin letter whose lower case is two characters.
-_OTHER = re.compile("[^\\x00-įı-ɏ]")
+_OTHER = re.compile("[^\\x00-įı-ſ]")
 #: More than this many cached pre-tokens and the cache starts anew, so that a worker's memory is bounded.
 CACHE_ENTRIES = 400_000
 

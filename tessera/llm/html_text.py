@@ -8,9 +8,10 @@ role names an advert, notice, menu, sidebar or reader comments.  Every other
 node gets its composite text density: characters per tag, adjusted by a
 logarithm of its link-free share whose base depends on the link share of the
 node and of the body.  The node whose children have the greatest sum of
-densities is the article; the least density on its path to the body is the
+densities is the article (an `article` or `main` element around it is taken
+whole); the least density on its path to the body is the
 threshold, and below every other node that reaches the threshold the subtree
-of the greatest sum is taken too.
+of the greatest sum is taken too; headings beside the path are kept.
 
 Defined cases: a null or empty page, and one without text, gives an empty
 text; a page cut off in the middle gives what is there, a cut character
@@ -34,6 +35,7 @@ BLOCKS = frozenset(
     "address article aside blockquote body center dd details dialog dir div dl dt fieldset figcaption figure footer "
     "form h1 h2 h3 h4 h5 h6 header hr html li main menu nav ol p pre section summary table tbody td tfoot th thead "
     "tr ul".split())
+HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 #: Opening one of these ends an open paragraph.
 _ENDS_P = BLOCKS - {"body", "html", "tbody", "td", "tfoot", "th", "thead", "tr"}
 #: Opening the key ends open elements of the values, up to the nearest element of the last set.
@@ -186,6 +188,12 @@ def select(root: Node) -> list[Node]:
     if not root.chars:
         return []
     best = max(nodes, key=lambda n: n.total)
+    node = best
+    while node is not None:  # markup that names the article outranks the density inside it
+        if node.tag in ("article", "main"):
+            best = node
+            break
+        node = node.parent
     threshold, node = best.density, best
     while node is not None:
         threshold = min(threshold, node.density) if node.chars else threshold
@@ -204,6 +212,8 @@ def select(root: Node) -> list[Node]:
             chosen.append(node)
         elif _holds(node, best):
             todo += [c for c in reversed(node.children) if isinstance(c, Node) and not c.dropped]
+        elif node.tag in HEADINGS and node.parent is not root and node.chars:
+            chosen.append(node)
         elif node.chars and node.density >= threshold:
             chosen.append(best_of[id(node)] if best_of[id(node)].total > 0 else node)
     return chosen

@@ -1,6 +1,6 @@
 """URL filter: host words by Viterbi, then multinomial naive Bayes, behind rules.
 
-Host labels without separators are split into words by the most probable
+Host labels are split into words by the most probable
 segmentation under a unigram model (counts of the words that URLs write with
 separators, plus the given word lists; an unknown word costs more the longer
 it is).  The tokens of a URL are its segmented host words and its path words.
@@ -107,8 +107,9 @@ class UrlFilter:
         # URLs of one host count by host, so that a host with a third of the URLs is one row from here on
         hosts = self.parts(df, url_col).groupBy("host").agg(F.count("*").alias("n"))
 
-        # words that hosts and paths set apart by other characters; a label made of one long run says nothing
-        apart = hosts.select(F.explode(F.split("host", r"[^a-z]+")).alias("token"), "n")
+        # words that labels and paths set apart by other characters; a label of one long run is what is to be split
+        labels = hosts.select(F.explode(F.split("host", r"[.]")).alias("label"), "n").where(F.col("label").rlike("[^a-z]"))
+        apart = labels.select(F.explode(F.split("label", r"[^a-z]+")).alias("token"), "n")
         paths = self.parts(df, url_col).groupBy("path").agg(F.count("*").alias("n"))
         paths = paths.select(F.explode(F.split(F.lower("path"), r"[^a-z]+")).alias("token"), "n")
         seen = apart.union(paths).where(F.length("token").between(1, _LONGEST)).groupBy("token").agg(F.sum("n").alias("n"))
