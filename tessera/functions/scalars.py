@@ -178,8 +178,11 @@ def minutes_between(a, b) -> Column:
 
 
 def hash_key(cols: Sequence, algo: str = "md5", sep: str = "|") -> Column:
-    """SCL-14: hash of concatenated business columns (NULL as empty)."""
-    s = F.concat_ws(sep, *[F.coalesce(_c(c).cast("string"), F.lit("")) for c in cols])
+    """SCL-14: hash of business columns: each value as its length, a colon and
+    its text, NULL as '-'.  So NULL differs from '', and a separator inside a
+    value cannot make two different rows equal."""
+    texts = [_c(c).cast("string") for c in cols]
+    s = F.concat_ws(sep, *[F.coalesce(F.concat(F.char_length(t).cast("string"), F.lit(":"), t), F.lit("-")) for t in texts])
     if algo == "md5":
         return F.md5(s)
     if algo == "sha256":

@@ -7,7 +7,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tessera.operators.common import _cols, attach_scalars
+from tessera.operators.common import _cols, _names, attach_scalars, join_on, prefix_sum, quantile_chunk
 from tessera.operators.joins import cross
 
 
@@ -165,8 +165,29 @@ def mode_by(df, by, cat, tie_aggs: Mapping[str, Column] | None = None,
 
 
 def median_by(df, by, val, out="median"):
-    """AGG-24: exact median (odd and even counts)."""
-    return df.groupBy(*_cols(by)).agg(F.median(val).alias(out))
+    """AGG-24: exact median (odd and even counts; NULLs do not count).
+
+    Counts per (group, value), their chunked running sum, and the values at
+    the two middle positions: no task holds a group's values, and without
+    ``by`` the whole table's median is spread over its value ranges."""
+    keys = _names(by)
+    d = df.select(*keys, F.col(val).alias("_v"))
+    per = d.filter(F.col("_v").isNotNull()).groupBy(*keys, "_v").agg(F.count(F.lit(1)).alias("_c"))
+    per = quantile_chunk(per, "_v", out="_ch").withColumn("_all", F.lit(0))
+    per = prefix_sum(per, [*keys, "_all"], ["_v"], "_c", "_upto", "_ch")
+    n = d.groupBy(*keys).agg(F.count("_v").alias("_n"))
+    per = join_on(per, n, keys) if keys else attach_scalars(per, n)
+    at = lambda p: F.min(F.when(F.col("_upto") >= p, F.col("_v").cast("double")))
+    mid = per.groupBy(*keys).agg(at(F.floor((F.col("_n") + 1) / 2)).alias("_lo"), at(F.floor(F.col("_n") / 2) + 1).alias("_hi"))
+    groups = d.select(*keys).distinct() if keys else mid
+    mid = mid.select(*keys, ((F.col("_lo") + F.col("_hi")) / 2).alias(out))
+    return join_on(groups, mid, keys, "left") if keys else mid
+
+
+def mode_of(df, val, out="mode"):
+    """Most frequent value (ties: the smallest), from counts per value."""
+    per = df.filter(F.col(val).isNotNull()).groupBy(F.col(val).alias("_v")).agg(F.count(F.lit(1)).alias("_c"))
+    return per.agg(F.min_by("_v", F.struct((-F.col("_c")).alias("c"), F.col("_v"))).alias(out))
 
 
 def rollup(df, cols, aggs):
@@ -217,7 +238,7 @@ def exclusive_usage(df, user, day, category, amount, classes):
         F.sum(amount).alias("_amt"))
     spark = df.sparkSession
     kinds = spark.createDataFrame([(c,) for c in [*classes, "both"]], "platform string")
-    grid = cross(u.select(day).distinct(), kinds, max_rows=len(classes) + 1)
+    grid = cross(u.select(day).distinct(), kinds)
     agg = u.groupBy(day, "platform").agg(F.sum("_amt").alias("_amt"), F.count(user).alias("total_users"))
     return (grid.join(agg, [day, "platform"], "left")
                 .select(day, "platform", F.round(F.coalesce("_amt", F.lit(0.0)), 2).alias("total_amount"),
@@ -243,12 +264,11 @@ def two_fact_month(a, b, key):
     return j.filter(sum((F.col(c) for c in counts), F.lit(0)) > 0)
 
 
-def missing_members(df, key, member, domain=None, max_domain: int = 10_000):
+def missing_members(df, key, member, domain=None):
     """AGG-27: (key, member) combinations absent from the data: distinct keys
-    times the member domain (a code set whose size is checked, then
-    broadcast), anti-joined to the facts."""
+    times the member domain (in blocks), anti-joined to the facts."""
     dom = domain if domain is not None else df.select(member).distinct()
-    grid = cross(df.select(key).distinct(), dom, max_rows=max_domain)
+    grid = cross(df.select(key).distinct(), dom)
     return grid.join(df.select(key, member), [key, member], "left_anti")
 
 
@@ -257,7 +277,7 @@ def payout(df, pool: str, won: str, stake: str, out="payout"):
     (pool sums from one aggregate joined back, not a window per pool)."""
     sums = df.groupBy(pool).agg(F.sum(F.when(F.col(won), F.col(stake))).alias("_win"),
                                 F.sum(F.when(~F.col(won), F.col(stake))).alias("_lose"))
-    d = df.filter(F.col(won)).join(sums, pool)
+    d = join_on(df.filter(F.col(won)), sums, [pool])
     return d.withColumn(out, F.col(stake) + F.coalesce("_lose", F.lit(0.0)) * F.col(stake) / F.col("_win")) \
             .drop("_win", "_lose")
 
@@ -293,11 +313,28 @@ def best_score(have: DataFrame, need: DataFrame, cand: str, project: str, skill:
                importance: str, base: int = 100, plus: int = 10, minus: int = 5) -> DataFrame:
     """AGG-29: candidates holding every skill a project needs (relational
     division by counts), scored base + plus per skill above the need and
-    - minus per skill below; best candidate per project (ties: lower id)."""
-    req = need.groupBy(project).agg(F.count_distinct(skill).alias("_k"))
-    j = need.join(have, skill)
-    pts = F.when(F.col(level) > F.col(importance), plus).when(F.col(level) < F.col(importance), -minus).otherwise(0)
-    m = j.groupBy(project, cand).agg(F.count_distinct(skill).alias("_m"), (F.lit(base) + F.sum(pts)).alias("score"))
-    m = m.join(req, project).filter(F.col("_m") == F.col("_k"))
-    w = Window.partitionBy(project).orderBy(F.col("score").desc(), F.col(cand))
-    return m.withColumn("_r", F.row_number().over(w)).filter("_r = 1").select(project, cand, "score")
+    - minus per skill below; best candidate per project (ties: lower id).
+
+    Only a project's distinct needs enter: projects with the same multiset of
+    (skill, importance) are one signature, and each signature meets the
+    candidates of its rarest skill once, through candidates reduced to one row
+    with their skills as a map."""
+    own = need.groupBy(project).agg(F.array_sort(F.collect_list(F.struct(
+        F.col(skill).alias("k"), F.col(importance).alias("v")))).alias("_need"))
+    have = have.groupBy(cand, skill).agg(F.max(level).alias(level))
+    skills = have.groupBy(cand).agg(F.map_from_entries(F.collect_list(F.struct(F.col(skill), F.col(level)))).alias("_has"))
+    holders = have.groupBy(F.col(skill).alias("_k")).agg(F.count(F.lit(1)).alias("_n"))
+    sigs = own.select("_need").distinct().withColumn("_sig", F.xxhash64("_need"))
+    rarest = (sigs.select("_sig", F.explode(F.array_distinct(F.transform("_need", lambda x: x["k"]))).alias("_k"))
+              .join(holders, "_k", "left").groupBy("_sig")
+              .agg(F.min_by("_k", F.struct(F.coalesce("_n", F.lit(0)), "_k")).alias("_k")))
+    cands = have.select(F.col(skill).alias("_k"), F.col(cand)).join(skills, cand)
+    pts = lambda x: F.when(F.col("_has")[x["k"]] > x["v"], plus).when(F.col("_has")[x["k"]] < x["v"], -minus).otherwise(0)
+    best = (sigs.join(rarest, "_sig").join(cands, "_k")
+            .filter(F.forall("_need", lambda x: F.map_contains_key("_has", x["k"])))
+            .select("_sig", "_need", F.col(cand), (F.lit(base) + F.aggregate(F.transform("_need", pts), F.lit(0), lambda a, x: a + x))
+                    .cast("long").alias("score"))
+            .groupBy("_sig", "_need").agg(F.min(F.struct((-F.col("score")).alias("_neg"), F.col(cand), "score")).alias("_b")))
+    mine = own.withColumn("_sig", F.xxhash64("_need"))
+    return (mine.join(best, ["_sig", "_need"])
+            .select(project, F.col(f"_b.{cand}").alias(cand), F.col("_b.score").alias("score")))

@@ -1,7 +1,8 @@
 """Scale helpers shared by operators.
 
-* ``broadcast_bounded``: broadcast only a side whose row count is checked
-  against a bound; otherwise leave the join to the shuffle path (and AQE).
+* ``join_on``: summaries joined back to their rows, NULL keys included.
+* ``dense_ids``: consecutive numbers for sorted distinct rows, by range
+  partitions and per-partition offsets.
 * ``prefix_sum``: a running total that never pulls a hot key (or a whole
   table when there is no key) into one task.  Rows are split into chunks by
   an order-preserving chunk column; each chunk is summed in parallel, chunk
@@ -37,14 +38,18 @@ def _names(cols) -> list[str]:
     return list(cols)
 
 
-def is_bounded(df: DataFrame, max_rows: int) -> bool:
-    """True when ``df`` has at most ``max_rows`` rows (stops reading early)."""
-    return df.limit(max_rows + 1).count() <= max_rows
+def join_on(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str = "inner") -> DataFrame:
+    """Equi join in which NULL keys match NULL keys.
 
-
-def broadcast_bounded(df: DataFrame, max_rows: int = 1_000_000) -> DataFrame:
-    """Broadcast hint only behind a checked row bound; else sort-merge/AQE."""
-    return F.broadcast(df) if is_bounded(df, max_rows) else df
+    Summaries per group or chunk are joined back to their rows with it: a group
+    with a NULL key is a group like any other, as in a window."""
+    own = {k: f"__jk_{k}" for k in keys}
+    renamed = right.select(*[F.col(c).alias(own.get(c, c)) for c in right.columns])
+    cond = None
+    for k in keys:
+        c = F.col(k).eqNullSafe(F.col(own[k]))
+        cond = c if cond is None else cond & c
+    return left.join(renamed, cond, how).drop(*own.values())
 
 
 def attach_scalars(df: DataFrame, one_row: DataFrame) -> DataFrame:
@@ -79,10 +84,12 @@ def prefix_sum(df: DataFrame, keys: Sequence[str], order: Sequence[ColLike],
     w_off = (Window.partitionBy(*keys).orderBy("__ps_chunk")
              .rowsBetween(Window.unboundedPreceding, -1))
     offsets = totals.withColumn(
-        "__ps_offset", F.coalesce(F.sum("__ps_total").over(w_off), F.lit(0))
+        "__ps_offset", F.sum("__ps_total").over(w_off)
     ).drop("__ps_total")
-    return (d.join(offsets, [*keys, "__ps_chunk"], "inner")
-             .withColumn(out, F.col("__ps_local") + F.col("__ps_offset"))
+    # NULL values add nothing; the sum is NULL only before the first value
+    total = F.coalesce(F.col("__ps_local") + F.col("__ps_offset"), F.col("__ps_local"), F.col("__ps_offset"))
+    return (join_on(d, offsets, [*keys, "__ps_chunk"])
+             .withColumn(out, total)
              .drop("__ps_chunk", "__ps_v", "__ps_local", "__ps_offset"))
 
 
@@ -105,7 +112,7 @@ def running_extreme(df: DataFrame, keys: Sequence[str], order: str, value: str,
     co = F.col("__rx_chunk").desc() if descending else F.col("__rx_chunk").asc()
     wc = Window.partitionBy(*keys).orderBy(co).rowsBetween(Window.unboundedPreceding, -1)
     carry = per.withColumn("__rx_carry", agg("__rx_cx").over(wc)).select(*keys, "__rx_chunk", "__rx_carry")
-    return (d.join(carry, [*keys, "__rx_chunk"], "inner")
+    return (join_on(d, carry, [*keys, "__rx_chunk"])
              .withColumn(out, F.coalesce(pick("__rx_loc", "__rx_carry"), F.col("__rx_loc"), F.col("__rx_carry")))
              .drop("__rx_chunk", "__rx_loc", "__rx_carry"))
 
@@ -127,30 +134,38 @@ def lag_chunked(df: DataFrame, keys: Sequence[str], order: str, cols: Sequence[s
         d = d.withColumn(f"__lg_in_{c}", F.lag(c).over(w))
     d = d.withColumn("__lg_first", F.row_number().over(w) == 1)
     last = d.groupBy(*keys, "__lg_chunk").agg(
-        *[(F.min_by(c, order) if descending else F.max_by(c, order)).alias(f"__lg_last_{c}") for c in cols])
+        # a struct is never NULL, so a row with a NULL order value counts (it sorts first)
+        *[(F.min_by if descending else F.max_by)(F.col(c), F.struct(order)).alias(f"__lg_last_{c}") for c in cols])
     w_prev = Window.partitionBy(*keys).orderBy(F.col("__lg_chunk").desc() if descending else F.col("__lg_chunk"))
     prev = last.select(*keys, "__lg_chunk",
                        *[F.lag(f"__lg_last_{c}").over(w_prev).alias(f"__lg_pc_{c}") for c in cols])
-    d = d.join(prev, [*keys, "__lg_chunk"], "inner")
+    d = join_on(d, prev, [*keys, "__lg_chunk"])
     for c in cols:
         d = d.withColumn(f"{prefix}{c}",
                          F.when(F.col("__lg_first"), F.col(f"__lg_pc_{c}")).otherwise(F.col(f"__lg_in_{c}")))
     return d.drop("__lg_chunk", "__lg_first", *[f"__lg_in_{c}" for c in cols], *[f"__lg_pc_{c}" for c in cols])
 
 
-def quantile_chunk(df: DataFrame, col: str, buckets: int = 64, out: str = "_chunk") -> DataFrame:
+def chunk_count(df: DataFrame) -> int:
+    """Chunks of a table's value range: as many as the session has shuffle
+    partitions (which a cluster sizes to its data), 64 at least."""
+    return max(64, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions", "200")))
+
+
+def quantile_chunk(df: DataFrame, col: str, buckets: int | None = None, out: str = "_chunk") -> DataFrame:
     """Add a chunk number monotone in numeric ``col`` with about equal rows
     per chunk (approximate quantiles from one aggregate row)."""
+    buckets = buckets or chunk_count(df)
     probs = [i / buckets for i in range(1, buckets)]
-    qs = df.agg(F.percentile_approx(col, probs, 10000).alias("_qs"))
+    qs = df.agg(F.percentile_approx(col, probs, max(10_000, 4 * buckets)).alias("_qs"))
     d = attach_scalars(df, qs)
     return d.withColumn(out, F.size(F.filter("_qs", lambda q: q < F.col(col)))).drop("_qs")
 
 
 def global_prefix_sum(df: DataFrame, order_col: str, tie: Sequence[ColLike], value: ColLike,
-                      out: str, buckets: int = 64) -> DataFrame:
+                      out: str, buckets: int | None = None) -> DataFrame:
     """Running sum over the whole table in (order_col, *tie) order without a
-    single-partition window: quantile chunks + ``buckets``-row offset table."""
+    single-partition window: quantile chunks and a table of their offsets."""
     d = quantile_chunk(df, order_col, buckets).withColumn("_k", F.lit(0))
     d = prefix_sum(d, ["_k"], [F.col(order_col), *_cols(tie)], value, out, "_chunk")
     return d.drop("_k", "_chunk")
@@ -181,7 +196,7 @@ def shift_many_chunked(df: DataFrame, keys: Sequence[str], order: str, value: st
     wc = Window.partitionBy(*keys).orderBy(co).rowsBetween(-k, -1)
     tail = tail.withColumn("__sm_halo", F.flatten(F.collect_list("__sm_tail").over(wc))) \
                .select(*keys, "__sm_c", "__sm_halo")
-    d = d.join(tail, [*keys, "__sm_c"], "inner")
+    d = join_on(d, tail, [*keys, "__sm_c"])
     for i in range(1, k + 1):
         need = F.lit(i) - F.col("__sm_pos") + 1  # how far back into the halo
         from_halo = F.when(F.size("__sm_halo") >= need, F.element_at("__sm_halo", -need))
@@ -189,6 +204,24 @@ def shift_many_chunked(df: DataFrame, keys: Sequence[str], order: str, value: st
     return d.drop("__sm_c", "__sm_pos", "__sm_back", "__sm_halo", *[f"__sm_in{i}" for i in range(1, k + 1)])
 
 
+def dense_ids(keys: DataFrame, out: str, start: int = 0) -> DataFrame:
+    """Number the rows of ``keys`` (distinct) from ``start`` in their order.
+
+    A range sort, a position inside each partition and the partitions'
+    offsets (one row per partition); the sorted rows are checkpointed, so both
+    uses see the same partitions."""
+    if not keys.sparkSession.sparkContext.getCheckpointDir():
+        from tessera.session import checkpoint_dir
+        checkpoint_dir(keys.sparkSession)
+    d = (keys.orderBy(*keys.columns).withColumn("__di_p", F.spark_partition_id())
+         .withColumn("__di_i", F.monotonically_increasing_id().bitwiseAND((1 << 33) - 1))).checkpoint()
+    per = d.groupBy("__di_p").agg(F.count(F.lit(1)).alias("__di_n"))
+    before = F.sum("__di_n").over(Window.orderBy("__di_p").rowsBetween(Window.unboundedPreceding, -1))
+    offsets = per.select("__di_p", F.coalesce(before, F.lit(0)).alias("__di_o"))
+    return d.join(offsets, "__di_p").withColumn(out, F.col("__di_i") + F.col("__di_o") + start) \
+            .drop("__di_p", "__di_i", "__di_n", "__di_o")
+
+
 def month_index(date_col: ColLike) -> Column:
     """Year-aware month number: consecutive months differ by exactly one."""
     c = F.col(date_col) if isinstance(date_col, str) else date_col

@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tessera.operators.common import attach_scalars
 from tessera.operators.text import words
 
 
@@ -36,14 +37,16 @@ def pairwise(df: DataFrame, key: str, score_a: str, score_b: str) -> DataFrame:
     """EVL-03: per example A wins / B wins / tie; plus win rates."""
     res = (F.when(F.col(score_a) > F.col(score_b), "A").when(F.col(score_b) > F.col(score_a), "B").otherwise("tie"))
     d = df.select(key, res.alias("winner"))
-    return d.groupBy("winner").agg(F.count(F.lit(1)).alias("n"))
+    n = d.groupBy("winner").agg(F.count(F.lit(1)).alias("n"))
+    return attach_scalars(n, n.agg(F.sum("n").alias("_all"))).withColumn("rate", F.col("n") / F.col("_all")).drop("_all")
 
 
 def experiment_summary(df: DataFrame, experiment: str, example: str, score: str, baseline, pass_at: float
                        ) -> DataFrame:
     """EVL-04: per experiment mean, spread, pass rate and the number of
     examples that regressed against the baseline experiment."""
-    base = df.filter(F.col(experiment) == F.lit(baseline)).select(example, F.col(score).alias("_base"))
+    # one baseline row per example, however often the example was scored
+    base = df.filter(F.col(experiment) == F.lit(baseline)).groupBy(example).agg(F.avg(score).alias("_base"))
     j = df.join(base, example, "left")
     return j.groupBy(experiment).agg(
         F.avg(score).alias("mean"), F.stddev_pop(score).alias("spread"),

@@ -12,7 +12,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tessera.operators.common import attach_scalars, broadcast_bounded, is_bounded, running_extreme
+from tessera.operators.common import attach_scalars, running_extreme
 
 
 def join_inner(a: DataFrame, b: DataFrame, on) -> DataFrame:
@@ -46,12 +46,14 @@ def reconcile(src: DataFrame, tgt: DataFrame, key: str, cols: Sequence[str]) ->
     return j.select(F.col("_k").alias(key), comment.alias("comment")).filter(F.col("comment").isNotNull())
 
 
-def cross(a: DataFrame, small: DataFrame, max_rows: int = 10_000) -> DataFrame:
-    """JOIN-05: all pairs with a small side.  The small side must be proven
-    bounded (checked here) and is broadcast; an unbounded side is refused."""
-    if not is_bounded(small, max_rows):
-        raise ValueError(f"cross(): right side exceeds {max_rows} rows; use a keyed join")
-    return a.crossJoin(F.broadcast(small))
+def cross(a: DataFrame, b: DataFrame, blocks: int = 64) -> DataFrame:
+    """JOIN-05: all pairs, in blocks: the rows of ``a`` are dealt to
+    ``blocks`` by a hash of the whole row and ``b`` is sent once to each
+    block, so the pairs are an equi join of any size on either side."""
+    k = "__tessera_block"
+    left = a.withColumn(k, F.pmod(F.xxhash64(*[F.col(c) for c in a.columns]), F.lit(blocks)))
+    right = b.withColumn(k, F.explode(F.sequence(F.lit(0).cast("long"), F.lit(blocks - 1).cast("long"))))
+    return left.join(right, k).drop(k)
 
 
 def hierarchy(df: DataFrame, id_col: str, parent: str, name: str, levels: int = 3) -> DataFrame:
@@ -72,15 +74,15 @@ def semi(a, b, on):
 def anti(a: DataFrame, b: DataFrame, a_col: str, b_col: str, null_aware: bool = False) -> DataFrame:
     """JOIN-08: NOT EXISTS (null_aware=False) or NOT IN (null_aware=True).
 
-    NOT IN: a NULL in b's column makes the result empty, and a NULL on the
-    left never qualifies; Spark plans a null-aware anti join for one column."""
+    NOT IN: over an empty list every row qualifies; otherwise a NULL in b's
+    column makes the result empty and a NULL on the left never qualifies.
+    The list's row and NULL counts are one attached aggregate row."""
     if not null_aware:
         return a.join(b, a[a_col] == b[b_col], "left_anti")
-    nulls = b.filter(F.col(b_col).isNull()).select(F.lit(True).alias("_has_null")).limit(1)
-    kept = a.join(b.select(F.col(b_col).alias("_b")).filter(F.col("_b").isNotNull()),
-                  a[a_col] == F.col("_b"), "left_anti").filter(F.col(a_col).isNotNull())
-    # any NULL in the list: no row passes (right side has at most one row)
-    return kept.join(F.broadcast(nulls), F.lit(True), "left_anti")
+    one = b.agg(F.count(F.lit(1)).alias("_n"), F.count_if(F.col(b_col).isNull()).alias("_nulls"))
+    kept = a.join(b.select(F.col(b_col).alias("_b")), a[a_col] == F.col("_b"), "left_anti")
+    return attach_scalars(kept, one).filter(
+        (F.col("_n") == 0) | ((F.col("_nulls") == 0) & F.col(a_col).isNotNull())).drop("_n", "_nulls")
 
 
 def anti_left_null(a: DataFrame, b: DataFrame, a_col: str, b_col: str) -> DataFrame:
@@ -108,7 +110,7 @@ def theta(a: DataFrame, b: DataFrame, condition: Column, how: str = "inner") ->
 
 
 def count_below(a: DataFrame, b: DataFrame, key: str, a_val: str, b_val: str, out: str = "n_below",
-                chunk_buckets: int = 64) -> DataFrame:
+                chunk_buckets: int | None = None) -> DataFrame:
     """JOIN-10 at scale: for every row of ``a``, the number of ``b`` rows with
     the same key and ``b_val < a_val`` -- the count a theta join would give,
     without forming pairs.  Both sides are unioned and sorted by value per
@@ -125,12 +127,21 @@ def count_below(a: DataFrame, b: DataFrame, key: str, a_val: str, b_val: str, ou
     return u.filter(F.col("_isb") == 0).drop("_v", "_isb", "_one", "_qc").select(*a.columns, out)
 
 
-def band_join(df: DataFrame, bands: DataFrame, col: str, lo: str, hi: str,
-              max_bands: int = 100_000) -> DataFrame:
-    """JOIN-11: value into [lo, hi] bands.  Bands are a small dimension;
-    they are broadcast only behind a row bound."""
-    return df.join(broadcast_bounded(bands, max_bands),
-                   (F.col(col) >= F.col(lo)) & (F.col(col) <= F.col(hi)), "inner")
+def band_join(df: DataFrame, bands: DataFrame, col: str, lo: str, hi: str, cells: int = 256) -> DataFrame:
+    """JOIN-11: value into [lo, hi] bands.  The range that the bands span is
+    cut into ``cells`` equal cells; a band is sent to the cells it touches (at
+    most ``cells``) and a value sits in one, so the join is an equi join on the
+    cell with the exact range test behind it."""
+    span = bands.agg(F.min(F.col(lo).cast("double")).alias("_lo"), F.max(F.col(hi).cast("double")).alias("_hi"))
+
+    def cell(c):
+        width = F.greatest((F.col("_hi") - F.col("_lo")) / cells, F.lit(1e-300))
+        return F.least(F.floor((F.col(c).cast("double") - F.col("_lo")) / width), F.lit(cells)).cast("int")
+
+    b = attach_scalars(bands, span).withColumn("_cell", F.explode(F.sequence(cell(lo), cell(hi)))).drop("_lo", "_hi")
+    d = attach_scalars(df, span).filter(F.col(col).cast("double").between(F.col("_lo"), F.col("_hi")))
+    d = d.withColumn("_cell", cell(col)).drop("_lo", "_hi")
+    return d.join(b, "_cell").filter((F.col(col) >= F.col(lo)) & (F.col(col) <= F.col(hi))).drop("_cell")
 
 
 def overlap_pairs(df: DataFrame, key: str, id_col: str, start: str, end: str,
@@ -189,27 +200,26 @@ def as_of(facts: DataFrame, states: DataFrame, key: str, ts: str, eff_ts: str,
 
     Union both sides with a side flag, sort per key by time (states before
     facts at equal times, equal-time states by ``tie``), carry the last state
-    forward (``last(ignorenulls)``); no range join, no pairs.  With
+    row forward as one struct (all columns of one state, its NULLs included);
+    no range join, no pairs.  With
     ``chunk_days`` the carry is the chunked fill-down, so one key with a third
     of the rows is spread over many tasks."""
     from tessera.operators.sequences import fill_down
     f = facts.withColumn("_side", F.lit(1)).withColumn("_t", F.col(ts))
     s = states.select(F.col(key), F.col(eff_ts).alias("_t"),
                       (F.col(tie) if tie else F.lit(0)).alias("_tie"),
-                      *[F.col(c).alias(f"_s_{c}") for c in cols]).withColumn("_side", F.lit(0))
+                      F.struct(*cols).alias("_state")).withColumn("_side", F.lit(0))
     u = f.withColumn("_tie", F.lit(None).cast(s.schema["_tie"].dataType)).unionByName(s, allowMissingColumns=True)
     if chunk_days is None:
         w = (Window.partitionBy(key).orderBy("_t", "_side", "_tie")
              .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-        for c in cols:
-            u = u.withColumn(c, F.last(f"_s_{c}", ignorenulls=True).over(w))
+        u = u.withColumn("_state", F.last("_state", ignorenulls=True).over(w))
     else:
         u = u.withColumn("_ord", F.struct("_t", "_side", "_tie")) \
              .withColumn("_ch", F.floor(F.unix_date(F.to_date("_t")) / chunk_days))
-        for c in cols:
-            u = fill_down(u, "_ord", f"_s_{c}", by=[key], chunk="_ch", out=c)
-        u = u.drop("_ord", "_ch")
-    return u.filter(F.col("_side") == 1).drop("_side", "_t", "_tie", *[f"_s_{c}" for c in cols])
+        u = fill_down(u, "_ord", "_state", by=[key], chunk="_ch").drop("_ord", "_ch")
+    u = u.filter(F.col("_side") == 1)
+    return u.select(*facts.columns, *[F.col(f"_state.{c}").alias(c) for c in cols])
 
 
 def pair_by_rank(a: DataFrame, b: DataFrame, key: str, order_a: str, order_b: str,
@@ -236,9 +246,10 @@ def join_json(df: DataFrame, jdf: DataFrame, key: str, json_col: str, path: str,
     return df.join(jdf.withColumn("_jk", k), F.col(key) == F.col("_jk")).drop("_jk")
 
 
-def lookup_dim(fact: DataFrame, dim: DataFrame, nk: str, sk: str, max_rows: int = 5_000_000):
-    """JOIN-18: staged fact gets the surrogate key from the dimension."""
-    return fact.join(broadcast_bounded(dim.select(nk, sk), max_rows), nk, "left")
+def lookup_dim(fact: DataFrame, dim: DataFrame, nk: str, sk: str):
+    """JOIN-18: staged fact gets the surrogate key from the dimension (the
+    planner broadcasts the dimension when its measured size allows)."""
+    return fact.join(dim.select(nk, sk), nk, "left")
 
 
 def orphans(fact: DataFrame, dim: DataFrame, fk: str, pk: str):
@@ -263,17 +274,11 @@ def preagg_join(fact: DataFrame, key: str, aggs: Sequence[Column], dim: DataFram
     return fact.groupBy(key).agg(*aggs).join(dim, key, how)
 
 
-def broadcast_join(a: DataFrame, small: DataFrame, on, max_rows: int = 1_000_000, how="inner"):
-    """JOIN-22: broadcast hint behind a row bound."""
-    return a.join(broadcast_bounded(small, max_rows), on, how)
-
-
-def pairs_with_sum(df: DataFrame, id_col: str, val: str, target) -> DataFrame:
-    """JOIN-25: row pairs whose values add to ``target``: an equi self join on
-    ``target - v`` (a hash join, not all pairs)."""
-    a = df.select(F.col(id_col).alias("id_a"), F.col(val).alias("v_a"))
-    b = df.select(F.col(id_col).alias("id_b"), F.col(val).alias("v_b"))
-    return a.join(b, (F.lit(target) - F.col("v_a") == F.col("v_b")) & (F.col("id_a") < F.col("id_b")))
+def broadcast_join(a: DataFrame, small: DataFrame, on, how="inner"):
+    """JOIN-22: join with a small side.  Broadcasting is the planner's choice:
+    adaptive execution measures the side's bytes and broadcasts it below
+    ``spark.sql.autoBroadcastJoinThreshold``; beyond it both sides shuffle."""
+    return a.join(small, on, how)
 
 
 def pair_counts_with_sum(df: DataFrame, val: str, target) -> DataFrame:
@@ -314,29 +319,26 @@ def best_route(legs: DataFrame, src, dst, start_port: str, end_port: str, dep: s
     f = first.withColumn("_side", F.lit(1))
     s2 = second.select("hub", "_t", "_best_arr").withColumn("_side", F.lit(0))
     u = f.unionByName(s2, allowMissingColumns=True)
-    w = (Window.partitionBy("hub").orderBy(F.col("_t").desc(), F.col("_side").asc())
-         .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    u = u.withColumn("_reach", F.last("_best_arr", ignorenulls=True).over(w))
+    from tessera.operators.sequences import fill_down
+    u = u.withColumn("_ord", F.struct((-F.col("_t")).alias("t"), "_side")) \
+         .withColumn("_day", F.floor(-F.col("_t") / 86_400_000_000))
+    u = fill_down(u, "_ord", "_best_arr", by=["hub"], chunk="_day", out="_reach")
     via = (u.filter((F.col("_side") == 1) & F.col("_reach").isNotNull())
              .select(F.concat_ws("-", F.lit(str(src)), F.col("hub").cast("string"), F.lit(str(dst))).alias("path"),
                      ((F.col("_reach") - F.col("_dep1")) / 1e6).alias("elapsed_s")))
     return direct.unionByName(via).orderBy("elapsed_s", "path").limit(1)
 
 
-def anchored_pairs(df: DataFrame, basket: str, item: str, anchors: DataFrame, max_anchors: int = 10_000
-                   ) -> DataFrame:
-    """JOIN-23 re-aimed: for each anchor item (a bounded, checked set), the
-    other items bought in the same baskets and in how many baskets.
+def anchored_pairs(df: DataFrame, basket: str, item: str, anchors: DataFrame) -> DataFrame:
+    """JOIN-23 re-aimed: for each anchor item, the other items bought in the
+    same baskets and in how many baskets.
 
-    Every basket row meets only the anchors present in that basket (a
-    broadcast of the anchor list plus one equi join on the basket), so the
-    work is linear in the rows times anchors per basket; all pairs of a
-    basket are never formed."""
-    if not is_bounded(anchors, max_anchors):
-        raise ValueError("anchor set exceeds its bound")
+    Every basket row meets only the anchors present in that basket (equi
+    joins on the item and the basket), so the work is linear in the rows times
+    anchors per basket; all pairs of a basket are never formed."""
     a = anchors.select(F.col(item).alias("anchor")).distinct()
     lines = df.select(basket, item).distinct()
-    hits = lines.join(F.broadcast(a), F.col(item) == F.col("anchor")).select(basket, "anchor")
+    hits = lines.join(a, F.col(item) == F.col("anchor")).select(basket, "anchor")
     j = lines.join(hits, basket).filter(F.col(item) != F.col("anchor"))
     return j.groupBy("anchor", F.col(item).alias("other")).agg(F.count(F.lit(1)).alias("baskets"))
 

@@ -9,6 +9,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from tessera.operators.aggs import median_by
 from tessera.operators.common import attach_scalars
 
 
@@ -55,19 +56,22 @@ def key_advisor(df: DataFrame, cols: Sequence[str]) -> DataFrame:
 def skew_report(df: DataFrame, key: str, hot_share: float = 0.01) -> DataFrame:
     """LAY-04: rows per key, max/median ratio, hot keys over a share."""
     per = df.groupBy(key).agg(F.count(F.lit(1)).alias("rows"))
-    stats = per.agg(F.max("rows").alias("max_rows"), F.median("rows").alias("median_rows"),
-                    F.sum("rows").alias("_total"), F.count(F.lit(1)).alias("keys"))
+    stats = per.agg(F.max("rows").alias("max_rows"), F.sum("rows").alias("_total"), F.count(F.lit(1)).alias("keys"))
+    stats = attach_scalars(stats, median_by(per, None, "rows", "median_rows"))
     hot = attach_scalars(per, stats.select("_total")).filter(F.col("rows") > F.col("_total") * hot_share) \
         .agg(F.count(F.lit(1)).alias("hot_keys"))
     return attach_scalars(stats, hot).withColumn("max_over_median", F.col("max_rows") / F.col("median_rows")).drop("_total")
 
 
-def write_lookup(df: DataFrame, path: str, key: str, files: int = 8) -> None:
+def write_lookup(df: DataFrame, path: str, key: str, rows_per_file: int = 4_000_000, files: int | None = None) -> None:
     """LAY-05: layout for id lookups: files sorted by key (tight min/max for
-    row-group skipping) with a Parquet Bloom filter on the key."""
+    row-group skipping) with a Parquet Bloom filter on the key.  The file
+    count and the filter's size follow the table's row count."""
+    n = df.count()
+    files = files or max(1, -(-n // rows_per_file))
     (df.repartitionByRange(files, key).sortWithinPartitions(key).write.mode("overwrite")
        .option(f"parquet.bloom.filter.enabled#{key}", "true")
-       .option("parquet.bloom.filter.expected.ndv", "1000000").parquet(path))
+       .option("parquet.bloom.filter.expected.ndv", str(max(1, -(-n // files)))).parquet(path))
 
 
 def compact(spark: SparkSession, path: str, out: str, target_bytes: int) -> int:

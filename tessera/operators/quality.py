@@ -9,7 +9,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tessera.operators.common import attach_scalars
+from tessera.operators.aggs import median_by, mode_of
+from tessera.operators.common import attach_scalars, dense_ids
 
 
 def null_report(df: DataFrame, cols: Sequence[str] | None = None) -> DataFrame:
@@ -43,14 +44,16 @@ def quality_report(df: DataFrame, expected: Mapping[str, str]) -> DataFrame:
 
 
 def impute(df: DataFrame, cols: Sequence[str], strategy: str = "mean") -> DataFrame:
-    """DQ-04: fill NULLs per column by mean, median or mode (statistics from
-    one aggregate row), or drop rows with NULLs."""
+    """DQ-04: fill NULLs per column by mean, median or mode (one statistics
+    row per column; median and mode from counts per value), or drop rows with
+    NULLs."""
     if strategy == "drop":
         return df.dropna(subset=list(cols))
-    fn = {"mean": F.avg, "median": F.median, "mode": F.mode}[strategy]
-    stats = df.agg(*[fn(c).alias(f"_fill_{c}") for c in cols])
-    d = attach_scalars(df, stats)
+    one = {"mean": lambda c: df.agg(F.avg(c).alias(f"_fill_{c}")), "median": lambda c: median_by(df, None, c, f"_fill_{c}"),
+           "mode": lambda c: mode_of(df, c, f"_fill_{c}")}[strategy]
+    d = df
     for c in cols:
+        d = attach_scalars(d, one(c))
         d = d.withColumn(c, F.coalesce(F.col(c), F.col(f"_fill_{c}")))
     return d.drop(*[f"_fill_{c}" for c in cols])
 
@@ -74,16 +77,12 @@ def standardise(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     return d.drop(*[f"_{p}_{c}" for c in cols for p in ("mu", "sd")])
 
 
-def label_encode(df: DataFrame, col: str, out: str | None = None, max_labels: int = 1_000_000) -> DataFrame:
-    """DQ-07: sorted distinct values to 0..n-1.  The code table (one row per
-    distinct value) is numbered by zipWithIndex over a range sort and joined
-    back (broadcast only under the bound)."""
-    from tessera.operators.common import broadcast_bounded
-    vals = df.select(col).distinct().filter(F.col(col).isNotNull()).orderBy(col)
-    spark = df.sparkSession
-    codes = spark.createDataFrame(vals.rdd.zipWithIndex().map(lambda r: (r[0][0], r[1])),
-                                  T.StructType([df.schema[col], T.StructField(out or f"{col}_code", T.LongType())]))
-    return df.join(broadcast_bounded(codes, max_labels), col, "left")
+def label_encode(df: DataFrame, col: str, out: str | None = None) -> DataFrame:
+    """DQ-07: sorted distinct values to 0..n-1 (NULL stays NULL).  The code
+    table (one row per distinct value) is numbered by range partitions and
+    joined back."""
+    codes = dense_ids(df.select(col).distinct().filter(F.col(col).isNotNull()), out or f"{col}_code")
+    return df.join(codes, col, "left")
 
 
 def validate(df: DataFrame, rules: Mapping[str, Column], out: str = "failures") -> DataFrame:

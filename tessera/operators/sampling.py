@@ -1,19 +1,21 @@
-"""Sampling (SMP-*).  Repeatable samples use an arithmetic hash of the key,
-so the same rows are chosen on every run, whatever the partitioning."""
+"""Sampling (SMP-*).  Repeatable samples use an MD5 hash of the key, so the
+same rows are chosen on every run, whatever the partitioning."""
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tessera.operators.common import _cols, prefix_sum, quantile_chunk
+from tessera.operators.common import _cols, join_on, prefix_sum, quantile_chunk
 
 
 def stable_hash(key, seed: int = 0, buckets: int = 10_000) -> Column:
-    """Arithmetic hash in [0, buckets): ((key mod 1000003) * 7919 + seed * 104729) mod buckets.
-    Plain integer arithmetic, so any SQL engine reproduces it."""
+    """Hash in [0, buckets): the first 32 bits of md5(key ':' seed) modulo
+    ``buckets``; keys with a common stride spread like any others, and every
+    SQL engine can reproduce it.  A NULL key hashes like ''."""
     k = F.col(key) if isinstance(key, str) else key
-    return F.pmod(F.pmod(k, F.lit(1000003)) * 7919 + F.lit(seed * 104729), F.lit(buckets))
+    text = F.concat(F.coalesce(k.cast("string"), F.lit("")), F.lit(f":{seed}"))
+    return F.pmod(F.conv(F.substring(F.md5(text), 1, 8), 16, 10).cast("bigint"), F.lit(buckets))
 
 
 def sample_rows(df: DataFrame, p: float, seed: int) -> DataFrame:
@@ -21,9 +23,11 @@ def sample_rows(df: DataFrame, p: float, seed: int) -> DataFrame:
     return df.sample(withReplacement=False, fraction=p, seed=seed)
 
 
-def sample_blocks(df: DataFrame, p: float, seed: int) -> DataFrame:
-    """SMP-02: whole files kept or dropped together (hash of the file path)."""
-    h = F.pmod(F.xxhash64(F.col("_metadata.file_path"), F.lit(seed)), F.lit(10_000))
+def sample_blocks(df: DataFrame, p: float, seed: int, block_rows: int = 1_000) -> DataFrame:
+    """SMP-02: blocks of ``block_rows`` neighbouring rows of a file kept or
+    dropped together (hash of the file's name and the block's number)."""
+    block = F.floor(F.col("_metadata.row_index") / block_rows)
+    h = F.pmod(F.xxhash64(F.col("_metadata.file_name"), block, F.lit(seed)), F.lit(10_000))
     return df.filter(h < int(p * 10_000))
 
 
@@ -52,7 +56,7 @@ def sample_stratified(df: DataFrame, by, key: str, p: float, seed: int = 0, buck
     bound = hist.filter(F.col("_cum") >= F.col("_k")).groupBy(*g).agg(
         F.min_by(F.struct("_h", (F.col("_k") - (F.col("_cum") - F.col("_c"))).alias("_need")), "_h").alias("_b"))
     bound = bound.select(*g, F.col("_b._h").alias("_bh"), F.col("_b._need").alias("_need"))
-    j = d.join(bound, [c for c in (by if isinstance(by, (list, tuple)) else [by])])
+    j = join_on(d, bound, list(by) if isinstance(by, (list, tuple)) else [by])
     below = j.filter(F.col("_h") < F.col("_bh"))
     edge = j.filter(F.col("_h") == F.col("_bh"))
     wr = Window.partitionBy(*g, "_h").orderBy(F.col(key))
@@ -64,7 +68,7 @@ def kfold(df: DataFrame, order: str, k: int, tie: str | None = None, out: str =
     """SMP-05: k disjoint folds by position: fold = (rank - 1) * k div n.
     The global position is a chunked prefix count (quantile chunks of the
     order column), never a single-partition window."""
-    d = quantile_chunk(df, order, 64, "_qc").withColumn("_one", F.lit(1)).withColumn("_k", F.lit(0))
+    d = quantile_chunk(df, order, out="_qc").withColumn("_one", F.lit(1)).withColumn("_k", F.lit(0))
     d = prefix_sum(d, ["_k"], [F.col(order), *([F.col(tie)] if tie else [])], "_one", "_pos", "_qc")
     n = df.agg(F.count(F.lit(1)).alias("_cnt"))
     from tessera.operators.common import attach_scalars

@@ -1,14 +1,16 @@
 """Semi-structured data (SEMI-*): JSON / variant paths, flattening, XML.
 
 JSON text is parsed with built-in ``parse_json``/``variant_get`` or
-``from_json`` with a declared schema; XML with ``from_xml``/``xpath``.  No
-Python parser runs per row.
+``from_json`` with a declared schema; XML with ``from_xml``/``xpath``.  Only
+the recursive chunker (SEMI-10) parses in Python, per Arrow batch.
 """
 
 from __future__ import annotations
 
+import json
 from collections.abc import Mapping, Sequence
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -20,8 +22,9 @@ def _c(c) -> Column:
 
 def json_path(col, path: str, typ: str) -> Column:
     """SEMI-01: typed value at a JSON path (``$.a.b[0].c``), via the variant
-    type; a missing path or a value of the wrong type gives NULL."""
-    return F.try_variant_get(F.parse_json(_c(col)), path, typ)
+    type; a missing path, a value of the
+    wrong type or a malformed document gives NULL."""
+    return F.try_variant_get(F.try_parse_json(_c(col)), path, typ)
 
 
 def flatten(df: DataFrame, col: str, schema: T.DataType | str, alias: str = "item",
@@ -76,20 +79,64 @@ def xml_count(col, path: str) -> Column:
     return F.xpath_int(_c(col), F.lit(f"count({path})"))
 
 
+def _leaves(value, path: str):
+    """(path, text) of every leaf of a parsed JSON value, in document order."""
+    todo = [(path, value)]
+    while todo:
+        at, v = todo.pop()
+        if isinstance(v, dict) and v:
+            todo += [(f"{at}.{k}" if at else str(k), x) for k, x in reversed(v.items())]
+        elif isinstance(v, list) and v:
+            todo += [(f"{at}[{i}]", x) for i, x in reversed(list(enumerate(v)))]
+        else:
+            yield at, v if isinstance(v, str) else json.dumps(v, ensure_ascii=False)
+
+
+def pack_lines(lines: Sequence[tuple[str, str]], max_chars: int):
+    """Fold ordered (path, line) into chunks of at most ``max_chars``
+    characters; a longer line is a chunk of its own."""
+    paths, chunk, size = [], [], 0
+    for path, line in lines:
+        if chunk and size + 1 + len(line) > max_chars:
+            yield paths, "\n".join(chunk)
+            paths, chunk, size = [], [], 0
+        size += len(line) + (1 if chunk else 0)
+        paths.append(path)
+        chunk.append(line)
+    if chunk:
+        yield paths, "\n".join(chunk)
+
+
 def json_chunks(df: DataFrame, id_col: str, col: str, max_chars: int) -> DataFrame:
-    """SEMI-10: leaves of a JSON object as ``path: value`` lines packed into
-    chunks of at most ``max_chars`` characters (one level of nesting per
-    explode; a leaf longer than the limit is its own chunk)."""
-    from pyspark.sql import Window
-    leaves = df.select(id_col, F.posexplode(F.map_entries(F.from_json(F.col(col), "map<string,string>")))
-                       .alias("pos", "kv"))
-    leaves = leaves.select(id_col, "pos", F.concat(F.col("kv.key"), F.lit(": "), F.col("kv.value")).alias("line"))
-    w = Window.partitionBy(id_col).orderBy("pos").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    leaves = leaves.withColumn("_cum", F.sum(F.length("line") + 1).over(w))
-    leaves = leaves.withColumn("chunk_no", F.floor((F.col("_cum") - 1) / (max_chars + 1)).cast("bigint"))
-    return leaves.groupBy(id_col, "chunk_no").agg(
-        F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("pos", "line"))), lambda s: s["line"]), "\n")
-        .alias("chunk"))
+    """SEMI-10: leaves of a JSON document (nested to any depth) as
+    ``path: value`` lines, packed in document order into chunks of at most
+    ``max_chars`` characters, with the paths of each chunk as metadata.  One
+    document is one small fold in an Arrow batch; malformed JSON has no chunk."""
+    rows = df.select(id_col, col)
+    schema = T.StructType([rows.schema[0], T.StructField("chunk_no", T.LongType()),
+                           T.StructField("paths", T.ArrayType(T.StringType())), T.StructField("chunk", T.StringType())])
+
+    def cut(batches):
+        for b in batches:
+            owner, numbers, paths, chunks = [], [], [], []
+            for i, text in enumerate(b.column(1).to_pylist()):
+                try:
+                    doc = json.loads(text) if text is not None else None
+                except ValueError:
+                    continue
+                if doc is None:
+                    continue
+                lines = [(p, f"{p}: {v}") for p, v in _leaves(doc, "")]
+                for n, (own, chunk) in enumerate(pack_lines(lines, max_chars)):
+                    owner.append(i)
+                    numbers.append(n)
+                    paths.append(own)
+                    chunks.append(chunk)
+            yield pa.RecordBatch.from_arrays(
+                [b.column(0).take(pa.array(owner, pa.int64())), pa.array(numbers, pa.int64()),
+                 pa.array(paths, pa.list_(pa.string())), pa.array(chunks, pa.string())], names=schema.names)
+
+    return rows.mapInArrow(cut, schema)
 
 
 def split_rows(df: DataFrame, col: str, sep: str, alias: str = "part", pos: str = "pos") -> DataFrame:

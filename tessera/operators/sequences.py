@@ -13,7 +13,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tessera.operators.common import (_cols, _names, attach_scalars, lag_chunked, month_index,
+from tessera.operators.common import (_cols, _names, attach_scalars, join_on, lag_chunked, month_index,
                                       prefix_sum, running_extreme)
 
 __all__ = ["month_index"]
@@ -85,7 +85,7 @@ def runs_of(df: DataFrame, by, order: Sequence, flag: Column, k: int, chunk=None
     d = d.withColumn("_isl", F.col("_rn") - F.col("_rnf"))
     runs = (d.filter("_f").groupBy(*keys, "_isl").agg(F.count(F.lit(1)).alias("_len"))
               .filter(F.col("_len") >= k).select(*keys, "_isl"))
-    return d.filter("_f").join(runs, [*keys, "_isl"], "left_semi").drop("_f", "_rn", "_rnf", "_isl", "_one", "_ch")
+    return join_on(d.filter("_f"), runs, [*keys, "_isl"], "left_semi").drop("_f", "_rn", "_rnf", "_isl", "_one", "_ch")
 
 
 def free_blocks(df: DataFrame, row: str, seat: str, free: Column, k: int) -> DataFrame:
@@ -140,18 +140,21 @@ def sessionize(df: DataFrame, key: str, ts: str, gap_s: int = 1800, chunk: Colum
     d = d.withColumn("_prev", F.lag("_us").over(w))
     d = d.withColumn("_f", ((F.col("_prev").isNotNull()) & (F.col("_us") - F.col("_prev") > gap_s * 1_000_000)).cast("int"))
     d = d.withColumn("_loc", F.sum("_f").over(w.rowsBetween(Window.unboundedPreceding, Window.currentRow)))
-    summ = d.groupBy(key, "_ch").agg(F.min("_us").alias("_first"), F.max("_us").alias("_last"),
-                                     F.sum("_f").alias("_nloc"))
+    # from here on one row per local session; only a chunk's first one can go on from the chunk before
+    d = d.groupBy(key, "_ch", "_loc").agg(F.min(ts).alias("_s"), F.max(ts).alias("_e"), F.count(F.lit(1)).alias("_n"),
+                                          F.min("_us").alias("_first"), F.max("_us").alias("_last"))
+    summ = d.groupBy(key, "_ch").agg(F.min("_first").alias("_first"), F.max("_last").alias("_last"),
+                                     F.max("_loc").alias("_nloc"))
     wc = Window.partitionBy(key).orderBy("_ch")
     summ = summ.withColumn("_prev_last", F.lag("_last").over(wc))
     summ = summ.withColumn("_ff", (F.col("_prev_last").isNull()
                                    | (F.col("_first") - F.col("_prev_last") > gap_s * 1_000_000)).cast("int"))
     summ = summ.withColumn("_off", F.coalesce(F.sum(F.col("_ff") + F.col("_nloc")).over(
         wc.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
-    d = d.join(summ.select(key, "_ch", "_ff", "_off"), [key, "_ch"])
+    d = join_on(d, summ.select(key, "_ch", "_ff", "_off"), [key, "_ch"])
     d = d.withColumn("session_no", (F.col("_off") + F.col("_ff") + F.col("_loc")).cast("bigint"))
     return d.groupBy(key, "session_no").agg(
-        F.min(ts).alias("start"), F.max(ts).alias("end"), F.count(F.lit(1)).alias("n_events")
+        F.min("_s").alias("start"), F.max("_e").alias("end"), F.sum("_n").alias("n_events")
     ).withColumn("duration_s", (F.unix_micros(F.col("end").cast("timestamp"))
                                 - F.unix_micros(F.col("start").cast("timestamp"))) / 1e6)
 
@@ -404,10 +407,10 @@ def fill_down(df: DataFrame, order: str, col: str, by=None, chunk: Column | str
     # one row per chunk (also chunks without any non-null value): the last
     # non-null value of the chunk, carried forward across chunks
     last = d.groupBy(*keys, "_chunk").agg(
-        F.max_by(col, F.when(F.col(col).isNotNull(), F.col(order))).alias("_lastv"))
+        F.max_by(col, F.when(F.col(col).isNotNull(), F.struct(order))).alias("_lastv"))
     wc = Window.partitionBy(*keys).orderBy("_chunk").rowsBetween(Window.unboundedPreceding, -1)
     carry = last.withColumn("_carry", F.last("_lastv", ignorenulls=True).over(wc)).select(*keys, "_chunk", "_carry")
-    return (d.join(carry, [*keys, "_chunk"], "left")
+    return (join_on(d, carry, [*keys, "_chunk"], "left")
              .withColumn(out, F.coalesce("_in", "_carry")).drop("_chunk", "_in", "_carry"))
 
 
@@ -451,16 +454,14 @@ def business_days(a: Column, b: Column) -> Column:
 
 
 def business_days_between(df: DataFrame, a: str, b: str, holidays: DataFrame, day: str = "holiday",
-                          out: str = "business_days", max_holidays: int = 10_000) -> DataFrame:
+                          out: str = "business_days") -> DataFrame:
     """SEQ-31: weekdays in [a, b] minus weekday holidays inside the range.
 
-    The holiday calendar is small (row bound checked); it is collected into
-    one sorted array in a one-row aggregate attached by broadcast, and each
-    row counts the holidays in its range: no join back, no row ids."""
-    from tessera.operators.common import is_bounded
+    The distinct holidays are dates, so a calendar has 262 of them a year at
+    most; they are one sorted array in a one-row aggregate attached by
+    broadcast, and each row counts the holidays in its range: no join back,
+    no row ids."""
     h = holidays.select(F.to_date(day).alias("_h")).filter(F.dayofweek("_h").between(2, 6)).distinct()
-    if not is_bounded(h, max_holidays):
-        raise ValueError("holiday calendar exceeds the broadcast bound")
     cal = h.agg(F.array_sort(F.collect_list("_h")).alias("_hs"))
     d = attach_scalars(df.withColumn("_a", F.to_date(a)).withColumn("_b", F.to_date(b)), cal)
     n_h = F.size(F.filter("_hs", lambda x: (x >= F.col("_a")) & (x <= F.col("_b"))))

@@ -9,6 +9,7 @@ shuffles the documents; the Python helpers below only cut one text.
 from __future__ import annotations
 
 import re
+from bisect import bisect_left, bisect_right
 from collections.abc import Callable, Iterator, Sequence
 from html.parser import HTMLParser
 
@@ -16,16 +17,16 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-WORD_RE = r"[a-z0-9_]+"
+WORD_RE = r"[\p{L}\p{N}_]+"
 TOKEN_RE = r"[^ \t\n\r\f]+"
 
 
-def _ascii_word(word: str) -> str:
-    return rf"(^|[^A-Za-z0-9_]){re.escape(word)}([^A-Za-z0-9_]|$)"
+def _whole_word(word: str) -> str:
+    return rf"(^|[^\p{{L}}\p{{N}}_]){re.escape(word)}([^\p{{L}}\p{{N}}_]|$)"
 
 
 def words(text: Column) -> Column:
-    """Lower-cased words (runs of ASCII word characters).  Extracting the
+    """Lower-cased words (runs of letters, digits and underscores of any script).  Extracting the
     matches is about twice as fast as splitting on the complement and needs
     no empty-string filter."""
     return F.regexp_extract_all(F.lower(text), F.lit(WORD_RE), 0)
@@ -43,9 +44,9 @@ def repeated_words(df: DataFrame, text: str, by: Sequence[str] = ()) -> DataFram
 
 
 def find_replace(df: DataFrame, text: str, old: str, new: str, out: str = "replaced") -> DataFrame:
-    """TXT-03: whole-word hits (ASCII word boundaries, same in every regex
-    dialect) and the text with the word replaced."""
-    pat = _ascii_word(old)
+    """TXT-03: whole-word hits (a boundary is any character but letters,
+    digits and underscores) and the text with the word replaced."""
+    pat = _whole_word(old)
     return (df.withColumn("hits", F.regexp_count(F.col(text), F.lit(pat)))
               .withColumn(out, F.regexp_replace(F.col(text), pat, f"$1{new}$2")))
 
@@ -81,14 +82,14 @@ def token_stats(df: DataFrame, by: Sequence[str], text: str, limit: int) -> Data
 def trim_history(df: DataFrame, conv: str, turn: str, role: str, text: str, budget: int) -> DataFrame:
     """TXT-12: newest turns whose running token total fits ``budget``; the
     kept window must start on a user turn; system turns are always kept."""
-    from tessera.operators.common import prefix_sum
+    from tessera.operators.common import join_on, prefix_sum
     d = df.withColumn("_tok", token_count(F.col(text)))
     body = d.filter(F.col(role) != "system")
     # newest first: running tokens by descending turn, chunked by turn blocks
     body = prefix_sum(body.withColumn("_neg", -F.col(turn)), [conv], [F.col("_neg")], "_tok", "_run",
                       F.floor(F.col("_neg") / 1000)).drop("_neg").filter(F.col("_run") <= budget)
     first_user = body.filter(F.col(role) == "user").groupBy(conv).agg(F.min(turn).alias("_fu"))
-    body = body.join(first_user, conv).filter(F.col(turn) >= F.col("_fu")).drop("_fu", "_run")
+    body = join_on(body, first_user, [conv]).filter(F.col(turn) >= F.col("_fu")).drop("_fu", "_run")
     return body.unionByName(d.filter(F.col(role) == "system")).drop("_tok")
 
 
@@ -119,59 +120,71 @@ def threads(df: DataFrame, conv: str, turn: str, role: str, text: str, turns_per
 DEFAULT_SEPARATORS = ["\n\n", "\n", " ", ""]
 
 
-def _pieces(text: str, start: int, seps: Sequence[str], size: int, length: Callable[[str], int]):
-    """Cut ``text`` into contiguous pieces no longer than ``size``: split on
-    the first separator present (separator kept at the end of its piece),
-    recurse into over-long pieces with the next separators; the empty
+def _measure(text: str, length: Callable[[str], int]) -> Callable[[int, int], int]:
+    """``length(text[a:b])`` as a function of (a, b): constant time for
+    characters, two binary searches over the token starts for tokens."""
+    if length is len:
+        return lambda a, b: b - a
+    if length is _token_len:
+        spans = [m.span() for m in re.finditer(TOKEN_RE, text)]
+        starts, ends = [s for s, _ in spans], [e for _, e in spans]
+        return lambda a, b: bisect_left(starts, b) - bisect_right(ends, a) if b > a else 0
+    return lambda a, b: length(text[a:b])
+
+
+def _pieces(text: str, start: int, end: int, seps: Sequence[str], size: int, measure) -> list[tuple[int, int]]:
+    """Cut ``text[start:end]`` into contiguous pieces no longer than ``size``:
+    split on the first separator present (separator kept at the end of its
+    piece), go on in over-long pieces with the next separators; the empty
     separator cuts characters."""
-    if length(text) <= size:
-        return [(start, start + len(text))]
+    if measure(start, end) <= size:
+        return [(start, end)]
     for i, sep in enumerate(seps):
         if sep == "":
-            out, pos = [], 0
-            while pos < len(text):
-                end = pos + 1
-                while end < len(text) and length(text[pos:end + 1]) <= size:
-                    end += 1
-                out.append((start + pos, start + end))
-                pos = end
+            out, pos = [], start
+            while pos < end:
+                stop = pos + 1
+                while stop < end and measure(pos, stop + 1) <= size:
+                    stop += 1
+                out.append((pos, stop))
+                pos = stop
             return out
-        if sep in text:
-            out, pos = [], 0
-            for part in text.split(sep):
-                seg_end = pos + len(part) + len(sep)
-                seg_end = min(seg_end, len(text))
-                seg = text[pos:seg_end]
-                if seg:
-                    if length(seg) <= size:
-                        out.append((start + pos, start + seg_end))
-                    else:
-                        out.extend(_pieces(seg, start + pos, seps[i + 1:], size, length))
-                pos = seg_end
+        if text.find(sep, start, end) >= 0:
+            out, pos = [], start
+            while pos < end:
+                at = text.find(sep, pos, end)
+                stop = at + len(sep) if at >= 0 else end
+                out += [(pos, stop)] if measure(pos, stop) <= size else _pieces(text, pos, stop, seps[i + 1:], size, measure)
+                pos = stop
             return out
-    return [(start, start + len(text))]
+    return [(start, end)]
 
 
 def split_text(text: str, size: int, overlap: int, seps: Sequence[str] = DEFAULT_SEPARATORS,
                length: Callable[[str], int] = len) -> list[tuple[int, int, str]]:
     """Greedy merge of pieces into chunks of at most ``size`` (by ``length``);
     each next chunk starts with trailing pieces of the previous one worth at
-    most ``overlap``.  Returns (start, end, chunk) with chunk = text[start:end]."""
+    most ``overlap``, as far as they leave room for a piece beyond it, so no
+    chunk lies inside another.  Returns (start, end, chunk) with
+    chunk = text[start:end]."""
     if not text:
         return []
-    pieces = _pieces(text, 0, list(seps), size, length)
+    measure = _measure(text, length)
+    pieces = _pieces(text, 0, len(text), list(seps), size, measure)
     chunks, i, n = [], 0, len(pieces)
     while i < n:
         j = i
-        while j + 1 < n and length(text[pieces[i][0]:pieces[j + 1][1]]) <= size:
+        while j + 1 < n and measure(pieces[i][0], pieces[j + 1][1]) <= size:
             j += 1
         s, e = pieces[i][0], pieces[j][1]
         chunks.append((s, e, text[s:e]))
         if j + 1 >= n:
             break
         k = j + 1
-        while k - 1 > i and length(text[pieces[k - 1][0]:e]) <= overlap:
+        while k - 1 > i and measure(pieces[k - 1][0], e) <= overlap:
             k -= 1
+        while k <= j and measure(pieces[k][0], pieces[j + 1][1]) > size:
+            k += 1  # this much overlap would leave no room for the next piece
         i = k
     return chunks
 

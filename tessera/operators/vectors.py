@@ -1,9 +1,9 @@
 """Vector search jobs (VEC-*) over stored embeddings.
 
-Exact search: the query set is bounded (row count checked) and broadcast;
-the corpus stays partitioned; the score is a JVM-side array expression; a
-rank filter per query lets Spark keep only k rows per query and task
-before the shuffle (WindowGroupLimit).  Approximate search partitions the
+Exact search: queries meet the corpus in blocks (an equi join on a block
+number); the score is a JVM-side array expression; a rank filter per query
+lets Spark keep only k rows per query and task before the shuffle
+(WindowGroupLimit).  Approximate search partitions the
 corpus by nearest centroid and joins queries to their ``probes`` lists on
 the list id (an equi join, no all-pairs step).
 """
@@ -13,7 +13,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tessera.operators.common import is_bounded
+from tessera.operators.joins import cross
 
 
 def _dbl(v) -> Column:
@@ -41,31 +41,30 @@ def normalise(df: DataFrame, col: str, out: str | None = None) -> DataFrame:
         F.transform(_dbl(col), lambda x: x / n)))
 
 
-def topk(queries: DataFrame, corpus: DataFrame, k: int, metric: str = "cosine", qid: str = "qid",
-         cid: str = "vec_id", qvec: str = "qvec", cvec: str = "embedding", max_queries: int = 100_000,
-         where: Column | None = None) -> DataFrame:
-    """VEC-01/02/04: exact top-k per query: cosine (high = close), ip
-    (inner product, high = close) or l2 (low = close).  Ties by corpus id."""
-    if not is_bounded(queries, max_queries):
-        raise ValueError("query set exceeds the broadcast bound; use topk_ivf")
+def scores(queries: DataFrame, corpus: DataFrame, metric: str = "cosine", qid: str = "qid",
+           cid: str = "vec_id", qvec: str = "qvec", cvec: str = "embedding", where: Column | None = None) -> DataFrame:
+    """The score of every corpus row for every query, in blocks of the corpus."""
     q = queries.select(qid, F.col(qvec).alias("_q"), *([c for c in queries.columns if c not in (qid, qvec)]))
     c = corpus if where is None else corpus.filter(where)
     if metric == "cosine":
         q = q.withColumn("_qn", norm("_q"))
         c = c.withColumn("_cn", norm(cvec))
-    # every corpus row meets every (bounded, broadcast) query: exact search
-    j = c.join(F.broadcast(q), how="inner")
+    j = cross(c, q)
     if metric == "cosine":
         score = F.try_divide(dot("_q", cvec), F.col("_qn") * F.col("_cn"))
-        order = [F.col("score").desc(), F.col(cid)]
     elif metric == "ip":
         score = dot("_q", cvec)
-        order = [F.col("score").desc(), F.col(cid)]
     else:
         score = l2("_q", cvec)
-        order = [F.col("score").asc(), F.col(cid)]
-    s = j.select(qid, cid, score.alias("score"), *[x for x in c.columns if x not in (cid, cvec, "_cn")])
-    w = Window.partitionBy(qid).orderBy(*order)
+    return j.select(qid, cid, score.alias("score"), *[x for x in c.columns if x not in (cid, cvec, "_cn")])
+
+
+def topk(queries: DataFrame, corpus: DataFrame, k: int, metric: str = "cosine", qid: str = "qid",
+         cid: str = "vec_id", qvec: str = "qvec", cvec: str = "embedding", where: Column | None = None) -> DataFrame:
+    """VEC-01/02/04: exact top-k per query: cosine (high = close), ip
+    (inner product, high = close) or l2 (low = close).  Ties by corpus id."""
+    s = scores(queries, corpus, metric, qid, cid, qvec, cvec, where)
+    w = Window.partitionBy(qid).orderBy(F.col("score").asc() if metric == "l2" else F.col("score").desc(), F.col(cid))
     return s.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= k)
 
 
@@ -75,7 +74,7 @@ def topk_filtered(queries, corpus, k, key: str, metric: str = "cosine", **kw):
     q = queries.select(kw.get("qid", "qid"), F.col(kw.get("qvec", "qvec")).alias("_q"), F.col(key).alias("_key"))
     c = corpus.withColumn("_key", F.col(key))
     cvec, cid, qid = kw.get("cvec", "embedding"), kw.get("cid", "vec_id"), kw.get("qid", "qid")
-    j = c.join(F.broadcast(q), "_key")
+    j = c.join(q, "_key")
     score = F.try_divide(dot("_q", cvec), norm("_q") * norm(cvec)) if metric == "cosine" else dot("_q", cvec)
     s = j.select(qid, cid, key, score.alias("score"))
     w = Window.partitionBy(qid).orderBy(F.col("score").desc(), F.col(cid))
@@ -83,10 +82,12 @@ def topk_filtered(queries, corpus, k, key: str, metric: str = "cosine", **kw):
 
 
 def cut_hits(hits: DataFrame, min_score: float, by: str, qid: str = "qid") -> DataFrame:
-    """VEC-06: drop hits under the score, keep the best hit per (query, by)."""
-    w = Window.partitionBy(qid, by).orderBy(F.col("score").desc(), F.col("vec_id"))
-    return hits.filter(F.col("score") >= min_score).withColumn("_r", F.row_number().over(w)) \
-               .filter("_r = 1").drop("_r")
+    """VEC-06: drop hits under the score, keep the best hit per (query, by):
+    one map-side combined aggregate, no rank over a query's hits."""
+    rest = [c for c in hits.columns if c not in (qid, by, "score", "vec_id")]
+    best = hits.filter(F.col("score") >= min_score).groupBy(qid, by).agg(
+        F.min(F.struct((-F.col("score")).alias("_neg"), "vec_id", "score", *rest)).alias("_b"))
+    return best.select(*[F.col(c) if c in (qid, by) else F.col(f"_b.{c}").alias(c) for c in hits.columns])
 
 
 def topk_ivf(queries: DataFrame, corpus: DataFrame, k: int, lists: int, probes: int, seed: int = 7,
@@ -108,7 +109,7 @@ def topk_ivf(queries: DataFrame, corpus: DataFrame, k: int, lists: int, probes:
     qc = qn.join(F.broadcast(cents), how="inner").withColumn("_d", dot("_qu", "centroid"))
     wq = Window.partitionBy(qid).orderBy(F.col("_d").desc(), F.col("list_id"))
     probe = qc.withColumn("_r", F.row_number().over(wq)).filter(F.col("_r") <= probes).select(qid, "_qu", "list_id")
-    j = assigned.join(F.broadcast(probe), "list_id")
+    j = assigned.join(probe, "list_id")
     s = j.select(qid, cid, dot("_qu", "_u").alias("score"))
     w = Window.partitionBy(qid).orderBy(F.col("score").desc(), F.col(cid))
     return s.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= k)

@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tessera.functions.scalars import hash_key
+from tessera.session import read_or_none
 from tessera.sources.loads import upsert
 
 
@@ -111,10 +112,8 @@ def _versions_path(root: str) -> str:
 
 def list_versions(spark: SparkSession, root: str) -> DataFrame:
     """Version table: (version, ts, path); empty when none written yet."""
-    try:
-        return spark.read.parquet(_versions_path(root))
-    except Exception:  # noqa: BLE001 - no version folder yet
-        return spark.createDataFrame([], "version long, ts timestamp_ntz, path string")
+    found = read_or_none(spark, _versions_path(root))
+    return found if found is not None else spark.createDataFrame([], "version long, ts timestamp_ntz, path string")
 
 
 def write_version(df: DataFrame, root: str, ts) -> int:
@@ -174,11 +173,12 @@ def publish(staged: DataFrame, root: str, ts, current: DataFrame | None = None)
 
 
 def replay(spark: SparkSession, root_changes: str, lo: int, hi: int, target: DataFrame, key: str) -> DataFrame:
-    """VER-09: re-apply change versions lo..hi to a target by keyed upsert
-    (idempotent: replaying twice gives the same table)."""
+    """VER-09: re-apply change versions lo..hi to a target by one keyed upsert
+    of all their change rows, the last version winning per key (idempotent:
+    replaying twice gives the same table)."""
     vt = list_versions(spark, root_changes).filter(F.col("version").between(lo, hi)).orderBy("version")
-    out = target
+    changes = None
     for row in vt.collect():  # the version table is small: one row per version
-        ch = spark.read.parquet(row["path"]).withColumn("_seq", F.lit(row["version"]))
-        out = apply_changes(out, ch, key, "_seq")
-    return out
+        one = spark.read.parquet(row["path"]).withColumn("_seq", F.lit(row["version"]).cast("long"))
+        changes = one if changes is None else changes.unionByName(one)
+    return target if changes is None else apply_changes(target, changes, key, "_seq")

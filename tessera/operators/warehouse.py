@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tessera.functions.scalars import hash_key
-from tessera.operators.common import _cols, attach_scalars
+from tessera.operators.common import _cols, attach_scalars, dense_ids, join_on
 from tessera.operators.joins import cross
 from tessera.sources.loads import upsert
 
@@ -59,12 +59,8 @@ def surrogate_key(df: DataFrame, nk: Sequence[str], mode: str = "hash", out: str
     one small job for partition sizes) and joins them back."""
     if mode == "hash":
         return df.withColumn(out, hash_key(nk))
-    keys = df.select(*nk).distinct().orderBy(*nk)
-    spark = df.sparkSession
-    numbered = spark.createDataFrame(
-        keys.rdd.zipWithIndex().map(lambda r: (*r[0], r[1] + start)),
-        keys.schema.add(out, "long"))
-    return df.join(numbered, list(nk), "left")
+    numbered = dense_ids(df.select(*nk).distinct(), out, start)
+    return join_on(df, numbered, list(nk), "left")
 
 
 def scd0(dim: DataFrame, delta: DataFrame, key: str) -> DataFrame:
@@ -233,7 +229,7 @@ def snapshot_fact(rows: DataFrame, key: str, date: str, val: str, out: str = "ba
     daily = rows.groupBy(key, F.to_date(date).alias("day")).agg(F.sum(val).alias("_v"))
     rng = daily.agg(F.min("day").alias("_a"), F.max("day").alias("_b"))
     cal = rng.select(F.explode(F.sequence("_a", "_b", F.expr("INTERVAL 1 DAY"))).alias("day"))
-    grid = cross(daily.select(key).distinct(), cal, max_rows=1_000_000)  # calendar: bounded by the span
+    grid = cross(daily.select(key).distinct(), cal)
     g = grid.join(daily, [key, "day"], "left").withColumn("_v", F.coalesce("_v", F.lit(0.0)))
     # running balance per key over the calendar, chunked by month
     from tessera.operators.common import prefix_sum

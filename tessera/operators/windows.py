@@ -7,7 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tessera.operators.common import (_cols, _names, attach_scalars, global_prefix_sum, lag_chunked, prefix_sum,
+from tessera.operators.common import (_cols, _names, attach_scalars, chunk_count, global_prefix_sum, join_on, lag_chunked,
+                                      prefix_sum,
                                       quantile_chunk, running_extreme, shift_many_chunked)
 
 _RANKERS = {"row_number": F.row_number, "rank": F.rank, "dense_rank": F.dense_rank}
@@ -48,7 +49,7 @@ def rank_rows_chunked(df: DataFrame, by, order_col: str, kind: str, out: str, ch
     else:
         raise ValueError(kind)
     v = v.select(*keys, order_col, F.col(out).cast("int").alias(out))
-    return df.join(v, [*keys, order_col])
+    return join_on(df, v, [*keys, order_col])
 
 
 def top_n_per(df: DataFrame, by, order: Sequence, n: int, kind: str = "row_number",
@@ -67,7 +68,7 @@ def nth_or_last(df: DataFrame, by, order: Sequence, n: int) -> DataFrame:
     keys = _names(by)
     top = top_n_per(df, by, order, n, "row_number", "_rn")
     cnt = df.groupBy(*_cols(by)).agg(F.count(F.lit(1)).alias("_cnt"))
-    return top.join(cnt, keys).filter(F.col("_rn") == F.least(F.lit(n), F.col("_cnt"))).drop("_rn", "_cnt")
+    return join_on(top, cnt, keys).filter(F.col("_rn") == F.least(F.lit(n), F.col("_cnt"))).drop("_rn", "_cnt")
 
 
 def shift(df: DataFrame, by, order: Sequence, col: str, n: int = 1, default=None,
@@ -124,7 +125,7 @@ def group_total(df, by, val, agg="sum", out=None):
     which it cannot do for a window."""
     out = out or f"{agg}_{val}"
     g = df.groupBy(*_cols(by)).agg(getattr(F, agg)(val).alias(out))
-    return df.join(g, _names(by))
+    return join_on(df, g, _names(by))
 
 
 def range_running(df, by, order_col: str, val, out="running"):
@@ -155,18 +156,19 @@ def first_last(df: DataFrame, by, order_col: str, val: str) -> DataFrame:
 
 
 def pareto(df: DataFrame, item: str, val: str, share: float = 0.8, out_running="running",
-           buckets: int = 64) -> DataFrame:
+           buckets: int | None = None) -> DataFrame:
     """WIN-14: items that make the first ``share`` of the total, largest first.
 
     The global running sum is a partitioned prefix sum: items are aggregated,
-    cut into ``buckets`` quantile ranges of the item total (monotone in the
+    cut into quantile ranges (``chunk_count`` of them) of the item total (monotone in the
     descending order, so balanced chunks), each chunk is summed locally and
-    chunk offsets come from a ``buckets``-row table.  No single-partition
+    chunk offsets come from a table with a row per chunk.  No single-partition
     window is used.
     """
     per_item = df.groupBy(item).agg(F.sum(val).alias("total"))
+    buckets = buckets or chunk_count(df)
     probs = [i / buckets for i in range(1, buckets)]
-    stats = per_item.agg(F.percentile_approx("total", probs, 10000).alias("_qs"),
+    stats = per_item.agg(F.percentile_approx("total", probs, max(10_000, 4 * buckets)).alias("_qs"),
                          F.sum("total").alias("_grand"))
     d = attach_scalars(per_item, stats)
     d = d.withColumn("_chunk", F.size(F.filter("_qs", lambda q: q > F.col("total"))))
@@ -200,7 +202,7 @@ def form_teams(df: DataFrame, by: str, order: Sequence, size: int) -> DataFrame:
     # one row per group; a quantile-chunked global prefix keeps it parallel
     groups = global_prefix_sum(groups, by, [], "_n", "_upto")
     groups = groups.withColumn("_base", F.col("_upto") - F.col("_n")).select(by, "_base")
-    return (d.join(groups, by).withColumn("team_no", F.col("_base") + F.col("team_in_group") + 1)
+    return (join_on(d, groups, [by]).withColumn("team_no", F.col("_base") + F.col("team_in_group") + 1)
              .drop("_rn", "_base"))
 
 
@@ -210,7 +212,7 @@ def nth_else_only(df, by, order, n=2):
     keys = _names(by)
     top = top_n_per(df, by, order, n, "row_number", "_rn")
     cnt = df.groupBy(*_cols(by)).agg(F.count(F.lit(1)).alias("_cnt"))
-    return top.join(cnt, keys).filter((F.col("_rn") == n) | (F.col("_cnt") == 1)).drop("_rn", "_cnt")
+    return join_on(top, cnt, keys).filter((F.col("_rn") == n) | (F.col("_cnt") == 1)).drop("_rn", "_cnt")
 
 
 def best_spread(df, by, order, val, out="best_spread"):
@@ -299,7 +301,7 @@ def pack_budget(df: DataFrame, cls: str, cost: str, tie: str, budget: float,
     class gets what the previous classes left.  Running sums per class are
     chunked prefix sums (quantile chunks of cost), so one class is not one
     task."""
-    d = quantile_chunk(df, cost, 32, "_qc")
+    d = quantile_chunk(df, cost, out="_qc")
     d = prefix_sum(d, [cls], [F.col(cost), F.col(tie)], cost, "_run", "_qc").drop("_qc")
     left = F.lit(float(budget))
     picked = None
@@ -340,9 +342,10 @@ def framed_chunked(df: DataFrame, by, order: Sequence, val: str, lo: int, hi: in
     """ROWS frame ``lo .. hi`` (bounded, lo <= 0 <= hi) without a per-key
     window: the values before and after each row come from one chunked
     multi-lag pass each (``shift_many_chunked``), then the frame is
-    aggregated as an array."""
-    if -lo + hi > max_span:
-        raise ValueError("frame too wide for the chunked form")
+    aggregated as an array.  Frames wider than ``max_span`` rows take the
+    plain per-key window."""
+    if -lo + hi > max_span:  # one column per frame row would be too many: the plain window
+        return framed(df, by, order, val, lo, hi, agg, out)
     keys = _names(by)
     d = df.withColumn("__fo", _order_col(order)).withColumn("__fc", chunk)
     if lo < 0:
@@ -389,7 +392,7 @@ def reverse_running_chunked(df: DataFrame, by, order: Sequence, val: str, out: s
     keys = _names(by)
     d = prefix_sum(df.withColumn("__fc", chunk), keys, order, val, "__run", "__fc")
     tot = df.groupBy(*keys).agg(F.sum(val).alias("__tot"))
-    return d.join(tot, keys).withColumn(out, F.col("__tot") - F.col("__run") + F.col(val)) \
+    return join_on(d, tot, keys).withColumn(out, F.col("__tot") - F.col("__run") + F.col(val)) \
             .drop("__fc", "__run", "__tot")
 
 
@@ -399,4 +402,4 @@ def range_running_chunked(df: DataFrame, by, order_col: str, val: str, out: str,
     keys = _names(by)
     per = df.groupBy(*keys, order_col).agg(F.sum(val).alias("__s"))
     per = prefix_sum(per.withColumn("__fc", chunk), keys, [F.col(order_col)], "__s", out, "__fc").drop("__fc", "__s")
-    return df.join(per, [*keys, order_col])
+    return join_on(df, per, [*keys, order_col])

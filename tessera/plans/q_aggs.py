@@ -135,16 +135,17 @@ _MATCHES_SQL = """
 WITH m AS (SELECT 'S' || CAST(a.l_suppkey AS VARCHAR) AS team_1, 'S' || CAST(b.l_suppkey AS VARCHAR) AS team_2,
                   CASE WHEN a.l_quantity > b.l_quantity THEN 'S' || CAST(a.l_suppkey AS VARCHAR)
                        WHEN b.l_quantity > a.l_quantity THEN 'S' || CAST(b.l_suppkey AS VARCHAR) END AS winner
-           FROM lineitem a JOIN lineitem b ON a.l_orderkey = b.l_orderkey AND a.l_linenumber = 1 AND b.l_linenumber = 2)"""
+           FROM lineitem a JOIN lineitem b ON a.l_orderkey = b.l_orderkey
+             AND a.l_linenumber % 2 = 1 AND b.l_linenumber = a.l_linenumber + 1)"""
 
 
 def _matches(spark, sf):
     li = T(spark, sf, "lineitem")
-    a = li.filter("l_linenumber = 1").select("l_orderkey", F.concat(F.lit("S"), F.col("l_suppkey").cast("string"))
+    a = li.filter("l_linenumber % 2 = 1").select("l_orderkey", (F.col("l_linenumber") + 1).alias("_next"), F.concat(F.lit("S"), F.col("l_suppkey").cast("string"))
                                              .alias("team_1"), F.col("l_quantity").alias("qa"))
-    b = li.filter("l_linenumber = 2").select("l_orderkey", F.concat(F.lit("S"), F.col("l_suppkey").cast("string"))
+    b = li.filter("l_linenumber % 2 = 0").select("l_orderkey", F.col("l_linenumber").alias("_next"), F.concat(F.lit("S"), F.col("l_suppkey").cast("string"))
                                              .alias("team_2"), F.col("l_quantity").alias("qb"))
-    m = a.join(b, "l_orderkey")
+    m = a.join(b, ["l_orderkey", "_next"])
     return m.select("team_1", "team_2", F.when(F.col("qa") > F.col("qb"), F.col("team_1"))
                     .when(F.col("qb") > F.col("qa"), F.col("team_2")).alias("winner"))
 

@@ -6,7 +6,7 @@ from tessera.operators import evals as E
 from tessera.plans.registry import register
 from tessera.session import load_table as T
 
-_W = "list_distinct(list_filter(regexp_split_to_array(lower({}), '[^a-z0-9_]+'), lambda w: w <> ''))"
+_W = "list_distinct(list_filter(regexp_split_to_array(lower({}), '[^\\p{{L}}\\p{{N}}_]+'), lambda w: w <> ''))"
 
 
 def _answers(spark, sf):
@@ -46,7 +46,8 @@ def evl02(spark, sf):
 
 
 @register("EVL-03", "evl03_pairwise_compare", """
-SELECT CASE WHEN quality > 1 - toxic THEN 'A' WHEN 1 - toxic > quality THEN 'B' ELSE 'tie' END AS winner, count(*) AS n
+SELECT CASE WHEN quality > 1 - toxic THEN 'A' WHEN 1 - toxic > quality THEN 'B' ELSE 'tie' END AS winner, count(*) AS n,
+       count(*) / (SELECT count(*) FROM labels) AS rate
 FROM labels GROUP BY 1""")
 def evl03(spark, sf):
     l = T(spark, sf, "labels").withColumn("b", 1 - F.col("toxic"))
@@ -55,7 +56,7 @@ def evl03(spark, sf):
 
 @register("EVL-04", "evl04_experiment_summary", """
 WITH r AS (SELECT d.lang AS experiment, d.source AS example, l.quality AS score FROM labels l JOIN documents d USING (doc_id)),
- b AS (SELECT example, score AS base FROM r WHERE experiment = 'en')
+ b AS (SELECT example, avg(score) AS base FROM r WHERE experiment = 'en' GROUP BY example)
 SELECT experiment, round(avg(score), 6) AS mean, round(stddev_pop(score), 6) AS spread,
        round(avg(CASE WHEN score >= 1 THEN 1.0 ELSE 0.0 END), 6) AS pass_rate, CAST(count_if(score < base) AS BIGINT) AS regressions
 FROM r LEFT JOIN b USING (example) GROUP BY 1""")

@@ -147,12 +147,11 @@ def str05(spark, sf):
     src = _fresh(spark, "movements")
     e.select(F.get_json_object("props", "$.k").cast("long").alias("item"), qty.alias("qty"), "ts").write.parquet(src)
     stream = spark.readStream.schema("item long, qty double, ts timestamp_ntz").parquet(src)
-    name = f"inv_{uuid.uuid4().hex[:8]}"
-    q = (jobs.inventory(stream, "item", "qty", limit=20, opening=100).writeStream.outputMode("update")
-         .format("memory").queryName(name).option("checkpointLocation", _fresh(spark, "inv_ck"))
-         .trigger(availableNow=True).start())
-    q.awaitTermination()
-    last = spark.table(name)
+    out = _fresh(spark, "levels")
+    (jobs.inventory(stream, "item", "qty", limit=20, opening=100).writeStream.outputMode("update")
+     .foreachBatch(jobs.folder_sink(out)).option("checkpointLocation", _fresh(spark, "inv_ck"))
+     .trigger(availableNow=True).start().awaitTermination())
+    last = spark.read.parquet(out)
     return last.groupBy("item").agg(F.max_by(F.struct("stock", "low_stock", "updates"), "updates").alias("s")) \
                .select("item", F.round("s.stock", 4).alias("stock"), "s.low_stock", "s.updates")
 
@@ -165,11 +164,10 @@ def str09(spark, sf):
     stream = spark.readStream.schema("event_id long, user_id long, event_type string, ts timestamp_ntz").parquet(src)
     keyed = stream.withColumn("hour", F.date_trunc("hour", "ts")) \
                   .withColumn("dedup_key", F.concat_ws("|", "user_id", "event_type", F.col("hour").cast("string")))
-    name = f"dedup_{uuid.uuid4().hex[:8]}"
-    q = (jobs.dedup_within(keyed, "dedup_key", "ts", "2 hours").writeStream.format("memory").queryName(name)
-         .option("checkpointLocation", _fresh(spark, "dedup_ck")).trigger(availableNow=True).start())
-    q.awaitTermination()
-    return spark.table(name).select("user_id", "event_type",
+    out = _fresh(spark, "unique")
+    (jobs.dedup_within(keyed, "dedup_key", "ts", "2 hours").writeStream.foreachBatch(jobs.folder_sink(out))
+     .option("checkpointLocation", _fresh(spark, "dedup_ck")).trigger(availableNow=True).start().awaitTermination())
+    return spark.read.parquet(out).select("user_id", "event_type",
                                     F.date_format(F.col("hour").cast("timestamp_ntz"), "yyyy-MM-dd HH:mm:ss.SSSSSS").alias("hour"))
 
 
@@ -181,7 +179,32 @@ def str11(spark, sf):
     e = T(spark, sf, "events")
     a = e.filter("event_type = 'view'").select("user_id", F.col("event_id").alias("view_id"), F.col("ts").alias("ts_a"))
     b = e.filter("event_type = 'purchase'").select("user_id", F.col("event_id").alias("purchase_id"), F.col("ts").alias("ts_b"))
-    return jobs.near_join_stream(a, b, "user_id", "ts_a", "ts_b", 900).select("view_id", "purchase_id")
+    streams = []
+    for d in (a, b):
+        src = _fresh(spark, "moves")
+        d.write.parquet(src)
+        streams.append(spark.readStream.schema(d.schema).parquet(src))
+    out = _fresh(spark, "near")
+    (jobs.near_join_stream(*streams, "user_id", "ts_a", "ts_b", 900).select("view_id", "purchase_id")
+     .writeStream.foreachBatch(jobs.folder_sink(out)).option("checkpointLocation", _fresh(spark, "near_ck"))
+     .trigger(availableNow=True).start().awaitTermination())
+    return spark.read.parquet(out).select("view_id", "purchase_id")
+
+
+@register("STR-09", "str09_late_rows", """
+SELECT event_id, ts < (SELECT max(ts) FROM events) - INTERVAL 2 DAY AS late FROM events""")
+def str09b(spark, sf):
+    """The newest event comes first; then all events, of which those two days
+    older are late (the newest one itself is not repeated)."""
+    src, out, late, hw, ck = (_fresh(spark, n) for n in ("late_src", "on_time", "late", "late_hw", "late_ck"))
+    e = T(spark, sf, "events").select("event_id", "ts")
+    newest = e.orderBy(F.desc("ts"), F.desc("event_id")).limit(1)
+    for n, part in enumerate((newest, e)):
+        part.write.parquet(f"{src}/part={n}")
+        stream = spark.readStream.schema("event_id long, ts timestamp_ntz").parquet(src)
+        jobs.start_dedup_late(stream, "event_id", "ts", 2 * 86_400, out, late, hw, ck).awaitTermination()
+    return (spark.read.parquet(out).select("event_id", F.lit(False).alias("late"))
+            .unionByName(spark.read.parquet(late).select("event_id", F.lit(True).alias("late"))))
 
 
 @register("VER-08", "ver08_change_feed_consumer", """SELECT o_orderkey, o_orderstatus FROM orders""")

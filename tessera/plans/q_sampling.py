@@ -6,7 +6,7 @@ from tessera.operators import sampling as S
 from tessera.plans.registry import register
 from tessera.session import load_table as T
 
-_H = "(((event_id % 1000003) * 7919 + {seed} * 104729) % 10000)"
+_H = "(CAST('0x' || substr(md5(CAST(event_id AS VARCHAR) || ':{seed}'), 1, 8) AS BIGINT) % 10000)"
 
 
 @register("SMP-01", "smp01_bernoulli_rows")

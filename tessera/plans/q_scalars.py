@@ -3,7 +3,7 @@
 from pyspark.sql import functions as F
 
 from tessera.functions import scalars as S
-from tessera.plans.registry import register
+from tessera.plans.registry import hash_sql, register
 from tessera.session import load_table as T
 
 
@@ -168,9 +168,8 @@ def scl13(spark, sf):
         S.minutes_between("ts", "lead_ts").alias("mins"))
 
 
-@register("SCL-14", "scl14_hash_key", """
-SELECT c_custkey, md5(concat_ws('|', coalesce(c_name, ''), coalesce(c_mktsegment, ''),
-                                CAST(c_nationkey AS VARCHAR))) AS hk
+@register("SCL-14", "scl14_hash_key", f"""
+SELECT c_custkey, {hash_sql('c_name', 'c_mktsegment', 'c_nationkey')} AS hk
 FROM customer""")
 def scl14(spark, sf):
     c = T(spark, sf, "customer")

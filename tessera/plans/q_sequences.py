@@ -10,25 +10,24 @@ from tessera.session import load_table as T
 
 
 @register("SEQ-01", "seq01_islands_consecutive_days", """
-WITH d AS (SELECT DISTINCT user_id, CAST(day(ts) AS BIGINT) AS dn FROM events WHERE event_type = 'purchase'),
+WITH d AS (SELECT DISTINCT user_id, CAST(day(ts) AS BIGINT) AS dn FROM events),
  g AS (SELECT user_id, dn, dn - dense_rank() OVER (PARTITION BY user_id ORDER BY dn) AS isl FROM d)
 SELECT user_id, min(dn) AS start, max(dn) AS "end", count(*) AS n FROM g GROUP BY user_id, isl""")
 def seq01(spark, sf):
-    e = T(spark, sf, "events").filter("event_type = 'purchase'").select(
+    e = T(spark, sf, "events").select(
         "user_id", F.dayofmonth("ts").cast("bigint").alias("dn"))
     return Q.islands(e, "user_id", "dn", chunk=F.floor(F.col("dn") / 7))
 
 
 @register("SEQ-02", "seq02_date_gap_islands", """
-WITH d AS (SELECT DISTINCT user_id, CAST(ts AS DATE) AS d FROM events WHERE value < 20),
+WITH d AS (SELECT DISTINCT user_id, CAST(ts AS DATE) AS d FROM events),
  f AS (SELECT *, CASE WHEN lag(d) OVER w IS NULL OR d - lag(d) OVER w > 1 THEN 1 ELSE 0 END AS s FROM d
        WINDOW w AS (PARTITION BY user_id ORDER BY d)),
  g AS (SELECT *, sum(s) OVER (PARTITION BY user_id ORDER BY d ROWS UNBOUNDED PRECEDING) AS grp FROM f)
 SELECT user_id, CAST(min(d) AS VARCHAR) AS start, CAST(max(d) AS VARCHAR) AS "end", count(*) AS n_days
 FROM g GROUP BY user_id, grp HAVING count(*) >= 2""")
 def seq02(spark, sf):
-    e = T(spark, sf, "events").filter("value < 20")
-    d = Q.date_islands(e, "user_id", "ts", 1, 2, chunk_days=7)
+    d = Q.date_islands(T(spark, sf, "events"), "user_id", "ts", 1, 2, chunk_days=7)
     return d.select("user_id", date_str("start").alias("start"), date_str("end").alias("end"), "n_days")
 
 
@@ -298,7 +297,7 @@ SELECT event_id, last_value(nullif(event_type, 'view') IGNORE NULLS) OVER (ORDER
 FROM events""")
 def seq28(spark, sf):
     e = T(spark, sf, "events").select("event_id", F.nullif(F.col("event_type"), F.lit("view")).alias("category"))
-    e = quantile_chunk(e, "event_id", 16, "_q")
+    e = quantile_chunk(e, "event_id", out="_q")
     return Q.fill_down(e, "event_id", "category", chunk="_q").select("event_id", "category")
 
 

@@ -20,10 +20,10 @@ def set01(spark, sf):
 
 
 @register("SET-02", "set02_intersect", """
-SELECT user_id FROM events WHERE event_type = 'view' AND value > 45
-INTERSECT SELECT user_id FROM events WHERE event_type = 'purchase' AND value > 45""")
+SELECT user_id FROM events WHERE event_type = 'view'
+INTERSECT SELECT user_id FROM events WHERE event_type = 'purchase'""")
 def set02(spark, sf):
-    e = T(spark, sf, "events").filter("value > 45")
+    e = T(spark, sf, "events")
     return S.intersect(e.filter("event_type = 'view'").select("user_id"),
                        e.filter("event_type = 'purchase'").select("user_id"))
 

@@ -2,7 +2,7 @@
 files write them under the session's checkpoint folder (the shared folder
 on a cluster) and read them back."""
 
-import hashlib
+import uuid
 
 from pyspark.sql import functions as F
 from pyspark.sql import types as T_
@@ -14,7 +14,7 @@ from tessera.sources import scans as S
 
 
 def _scratch(spark, sf, name):
-    return scratch_path(spark, f"src/{name}-{hashlib.md5(sf.encode()).hexdigest()[:8]}")
+    return scratch_path(spark, f"src/{name}-{uuid.uuid4().hex[:12]}")
 
 
 _CUST_DDL = "c_custkey bigint, c_name string, c_nationkey int, c_acctbal double, c_mktsegment string"

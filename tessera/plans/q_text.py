@@ -6,7 +6,7 @@ from tessera.operators import text as X
 from tessera.plans.registry import register
 from tessera.session import load_table as T
 
-_WORDS = "list_filter(regexp_split_to_array(lower(text), '[^a-z0-9_]+'), lambda w: w <> '')"
+_WORDS = "list_filter(regexp_split_to_array(lower(text), '[^\\p{L}\\p{N}_]+'), lambda w: w <> '')"
 
 
 @register("TXT-01", "txt01_word_count", f"""
@@ -22,8 +22,8 @@ def txt02(spark, sf):
 
 
 @register("TXT-03", "txt03_find_replace", """
-SELECT doc_id, CAST(len(regexp_extract_all(text, '(^|[^A-Za-z0-9_])the([^A-Za-z0-9_]|$)')) AS BIGINT) AS hits,
-       md5(regexp_replace(text, '(^|[^A-Za-z0-9_])the([^A-Za-z0-9_]|$)', '\\1THE\\2', 'g')) AS replaced_md5
+SELECT doc_id, CAST(len(regexp_extract_all(text, '(^|[^\\p{L}\\p{N}_])the([^\\p{L}\\p{N}_]|$)')) AS BIGINT) AS hits,
+       md5(regexp_replace(text, '(^|[^\\p{L}\\p{N}_])the([^\\p{L}\\p{N}_]|$)', '\\1THE\\2', 'g')) AS replaced_md5
 FROM documents""")
 def txt03(spark, sf):
     d = X.find_replace(T(spark, sf, "documents"), "text", "the", "THE")

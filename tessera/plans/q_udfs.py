@@ -22,11 +22,11 @@ def udf01(spark, sf):
 
 
 def _words(text: str) -> list:
-    return [w for w in re.split(r"[^a-z0-9_]+", text.lower()) if w]
+    return [w for w in re.split(r"\W+", text.lower()) if w]
 
 
 @register("UDF-02", "udf02_flat_map_words", """
-SELECT doc_id, count(*) AS n_words FROM (SELECT doc_id, unnest(list_filter(regexp_split_to_array(lower(text), '[^a-z0-9_]+'), lambda w: w <> '')) FROM documents) GROUP BY 1""")
+SELECT doc_id, count(*) AS n_words FROM (SELECT doc_id, unnest(list_filter(regexp_split_to_array(lower(text), '[^\\p{L}\\p{N}_]+'), lambda w: w <> '')) FROM documents) GROUP BY 1""")
 def udf02(spark, sf):
     d = T(spark, sf, "documents").select("doc_id", "text")
     return U.flat_map(d, "text", _words).groupBy("doc_id").agg(F.count(F.lit(1)).alias("n_words"))

@@ -87,7 +87,7 @@ WITH h AS (SELECT q.qid, e.vec_id, e.label, {_COS} AS score FROM {_Q} q, embeddi
 SELECT qid, label, vec_id FROM (SELECT *, row_number() OVER (PARTITION BY qid, label ORDER BY score DESC, vec_id) AS r
   FROM h WHERE score >= 0.1) WHERE r = 1""")
 def vec06(spark, sf):
-    hits = V.topk(_queries(spark, sf), T(spark, sf, "embeddings"), 1_000_000_000, "cosine")
+    hits = V.scores(_queries(spark, sf), T(spark, sf, "embeddings"), "cosine")
     return V.cut_hits(hits, 0.1, "label").select("qid", "label", "vec_id")
 
 

@@ -3,13 +3,13 @@
 from pyspark.sql import functions as F
 
 from tessera.operators import versions as V
-from tessera.plans.registry import register
+from tessera.plans.registry import hash_sql, register
 from tessera.session import load_table as T
 
 OLD = "(SELECT o_orderkey, o_orderstatus, o_totalprice FROM orders WHERE o_orderdate < TIMESTAMP '2001-01-01')"
 NEW = ("(SELECT o_orderkey, o_orderstatus, CASE WHEN o_orderstatus = 'O' THEN o_totalprice + 1 ELSE o_totalprice END"
        " AS o_totalprice FROM orders WHERE o_orderdate >= TIMESTAMP '1995-06-01')")
-HK = "md5(concat_ws('|', coalesce(CAST({0}.o_orderstatus AS VARCHAR), ''), coalesce(CAST({0}.o_totalprice AS VARCHAR), '')))"
+HK = hash_sql("{0}.o_orderstatus", "{0}.o_totalprice")
 
 
 def _snaps(spark, sf):

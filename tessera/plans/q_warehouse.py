@@ -4,14 +4,14 @@ from pyspark.sql import functions as F
 
 from tessera.functions.scalars import date_str, round_half_up as r2, ts_str
 from tessera.operators import warehouse as D
-from tessera.plans.registry import register
+from tessera.plans.registry import hash_sql, register
 from tessera.session import load_table as T
 from tessera.sources.loads import upsert
 
 DIM = "(SELECT c_custkey, c_mktsegment, c_nationkey FROM customer WHERE c_acctbal > 0)"
 DELTA = ("(SELECT c_custkey, c_mktsegment, CASE WHEN c_acctbal > 5000 THEN (c_nationkey + 1) % 25 ELSE c_nationkey END"
          " AS c_nationkey FROM customer WHERE c_mktsegment IN ('BUILDING', 'MACHINERY'))")
-HK = "md5(concat_ws('|', coalesce(CAST({} AS VARCHAR), ''), coalesce(CAST({} AS VARCHAR), '')))"
+HK = hash_sql("{0}", "{1}")
 
 
 def _dim_delta(spark, sf):
@@ -78,7 +78,7 @@ def dwh02(spark, sf):
 
 
 @register("DWH-03", "dwh03_surrogate_hash", f"""
-SELECT c_custkey, md5(concat_ws('|', coalesce(CAST(c_custkey AS VARCHAR), ''))) AS sk FROM customer""")
+SELECT c_custkey, {hash_sql('c_custkey')} AS sk FROM customer""")
 def dwh03(spark, sf):
     return D.surrogate_key(T(spark, sf, "customer").select("c_custkey"), ["c_custkey"])
 
@@ -208,8 +208,8 @@ def dwh13(spark, sf):
     return r.groupBy("order_quarter", "ship_quarter").agg(F.count(F.lit(1)).alias("n"))
 
 
-@register("DWH-14", "dwh14_junk_dimension", """
-SELECT DISTINCT l_returnflag, l_linestatus, md5(concat_ws('|', coalesce(l_returnflag, ''), coalesce(l_linestatus, ''))) AS junk_key
+@register("DWH-14", "dwh14_junk_dimension", f"""
+SELECT DISTINCT l_returnflag, l_linestatus, {hash_sql('l_returnflag', 'l_linestatus')} AS junk_key
 FROM lineitem""")
 def dwh14(spark, sf):
     _, dim = D.junk_dim(T(spark, sf, "lineitem"), ["l_returnflag", "l_linestatus"])
@@ -222,10 +222,11 @@ def dwh15(spark, sf):
     return D.degenerate(T(spark, sf, "lineitem"), "l_orderkey", ["l_partkey", "l_suppkey"], ["l_quantity", "l_extendedprice"])
 
 
-@register("DWH-16", "dwh16_mini_dimension", """
-SELECT DISTINCT CASE WHEN c_acctbal < 0 THEN 'negative' WHEN c_acctbal < 5000 THEN 'low' ELSE 'high' END AS bal_band,
-       c_mktsegment AS segment,
-       md5(concat_ws('|', CASE WHEN c_acctbal < 0 THEN 'negative' WHEN c_acctbal < 5000 THEN 'low' ELSE 'high' END, c_mktsegment)) AS mini_key
+_BAND = "CASE WHEN c_acctbal < 0 THEN 'negative' WHEN c_acctbal < 5000 THEN 'low' ELSE 'high' END"
+
+
+@register("DWH-16", "dwh16_mini_dimension", f"""
+SELECT DISTINCT {_BAND} AS bal_band, c_mktsegment AS segment, {hash_sql(_BAND, 'c_mktsegment')} AS mini_key
 FROM customer""")
 def dwh16(spark, sf):
     c = T(spark, sf, "customer")
@@ -289,7 +290,7 @@ WHERE NOT EXISTS (SELECT 1 FROM events e WHERE e.user_id = u.user_id AND e.event
 def dwh21(spark, sf):
     from tessera.operators.joins import cross
     e = T(spark, sf, "events")
-    grid = cross(e.select("user_id").distinct(), e.select("event_type").distinct(), 10_000)
+    grid = cross(e.select("user_id").distinct(), e.select("event_type").distinct())
     fact = D.factless(e.filter("value > 48"), ["user_id", "event_type"])
     return D.not_happened(grid, fact, ["user_id", "event_type"])
 

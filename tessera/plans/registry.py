@@ -22,6 +22,12 @@ class Query:
     oracle: str | None
 
 
+def hash_sql(*exprs: str) -> str:
+    """DuckDB form of ``functions.scalars.hash_key`` over ``exprs``."""
+    texts = [f"CAST({e} AS VARCHAR)" for e in exprs]
+    return "md5(concat_ws('|', " + ", ".join(f"coalesce(length({t}) || ':' || {t}, '-')" for t in texts) + "))"
+
+
 REGISTRY: dict[str, Query] = {}
 
 

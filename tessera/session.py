@@ -11,6 +11,7 @@ from __future__ import annotations
 import os
 import tempfile
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 
 TABLES = (
@@ -43,9 +44,10 @@ def get_session(master: str | None = None, app: str = "tessera",
                .config("spark.sql.shuffle.partitions",
                        str(shuffle_partitions or int(cpus)))
                .config("spark.sql.files.maxPartitionBytes", str(64 << 20)))
-    if not os.environ.get("TESSERA_CHECKPOINT_DIR"):
-        os.environ["TESSERA_CHECKPOINT_DIR"] = tempfile.mkdtemp(prefix="tessera-ckpt-")
-    builder = builder.config("spark.checkpoint.dir", os.environ["TESSERA_CHECKPOINT_DIR"])
+    if os.environ.get("TESSERA_CHECKPOINT_DIR"):
+        builder = builder.config("spark.checkpoint.dir", os.environ["TESSERA_CHECKPOINT_DIR"])
+    elif (master or "local").startswith("local"):  # a cluster must name a shared folder itself
+        builder = builder.config("spark.checkpoint.dir", tempfile.mkdtemp(prefix="tessera-ckpt-"))
     for k, v in _DEFAULTS.items():
         builder = builder.config(k, v)
     spark = builder.getOrCreate()
@@ -98,6 +100,17 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{base}/{name}"
 
 
+def read_or_none(spark: SparkSession, path: str) -> DataFrame | None:
+    """Parquet at ``path``, or None when nothing was written there yet; any
+    other read error is raised."""
+    try:
+        return spark.read.parquet(path)
+    except AnalysisException as e:
+        if "PATH_NOT_FOUND" not in str(e.getCondition()):
+            raise
+        return None
+
+
 def load_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """Typed Parquet scan of one driver table (filters and projections push down)."""
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")

@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tessera.operators.common import attach_scalars
+from tessera.operators.common import attach_scalars, join_on
 
 
 def upsert(base: DataFrame, delta: DataFrame, keys: Sequence[str], delete_flag: str | None = None) -> DataFrame:
@@ -165,7 +165,7 @@ def apply_error_policy(rows: DataFrame, file_col: str, bad: Column, policy: str,
     # per-file counts by a (map-side combined) aggregate joined back: one
     # large file is not pulled into one window task
     per_file = d.groupBy(file_col).agg(F.count_if("_bad").alias("_nbad"), F.count(F.lit(1)).alias("_n"))
-    d = d.join(per_file, file_col)
+    d = join_on(d, per_file, [file_col])
     if policy == "skip_file":
         keep = F.col("_nbad") == 0
     elif policy == "skip_file_n":

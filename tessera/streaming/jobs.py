@@ -11,14 +11,14 @@ overwrite, so a repeated batch after a failure replaces its own output.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator, Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 
-import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
-from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
+
+from tessera.session import read_or_none
 
 
 def event_time(df: DataFrame, ts: str) -> DataFrame:
@@ -136,26 +136,14 @@ def folder_sink(path: str, transform: Callable[[DataFrame], DataFrame] = lambda
 
 # ---------------------------------------------------------- STR-05 inventory
 
-INVENTORY_OUT = "item long, stock double, low_stock boolean, updates long"
-INVENTORY_STATE = "stock double, updates long"
-
-
 def inventory(stream: DataFrame, item: str, qty: str, limit: float, opening: float = 0.0) -> DataFrame:
-    """STR-05: stock per item = opening + receipts - sales (``qty`` signed),
-    kept in per-item state; every update emits the level and a low-stock
-    flag (output rows double as the audit log)."""
-
-    def step(key: tuple, rows: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        stock, updates = state.get if state.exists else (opening, 0)
-        for pdf in rows:
-            stock += float(pdf["_q"].sum())
-            updates += len(pdf)
-        state.update((stock, updates))
-        yield pd.DataFrame({"item": [key[0]], "stock": [stock], "low_stock": [stock < limit], "updates": [updates]})
-
-    s = stream.select(F.col(item).cast("long").alias("item"), F.col(qty).cast("double").alias("_q"))
-    return s.groupBy("item").applyInPandasWithState(step, INVENTORY_OUT, INVENTORY_STATE, "update",
-                                                    GroupStateTimeout.NoTimeout)
+    """STR-05: stock per item = opening + receipts - sales (``qty`` signed): a
+    streaming sum; written in update mode, every change emits the level and a
+    low-stock flag (output rows double as the audit log)."""
+    level = stream.groupBy(F.col(item).cast("long").alias("item")).agg(
+        (F.lit(float(opening)) + F.coalesce(F.sum(F.col(qty).cast("double")), F.lit(0.0))).alias("stock"),
+        F.count(F.lit(1)).alias("updates"))
+    return level.select("item", "stock", (F.col("stock") < limit).alias("low_stock"), "updates")
 
 
 # ------------------------------------------------------- STR-09 late + dedup
@@ -172,27 +160,25 @@ def start_dedup_late(stream: DataFrame, id_col: str, ts: str, delay_s: int, out:
                      high_water: str, checkpoint: str, available_now: bool = True) -> StreamingQuery:
     """STR-09: rows older than (max event time seen so far - delay) go to the
     late sink instead of being silently dropped; the rest is de-duplicated
-    by id against earlier batches.  The high-water mark is one row saved per
-    batch id (bounded state); ids seen are kept in the output folder."""
+    by id against the earlier rows inside the delay.  The high-water mark is
+    one row saved per batch id; ids seen are read from the output folder, with
+    the time bound pushed into the scan."""
     spark = stream.sparkSession
 
     def batch(df: DataFrame, batch_id: int) -> None:
-        try:
-            hw = spark.read.parquet(high_water).filter(F.col("batch_id") < batch_id) \
-                      .agg(F.max("hw")).first()[0]
-        except Exception:  # noqa: BLE001 - first batch: no mark yet
-            hw = None
+        marks = read_or_none(spark, high_water)
+        hw = marks.filter(F.col("batch_id") < batch_id).agg(F.max("hw")).first()[0] if marks is not None else None
         df = df.persist()
         try:
             cut = F.lit(hw).cast("timestamp_ntz") - F.expr(f"INTERVAL {delay_s} SECONDS") if hw is not None else None
             late = df.filter(F.col(ts) < cut) if cut is not None else df.limit(0)
             ok = df.filter(F.col(ts) >= cut) if cut is not None else df
             ok = ok.dropDuplicates([id_col])
-            try:
-                seen = spark.read.parquet(out).filter(F.col("_batch") < batch_id).select(id_col)
-                ok = ok.join(seen, id_col, "left_anti")
-            except Exception:  # noqa: BLE001 - nothing written yet
-                pass
+            written = read_or_none(spark, out)
+            if written is not None:  # an id older than the delay would be late anyway
+                seen = written.filter(F.col("_batch") < batch_id)
+                seen = seen.filter(F.col(ts) >= cut) if cut is not None else seen
+                ok = ok.join(seen.select(id_col), id_col, "left_anti")
             ok.withColumn("_batch", F.lit(batch_id)).write.mode("overwrite").parquet(f"{out}/_batch={batch_id}")
             late.write.mode("overwrite").parquet(f"{late_out}/batch_id={batch_id}")
             new_hw = df.agg(F.max(ts).alias("hw")).withColumn("batch_id", F.lit(batch_id))
@@ -215,12 +201,21 @@ def enrich(stream: DataFrame, dim: DataFrame, on: str | Sequence[str], how: str
 def near_join_stream(a: DataFrame, b: DataFrame, key: str, ts_a: str, ts_b: str, within_s: int,
                      delay: str = "1 hour") -> DataFrame:
     """STR-11: A then B within ``within_s`` seconds, stream-stream inner join
-    bounded by watermarks on both sides (state is purged past the bound)."""
-    la = event_time(a, ts_a).withWatermark(ts_a, delay).alias("a")
-    rb = event_time(b, ts_b).withWatermark(ts_b, delay).withColumnRenamed(key, f"_{key}_b").alias("b")
-    cond = ((F.col(key) == F.col(f"_{key}_b")) & (F.col(ts_b) >= F.col(ts_a))
+    bounded by watermarks on both sides (state is purged past the bound).
+
+    The join key holds a time bucket of that width as well: an A row sits in
+    its own bucket and a B row in its own and the one before, so one busy key
+    is spread over its buckets and only near rows meet."""
+    la = event_time(a, ts_a).withWatermark(ts_a, delay)
+    rb = event_time(b, ts_b).withWatermark(ts_b, delay).withColumnRenamed(key, f"_{key}_b")
+    width = max(int(within_s), 1)
+    bucket_a = F.floor(F.unix_micros(F.col(ts_a).cast("timestamp")) / (width * 1_000_000))
+    bucket_b = F.floor(F.unix_micros(F.col(ts_b).cast("timestamp")) / (width * 1_000_000))
+    la = la.withColumn("_bucket_a", bucket_a)
+    rb = rb.withColumn("_bucket_b", F.explode(F.array(bucket_b - 1, bucket_b)))
+    cond = ((F.col(key) == F.col(f"_{key}_b")) & (F.col("_bucket_a") == F.col("_bucket_b")) & (F.col(ts_b) >= F.col(ts_a))
             & (F.col(ts_b) <= F.col(ts_a) + F.expr(f"INTERVAL {within_s} SECONDS")))
-    return la.join(rb, cond, "inner").drop(f"_{key}_b")
+    return la.join(rb, cond, "inner").drop(f"_{key}_b", "_bucket_a", "_bucket_b")
 
 
 # ------------------------------------------------------------------ STR-12
