@@ -33,6 +33,11 @@ HEADLINE = [
     "txt01_word_count",               # text explode + aggregate
     "txt05_recursive_chunks",         # Arrow mapInPandas chunker
     "smp05_kfold_by_position",        # global position by chunked prefix count
+    "agg29_best_candidate_score",     # relational division by need signatures
+    "vec06_cut_hits_best_per_doc",    # block product + one aggregate
+    "join24_best_one_stop_route",     # suffix minimum + chunked as-of
+    "evl04_experiment_summary",       # one baseline row per example
+    "str11_stream_join_batch_form",   # stream-stream join on key and time bucket
 ]
 
 
