@@ -136,6 +136,32 @@ def str01(spark, sf):
     return spark.read.parquet(f"{out}/data").select("event_id", "user_id", "value")
 
 
+def _event_stream(spark, sf, parts=2):
+    """The events as a stream of ``parts`` files in time order."""
+    src = _fresh(spark, "event_files")
+    e = T(spark, sf, "events").select("event_id", "ts", "value")
+    e.repartitionByRange(parts, "ts").write.parquet(src)
+    return spark.readStream.schema(e.schema).parquet(src)
+
+
+@register("STR-02", "str02_daily_summary_stream", """
+SELECT CAST(CAST(ts AS DATE) AS VARCHAR) AS day, round(sum(value), 2) AS revenue, count(*) AS events FROM events GROUP BY 1""")
+def str02_stream(spark, sf):
+    out, ck = _fresh(spark, "days"), _fresh(spark, "days_ck")
+    jobs.start_daily_summary(_event_stream(spark, sf, 1), "ts", "value", out, ck).awaitTermination()
+    return jobs.latest_days(spark, out).select(F.date_format("day", "yyyy-MM-dd").alias("day"),
+                                               F.round("revenue", 2).alias("revenue"), "events")
+
+
+@register("STR-03", "str03_alert_stream", """
+SELECT event_id, CASE WHEN value >= 45 THEN 'critical' WHEN value >= 35 THEN 'warning' END AS alert
+FROM events WHERE value >= 35""")
+def str03_stream(spark, sf):
+    out, ck = _fresh(spark, "alerts"), _fresh(spark, "alerts_ck")
+    jobs.start_alerts(_event_stream(spark, sf), "value", [(35, "warning"), (45, "critical")], out, ck).awaitTermination()
+    return spark.read.parquet(out).select("event_id", "alert")
+
+
 @register("STR-05", "str05_inventory_levels_batch_form", """
 WITH m AS (SELECT CAST(json_extract(props, '$.k') AS BIGINT) AS item, ts, event_id,
                   CASE WHEN event_type = 'purchase' THEN -value WHEN event_type = 'signup' THEN value ELSE 0 END AS qty FROM events)

@@ -85,6 +85,29 @@ def daily_summary(stream: DataFrame, ts: str, val: str, delay: str = "1 day") ->
                   .select(F.col("w.start").alias("day"), "revenue", "events"))
 
 
+def start_daily_summary(stream: DataFrame, ts: str, val: str, out: str, checkpoint: str, delay: str = "1 day",
+                        available_now: bool = True) -> StreamingQuery:
+    """STR-02: the daily summary kept up to date: each micro-batch writes the
+    days it changed (update mode) to its own folder; ``latest_days`` reads the
+    newest row of every day."""
+    w = daily_summary(stream, ts, val, delay).writeStream.outputMode("update").foreachBatch(folder_sink(out))
+    return _run(w.option("checkpointLocation", checkpoint), available_now)
+
+
+def latest_days(spark: SparkSession, out: str) -> DataFrame:
+    """The summary that ``start_daily_summary`` has written so far."""
+    d = spark.read.parquet(out)
+    last = d.groupBy("day").agg(F.max_by(F.struct("revenue", "events"), "batch_id").alias("_l"))
+    return last.select("day", "_l.revenue", "_l.events")
+
+
+def start_alerts(stream: DataFrame, col: str, bands: Sequence[tuple[float, str]], out: str, checkpoint: str,
+                 available_now: bool = True) -> StreamingQuery:
+    """STR-03: alerts appended as their rows arrive, one folder per batch."""
+    w = alerts(stream, col, bands).writeStream.outputMode("append").foreachBatch(folder_sink(out))
+    return _run(w.option("checkpointLocation", checkpoint), available_now)
+
+
 def alerts(stream: DataFrame, col: str, bands: Sequence[tuple[float, str]]) -> DataFrame:
     """STR-03: stateless banding; rows whose value reaches a band become
     alerts with the highest band reached."""
