@@ -52,6 +52,19 @@ def join_on(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str = "
     return left.join(renamed, cond, how).drop(*own.values())
 
 
+def chunk_key(keys: Sequence[str], chunk: ColLike) -> Column:
+    """(keys, chunk) as one struct: windows, chunk summaries and the join of
+    the two partition by it, so they share one exchange; a struct is never
+    NULL and its NULL fields are equal, so NULL keys and chunks match."""
+    c = F.col(chunk) if isinstance(chunk, str) else chunk
+    return F.struct(*[F.col(k).alias(f"k{i}") for i, k in enumerate(keys)], c.alias("c"))
+
+
+def chunk_keys(keys: Sequence[str], q: str) -> list[Column]:
+    """The keys inside a ``chunk_key`` column."""
+    return [F.col(f"{q}.k{i}") for i in range(len(keys))]
+
+
 def attach_scalars(df: DataFrame, one_row: DataFrame) -> DataFrame:
     """Attach the columns of a one-row aggregate to every row.
 
@@ -74,23 +87,21 @@ def prefix_sum(df: DataFrame, keys: Sequence[str], order: Sequence[ColLike],
     many tasks; the chunk-offset window runs over one row per chunk.
     """
     keys = list(keys)
-    chunk_col = F.col(chunk) if isinstance(chunk, str) else chunk
     value_col = F.col(value) if isinstance(value, str) else value
-    d = df.withColumn("__ps_chunk", chunk_col).withColumn("__ps_v", value_col)
-    w_local = (Window.partitionBy(*keys, "__ps_chunk").orderBy(*_cols(order))
+    d = df.withColumn("__ps_q", chunk_key(keys, chunk)).withColumn("__ps_v", value_col)
+    w_local = (Window.partitionBy("__ps_q").orderBy(*_cols(order))
                .rowsBetween(Window.unboundedPreceding, Window.currentRow))
     d = d.withColumn("__ps_local", F.sum("__ps_v").over(w_local))
-    totals = d.groupBy(*keys, "__ps_chunk").agg(F.sum("__ps_v").alias("__ps_total"))
-    w_off = (Window.partitionBy(*keys).orderBy("__ps_chunk")
+    totals = d.groupBy("__ps_q").agg(F.sum("__ps_v").alias("__ps_total"))
+    w_off = (Window.partitionBy(*chunk_keys(keys, "__ps_q")).orderBy("__ps_q.c")
              .rowsBetween(Window.unboundedPreceding, -1))
     offsets = totals.withColumn(
         "__ps_offset", F.sum("__ps_total").over(w_off)
     ).drop("__ps_total")
     # NULL values add nothing; the sum is NULL only before the first value
     total = F.coalesce(F.col("__ps_local") + F.col("__ps_offset"), F.col("__ps_local"), F.col("__ps_offset"))
-    return (join_on(d, offsets, [*keys, "__ps_chunk"])
-             .withColumn(out, total)
-             .drop("__ps_chunk", "__ps_v", "__ps_local", "__ps_offset"))
+    return (d.join(offsets, "__ps_q").withColumn(out, total)
+             .drop("__ps_q", "__ps_v", "__ps_local", "__ps_offset"))
 
 
 def running_extreme(df: DataFrame, keys: Sequence[str], order: str, value: str, out: str, chunk: ColLike,
@@ -104,17 +115,17 @@ def running_extreme(df: DataFrame, keys: Sequence[str], order: str, value: str,
     agg = F.min if fn == "min" else F.max
     pick = F.least if fn == "min" else F.greatest
     o = F.col(order).desc() if descending else F.col(order).asc()
-    d = df.withColumn("__rx_chunk", F.col(chunk) if isinstance(chunk, str) else chunk)
-    w = Window.partitionBy(*keys, "__rx_chunk").orderBy(o).rowsBetween(
+    d = df.withColumn("__rx_q", chunk_key(keys, chunk))
+    w = Window.partitionBy("__rx_q").orderBy(o).rowsBetween(
         Window.unboundedPreceding, -1 if exclusive else Window.currentRow)
     d = d.withColumn("__rx_loc", agg(value).over(w))
-    per = d.groupBy(*keys, "__rx_chunk").agg(agg(value).alias("__rx_cx"))
-    co = F.col("__rx_chunk").desc() if descending else F.col("__rx_chunk").asc()
-    wc = Window.partitionBy(*keys).orderBy(co).rowsBetween(Window.unboundedPreceding, -1)
-    carry = per.withColumn("__rx_carry", agg("__rx_cx").over(wc)).select(*keys, "__rx_chunk", "__rx_carry")
-    return (join_on(d, carry, [*keys, "__rx_chunk"])
+    per = d.groupBy("__rx_q").agg(agg(value).alias("__rx_cx"))
+    co = F.col("__rx_q.c").desc() if descending else F.col("__rx_q.c").asc()
+    wc = Window.partitionBy(*chunk_keys(keys, "__rx_q")).orderBy(co).rowsBetween(Window.unboundedPreceding, -1)
+    carry = per.withColumn("__rx_carry", agg("__rx_cx").over(wc)).select("__rx_q", "__rx_carry")
+    return (d.join(carry, "__rx_q")
              .withColumn(out, F.coalesce(pick("__rx_loc", "__rx_carry"), F.col("__rx_loc"), F.col("__rx_carry")))
-             .drop("__rx_chunk", "__rx_loc", "__rx_carry"))
+             .drop("__rx_q", "__rx_loc", "__rx_carry"))
 
 
 def lag_chunked(df: DataFrame, keys: Sequence[str], order: str, cols: Sequence[str],
@@ -126,24 +137,24 @@ def lag_chunked(df: DataFrame, keys: Sequence[str], order: str, cols: Sequence[s
     a one-row-per-chunk summary.  ``descending`` gives the next row (lead).
     """
     keys = list(keys)
-    chunk_col = F.col(chunk) if isinstance(chunk, str) else chunk
-    d = df.withColumn("__lg_chunk", chunk_col)
+    d = df.withColumn("__lg_q", chunk_key(keys, chunk))
     o = F.col(order).desc() if descending else F.col(order).asc()
-    w = Window.partitionBy(*keys, "__lg_chunk").orderBy(o)
+    w = Window.partitionBy("__lg_q").orderBy(o)
     for c in cols:
         d = d.withColumn(f"__lg_in_{c}", F.lag(c).over(w))
     d = d.withColumn("__lg_first", F.row_number().over(w) == 1)
-    last = d.groupBy(*keys, "__lg_chunk").agg(
+    last = d.groupBy("__lg_q").agg(
         # a struct is never NULL, so a row with a NULL order value counts (it sorts first)
         *[(F.min_by if descending else F.max_by)(F.col(c), F.struct(order)).alias(f"__lg_last_{c}") for c in cols])
-    w_prev = Window.partitionBy(*keys).orderBy(F.col("__lg_chunk").desc() if descending else F.col("__lg_chunk"))
-    prev = last.select(*keys, "__lg_chunk",
+    w_prev = Window.partitionBy(*chunk_keys(keys, "__lg_q")).orderBy(
+        F.col("__lg_q.c").desc() if descending else F.col("__lg_q.c"))
+    prev = last.select("__lg_q",
                        *[F.lag(f"__lg_last_{c}").over(w_prev).alias(f"__lg_pc_{c}") for c in cols])
-    d = join_on(d, prev, [*keys, "__lg_chunk"])
+    d = d.join(prev, "__lg_q")
     for c in cols:
         d = d.withColumn(f"{prefix}{c}",
                          F.when(F.col("__lg_first"), F.col(f"__lg_pc_{c}")).otherwise(F.col(f"__lg_in_{c}")))
-    return d.drop("__lg_chunk", "__lg_first", *[f"__lg_in_{c}" for c in cols], *[f"__lg_pc_{c}" for c in cols])
+    return d.drop("__lg_q", "__lg_first", *[f"__lg_in_{c}" for c in cols], *[f"__lg_pc_{c}" for c in cols])
 
 
 def chunk_count(df: DataFrame) -> int:
@@ -181,27 +192,27 @@ def shift_many_chunked(df: DataFrame, keys: Sequence[str], order: str, value: st
     can matter.  Adds columns ``{prefix}1 .. {prefix}k``."""
     keys = list(keys)
     o = F.col(order).desc() if descending else F.col(order).asc()
-    d = df.withColumn("__sm_c", F.col(chunk) if isinstance(chunk, str) else chunk)
-    w = Window.partitionBy(*keys, "__sm_c").orderBy(o)
-    wr = Window.partitionBy(*keys, "__sm_c").orderBy(F.col(order).asc() if descending else F.col(order).desc())
+    d = df.withColumn("__sm_q", chunk_key(keys, chunk))
+    w = Window.partitionBy("__sm_q").orderBy(o)
+    wr = Window.partitionBy("__sm_q").orderBy(F.col(order).asc() if descending else F.col(order).desc())
     d = d.withColumn("__sm_pos", F.row_number().over(w)).withColumn("__sm_back", F.row_number().over(wr))
     for i in range(1, k + 1):
         d = d.withColumn(f"__sm_in{i}", F.lag(value, i).over(w))
     # last k values of every chunk (in order), at most k rows per chunk
-    tail = (d.filter(F.col("__sm_back") <= k).groupBy(*keys, "__sm_c")
+    tail = (d.filter(F.col("__sm_back") <= k).groupBy("__sm_q")
               .agg(F.transform(F.array_sort(F.collect_list(F.struct((-F.col("__sm_back")).alias("p"),
                                                                      F.col(value).alias("v")))),
                                lambda x: x["v"]).alias("__sm_tail")))
-    co = F.col("__sm_c").desc() if descending else F.col("__sm_c").asc()
-    wc = Window.partitionBy(*keys).orderBy(co).rowsBetween(-k, -1)
+    co = F.col("__sm_q.c").desc() if descending else F.col("__sm_q.c").asc()
+    wc = Window.partitionBy(*chunk_keys(keys, "__sm_q")).orderBy(co).rowsBetween(-k, -1)
     tail = tail.withColumn("__sm_halo", F.flatten(F.collect_list("__sm_tail").over(wc))) \
-               .select(*keys, "__sm_c", "__sm_halo")
-    d = join_on(d, tail, [*keys, "__sm_c"])
+               .select("__sm_q", "__sm_halo")
+    d = d.join(tail, "__sm_q")
     for i in range(1, k + 1):
         need = F.lit(i) - F.col("__sm_pos") + 1  # how far back into the halo
         from_halo = F.when(F.size("__sm_halo") >= need, F.element_at("__sm_halo", -need))
         d = d.withColumn(f"{prefix}{i}", F.when(F.col("__sm_pos") > i, F.col(f"__sm_in{i}")).otherwise(from_halo))
-    return d.drop("__sm_c", "__sm_pos", "__sm_back", "__sm_halo", *[f"__sm_in{i}" for i in range(1, k + 1)])
+    return d.drop("__sm_q", "__sm_pos", "__sm_back", "__sm_halo", *[f"__sm_in{i}" for i in range(1, k + 1)])
 
 
 def dense_ids(keys: DataFrame, out: str, start: int = 0) -> DataFrame:

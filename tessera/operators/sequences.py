@@ -13,7 +13,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tessera.operators.common import (_cols, _names, attach_scalars, join_on, lag_chunked, month_index,
+from tessera.operators.common import (_cols, _names, attach_scalars, chunk_key, chunk_keys, join_on, lag_chunked, month_index,
                                       prefix_sum, running_extreme)
 
 __all__ = ["month_index"]
@@ -134,24 +134,24 @@ def sessionize(df: DataFrame, key: str, ts: str, gap_s: int = 1800, chunk: Colum
     a third of the rows is spread over its chunks."""
     chunk = chunk if chunk is not None else F.to_date(F.col(ts))
     us = F.unix_micros(F.col(ts).cast("timestamp"))
-    d = df.select(key, ts, *([id_col] if id_col else [])).withColumn("_us", us).withColumn("_ch", chunk)
+    d = df.select(key, ts, *([id_col] if id_col else [])).withColumn("_us", us).withColumn("_ch", chunk_key([key], chunk))
     order = [F.col("_us")] + ([F.col(id_col)] if id_col else [])
-    w = Window.partitionBy(key, "_ch").orderBy(*order)
+    w = Window.partitionBy("_ch").orderBy(*order)
     d = d.withColumn("_prev", F.lag("_us").over(w))
     d = d.withColumn("_f", ((F.col("_prev").isNotNull()) & (F.col("_us") - F.col("_prev") > gap_s * 1_000_000)).cast("int"))
     d = d.withColumn("_loc", F.sum("_f").over(w.rowsBetween(Window.unboundedPreceding, Window.currentRow)))
     # from here on one row per local session; only a chunk's first one can go on from the chunk before
-    d = d.groupBy(key, "_ch", "_loc").agg(F.min(ts).alias("_s"), F.max(ts).alias("_e"), F.count(F.lit(1)).alias("_n"),
+    d = d.groupBy("_ch", "_loc").agg(F.min(ts).alias("_s"), F.max(ts).alias("_e"), F.count(F.lit(1)).alias("_n"),
                                           F.min("_us").alias("_first"), F.max("_us").alias("_last"))
-    summ = d.groupBy(key, "_ch").agg(F.min("_first").alias("_first"), F.max("_last").alias("_last"),
+    summ = d.groupBy("_ch").agg(F.min("_first").alias("_first"), F.max("_last").alias("_last"),
                                      F.max("_loc").alias("_nloc"))
-    wc = Window.partitionBy(key).orderBy("_ch")
+    wc = Window.partitionBy("_ch.k0").orderBy("_ch.c")
     summ = summ.withColumn("_prev_last", F.lag("_last").over(wc))
     summ = summ.withColumn("_ff", (F.col("_prev_last").isNull()
                                    | (F.col("_first") - F.col("_prev_last") > gap_s * 1_000_000)).cast("int"))
     summ = summ.withColumn("_off", F.coalesce(F.sum(F.col("_ff") + F.col("_nloc")).over(
         wc.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
-    d = join_on(d, summ.select(key, "_ch", "_ff", "_off"), [key, "_ch"])
+    d = d.join(summ.select("_ch", "_ff", "_off"), "_ch").withColumn(key, F.col("_ch.k0"))
     d = d.withColumn("session_no", (F.col("_off") + F.col("_ff") + F.col("_loc")).cast("bigint"))
     return d.groupBy(key, "session_no").agg(
         F.min("_s").alias("start"), F.max("_e").alias("end"), F.sum("_n").alias("n_events")
@@ -400,17 +400,18 @@ def fill_down(df: DataFrame, order: str, col: str, by=None, chunk: Column | str
         w = (Window.partitionBy(*_cols(by)).orderBy(order)
              .rowsBetween(Window.unboundedPreceding, Window.currentRow))
         return df.withColumn(out, F.last(col, ignorenulls=True).over(w))
-    d = df.withColumn("_chunk", F.col(chunk) if isinstance(chunk, str) else chunk)
-    w = (Window.partitionBy(*keys, "_chunk").orderBy(order)
+    d = df.withColumn("_chunk", chunk_key(keys, chunk))
+    w = (Window.partitionBy("_chunk").orderBy(order)
          .rowsBetween(Window.unboundedPreceding, Window.currentRow))
     d = d.withColumn("_in", F.last(col, ignorenulls=True).over(w))
     # one row per chunk (also chunks without any non-null value): the last
     # non-null value of the chunk, carried forward across chunks
-    last = d.groupBy(*keys, "_chunk").agg(
+    last = d.groupBy("_chunk").agg(
         F.max_by(col, F.when(F.col(col).isNotNull(), F.struct(order))).alias("_lastv"))
-    wc = Window.partitionBy(*keys).orderBy("_chunk").rowsBetween(Window.unboundedPreceding, -1)
-    carry = last.withColumn("_carry", F.last("_lastv", ignorenulls=True).over(wc)).select(*keys, "_chunk", "_carry")
-    return (join_on(d, carry, [*keys, "_chunk"], "left")
+    wc = (Window.partitionBy(*chunk_keys(keys, "_chunk")).orderBy("_chunk.c")
+          .rowsBetween(Window.unboundedPreceding, -1))
+    carry = last.withColumn("_carry", F.last("_lastv", ignorenulls=True).over(wc)).select("_chunk", "_carry")
+    return (d.join(carry, "_chunk", "left")
              .withColumn(out, F.coalesce("_in", "_carry")).drop("_chunk", "_in", "_carry"))
 
 
