@@ -41,8 +41,3 @@ def pipeline(df: DataFrame, *steps: Callable[[DataFrame], DataFrame]) -> DataFra
     for step in steps:
         df = df.transform(step)
     return df
-
-
-def expr_udf(fn: Callable[..., Column]) -> Callable[..., Column]:
-    """UDF-04 helper: a Column-expression 'UDF' that stays in the JVM."""
-    return fn

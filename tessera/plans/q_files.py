@@ -78,13 +78,15 @@ def load02(spark, sf):
     return loads.apply_error_policy(raw, "day", bad, "skip_file_pct", 10).select("event_id")
 
 
-@register("LOAD-05", "load05_new_files_from_ledger")
+@register("LOAD-05", "load05_new_files_from_ledger", """
+SELECT o_orderstatus AS status, CAST(count(*) AS BIGINT) AS rows FROM orders WHERE o_orderstatus <> 'F' GROUP BY 1""")
 def load05(spark, sf):
     p = _fresh(spark, "landing")
     T(spark, sf, "orders").write.partitionBy("o_orderstatus").parquet(p)
     inv = layout.inventory(spark, p)
     ledger = inv.filter(F.col("file").contains("o_orderstatus=F")).select("file")
-    return loads.load_new_files(inv, ledger)
+    new = loads.load_new_files(inv, ledger)
+    return new.groupBy(F.regexp_extract("file", "o_orderstatus=([^/]*)", 1).alias("status")).agg(F.sum("rows").alias("rows"))
 
 
 @register("SRC-18", "src18_split_and_merge_parts", """SELECT doc_id, n_chars FROM documents""")

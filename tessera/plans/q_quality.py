@@ -124,7 +124,12 @@ def dq09(spark, sf):
     return d.select("c_custkey", F.array_join("failures", ",").alias("failures"))
 
 
-@register("DQ-10", "dq10_sample_drift")
+@register("DQ-10", "dq10_sample_drift", """
+WITH s AS (SELECT event_type FROM events WHERE CAST('0x' || substr(md5(CAST(event_id AS VARCHAR) || ':1'), 1, 8) AS BIGINT) % 10000 < 1000),
+ a AS (SELECT event_type, count(*) / (SELECT count(*) FROM s) AS share_a FROM s GROUP BY 1),
+ b AS (SELECT event_type, count(*) / (SELECT count(*) FROM events) AS share_b FROM events GROUP BY 1)
+SELECT event_type, coalesce(share_a, 0) AS share_a, coalesce(share_b, 0) AS share_b, abs(coalesce(share_a, 0) - coalesce(share_b, 0)) AS abs_diff
+FROM a FULL JOIN b USING (event_type)""")
 def dq10(spark, sf):
     from tessera.operators.sampling import sample_stable
     e = T(spark, sf, "events")

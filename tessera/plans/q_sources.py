@@ -136,19 +136,21 @@ def src14(spark, sf):
     return S.project_positional(li, [3, 1, 5], ["supplier", "order_id", "qty"], ["int", "bigint", "int"])
 
 
-@register("SRC-15", "src15_partitioned_unload")
+@register("SRC-15", "src15_partitioned_unload", """
+SELECT o_orderkey, o_orderstatus, o_totalprice, strftime(o_orderdate, 'm%Y-%m') AS order_month FROM orders""")
 def src15(spark, sf):
     p = _scratch(spark, sf, "unload_parquet")
-    o = T(spark, sf, "orders").withColumn("order_month", F.date_format("o_orderdate", "yyyy-MM"))
+    o = T(spark, sf, "orders").withColumn("order_month", F.date_format("o_orderdate", "'m'yyyy-MM"))
     out = S.unload_parquet(o, p, ["order_month"], "r1")
-    return spark.read.parquet(out)
+    return spark.read.parquet(out).select("o_orderkey", "o_orderstatus", "o_totalprice", "order_month")
 
 
-@register("SRC-16", "src16_csv_unload_gzip")
+@register("SRC-16", "src16_csv_unload_gzip", """SELECT o_orderkey, o_orderstatus, o_orderpriority FROM orders""")
 def src16(spark, sf):
     p = _scratch(spark, sf, "unload_csv")
     S.unload_csv(T(spark, sf, "orders"), p, True, "gzip", 4000)
-    return spark.read.option("header", "true").csv(p)
+    d = spark.read.option("header", "true").csv(p)
+    return d.select(F.col("o_orderkey").cast("bigint"), "o_orderstatus", "o_orderpriority")
 
 
 @register("SRC-17", "src17_unload_reconciliation", """
