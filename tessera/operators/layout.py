@@ -20,12 +20,25 @@ def cluster(df: DataFrame, cols: Sequence[str], path: str, files: int) -> None:
        .write.mode("overwrite").parquet(path))
 
 
-def layout_report(spark: SparkSession, path: str, col: str) -> DataFrame:
-    """LAY-02: per file min/max of ``col``, and per file how many other
-    files' ranges overlap it (depth); computed with a sweep over the sorted
-    range end points (no file pairs)."""
+def _file_ranges(spark: SparkSession, path: str, col: str) -> DataFrame:
     d = spark.read.parquet(path).select(F.col("_metadata.file_path").alias("file"), col)
-    files = d.groupBy("file").agg(F.min(col).alias("lo"), F.max(col).alias("hi"), F.count(F.lit(1)).alias("rows"))
+    return d.groupBy("file").agg(F.min(col).alias("lo"), F.max(col).alias("hi"), F.count(F.lit(1)).alias("rows"))
+
+
+def depth_at(spark: SparkSession, path: str, col: str, value) -> DataFrame:
+    """LAY-02: depth at a point: files (and their rows) that a lookup of
+    ``value`` has to read, of all files."""
+    hit = F.lit(value).between(F.col("lo"), F.col("hi"))
+    return _file_ranges(spark, path, col).agg(F.count_if(hit).alias("depth"), F.count(F.lit(1)).alias("files"),
+                                              F.coalesce(F.sum(F.when(hit, F.col("rows"))), F.lit(0)).alias("rows"))
+
+
+def layout_report(spark: SparkSession, path: str, col: str) -> DataFrame:
+    """LAY-02: per file min/max of ``col``, how many other files' ranges
+    overlap it, and the depth at its first value (files whose range holds that
+    value, itself included); computed with a sweep over the sorted range end
+    points (no file pairs)."""
+    files = _file_ranges(spark, path, col)
     # overlaps of file f = files whose lo <= f.hi minus files whose hi < f.lo, minus itself
     ev = files.select(F.col("lo").alias("v"), F.lit(1).alias("is_lo"), F.lit(0).alias("is_hi")) \
               .unionByName(files.select(F.col("hi").alias("v"), F.lit(0).alias("is_lo"), F.lit(1).alias("is_hi")))
@@ -34,7 +47,8 @@ def layout_report(spark: SparkSession, path: str, col: str) -> DataFrame:
     cum = ev.groupBy("v").agg(F.sum("is_lo").alias("n_lo"), F.sum("is_hi").alias("n_hi")) \
             .withColumn("lo_upto", F.sum("n_lo").over(w)).withColumn("hi_upto", F.sum("n_hi").over(w))
     a = files.join(cum.select(F.col("v").alias("hi"), "lo_upto"), "hi")
-    b = cum.select(F.col("v").alias("lo"), (F.col("hi_upto") - F.col("n_hi")).alias("hi_before"))
+    b = cum.select(F.col("v").alias("lo"), (F.col("hi_upto") - F.col("n_hi")).alias("hi_before"),
+                   (F.col("lo_upto") - F.col("hi_upto") + F.col("n_hi")).alias("depth"))
     return a.join(b, "lo").withColumn("overlaps", F.col("lo_upto") - F.col("hi_before") - 1) \
             .drop("lo_upto", "hi_before")
 

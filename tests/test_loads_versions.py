@@ -118,6 +118,9 @@ def test_cluster_layout_and_compaction(spark, sf, tmp):
     layout.cluster(li, ["l_shipdate"], p, 4)
     rep = layout.layout_report(spark, p, "l_shipdate").collect()
     assert len(rep) == 4 and max(r.overlaps for r in rep) <= 1
+    assert all(r.depth == sum(x.lo <= r.lo <= x.hi for x in rep) for r in rep)
+    at = layout.depth_at(spark, p, "l_shipdate", rep[0].hi).first()
+    assert (at.depth, at.files) == (sum(x.lo <= rep[0].hi <= x.hi for x in rep), 4)
     small = os.path.join(tmp, "small")
     li.repartition(20).write.mode("overwrite").parquet(small)
     n = layout.compact(spark, small, os.path.join(tmp, "compact"), 64 << 20)
