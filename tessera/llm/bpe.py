@@ -25,7 +25,7 @@ SPACES = "\\t\\n\\x0b\\x0c\\r \u0085 "
 #: Beyond Latin, and the one Latin letter whose lower case is two characters.
 _OTHER = re.compile("[^\\x00-įı-ſ]")
 #: More than this many cached pre-tokens and the cache starts anew, so that a worker's memory is bounded.
-CACHE_ENTRIES = 400_000
+CACHE_ENTRIES = 150_000
 
 
 def needs_library(text: str) -> bool:

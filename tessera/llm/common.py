@@ -4,9 +4,10 @@ from __future__ import annotations
 
 import os
 import uuid
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -42,6 +43,28 @@ def through_table(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(schema).parquet(path)
 
 
+#: Rows of an Arrow batch: a row may be a very long text, and a batch is in memory on both sides.
+ARROW_ROWS = 256
+
+
+def map_arrow(df: DataFrame, fn: Callable, schema) -> DataFrame:
+    """``mapInArrow`` in batches of at most ARROW_ROWS rows.
+
+    The session's batch size is lowered to that if it is higher; a task gives
+    the memory that Arrow has pooled back when its rows are done.
+    """
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    conf = df.sparkSession.conf
+    if not 0 < int(conf.get(key)) <= ARROW_ROWS:
+        conf.set(key, str(ARROW_ROWS))
+
+    def run(batches):
+        yield from fn(batches)
+        pa.default_memory_pool().release_unused()
+
+    return df.mapInArrow(run, schema)
+
+
 def tokenizer_path(name_or_path: str) -> str:
     """A vocabulary file: a path that exists, or a name that ``public_tokenizers`` knows."""
     if os.path.exists(name_or_path):
@@ -51,20 +74,6 @@ def tokenizer_path(name_or_path: str) -> str:
     return public_tokenizers.path(name_or_path)
 
 
-def text_batches(texts: Iterable, max_chars: int = 8_000_000) -> Iterator[list]:
-    """Cut a list of texts into runs of at most ``max_chars`` characters (one text at least)."""
-    run, size = [], 0
-    for t in texts:
-        n = len(t) if t else 0
-        if run and size + n > max_chars:
-            yield run
-            run, size = [], 0
-        run.append(t)
-        size += n
-    if run:
-        yield run
-
-
 def ascii_lower(col):
     """Lower-case A-Z only."""
     return F.translate(col, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")

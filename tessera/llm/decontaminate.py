@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tessera.llm.common import bitmap_of, fresh_name, in_bitmap, numbered
+from tessera.llm.common import bitmap_of, fresh_name, in_bitmap, map_arrow, numbered
 from tessera.llm.words import ALNUM, grams, mix, steps, words_of
 
 _PRINT = T.StructType([
@@ -131,7 +131,7 @@ def fingerprints(df: DataFrame, text_col: str, lengths: list[int], outside: int,
                     [*(c.slice(at, len(texts)) for c in b.columns[:-1]), pa.array(counts, pa.int64()), prints],
                     names=schema.names)
 
-    return df.mapInArrow(cut, schema)
+    return map_arrow(df, cut, schema)
 
 
 def _covered(spans):

@@ -29,6 +29,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
+from tessera.llm.common import map_arrow
+
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 RAW = frozenset("script style textarea title xmp iframe noembed noframes".split())
 BLOCKS = frozenset(
@@ -276,4 +278,4 @@ def extract_pages(df: DataFrame, html_col: str = "html", text_col: str = "text",
             yield pa.RecordBatch.from_arrays([*b.columns[:-1], pa.array(texts, pa.string()),
                                               pa.array([len(t) for t in texts], pa.int64())], names=schema.names)
 
-    return rows.mapInArrow(extract, schema)
+    return map_arrow(rows, extract, schema)

@@ -38,12 +38,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tessera.llm.common import bitmap_of, components, fresh_name, in_bitmap, numbered, through_table
+from tessera.llm.common import bitmap_of, components, fresh_name, in_bitmap, map_arrow, numbered, through_table
 from tessera.llm.words import NOT_SPACE, grams, mix, steps, words_of
 
 U64 = np.uint64
 #: Ranges of the counting step, and slots of the broadcast table of counts.
-RANGE_BITS, TABLE_BITS = 10, 23
+RANGE_BITS, TABLE_BITS = 11, 23
+#: Shingles that a task of the counting step gathers before it deals them out.
+DEALT = 1 << 20
 #: Shingles seen fewer times count as seldom.
 SELDOM = 8
 #: Fragments of the global order: seldom shingles by hash, and the others.
@@ -102,7 +104,7 @@ def classes_of(rows: DataFrame, k: int) -> DataFrame:
             yield pa.RecordBatch.from_arrays([pa.array(uids), pa.array(sizes), _long(one), _long(two)],
                                              names=["uid", "s", "sig1", "sig2"])
 
-    return rows.mapInArrow(sign, "uid long, s long, sig1 long, sig2 long")
+    return map_arrow(rows, sign, "uid long, s long, sig1 long, sig2 long")
 
 
 def count_table(rows: DataFrame, k: int, known: bytes) -> bytes:
@@ -115,12 +117,22 @@ def count_table(rows: DataFrame, k: int, known: bytes) -> bytes:
     width = 32 - RANGE_BITS
 
     def deal(batches):
-        for _, found in sets(batches):
-            top = np.sort(np.concatenate([(x >> U64(32)).astype(np.uint32) for x in found] or [np.empty(0, np.uint32)]))
+        def dealt(held):
+            top = np.sort(np.concatenate(held))
             cuts = np.searchsorted(top, (np.arange((1 << RANGE_BITS) + 1, dtype=np.uint64) << U64(width)))
             parts = [top[a:b].tobytes() for a, b in zip(cuts[:-1], cuts[1:])]
-            yield pa.RecordBatch.from_arrays([pa.array(range(1 << RANGE_BITS), pa.int32()), pa.array(parts, pa.binary())],
-                                             names=["r", "part"])
+            return pa.RecordBatch.from_arrays([pa.array(range(1 << RANGE_BITS), pa.int32()), pa.array(parts, pa.binary())],
+                                              names=["r", "part"])
+
+        held, size = [], 0
+        for _, found in sets(batches):
+            held += [(x >> U64(32)).astype(np.uint32) for x in found]
+            size += sum(map(len, found))
+            if size > DEALT:
+                yield dealt(held)
+                held, size = [], 0
+        if size:
+            yield dealt(held)
 
     slots = 1 << (TABLE_BITS - RANGE_BITS)
 
@@ -131,7 +143,7 @@ def count_table(rows: DataFrame, k: int, known: bytes) -> bytes:
             nonlocal sums, pending, size
             if pending:
                 idx = np.concatenate(pending) & np.uint32((1 << width) - 1)
-                more = np.bincount(idx, minlength=1 << width)
+                more = np.bincount(idx, minlength=1 << width).astype(np.uint32)
                 sums = more if sums is None else sums + more
                 pending, size = [], 0
 
@@ -151,14 +163,14 @@ def count_table(rows: DataFrame, k: int, known: bytes) -> bytes:
                     now, sums = r, None
                 pending.append(np.frombuffer(part.as_buffer(), np.uint32))
                 size += len(pending[-1])
-                if size > 4_000_000:
+                if size > DEALT:
                     flush()
         flush()
         if now is not None:
             yield result()
 
     schema = "r int, part binary"
-    parts = rows.mapInArrow(deal, schema).repartition("r").sortWithinPartitions("r").mapInArrow(count, schema).collect()
+    parts = map_arrow(map_arrow(rows, deal, schema).repartition("r").sortWithinPartitions("r"), count, schema).collect()
     table = np.zeros((1 << RANGE_BITS, slots), np.uint8)
     for r, part in parts:  # each range is a fixed number of slots
         table[r] = np.frombuffer(part, np.uint8)
@@ -199,7 +211,7 @@ def prefixes(rows: DataFrame, k: int, percent: int, known: bytes, table: bytes)
                  *(pa.array([p[i] for p in parity], pa.int64()) for i in range(PARITY_WORDS))],
                 names=["uid", "s", "w", "prefix", *(f"p{i}" for i in range(PARITY_WORDS))])
 
-    return rows.mapInArrow(cut, "uid long, s long, w long, prefix array<long>, "
+    return map_arrow(rows, cut, "uid long, s long, w long, prefix array<long>, "
                            + ", ".join(f"p{i} long" for i in range(PARITY_WORDS)))
 
 
@@ -225,7 +237,7 @@ def fragments(rows: DataFrame, k: int, known: bytes, table: bytes) -> DataFrame:
             yield pa.RecordBatch.from_arrays([pa.array(owner, pa.int64()), pa.array(number, pa.int32()),
                                               pa.array(parts, pa.list_(pa.int64()))], names=["uid", "fragment", "hs"])
 
-    return rows.mapInArrow(cut, "uid long, fragment int, hs array<long>")
+    return map_arrow(rows, cut, "uid long, fragment int, hs array<long>")
 
 
 class JaccardJoin:
@@ -278,12 +290,12 @@ class JaccardJoin:
         self.table = count_table(self.texts, self.k, known)
         heads = through_table(prefixes(self.texts, self.k, self.percent, known, self.table), "prefixes")
         entries = heads.select("uid", "s", "w", F.posexplode("prefix").alias("pos", "tok"))
-        shared = entries.groupBy("tok").agg(F.count("*").alias("n"),
-                                            F.min(F.struct("w", "uid", "s", "pos")).alias("c")).where("n > 1")
-        entries = through_table(entries.join(shared.drop("n"), "tok"), "entries")
+        shared = entries.groupBy("tok").agg(F.count("*").alias("n")).where("n > 1").select("tok")
+        entries = through_table(entries.join(shared, "tok"), "entries")
+        centres = entries.groupBy("tok").agg(F.min(F.struct("w", "uid", "s", "pos")).alias("c"))
         parity = heads.select("uid", *(f"p{i}" for i in range(PARITY_WORDS)))
         links, labels = None, None
-        open_ = entries
+        open_ = entries.join(centres, "tok")
         for number in range(star_rounds):
             stars = open_.select("uid", "s", "pos", F.col("c.uid").alias("cuid"), F.col("c.s").alias("cs"),
                                  F.col("c.pos").alias("cpos"), *(["label", "clabel"] if number else []))
@@ -311,7 +323,7 @@ class JaccardJoin:
     @staticmethod
     def _open_entries(entries: DataFrame, labels: DataFrame) -> DataFrame:
         """The entries of buckets with two components or more, with labels, a new centre and the main label."""
-        named = (entries.drop("c").join(labels.withColumnRenamed("node", "uid"), "uid", "left")
+        named = (entries.join(labels.withColumnRenamed("node", "uid"), "uid", "left")
                  .withColumn("label", F.coalesce("label", "uid")))
         per = named.groupBy("tok", "label").agg(
             F.count("*").alias("n"), F.min(F.struct(F.xxhash64("uid").alias("w"), "uid", "s", "pos")).alias("c"))

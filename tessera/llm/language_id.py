@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tessera.llm.common import numbered
+from tessera.llm.common import map_arrow, numbered
 
 DIMENSIONS = 1 << 13
 LENGTH_CLASSES = 24
@@ -135,7 +135,7 @@ def fit(labelled: DataFrame, text_col: str = "text", lang_col: str = "lang", per
                  pa.array([g[1] for _, g in found], pa.list_(pa.int64())), pa.array([g[2] for _, g in found], pa.int64())],
                 names=["lang", "places", "counts", "n"])
 
-    sample = drawn.mapInArrow(count, "lang string, places array<int>, counts array<long>, n long").toPandas()
+    sample = map_arrow(drawn, count, "lang string, places array<int>, counts array<long>, n long").toPandas()
     sample = sample.sort_values(["lang", "n"], kind="stable")
     vectors_of = [(np.asarray(p), np.asarray(c)) for p, c in zip(sample["places"], sample["counts"])]
     df = np.zeros(DIMENSIONS)
@@ -181,7 +181,7 @@ def add_language(df: DataFrame, model: LanguageModel, text_col: str = "text",
                  pa.array([f[2] for f in found], pa.bool_())], names=columns)
 
     schema = df.select("*", F.lit("").alias(names[0]), F.lit(0.0).alias(names[1]), F.lit(True).alias(names[2])).schema
-    return df.mapInArrow(predict, schema)
+    return map_arrow(df, predict, schema)
 
 
 def held_out(id_col: str):

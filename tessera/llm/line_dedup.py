@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tessera.llm.common import fresh_name, shared_folder
+from tessera.llm.common import fresh_name, map_arrow, shared_folder
 
 _SPACE = b" \t\n\x0b\x0c\r"
 
@@ -59,7 +59,7 @@ def line_hashes(df: DataFrame, id_col: str, text_col: str, min_points: int) -> D
             yield pa.RecordBatch.from_arrays(
                 [pa.array(hashes, pa.binary()), b.column(0).take(pa.array(owner, pa.int64()))], names=["h", "id"])
 
-    return rows.mapInArrow(cut, T.StructType([T.StructField("h", T.BinaryType()), T.StructField("id", id_type)])).distinct()
+    return map_arrow(rows, cut, T.StructType([T.StructField("h", T.BinaryType()), T.StructField("id", id_type)])).distinct()
 
 
 class LineRuns:
@@ -155,4 +155,4 @@ def dedup_lines(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", m
             yield pa.RecordBatch.from_arrays([*columns, pa.array(before, pa.int64()), pa.array(gone, pa.int64())],
                                              names=schema.names)
 
-    return joined.mapInArrow(keep, schema)
+    return map_arrow(joined, keep, schema)

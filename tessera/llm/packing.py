@@ -34,7 +34,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tessera.llm.bpe import CACHE_ENTRIES, LETTERS, NUMBERS, SPACES, Merger, library_tokenizer, needs_library
-from tessera.llm.common import numbered, through_table
+from tessera.llm.common import map_arrow, numbered, through_table
 
 VOCABULARY = "word_bpe_49k.json"
 WORDS = re.compile(f"'(?:s|t|re|ve|m|ll|d)|[{LETTERS}]+|[{NUMBERS}]|[^{SPACES}{LETTERS}{NUMBERS}]+")
@@ -105,7 +105,7 @@ def cut_pieces(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", vo
                     owner, pieces = [], []
             yield emit(owner, pieces, b.column(0))
 
-    return rows.mapInArrow(cut, schema)
+    return map_arrow(rows, cut, schema)
 
 
 def best_fit(free: list[tuple[int, int]], bins: list[list[int]], items: list[int], size: list[int], capacity: int) -> None:
@@ -218,7 +218,7 @@ def breed(pieces: DataFrame, capacity: int, shard_items: int, islands: int, epoc
 
     ring = Window.partitionBy("shard").orderBy("island")
     for e in range(epochs):
-        state = state.repartition(tasks, "shard", "island").mapInArrow(epoch(e), schema)
+        state = map_arrow(state.repartition(tasks, "shard", "island"), epoch(e), schema)
         if e + 1 < epochs:
             state = state.withColumn("guest", F.coalesce(F.lead("elite").over(ring), F.first("elite").over(ring)))
     best = state.groupBy("shard").agg(F.min_by(F.struct("items", "elite"),

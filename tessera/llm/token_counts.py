@@ -21,6 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 
 from tessera.llm.bpe import CACHE_ENTRIES, LETTERS, NUMBERS, SPACES, Merger, library_tokenizer, needs_library
+from tessera.llm.common import map_arrow
 
 #: Byte-level pre-tokens of a Latin text.
 PRE_TOKENS = re.compile(
@@ -28,8 +29,6 @@ PRE_TOKENS = re.compile(
     f"|[{SPACES}]+(?![^{SPACES}])|[{SPACES}]+")
 
 VOCABULARY = "byte_bpe_50k.json"
-#: Texts that go to the library in one call.
-LIBRARY_CALL = 64
 
 
 def prove_whole_tokens(merger: Merger) -> set[str]:
@@ -97,4 +96,4 @@ def count_tokens(df: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                  pa.array([n > limit for n in tokens], pa.bool_())],
                 names=[id_col, "n_bytes", "n_tokens", "over_limit"])
 
-    return rows.mapInArrow(count, f"`{id_col}` {id_type}, n_bytes long, n_tokens long, over_limit boolean")
+    return map_arrow(rows, count, f"`{id_col}` {id_type}, n_bytes long, n_tokens long, over_limit boolean")

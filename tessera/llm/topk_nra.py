@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tessera.llm.common import through_table
+from tessera.llm.common import map_arrow, through_table
 
 #: Shares of each list that are read before the bounds are looked at.
 DEPTHS = (0.75, 0.9375, 1.0)
@@ -216,8 +216,8 @@ def top_k(df: DataFrame, is_query, id_col: str = "vec_id", vec_col: str = "embed
     r = (rows.withColumn("s", F.pmod(F.xxhash64("vec_id", F.lit(2)), F.lit(slabs)).cast("int"))
          .withColumn("g", all_of(groups)).withColumn("kind", F.lit(1)))
     both = q.unionByName(r).select((F.col("g").cast("long") * slabs + F.col("s")).alias("part"), "dim", "kind", "vec_id", "x")
-    streams = (both.repartition(groups * slabs, "part").sortWithinPartitions("part", "dim", "kind", "vec_id")
-               .mapInArrow(_streams(k), "query_id long, vec_id long, score long"))
+    both = both.repartition(groups * slabs, "part").sortWithinPartitions("part", "dim", "kind", "vec_id")
+    streams = map_arrow(both, _streams(k), "query_id long, vec_id long, score long")
     best = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
     return (streams.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k)
             .select("query_id", "rank", "vec_id", "score"))

@@ -31,7 +31,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tessera.llm.common import ascii_lower
+from tessera.llm.common import ascii_lower, map_arrow
 
 #: Words that name hosts to block; the seeds of the classifier.
 BLOCK_WORDS = ("adult", "ads", "bet", "bets", "bonus", "casino", "cheap", "cialis", "clickbait", "dating", "escort", "farm",
@@ -135,7 +135,7 @@ class UrlFilter:
                                                   pa.array(n, pa.int64())], names=["token", "bad", "n"])
 
         urls = self.parts(df, url_col).groupBy("host", "path").agg(F.count("*").alias("n"))
-        by_side = (urls.mapInArrow(tokens, "token string, bad boolean, n long").groupBy("token")
+        by_side = (map_arrow(urls, tokens, "token string, bad boolean, n long").groupBy("token")
                    .agg(F.sum(F.when(F.col("bad"), F.col("n")).otherwise(0)).alias("block"),
                         F.sum(F.when(F.col("bad"), 0).otherwise(F.col("n"))).alias("allow"), F.sum("n").alias("n")))
         model = {r.token: (r.allow, r.block) for r in self._top(by_side).collect()}
@@ -171,7 +171,7 @@ class UrlFilter:
             fits = ((F.col("host") == host) | F.col("host").endswith("." + host)) & F.col("path").startswith(path)
             rule = F.when(fits, F.lit(host + path)).otherwise(rule)
             verdict = F.when(fits, F.lit(says)).otherwise(verdict)
-        out = rows.mapInArrow(score, schema)
+        out = map_arrow(rows, score, schema)
         return out.select(*keep, "host", "path", rule.alias("rule"),
                           F.coalesce(verdict, F.when(F.col("log_odds") > 0, "block").otherwise("allow")).alias("verdict"),
                           "log_odds", "host_words")

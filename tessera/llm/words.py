@@ -15,9 +15,9 @@ import pyarrow as pa
 
 U64 = np.uint64
 #: Bytes of one piece of the running sums.
-PIECE = 1 << 20
+PIECE = 1 << 18
 #: Bytes of text that one step works on; a single longer text is a step of its own.
-STEP = 8 << 20
+STEP = 2 << 20
 
 _rng = np.random.default_rng(20240229)
 _BYTE = _rng.integers(1, 2**63, 256, dtype=np.uint64) * U64(2) + U64(1)

@@ -50,3 +50,36 @@ def test_oracles(spark, sf, duck):
         assert cols == sorted(want.columns)
         assert (sorted(map(str, got[cols].itertuples(index=False, name=None)))
                 == sorted(map(str, want[cols].itertuples(index=False, name=None)))), name
+
+
+def test_odd_documents_pass_every_stage(spark, sf, tmp_path, words):
+    """Nulls in any column, repeated rows, very long texts and columns named like the operators' own."""
+    import random
+
+    rng = random.Random(11)
+    say = lambda n: " ".join(words(rng) for _ in range(n))
+    long = say(40_000)
+    line = say(8)
+    rows = [(i, f"{line}\n{say(60)}", "en" if i % 2 else "fr", "s", 1) for i in range(60)]
+    rows += [(None, say(50), "en", None, None), (100, None, "en", "s", 1), (101, "", None, None, 0), (102, say(40), None, "s", None),
+             (103, long, "en", "s", 5), (104, long, "fr", "s", 5), rows[3], rows[3], (None, None, None, None, None), (105, "1234 !!", "en", "s", 7)]
+    extra = [(*r, "u", 1.5, None, "r", 7, True) for r in rows]
+    schema = ("doc_id long, text string, lang string, source string, n_chars long, uid string, score double, h string, row string, "
+              "n_lines long, rejected boolean")
+    spark.createDataFrame(extra, schema).repartition(4).write.parquet(f"{tmp_path}/documents.parquet")
+    spark.createDataFrame([(1, rows[7][1]), (None, "x"), (2, None), (1, rows[7][1])], "item_id long, text string") \
+        .write.parquet(f"{tmp_path}/benchmark.parquet")
+    docs = table(spark, str(tmp_path), "documents")
+    columns, counts = docs.columns, []
+    for name, stage in corpus_pipeline.STAGES:
+        docs = through_table(stage(spark, docs, str(tmp_path)), name)
+        counts.append(docs.count())
+        if name != "packing":
+            assert docs.columns == columns
+            if name == "near_duplicates":
+                ids = [r.doc_id for r in docs.select("doc_id").collect()]
+                assert ids.count(3) == 1 and ids.count(103) == 1 and 104 not in ids and ids.count(None) == 1
+            if name == "decontamination":
+                assert 7 not in [r.doc_id for r in docs.select("doc_id").collect()]
+    assert counts[0] == counts[1] > counts[2] > counts[3] > 50
+    assert spark.read.parquet(f"{tmp_path}/documents.parquet").count() == len(rows)
