@@ -289,9 +289,10 @@ class JaccardJoin:
         known = bitmap_of(classes.where("s > 0").select(F.xxhash64("rep").alias("h")), "h", CLASS_BITS)
         self.table = count_table(self.texts, self.k, known)
         heads = through_table(prefixes(self.texts, self.k, self.percent, known, self.table), "prefixes")
-        entries = heads.select("uid", "s", "w", F.posexplode("prefix").alias("pos", "tok"))
+        entries = heads.select("uid", F.posexplode("prefix").alias("pos", "tok"))
         shared = entries.groupBy("tok").agg(F.count("*").alias("n")).where("n > 1").select("tok")
-        entries = through_table(entries.join(shared, "tok"), "entries")
+        entries = through_table(entries.join(shared, "tok").join(heads.select("uid", "s", "w"), "uid"), "entries")
+        size = entries.count()
         centres = entries.groupBy("tok").agg(F.min(F.struct("w", "uid", "s", "pos")).alias("c"))
         parity = heads.select("uid", *(f"p{i}" for i in range(PARITY_WORDS)))
         links, labels = None, None
@@ -308,11 +309,10 @@ class JaccardJoin:
             best = best.select(F.col("uid").alias("a"), F.col("s").alias("sa"), F.col("x.cuid").alias("b"), F.col("x.cs").alias("sb"))
             best = through_table(best, "stars")
             new = self.verify(best)
-            tried, found = best.count(), new.count()
             links = new if links is None else links.union(new)
             labels = components(links)
             open_ = through_table(self._open_entries(entries, labels), "open")
-            if found * 4 < tried or not found:
+            if new.count() * 32 < size:  # few classes still join a centre; the rest is compared directly
                 break
         last = self._cross_pairs(open_, parity)
         labels = components(links.union(self.verify(last)))
