@@ -89,9 +89,39 @@ def fresh_name(df: DataFrame, stem: str) -> str:
 
 
 def numbered(df: DataFrame, name: str) -> DataFrame:
+    """Row numbers that hold within one plan; another plan over the same files may cut them otherwise."""
     return df.withColumn(name, F.monotonically_increasing_id())
 
 
+def _plain_parquet_scan(df: DataFrame) -> bool:
+    """Whether ``df`` is rows of Parquet files, each at most once."""
+    plan = df._jdf.queryExecution().analyzed()
+    if not plan.deterministic():
+        return False
+    while plan.nodeName() in ("Project", "Filter", "SubqueryAlias"):
+        plan = plan.children().apply(0)
+    if plan.nodeName() != "LogicalRelation" or plan.relation().getClass().getSimpleName() != "HadoopFsRelation":
+        return False
+    relation = plan.relation()
+    files = relation.location().allFiles()
+    return relation.fileFormat().toString() == "Parquet" and files.distinct().size() == files.size()
+
+
+def row_numbered(df: DataFrame, name: str) -> DataFrame:
+    """``df`` with row numbers that are the same in every plan, however its files are cut into tasks.
+
+    A row of Parquet files gets the number of its file (by path) and its place
+    in the file; any other ``df`` is numbered once and written.
+    """
+    if not _plain_parquet_scan(df):
+        return through_table(numbered(df, name), "numbered")
+    meta, path, place, number = df.metadataColumn("_metadata"), *(fresh_name(df, f"{name}_{x}") for x in ("path", "place", "file"))
+    paths = sorted(r[0] for r in df.select(meta["file_path"]).distinct().collect())  # as many as the driver has listed
+    files = df.sparkSession.createDataFrame(list(zip(paths, range(len(paths)))), f"`{path}` string, `{number}` long")
+    rows = df.select("*", meta["file_path"].alias(path), meta["row_index"].alias(place)).join(F.broadcast(files), path)
+    return rows.withColumn(name, F.shiftleft(number, 40) + F.col(place)).drop(path, place, number)
+
+
 def bitmap_of(df: DataFrame, col: str, bits: int) -> bytes:
     """Bitmap of a column of 64-bit hashes by their lowest bits.
 

@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tessera.llm.common import bitmap_of, fresh_name, in_bitmap, map_arrow, numbered
+from tessera.llm.common import bitmap_of, fresh_name, in_bitmap, map_arrow, numbered, row_numbered
 from tessera.llm.words import ALNUM, grams, mix, steps, words_of
 
 _PRINT = T.StructType([
@@ -148,8 +148,11 @@ def _covered(spans):
 
 def find_benchmark_words(df: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                          item_col: str = "item_id", item_text_col: str = "text", span: int = 10,
-                         filter_bits: int = 1 << 24, salts: int = 16) -> DataFrame:
-    """Per row of ``df``: ``id_col``, n_words, n_hit (words inside occurrences), items (sorted ids as text), spans."""
+                         filter_bits: int = 1 << 24, salts: int = 16, row_col: str | None = None) -> DataFrame:
+    """Per row of ``df``: ``id_col``, n_words, n_hit (words inside occurrences), items (sorted ids as text), spans.
+
+    The first column is ``row_col``, a column of ``row_numbered`` to join by; without it a number of this plan only.
+    """
     spark = df.sparkSession
     lengths = list(range(1, span + 1))
     known = items.select(F.col(item_col).cast("string").alias("item"), F.col(item_text_col).alias("text"))
@@ -160,7 +163,8 @@ def find_benchmark_words(df: DataFrame, items: DataFrame, id_col: str = "doc_id"
     present = sorted(r.n for r in bench.select("n").distinct().collect())  # at most ``span`` numbers
     bitmap = bitmap_of(bench, "fp", filter_bits)
 
-    rows = numbered(df.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")), "row")
+    rows = df.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"), *([F.col(row_col).alias("row")] if row_col else []))
+    rows = rows if row_col else numbered(rows, "row")
     found = fingerprints(rows.select("row", "id", "text"), "text", present, 1, bitmap)
     one = found.select("row", "id", "n_words", F.explode_outer("prints").alias("p")).select("row", "id", "n_words", "p.*")
     one = one.withColumn("salt", F.when(F.col("fp").isNull(), F.xxhash64("row"))
@@ -187,11 +191,8 @@ def find_benchmark_words(df: DataFrame, items: DataFrame, id_col: str = "doc_id"
 
 
 def drop_contaminated(df: DataFrame, items: DataFrame, **options) -> DataFrame:
-    """The rows of ``df`` without any word inside an occurrence of a benchmark window.
-
-    ``df`` must be read from files, so that its rows get the same numbers twice.
-    """
-    rows = numbered(df, fresh_name(df, "row"))
-    found = find_benchmark_words(df, items, **options)
+    """The rows of ``df`` without any word inside an occurrence of a benchmark window."""
+    rows = row_numbered(df, fresh_name(df, "row"))
+    found = find_benchmark_words(rows, items, row_col=rows.columns[-1], **options)
     bad = found.where(F.col("n_hit") > 0).select(F.col(found.columns[0]).alias(fresh_name(df, "bad_row")))
     return rows.join(bad.hint("shuffle_hash"), rows[rows.columns[-1]] == bad[bad.columns[0]], "left_anti").drop(rows.columns[-1])

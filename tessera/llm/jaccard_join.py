@@ -38,7 +38,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tessera.llm.common import bitmap_of, components, fresh_name, in_bitmap, map_arrow, numbered, through_table
+from tessera.llm.common import bitmap_of, components, fresh_name, in_bitmap, map_arrow, row_numbered, through_table
 from tessera.llm.words import NOT_SPACE, grams, mix, steps, words_of
 
 U64 = np.uint64
@@ -241,9 +241,11 @@ def fragments(rows: DataFrame, k: int, known: bytes, table: bytes) -> DataFrame:
 
 
 class JaccardJoin:
-    def __init__(self, df: DataFrame, id_col: str, text_col: str, k: int, percent: int):
+    def __init__(self, df: DataFrame, id_col: str, text_col: str, k: int, percent: int, row_col: str | None = None):
         self.k, self.percent = k, percent
-        self.rows = numbered(df.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")), "uid")
+        if row_col is None:  # every step reads the rows anew: their numbers must not depend on how files are cut
+            df, row_col = row_numbered(df.select(id_col, text_col), fresh_name(df, "uid")), fresh_name(df, "uid")
+        self.rows = df.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"), F.col(row_col).alias("uid"))
         self.texts = self.rows.select("uid", F.xxhash64("uid").alias("h"), "text")
 
     def _overlap_needed(self, sx, sy):
@@ -347,12 +349,12 @@ class JaccardJoin:
 
 
 def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", k: int = 4,
-                    percent: int = 85) -> DataFrame:
+                    percent: int = 85, row_col: str | None = None) -> DataFrame:
     """Per row: ``id_col``, n_shingles, component_id (least id reachable by links), and its row number.
 
-    ``df`` must be read from files, so that its rows get the same numbers each time.
+    ``row_col``: a column of ``row_numbered``, if ``df`` has one; else the rows are numbered here.
     """
-    join = JaccardJoin(df, id_col, text_col, k, percent)
+    join = JaccardJoin(df, id_col, text_col, k, percent, row_col)
     labelled = through_table(join.labels().join(join.rows.select("uid", "id"), "uid"), "labels")
     least = labelled.groupBy("label").agg(F.min("id").alias("component_id"))
     out = labelled.join(least, "label")
@@ -363,8 +365,8 @@ def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
 def keep_one_of_each(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", k: int = 5,
                      percent: int = 80) -> DataFrame:
     """``df`` with one row of every group of near duplicates: the one with the least id (then the first row)."""
-    rows = numbered(df, fresh_name(df, "row"))
-    found = near_duplicates(df, id_col, text_col, k, percent)
+    rows = row_numbered(df, fresh_name(df, "row"))
+    found = near_duplicates(rows, id_col, text_col, k, percent, rows.columns[-1])
     row, label = found.columns[3:]
     kept = found.groupBy(label).agg(F.min(F.struct(F.col(id_col).isNull().alias("none"), F.col(id_col).alias("id"),
                                                    F.col(row).alias("row"))).alias("x"))

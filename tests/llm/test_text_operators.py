@@ -4,6 +4,8 @@ import re
 import numpy as np
 import pyarrow as pa
 
+from tessera.llm import jaccard_join
+from tessera.llm.common import row_numbered
 from tessera.llm.decontaminate import drop_contaminated, find_benchmark_words
 from tessera.llm.jaccard_join import keep_one_of_each, near_duplicates
 from tessera.llm.line_dedup import dedup_lines
@@ -175,3 +177,31 @@ def test_long_text_and_many_copies(saved, words):
     got = {r[0]: r[2] for r in near_duplicates(saved(rows, "doc_id long, text string")).collect()}
     assert got == {i: 0 if i < 200 else 200 for i, _ in rows}
     assert np.unique(list(got.values())).tolist() == [0, 200]
+
+
+def test_row_numbers_do_not_depend_on_how_files_are_cut(spark, saved, words, monkeypatch):
+    rows = _near_rows(words)
+    df = saved([(*r, "x") for r in rows], "doc_id long, text string, label string", parts=3)
+    bench = saved([(1, " ".join(rows[0][1].split()[:12]))], "item_id long, text string")
+    key, cuts = "spark.sql.files.maxPartitionBytes", ["64m", "4k"]
+    before = spark.conf.get(key)
+
+    def recut(frame, name, step=iter(range(10**6)), through=jaccard_join.through_table):
+        spark.conf.set(key, cuts[next(step) % 2])
+        return through(frame, name)
+
+    monkeypatch.setattr(jaccard_join, "through_table", recut)
+    try:
+        got = near_duplicates(df).collect()
+        assert sorted(((r[0], r[1], r[2]) for r in got), key=str) == sorted(_components(rows, 4, 85)[0], key=str)
+        for table in (df, row_numbered(df.union(df.limit(0)), "m")):  # a plain scan, and a frame that is none
+            numbers = []
+            for cut in cuts:
+                spark.conf.set(key, cut)
+                numbers.append(sorted(map(str, row_numbered(table, "n").collect())))
+            assert numbers[0] == numbers[1] and len(set(numbers[0])) == len(rows)
+        left = drop_contaminated(df, bench).collect()
+        assert sorted(map(str, (r.doc_id for r in left))) == sorted(
+            str(i) for i, t in rows if not _hits_by_hand(t, [(1, " ".join(rows[0][1].split()[:12]))])[1])
+    finally:
+        spark.conf.set(key, before)
