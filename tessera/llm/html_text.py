@@ -3,9 +3,12 @@
 A page becomes a tree of its elements (void elements, raw-text elements and
 the usual implied end tags are known; an unclosed or stray tag never loses
 text).  Elements that are never the article go first: scripts, styles, forms,
-navigation, asides, page headers and footers, and elements whose class, id or
-role names an advert, notice, menu, sidebar or reader comments.  Every other
-node gets its composite text density: characters per tag, adjusted by a
+navigation, asides, page headers and footers, hidden elements, and elements whose
+role names a menu, notice or the like.  A word of a class or id that names an
+advert, notice, menu, sidebar or reader comments drops its elements only if all
+of that name hold less than half of the text, or if the whole name is that word
+and an `article` or `main` element with text lies outside; names like
+`has-sidebar` tell what is inside and drop nothing.  Every other node gets its composite text density: characters per tag, adjusted by a
 logarithm of its link-free share whose base depends on the link share of the
 node and of the body.  The node whose children have the greatest sum of
 densities is the article (an `article` or `main` element around it is taken
@@ -59,39 +62,85 @@ DROPPED_WORDS = frozenset(
     "social footer masthead comment comments commentlist respond reply replies disqus discussion form search".split())
 
 _TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<![^>]*(?:>|\Z)|<\?[^>]*(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)(?:>|\Z)", re.S)
-_ATTR = re.compile(r"\b(class|id|role|hidden|aria-hidden)\s*(?:=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?", re.I | re.S)
+#: One attribute: name and value; found from left to right, so never inside a value.
+_ATTR = re.compile(r"([^\s\"'<>/=][^\s/>=]*)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+)))?", re.S)
+_READ = frozenset("class id role hidden aria-hidden".split())
+#: First words of class names that tell what an element has, not what it is.
+_STATES = frozenset("has have with without no not show shows hide hides".split())
 _WORD = re.compile(r"[a-z]+")
 
 
 class Node:
-    __slots__ = ("tag", "parent", "children", "dropped", "chars", "tags", "link_chars", "link_tags", "density", "total",
+    __slots__ = ("tag", "parent", "children", "dropped", "names", "chars", "tags", "link_chars", "link_tags", "density", "total",
                  "block")
 
     def __init__(self, tag: str, parent: "Node | None"):
         self.tag, self.parent = tag, parent
         self.children: list = []  # nodes and text
         self.dropped = False
+        self.names: list[str] = []  # classes and ids with a word of DROPPED_WORDS
         self.chars = self.tags = self.link_chars = self.link_tags = 0
         self.density = self.total = 0.0
         self.block = tag in BLOCKS
 
 
-def _is_dropped(tag: str, attributes: str, stack: list[Node]) -> bool:
+def _is_dropped(tag: str, attributes: dict[str, str], stack: list[Node]) -> bool:
     if tag in DROPPED:
         return True
     if tag == "header" and not any(n.tag in ("article", "main") for n in stack):
         return True
-    if not attributes or tag in ("html", "body", "article", "main"):
-        return False
-    for m in _ATTR.finditer(attributes):
-        name, value = m[1].lower(), (m[2] or m[3] or m[4] or "").lower()
-        if name == "hidden" or (name == "aria-hidden" and value == "true"):
-            return True
-        if name == "role" and value.strip() in DROPPED_ROLES:
-            return True
-        if name in ("class", "id") and not DROPPED_WORDS.isdisjoint(_WORD.findall(value)):
-            return True
-    return False
+    return ("hidden" in attributes or attributes.get("aria-hidden", "").strip() == "true"
+            or attributes.get("role", "").strip() in DROPPED_ROLES)
+
+
+def _attributes(tag: str, text: str) -> dict[str, str]:
+    """The attributes that can drop an element, lower-cased; the first of a name counts."""
+    out: dict[str, str] = {}
+    if text and tag not in ("html", "body", "article", "main"):
+        for m in _ATTR.finditer(text):
+            if m[1].lower() in _READ:
+                value = m[2] or m[3] or m[4] or ""
+                out.setdefault(m[1].lower(), (unescape(value) if "&" in value else value).lower())
+    return out
+
+
+def _names(attributes: dict[str, str]) -> list[str]:
+    found = []
+    for name in f"{attributes.get('class', '')} {attributes.get('id', '')}".split():
+        words = _WORD.findall(name)
+        if words and words[0] not in _STATES and not DROPPED_WORDS.isdisjoint(words):
+            found.append(name)
+    return found
+
+
+def drop_named(root: Node) -> None:
+    """Drops elements by the words of their classes and ids where that leaves the article."""
+    nodes = _ordered(root)
+    if not any(n.names for n in nodes):
+        return
+    chars: dict[int, int] = {}
+    told: dict[int, int] = {}  # text in article and main elements
+    for node in reversed(nodes):
+        inside = [c for c in node.children if isinstance(c, Node) and not c.dropped]
+        chars[id(node)] = (sum(len("".join(c.split())) for c in node.children if not isinstance(c, Node))
+                           + sum(chars[id(c)] for c in inside))
+        told[id(node)] = chars[id(node)] if node.tag in ("article", "main") else sum(told[id(c)] for c in inside)
+    held: dict[str, int] = {}
+    above: dict[int, frozenset[str]] = {}
+    for node in nodes:  # parents first: of nested elements of one name the outer one counts
+        before = above[id(node.parent)] if id(node.parent) in above else frozenset()
+        for name in set(node.names) - before:
+            held[name] = held.get(name, 0) + chars[id(node)]
+        above[id(node)] = before.union(node.names) if node.names else before
+    for node in nodes:
+        lone = told[id(root)] > told[id(node)] and not _in_article(node)
+        node.dropped |= any(2 * held[name] < chars[id(root)] or (lone and name in DROPPED_WORDS) for name in node.names)
+
+
+def _in_article(node: Node) -> bool:
+    while node is not None and node.tag not in ("article", "main"):
+        node = node.parent
+    return node is not None
 
 
 def parse(html: str) -> Node:
@@ -124,7 +173,9 @@ def parse(html: str) -> Node:
         if tag == "body":
             _end(stack, {"head"}, set())
         node = Node(tag, stack[-1])
-        node.dropped = _is_dropped(tag, m[3], stack)
+        attributes = _attributes(tag, m[3])
+        node.dropped = _is_dropped(tag, attributes, stack)
+        node.names = _names(attributes)
         stack[-1].children.append(node)
         if tag in RAW:
             end = re.compile(rf"</{re.escape(tag)}(?=[\s/>])[^>]*(?:>|\Z)", re.I).search(html, at)
@@ -262,6 +313,7 @@ def main_text(html: str | None) -> str:
         return ""
     root = parse(html)
     body = next((c for c in root.children if isinstance(c, Node) and c.tag == "body"), root)
+    drop_named(body)
     return "\n".join(t for node in select(body) for t in blocks(node))
 
 

@@ -186,3 +186,22 @@ def test_headline_outside_the_text_container():
     want = "\n".join(["Short", text.strip(), "Tiny.", text.strip()])
     assert main_text(f"<body><article>{body}</article></body>") == want
     assert main_text(f"<body><div id=page><div>{body}</div><div class=related><p>{text}</p></div></div></body>") == want
+
+
+@pytest.mark.parametrize("attributes", [
+    'style="overflow:hidden"', 'title="Hidden gems"', 'data-id="comment-4"', "data-x='a class=ad b'", "data-hidden", 'class="content has-sidebar"',
+    'class="post with-comments"', 'class="elementor-widget"', "class=widget", 'id="social-history"', 'aria-hidden="false"'])
+def test_the_article_stays_whatever_its_attributes_hold(attributes):
+    text = "this is a sentence of the article that goes on for a while, " * 4
+    rest = '<div class="sidebar"><p>%s</p></div>' % ("look at this, " * 5)
+    want = "\n".join([text.strip()] * 2)
+    assert main_text(f"<body><div {attributes}><p>{text}</p><p>{text}</p></div>{rest}</body>") == want
+    assert main_text(f"<body><div {attributes}><p>{text}</p><p>{text}</p>{rest}</div></body>") == want
+
+
+def test_hidden_and_named_elements_go():
+    text = "this is a sentence of the article that goes on for a while, " * 4
+    for attributes in ("hidden", 'hidden=""', 'HIDDEN="until-found" id=x', "data-x=y hidden", 'aria-hidden="true"', 'role="banner"',
+                       'class="x cookie-notice"', "id='comments'", 'class="&#97;d"'):
+        assert main_text(f"<body><div><p>{text}</p><p>{text}</p></div><div {attributes}><p>{text}</p></div></body>") == "\n".join([text.strip()] * 2)
+    assert main_text(f"<body><article><p>{text}</p></article><div id=comments><p>{text}</p><p>{text}</p></div></body>") == text.strip()
