@@ -1,4 +1,4 @@
-"""License scans: every line and every whole text compared with licence templates.
+"""License scans: every line, whole text and window of words compared with licence templates.
 
 Text is normalised (A-Z lower-cased, ``licence`` spelled ``license``, every run
 of other characters than letters and digits one space) and becomes its set of
@@ -7,6 +7,14 @@ it can only reach ``least`` when |A| lies between least / (2 - least) and
 (2 - least) / least times |B|, so templates of other sizes are never compared.
 All of it is DataFrame functions on the row itself: no shuffle, no Python.
 
+A notice that is wrapped over lines or stands beside other words is found by
+windows of the text's words.  The best window of a template begins and ends with
+a run of shared bigrams, since a shared bigram at its edge never lowers the
+coefficient; so all windows from the start of one run to the end of another are
+compared, up to the length at which the template's size bound ends.  A window is
+a hit of its own unless a better one overlaps it, a line that hits holds it or
+lies across its edge, or the whole text hits with the same licence.
+
 Defined cases: a null or empty text has no hit; equal scores go to the earlier
 template and line; rows that repeat an id each get a row; a unit of fewer than
 two words has no bigram and never hits; other columns are not read.
@@ -66,6 +74,7 @@ class Template:
     bigrams: tuple[str, ...]
     low: int
     high: int
+    reach: int  # bigrams of a window at most, with repeated ones
 
 
 def prepare(templates, least: float) -> list[Template]:
@@ -77,29 +86,105 @@ def prepare(templates, least: float) -> list[Template]:
         n = len(pairs)
         low = next(s for s in range(1, n + 1) if 2.0 * s / (s + n) >= least)
         high = next(s for s in range(8 * n + 8, n - 1, -1) if 2.0 * n / (s + n) >= least)
-        out.append(Template(name, pairs, low, high))
+        out.append(Template(name, pairs, low, high, -(-high * (len(words) - 1) // n)))
     return out
 
 
-def bigrams(unit: Column) -> Column:
+def words_of(unit: Column) -> Column:
     text = F.regexp_replace(ascii_lower(unit), r"[^\p{L}\p{N}]+", " ")
-    words = F.split(F.btrim(F.replace(text, F.lit("licence"), F.lit("license"))), " ", -1)
-    return F.transform(F.array(words), lambda w: F.array_distinct(F.zip_with(
-        F.slice(w, 1, F.greatest(F.size(w) - 1, F.lit(0))), F.slice(w, 2, F.greatest(F.size(w) - 1, F.lit(0))),
-        lambda a, b: F.concat(a, F.lit(" "), b))))[0]
+    return F.split(F.btrim(F.replace(text, F.lit("licence"), F.lit("license"))), " ", -1)
+
+
+def _pairs(w: Column) -> Column:
+    return F.zip_with(F.slice(w, 1, F.greatest(F.size(w) - 1, F.lit(0))), F.slice(w, 2, F.greatest(F.size(w) - 1, F.lit(0))),
+                      lambda a, b: F.concat(a, F.lit(" "), b))
+
+
+def _let(value: Column, body) -> Column:
+    """``body`` of a value that is computed once."""
+    return F.transform(F.array(value), body)[0]
+
+
+def bigrams(unit: Column) -> Column:
+    return _let(words_of(unit), lambda w: F.array_distinct(_pairs(w)))
+
+
+def _windows(lines: Column, whole: Column, known: list[Template], least: float) -> Column:
+    """Windows that reach ``least``: dice, template, line (both negative), from and to (places of bigrams), first and
+    last line, and whether the window begins and ends with a line."""
+    templates = F.array(*[F.struct(F.lit(-n).alias("template"), F.array(*map(F.lit, t.bigrams)).alias("bigrams"), F.lit(t.low).alias("low"),
+                                   F.lit(t.reach).alias("reach")) for n, t in enumerate(known)])
+    every = F.array(*map(F.lit, dict.fromkeys(b for t in known for b in t.bigrams)))
+    none = F.lit(False)
+
+    def of(t: Column, g: Column, at: Column) -> Column:
+        def window(s: Column, e: Column) -> Column:
+            own = F.array_distinct(F.slice(g, s + 1, e - s + 1))
+            score = F.lit(2.0) * F.size(F.array_intersect(own, t["bigrams"])) / (F.size(own) + F.size(t["bigrams"]))
+            first, last = F.get(at, s), F.get(at, e + 1)
+            return F.struct(score.alias("dice"), t["template"].alias("template"), (-first).alias("line"), (-s).alias("from"),
+                            (-e).alias("to"), first.alias("first"), last.alias("last"),
+                            F.coalesce(F.get(at, s - 1) != first, ~none).alias("opens"),
+                            F.coalesce(F.get(at, e + 2) != last, ~none).alias("closes"))
+
+        def runs(shared: Column) -> Column:
+            def edge(step: int) -> Column:
+                return F.filter(F.transform(shared, lambda x, i: F.when(x & ~F.coalesce(F.get(shared, i + step), none), i)),
+                                lambda i: i.isNotNull())
+
+            starts = F.filter(edge(-1), lambda s: F.size(F.filter(F.slice(shared, s + 1, t["reach"]), lambda x: x)) >= t["low"])
+            return F.when(F.size(starts) > 0, _let(edge(1), lambda ends: F.flatten(F.transform(starts, lambda s: F.transform(
+                F.filter(ends, lambda e: (e - s + 1).between(t["low"], t["reach"])), lambda e: window(s, e))))))
+
+        found = _let(F.transform(g, lambda b: F.array_contains(t["bigrams"], b)), runs)
+        return F.filter(F.coalesce(found, F.array().cast(WINDOWS)), lambda x: x["dice"] >= least)
+
+    def all_of(fit: Column) -> Column:
+        words = F.transform(lines, lambda x: F.filter(words_of(x), lambda w: w != ""))
+        return F.when(F.size(fit) > 0, _let(words, lambda ws: _let(
+            F.flatten(F.transform(ws, lambda w, i: F.transform(w, lambda _: i))),
+            lambda at: _let(_pairs(F.flatten(ws)), lambda g: F.flatten(F.transform(fit, lambda t: of(t, g, at)))))))
+
+    shared = F.array_intersect(whole, every)  # seldom enough for any template
+    fit = _let(shared, lambda x: F.filter(templates, lambda t: F.size(F.array_intersect(x, t["bigrams"])) >= t["low"]))
+    return F.coalesce(_let(fit, all_of), F.array().cast(WINDOWS))
+
+
+WINDOWS = "array<struct<dice:double,template:int,line:int,from:int,to:int,first:int,last:int,opens:boolean,closes:boolean>>"
+
+
+def _own_hits(windows: Column, hits: Column, lines: Column, names: Column) -> Column:
+    """The windows that are hits of their own, as (dice, template, line)."""
+    def told(x: Column) -> Column:  # by a line that hits, or by the whole text
+        def by(h: Column) -> Column:
+            line = -h["line"]
+            held = (x["first"] == line) & (x["last"] == line)
+            cut = ((x["first"] == line) & ~x["opens"]) | ((x["last"] == line) & ~x["closes"])
+            return F.when(line == F.size(lines), F.get(names, -h["template"]) == F.get(names, -x["template"])).otherwise(held | cut)
+        return F.exists(hits, by)
+
+    def add(kept: Column, x: Column) -> Column:
+        over = F.exists(kept, lambda k: (-k["from"] <= -x["to"]) & (-x["from"] <= -k["to"]))
+        return F.when(over, kept).otherwise(F.concat(kept, F.array(x)))
+
+    best = F.reverse(F.array_sort(F.filter(windows, lambda x: ~told(x))))
+    return F.transform(F.aggregate(best, F.array().cast(WINDOWS), add),
+                       lambda x: F.struct(x["dice"].alias("dice"), x["template"].alias("template"), x["line"].alias("line")))
 
 
 def scan(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", templates=TEMPLATES,
          least: float = 0.8) -> DataFrame:
     """Per row: ``id_col``, n_lines, n_hits, licenses (sorted, comma-joined), and of the best hit license, line, dice.
 
-    A line counts from 0; the whole text is the unit after the last line.  Without a hit: "", -1, 0.
+    A line counts from 0; the whole text is the unit after the last line, and a window counts by the line it begins in.
+    Without a hit: "", -1, 0.
     """
     known = prepare(templates, least)
     text = F.coalesce(F.col(text_col), F.lit(""))
     lines = F.split(text, "\n", -1)
     rows = df.select(F.col(id_col), F.size(lines).cast("long").alias("n_lines"),
-                     F.transform(F.when(F.size(lines) > 1, F.concat(lines, F.array(text))).otherwise(lines), bigrams).alias("units"))
+                     F.transform(F.when(F.size(lines) > 1, F.concat(lines, F.array(text))).otherwise(lines), bigrams).alias("units"),
+                     lines.alias("lines"))
 
     def dice(b: Column, t: Template) -> Column:
         return F.when(F.size(b).between(t.low, t.high),
@@ -116,7 +201,11 @@ def scan(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", template
 
     hits = F.filter(F.transform("units", best), lambda s: s["dice"] >= least)
     names = F.array(*[F.lit(t.name) for t in known])
-    found = rows.select(id_col, "n_lines", hits.alias("hits")).withColumn("best", F.array_max("hits"))
+    found = rows.select(id_col, "n_lines", "lines", hits.alias("hits"),
+                        _windows(F.col("lines"), F.element_at("units", -1), known, least).alias("windows"))
+    found = found.select(id_col, "n_lines", F.when(F.size("windows") > 0, F.concat(
+        "hits", _own_hits(F.col("windows"), F.col("hits"), F.col("lines"), names))).otherwise(F.col("hits")).alias("hits"))
+    found = found.withColumn("best", F.array_max("hits"))
     return found.select(
         id_col, "n_lines", F.size("hits").cast("long").alias("n_hits"),
         F.array_join(F.array_sort(F.array_distinct(F.transform("hits", lambda s: F.get(names, -s["template"])))), ",").alias("licenses"),

@@ -205,3 +205,26 @@ def test_hidden_and_named_elements_go():
                        'class="x cookie-notice"', "id='comments'", 'class="&#97;d"'):
         assert main_text(f"<body><div><p>{text}</p><p>{text}</p></div><div {attributes}><p>{text}</p></div></body>") == "\n".join([text.strip()] * 2)
     assert main_text(f"<body><article><p>{text}</p></article><div id=comments><p>{text}</p><p>{text}</p></div></body>") == text.strip()
+
+
+def test_wrapped_and_embedded_notices(spark):
+    def wrapped(n, width=9, mark="# "):
+        w = license_scan.TEMPLATES[n][1].split()
+        return "\n".join(mark + " ".join(w[i:i + width]) for i in range(0, len(w), width))
+
+    code = "\n".join(f"def f{i}(a, b):\n    return a of the b in the {i}" for i in range(60))
+    head = "Copyright 2020 someone\n"
+    cases = [(head + wrapped(n) + "\n" + code, name) for n, name in ((1, "Apache-2.0"), (4, "MIT"), (6, "GPL-3.0"), (13, "ISC"), (14, "MPL-2.0"))]
+    cases += [(code + "\n" + wrapped(4, 7, " * ").replace("THE AUTHORS OR", "THE AUTHORS, THE HOST, THE GUESTS OR") + "\n" + code, "MIT"),
+              ("See the manual. Licensed under CC BY-NC 4.0. All other questions go to the editors of this page.", "CC-BY-NC-4.0"),
+              ("Some words before it. This work is licensed under the GNU General\nPublic License, version 2. And some after it.", "GPL-2.0"),
+              ("All of it is\nreleased under the\nMIT licence. Have a good day and tell us about it.", "MIT"),
+              (head + wrapped(4) + "\n" + code + "\n" + wrapped(14), "MIT,MPL-2.0"),
+              (code, ""), ("The license of the work is not under the control of the authors or the software.\n" * 5, "")]
+    df = spark.createDataFrame([(i, t) for i, (t, _) in enumerate(cases)], "doc_id long, text string")
+    got = {r.doc_id: r for r in license_scan.scan(df).collect()}
+    for i, (text, name) in enumerate(cases):
+        assert got[i].licenses == name, text
+        assert (got[i].dice >= 0.8) == bool(name)
+    assert [got[i].line for i in (0, 1, 2, 3, 4, 6, 7)] == [1, 1, 1, 1, 1, 0, 0] and got[5].line == 120
+    assert [got[i].n_hits for i in (1, 2, 5, 6, 7, 8, 9, 10)] == [1, 1, 1, 1, 1, 1, 2, 0]
