@@ -6,9 +6,9 @@ separators, plus the given word lists; an unknown word costs more the longer
 it is).  The tokens of a URL are its segmented host words and its path words.
 Naive Bayes learns block from the URLs whose host has a word of
 ``block_words`` and allow from the others, and judges every URL; smoothed
-counts of all URLs enter, grouped on Spark, and only tokens seen in
-``min_urls`` URLs are kept as the model (``model_tokens`` at most; the others
-say nothing to either side).
+counts of all tokens of all URLs enter.  Unigrams, splits of host words and
+token counts are tables; what needs them is joined to them, hot keys with a
+salt, and only totals reach the driver.
 
 Rules come first: a rule is (host, path, verdict); it fits its host and all
 subdomains when the URL's path starts with the rule's path, and the longest
@@ -24,14 +24,13 @@ from __future__ import annotations
 import math
 import re
 from collections.abc import Iterator
-from functools import lru_cache
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tessera.llm.common import ascii_lower, map_arrow
+from tessera.llm.common import ascii_lower, map_arrow, through_table
 
 #: Words that name hosts to block; the seeds of the classifier.
 BLOCK_WORDS = ("adult", "ads", "bet", "bets", "bonus", "casino", "cheap", "cialis", "clickbait", "dating", "escort", "farm",
@@ -71,37 +70,77 @@ def segment(word: str, cost: dict[str, float], unknown: float) -> list[str]:
     return out[::-1]
 
 
-class _Segmenter:
-    def __init__(self, counts: dict[str, int]):
-        total = sum(counts.values()) + 1
-        self.cost = {w: math.log(total / n) for w, n in counts.items()}
-        self.unknown = math.log(total) + 2.0
-        self.cut = lru_cache(maxsize=100_000)(lambda w: tuple(segment(w, self.cost, self.unknown)))
-
-    def host(self, host: str) -> list[str]:
-        return [s for w in _SPLIT.findall(host) for s in (self.cut(w) if w.isascii() and w.isalpha() and len(w) <= 253 else (w,))]
-
-
 def _path_words(path: str) -> list[str]:
     return _SPLIT.findall(path.lower())
 
 
 class UrlFilter:
-    """fit() reads all URLs once for the unigrams and once for the token counts; judge() adds the verdicts."""
+    """fit() counts unigrams and tokens of all URLs into tables; judge() adds the verdicts."""
 
     def __init__(self, rules: list[tuple[str, str, str]], block_words=BLOCK_WORDS, plain_words=PLAIN_WORDS,
-                 min_urls: int = 2, model_tokens: int = 100_000, seed_count: int = 1000):
+                 seed_count: int = 1000, salts: int = 16):
         self.rules, self.block_words, self.plain_words = rules, frozenset(block_words), frozenset(plain_words)
-        self.min_urls, self.model_tokens, self.seed_count = min_urls, model_tokens, seed_count
+        self.seed_count, self.salts = seed_count, salts
 
     @staticmethod
     def parts(df: DataFrame, url_col: str, keep: tuple[str, ...] = ()) -> DataFrame:
         host, path = url_parts(url_col)
         return df.select(*keep, host.alias("host"), path.alias("path"))
 
-    def _top(self, tokens: DataFrame) -> DataFrame:
-        """The most frequent tokens; ``model_tokens`` bounds what the driver and the tasks hold."""
-        return tokens.where(F.col("n") >= self.min_urls).orderBy(F.desc("n"), "token").limit(self.model_tokens)
+    def _look_up(self, rows: DataFrame, table: DataFrame, key: str, by: str) -> DataFrame:
+        """Left join on ``key``; rows of a hot key are spread by ``by``."""
+        salts = F.sequence(F.lit(0).cast("long"), F.lit(self.salts - 1).cast("long"))
+        rows = rows.withColumn("salt", F.pmod(F.xxhash64(by), F.lit(self.salts)))
+        return rows.join(table.withColumn("salt", F.explode(salts)), [key, "salt"], "left").drop("salt")
+
+    def _cuts(self, hosts: DataFrame) -> DataFrame:
+        """(word, cut) of the host words that are split."""
+        words = hosts.select(F.explode(F.regexp_extract_all("host", F.lit("[a-z]+"), F.lit(0))).alias("word"))
+        words = words.where(F.length("word").between(2, 253)).distinct()
+        n = F.length("word")
+        pieces = F.flatten(F.transform(F.sequence(F.lit(1), n), lambda i: F.transform(
+            F.sequence(F.lit(1), F.least(F.lit(_LONGEST), n - i + 1)), lambda k: F.col("word").substr(i, k))))
+        pieces = words.select("word", F.explode(F.array_distinct(pieces)).alias("token"))
+        known = self._look_up(pieces, self.unigrams, "token", "word")
+        known = known.groupBy("word").agg(F.collect_list(F.when(F.col("n").isNotNull(), F.struct("token", "n"))).alias("known"))
+        total = self.total
+
+        def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for b in batches:
+                own = b.column(0).to_pylist()
+                costs = [{x["token"]: math.log(total / x["n"]) for x in k} for k in b.column(1).to_pylist()]
+                cuts = [segment(w, c, math.log(total) + 2.0) for w, c in zip(own, costs)]
+                yield pa.RecordBatch.from_arrays([b.column(0), pa.array(cuts, pa.list_(pa.string()))], names=["word", "cut"])
+
+        return map_arrow(known, cut, "word string, cut array<string>").where(F.size("cut") > 1)
+
+    def _with_words(self, hosts: DataFrame) -> DataFrame:
+        """(host, host_words) of distinct hosts."""
+        parts = F.regexp_extract_all("host", F.lit(r"[a-z]+|[0-9]+|[^\x00-\x7f]+"), F.lit(0))
+        words = hosts.select("host", F.posexplode_outer(parts).alias("pos", "word"))
+        words = self._look_up(words, through_table(self._cuts(hosts), "cuts"), "word", "host")
+        one = F.when(F.col("word").isNotNull(), F.struct("pos", F.coalesce("cut", F.array("word")).alias("cut")))
+        return words.groupBy("host").agg(F.flatten(F.sort_array(F.collect_list(one)).getField("cut")).alias("host_words"))
+
+    @staticmethod
+    def _tokens(urls: DataFrame) -> DataFrame:
+        """(url, token) of rows (url, path, host_words), each token once; "" counts the URLs."""
+        def tokens(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for b in batches:
+                found = [sorted({*words, *("/" + w for w in _path_words(path)), ""})
+                         for path, words in zip(b.column(1).to_pylist(), b.column(2).to_pylist())]
+                yield pa.RecordBatch.from_arrays([b.column(0), pa.array(found, pa.list_(pa.string()))], names=["url", "tokens"])
+
+        schema = T.StructType([urls.schema["url"], T.StructField("tokens", T.ArrayType(T.StringType()))])
+        return map_arrow(urls.select("url", "path", "host_words"), tokens, schema).select("url", F.explode("tokens").alias("token"))
+
+    def _urls(self, df: DataFrame, url_col: str) -> DataFrame:
+        """One row per host and path: url (both), path, host_words, n."""
+        urls = self.parts(df, url_col).groupBy("host", "path").agg(F.count("*").alias("n"))
+        urls = through_table(urls, "urls")
+        words = through_table(self._with_words(urls.select("host").distinct()), "host-words")
+        salted = self._look_up(urls, words, "host", "path")
+        return through_table(salted.select(F.struct("host", "path").alias("url"), "path", "host_words", "n"), "url-words")
 
     def fit(self, df: DataFrame, url_col: str) -> "UrlFilter":
         # URLs of one host count by host, so that a host with a third of the URLs is one row from here on
@@ -113,65 +152,46 @@ class UrlFilter:
         paths = self.parts(df, url_col).groupBy("path").agg(F.count("*").alias("n"))
         paths = paths.select(F.explode(F.split(F.lower("path"), r"[^a-z]+")).alias("token"), "n")
         seen = apart.union(paths).where(F.length("token").between(1, _LONGEST)).groupBy("token").agg(F.sum("n").alias("n"))
-        counts = {r.token: r.n for r in self._top(seen).collect()}
-        for w in (*self.block_words, *self.plain_words):
-            counts[w] = max(counts.get(w, 0), self.seed_count)
-        self.segmenter = _Segmenter(counts)
-        held = df.sparkSession.sparkContext.broadcast(counts)
-        block_words = self.block_words
-
-        def tokens(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            seg = _Segmenter(held.value)
-            for b in batches:
-                out, side, n = [], [], []
-                for host, path, k in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), b.column(2).to_pylist()):
-                    words = seg.host(host)
-                    bad = not block_words.isdisjoint(words)
-                    for t in {*words, *("/" + w for w in _path_words(path))} | {""}:  # "" counts the URLs
-                        out.append(t)
-                        side.append(bad)
-                        n.append(k)
-                yield pa.RecordBatch.from_arrays([pa.array(out, pa.string()), pa.array(side, pa.bool_()),
-                                                  pa.array(n, pa.int64())], names=["token", "bad", "n"])
-
-        urls = self.parts(df, url_col).groupBy("host", "path").agg(F.count("*").alias("n"))
-        by_side = (map_arrow(urls, tokens, "token string, bad boolean, n long").groupBy("token")
-                   .agg(F.sum(F.when(F.col("bad"), F.col("n")).otherwise(0)).alias("block"),
-                        F.sum(F.when(F.col("bad"), 0).otherwise(F.col("n"))).alias("allow"), F.sum("n").alias("n")))
-        model = {r.token: (r.allow, r.block) for r in self._top(by_side).collect()}
-        allow, block = model.pop("", (0, 0))
-        sums = [sum(v[i] for v in model.values()) + len(model) + 1 for i in (0, 1)]
+        seeds = df.sparkSession.createDataFrame(
+            [(w, self.seed_count) for w in sorted(self.block_words | self.plain_words)], "token string, seed long")
+        seen = seen.join(F.broadcast(seeds), "token", "left").select("token", F.greatest("n", F.coalesce("seed", "n")).alias("n"))
+        missing = F.broadcast(seeds).join(seen, "token", "left_anti").select("token", F.col("seed").alias("n"))
+        self.unigrams = through_table(seen.union(missing), "unigrams")
+        self.total = (self.unigrams.agg(F.sum("n")).first()[0] or 0) + 1
+
+        urls = self._urls(df, url_col)
+        bad = F.arrays_overlap("host_words", F.array(*map(F.lit, sorted(self.block_words))))
+        sides = urls.select(F.struct(F.col("url.host"), F.col("url.path"), "n", bad.alias("bad")).alias("url"), "path", "host_words")
+        tokens = self._tokens(sides).select("token", "url.n", "url.bad")
+        self.model = through_table(tokens.groupBy("token").agg(
+            F.sum(F.when(F.col("bad"), F.col("n")).otherwise(0)).alias("block"),
+            F.sum(F.when(F.col("bad"), 0).otherwise(F.col("n"))).alias("allow")), "tokens")
+        all_, own = self.model.where("token = ''").first(), self.model.where("token != ''")
+        allow, block = (all_.allow, all_.block) if all_ else (0, 0)
+        x = own.agg(F.count("*").alias("size"), F.sum("allow").alias("allow"), F.sum("block").alias("block")).first()
+        self.sums = [(v or 0) + x["size"] + 1 for v in (x.allow, x.block)]
         self.prior = math.log((block + 1) / (allow + 1))
-        self.odds = {t: math.log((v[1] + 1) / sums[1]) - math.log((v[0] + 1) / sums[0]) for t, v in model.items()}
-        self.counts = counts
         return self
 
     def judge(self, df: DataFrame, url_col: str = "url", keep: tuple[str, ...] = ("page_id",)) -> DataFrame:
         """``keep``, host, path, rule (host/path of the rule, else null), verdict, log_odds (above 0: block), host_words."""
         rows = self.parts(df, url_col, keep)
-        schema = T.StructType([*rows.schema.fields, T.StructField("host_words", T.ArrayType(T.StringType())),
-                               T.StructField("log_odds", T.DoubleType())])
-        held = df.sparkSession.sparkContext.broadcast((self.counts, self.odds, self.prior))
-
-        def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            counts, odds, prior = held.value
-            seg = _Segmenter(counts)
-            for b in batches:
-                words, found = [], []
-                for host, path in zip(b.column(b.num_columns - 2).to_pylist(), b.column(b.num_columns - 1).to_pylist()):
-                    own = seg.host(host)
-                    words.append(own)
-                    found.append(prior + sum(odds.get(t, 0.0) for t in sorted({*own, *("/" + w for w in _path_words(path))})))
-                yield pa.RecordBatch.from_arrays([*b.columns, pa.array(words, pa.list_(pa.string())),
-                                                  pa.array(found, pa.float64())], names=schema.names)
-
+        urls = self._urls(df, url_col)
+        odds = self.model.where("token != ''").select("token", (
+            F.log((F.col("block") + 1) / F.lit(float(self.sums[1]))) - F.log((F.col("allow") + 1) / F.lit(float(self.sums[0])))).alias("odds"))
+        scores = self._look_up(self._tokens(urls), odds, "token", "url").groupBy("url").agg(
+            F.sort_array(F.collect_list(F.when(F.col("odds").isNotNull(), F.struct("token", "odds")))).alias("found"))
+        score = F.aggregate("found", F.lit(0.0), lambda acc, x: acc + x["odds"]) + F.lit(self.prior)  # in one order: always the same sum
+        scores = urls.join(scores, "url").select("url.host", "url.path", "host_words", score.alias("log_odds"))
         rule, verdict = F.lit(None).cast("string"), F.lit(None).cast("string")
         for host, path, says in sorted(self.rules, key=lambda r: len(r[0]) + len(r[1])):  # the longest is tried first
             host = host.lower()
             fits = ((F.col("host") == host) | F.col("host").endswith("." + host)) & F.col("path").startswith(path)
             rule = F.when(fits, F.lit(host + path)).otherwise(rule)
             verdict = F.when(fits, F.lit(says)).otherwise(verdict)
-        out = map_arrow(rows, score, schema)
+        spread = rows.withColumn("url", F.struct("host", "path")).withColumn("spread", F.monotonically_increasing_id())
+        scores = scores.select(F.struct("host", "path").alias("url"), "host_words", "log_odds")
+        out = self._look_up(spread, through_table(scores, "scores"), "url", "spread")
         return out.select(*keep, "host", "path", rule.alias("rule"),
                           F.coalesce(verdict, F.when(F.col("log_odds") > 0, "block").otherwise("allow")).alias("verdict"),
                           "log_odds", "host_words")

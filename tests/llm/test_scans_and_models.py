@@ -228,3 +228,17 @@ def test_wrapped_and_embedded_notices(spark):
         assert (got[i].dice >= 0.8) == bool(name)
     assert [got[i].line for i in (0, 1, 2, 3, 4, 6, 7)] == [1, 1, 1, 1, 1, 0, 0] and got[5].line == 120
     assert [got[i].n_hits for i in (1, 2, 5, 6, 7, 8, 9, 10)] == [1, 1, 1, 1, 1, 1, 2, 0]
+
+
+def test_url_model_keeps_every_token(spark):
+    urls = [f"http://blog{i}.example.net/en/{i}" for i in range(30)] + ["http://casinowin.example.net/spin/once"]
+    df = spark.createDataFrame(list(enumerate(urls)), "page_id long, url string")
+    model = UrlFilter(RULES).fit(df, "url")
+    got = {r.token: (r.allow, r.block) for r in model.model.collect()}
+    assert got[""] == (30, 1) and got["/once"] == (0, 1) and got["/17"] == (1, 0) and got["casino"] == (0, 1)
+    sums = [sum(v[i] for t, v in got.items() if t) + len(got) for i in (0, 1)]
+    row = model.judge(df).where("page_id = 30").first()
+    tokens = {"casino", "win", "example", "net", "/spin", "/once"}
+    assert set(row.host_words) | {"/spin", "/once"} == tokens
+    want = math.log(2 / 31) + sum(math.log((got[t][1] + 1) / sums[1]) - math.log((got[t][0] + 1) / sums[0]) for t in tokens)
+    assert row.log_odds == pytest.approx(want)
