@@ -18,6 +18,7 @@ from tessera.llm.packing import pack
 from tessera.llm.token_counts import count_tokens
 from tessera.llm.topk_nra import top_k
 from tessera.llm.url_filter import UrlFilter
+from tessera.llm.whitening import whiten
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -141,3 +142,9 @@ s AS (SELECT q.vec_id AS query_id, v.vec_id, CAST(list_sum([q.x[i] * v.x[i] for
 SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score FROM (
     SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM s) WHERE rank <= 20
 """
+
+
+@query
+def op11_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = whiten(table(spark, sf_dir, "embeddings"))
+    return rows.withColumn("deviation", F.col("deviation").try_cast("long"))  # beyond a long: null
