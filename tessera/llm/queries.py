@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from tessera.llm import license_scan
 from tessera.llm.common import table
 from tessera.llm.decontaminate import find_benchmark_words
+from tessera.llm.hard_negatives import mine
 from tessera.llm.html_text import extract_pages
 from tessera.llm.jaccard_join import near_duplicates
 from tessera.llm.language_id import add_language, fit, held_out
@@ -148,3 +149,26 @@ SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score FROM (
 def op11_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = whiten(table(spark, sf_dir, "embeddings"))
     return rows.withColumn("deviation", F.col("deviation").try_cast("long"))  # beyond a long: null
+
+
+@query
+def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return mine(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0, label)
+
+
+ORACLES["op12_hard_negatives"] = """
+WITH v AS (SELECT row_number() OVER () AS r, vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+       [CAST(floor(256 * CAST(c AS DOUBLE)) AS BIGINT) for c in embedding] AS x FROM embeddings
+    WHERE embedding IS NOT NULL AND vec_id IS NOT NULL AND label IS NOT NULL
+      AND len([c for c in embedding if c IS NULL OR NOT isfinite(c)]) = 0),
+s AS (SELECT a.r, a.vec_id AS anchor_id, b.vec_id, a.label = b.label AS same,
+             CAST(list_sum([a.x[i] * b.x[i] for i in range(1, len(a.x) + 1)]) AS BIGINT) AS score
+      FROM v AS a JOIN v AS b ON a.vec_id % 100 = 0 AND a.r <> b.r AND len(a.x) = len(b.x)),
+p AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY r ORDER BY score DESC, vec_id) AS place FROM s WHERE same)
+      WHERE place <= 5),
+n AS (SELECT p.anchor_id, p.vec_id AS positive_id, s.vec_id AS negative_id, p.score AS positive_score, s.score AS negative_score,
+             row_number() OVER (PARTITION BY p.r, p.place ORDER BY s.score DESC, s.vec_id) AS rank
+      FROM p JOIN s ON s.r = p.r AND NOT s.same AND 80 * p.score <= 100 * s.score AND s.score <= p.score)
+SELECT anchor_id, positive_id, CAST(rank AS INTEGER) AS rank, negative_id, positive_score, negative_score FROM n WHERE rank <= 5
+"""
