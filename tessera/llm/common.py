@@ -30,8 +30,8 @@ def shared_folder(spark: SparkSession, name: str) -> str:
     return f"{checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
-def through_table(df: DataFrame, name: str) -> DataFrame:
-    """Write ``df`` as Parquet in the shared folder and read it back.
+def through_table(df: DataFrame, name: str, **options: str) -> DataFrame:
+    """Write ``df`` as Parquet (with the writer's ``options``) in the shared folder and read it back.
 
     Cuts the lineage with files that outlive executors; a lost executor costs
     only its running tasks.
@@ -39,7 +39,7 @@ def through_table(df: DataFrame, name: str) -> DataFrame:
     spark = df.sparkSession
     path = shared_folder(spark, name)
     schema = df.schema
-    df.write.parquet(path)
+    df.write.options(**options).parquet(path)
     return spark.read.schema(schema).parquet(path)
 
 

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.llm import license_scan
+from tessera.llm import license_scan, lm_scoring
 from tessera.llm.common import table
 from tessera.llm.decontaminate import find_benchmark_words
 from tessera.llm.hard_negatives import mine
@@ -172,3 +172,8 @@ n AS (SELECT p.anchor_id, p.vec_id AS positive_id, s.vec_id AS negative_id, p.sc
       FROM p JOIN s ON s.r = p.r AND NOT s.same AND 80 * p.score <= 100 * s.score AND s.score <= p.score)
 SELECT anchor_id, positive_id, CAST(rank AS INTEGER) AS rank, negative_id, positive_score, negative_score FROM n WHERE rank <= 5
 """
+
+
+@query
+def op13_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm_scoring.score(table(spark, sf_dir, "documents"), F.crc32(F.col("doc_id").cast("string")) % 10 == 0)
