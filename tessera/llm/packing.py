@@ -22,7 +22,9 @@ from __future__ import annotations
 import math
 import random
 import re
+import sys
 import zlib
+from array import array
 from bisect import bisect_left, insort
 from collections.abc import Iterator
 from functools import lru_cache
@@ -40,17 +42,32 @@ VOCABULARY = "word_bpe_49k.json"
 WORDS = re.compile(f"'(?:s|t|re|ve|m|ll|d)|[{LETTERS}]+|[{NUMBERS}]|[^{SPACES}{LETTERS}{NUMBERS}]+")
 
 
+def _bytes_of(ids: list[int]) -> bytes:
+    out = array("I", ids)
+    if sys.byteorder == "big":
+        out.byteswap()
+    return out.tobytes()
+
+
 class _Ids(dict):
-    """Pre-token -> its ids as little-endian unsigned 32-bit."""
+    """Pre-token -> its ids as little-endian unsigned 32-bit; starts with the words that are one token, merges what is missing."""
 
     def __init__(self, merger: Merger):
         super().__init__()
-        self.merger = merger
+        for token in merger.vocab:
+            try:
+                word = merger.raw(token)[:-1].decode() if merger.suffix and token.endswith(merger.suffix) else ""
+            except (KeyError, UnicodeDecodeError):
+                continue
+            if word and len(ids := merger.ids(word)) == 1:
+                self[word] = _bytes_of(ids)
+        self.merger, self.whole = merger, dict(self)
 
     def __missing__(self, piece: str) -> bytes:
-        ids = np.array(self.merger.ids(piece), "<u4").tobytes()
+        ids = _bytes_of(self.merger.ids(piece))
         if len(self) > CACHE_ENTRIES:
             self.clear()
+            self.update(self.whole)
         if len(piece) <= 64:
             self[piece] = ids
         return ids
@@ -158,15 +175,18 @@ def crossover(a: list[list[int]], b: list[list[int]], size: list[int], capacity:
 
 def evolve(size: list[int], capacity: int, seed: int, parents: list[list[list[int]]], population: int = 4,
            generations: int = 12) -> list[list[int]]:
-    """One epoch on one island; the best packing found."""
+    """One epoch on one island; the best packing found.
+
+    A packing of as few bins as all pieces fill ends the epoch: none has fewer.
+    """
     rng = random.Random(seed)
+    least = -(-sum(size) // capacity)
     herd = [(fitness(p, size, capacity), p) for p in parents]
-    while len(herd) < population:
+    while len(herd) < population and all(len(p) > least for _, p in herd):
         noise = 0.0 if not herd else 0.25
         order = sorted(range(len(size)), key=lambda x: -size[x] * (1 - noise * rng.random()))
         p = pack_order(order, size, capacity)
         herd.append((fitness(p, size, capacity), p))
-    least = -(-sum(size) // capacity)
     for _ in range(generations):
         herd.sort(key=lambda h: h[0], reverse=True)
         if len(herd[0][1]) <= least:

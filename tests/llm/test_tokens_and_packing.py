@@ -84,6 +84,31 @@ def test_evolved_packings_are_whole():
     assert all(sum(size[x] for x in b) <= 100 for b in child)
 
 
+def test_an_epoch_ends_at_the_lower_bound(monkeypatch):
+    from tessera.llm import packing
+
+    size = [50, 50, 30, 70, 20, 80]
+    at_bound = [[0, 1], [2, 3], [4, 5]]
+    monkeypatch.setattr(packing, "crossover", None)  # neither breeds nor builds more parents
+    monkeypatch.setattr(packing, "pack_order", lambda *a: at_bound)
+    assert evolve(size, 100, 1, [at_bound]) == at_bound
+    assert evolve(size, 100, 1, []) == at_bound
+
+
+def test_whole_words_stay_when_the_cache_starts_anew(library, words, monkeypatch):
+    from tessera.llm import packing
+
+    rng = random.Random(9)
+    ids = packing.TextIds("word_bpe_49k.json")
+    whole = len(ids.of.whole)
+    assert whole > 20_000 and all(len(v) == 4 for v in ids.of.whole.values())
+    monkeypatch.setattr(packing, "CACHE_ENTRIES", whole + 50)
+    for _ in range(40):
+        t = " ".join(words(rng) + words(rng) for _ in range(20))
+        assert list(np.frombuffer(ids.ids(t), "<u4")) == library["word_bpe_49k.json"].encode(t, add_special_tokens=False).ids
+        assert whole <= len(ids.of) <= whole + 52
+
+
 def test_best_fit_takes_the_fullest_bin_with_room():
     bins = [[0], [1]]
     best_fit([(40, 0), (60, 1)], bins, [2], [60, 40, 35], 100)
