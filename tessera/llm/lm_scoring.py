@@ -23,7 +23,8 @@ The added-up cells, whose number is bounded by that grid, are all that the
 driver's expectation-maximisation sees.  A last pass over the blocks scores.
 
 Tokens: words of the text, A-Z lower-cased, and one end token.  Words are told
-apart by 64-bit hashes, n-grams by 48 bits inside their range.
+apart by 64-bit hashes, longer n-grams by KEY_BITS bits inside their range: of
+some millions of them about one takes another's counts.
 
 Defined cases: a null or empty text is the end token alone; rows that repeat an
 id are documents of their own; a null ``held_out`` counts as true; a text of
@@ -41,6 +42,7 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+import zstandard
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -56,22 +58,42 @@ RANGE_KEYS = 1 << 20
 BUCKETS = 26
 #: Steps of a power of two in the cells of estimates.
 STEPS = 8
-KEY_BYTES = 6
+#: Bits that tell n-grams of two tokens and more apart inside their range.
+KEY_BITS = 42
+
+
+def _zipped(data, level: int = 3) -> bytes:
+    return zstandard.ZstdCompressor(level=level).compress(data)
+
+
+def _unzipped(data: bytes) -> bytes:
+    return zstandard.ZstdDecompressor().decompress(data)
+
+
+def _texts(zipped: bytes, lengths: np.ndarray) -> pa.Array:
+    offsets = np.concatenate([[0], np.cumsum(lengths, dtype=np.int64)])
+    return pa.Array.from_buffers(pa.large_string(), len(lengths), [None, pa.py_buffer(offsets), pa.py_buffer(_unzipped(zipped))])
 
 
 def blocks_of(rows: DataFrame, block_bytes: int) -> DataFrame:
-    """Rows (id, text, held_out, half) in blocks: arrays of all four, and the training documents of either half."""
+    """Rows (id, text, held_out, half) in blocks: arrays of all but the texts, which are one compressed value, and totals."""
     kind = rows.schema[0].dataType.simpleString()
 
     def block(parts: list[pa.RecordBatch], number: int) -> pa.RecordBatch:
         t = pa.Table.from_batches(parts).combine_chunks()
         ids, texts, held, half = (t.column(i).combine_chunks() for i in range(4))
-        lists = [pa.ListArray.from_arrays(pa.array([0, len(t)], pa.int32()), c) for c in (ids, pc.fill_null(texts, ""), held, half)]
+        texts = pc.fill_null(texts, "").cast(pa.large_string())
+        lengths = pc.binary_length(texts).cast(pa.int32())
+        _, at, data = texts.buffers()
+        at = np.frombuffer(at, np.int64)[[texts.offset, texts.offset + len(texts)]]
+        data = pa.array([_zipped(memoryview(data)[at[0]: at[1]] if data else b"", 9)], pa.binary())
+        lists = [pa.ListArray.from_arrays(pa.array([0, len(t)], pa.int32()), c) for c in (ids, lengths, held, half)]
         train = ~held.to_numpy(zero_copy_only=False)
         docs = [int((train & (half.to_numpy() == h)).sum()) for h in (0, 1)]
-        docs.append(len(t) + (pc.sum(pc.binary_length(texts)).as_py() or 0))
-        return pa.RecordBatch.from_arrays([pa.array([number], pa.int64()), *lists, *(pa.array([d], pa.int64()) for d in docs)],
-                                          names=["block", "ids", "texts", "held", "half", "docs0", "docs1", "bytes"])
+        docs.append(len(t) + int(at[1] - at[0]))
+        return pa.RecordBatch.from_arrays(
+            [pa.array([number], pa.int64()), data, *lists, *(pa.array([d], pa.int64()) for d in docs)],
+            names=["block", "texts", "ids", "lengths", "held", "half", "docs0", "docs1", "bytes"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         number, parts, size = TaskContext.get().partitionId() << 32, [], 0
@@ -87,8 +109,8 @@ def blocks_of(rows: DataFrame, block_bytes: int) -> DataFrame:
         if parts:
             yield block(parts, number)
 
-    return map_arrow(rows, run, f"block long, ids array<{kind}>, texts array<string>, held array<boolean>, half array<int>, "
-                                "docs0 long, docs1 long, bytes long")
+    return map_arrow(rows, run, f"block long, texts binary, ids array<{kind}>, lengths array<int>, held array<boolean>, "
+                                "half array<int>, docs0 long, docs1 long, bytes long")
 
 
 class Places:
@@ -132,27 +154,34 @@ class Tokens(Places):
         return mix(chain + U64(k))
 
 
+def _planes(values: np.ndarray, wide: int) -> bytes:
+    """The lowest ``wide`` bytes of unsigned integers, all first bytes first: high bytes are mostly equal and compress well."""
+    return np.ascontiguousarray(values.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :wide].T).tobytes()
+
+
 def _packed(values: np.ndarray) -> bytes:
-    """Unsigned integers in as few bytes each as the largest needs."""
+    """Unsigned integers in as few bytes each as the largest needs, compressed."""
     most = int(values.max()) if len(values) else 0
-    kind = next(t for t in ("<u1", "<u2", "<u4", "<u8") if most < 1 << (8 * int(t[2])))
-    return values.astype(kind).tobytes()
+    wide = max(1, (most.bit_length() + 7) // 8)
+    return bytes([wide]) + _zipped(_planes(values, wide))
 
 
-def _unpacked(data: bytes, n: int) -> np.ndarray:
-    return np.frombuffer(data, f"<u{len(data) // n}").astype(np.int64) if n else np.empty(0, np.int64)
+def _unpacked(data: bytes) -> np.ndarray:
+    planes = np.frombuffer(_unzipped(data[1:]), np.uint8).reshape(data[0], -1)
+    out = np.zeros((planes.shape[1], 8), np.uint8)
+    out[:, : data[0]] = planes.T
+    return out.view("<u8").ravel()
 
 
-def _short(keys: np.ndarray, bits: int) -> bytes:
-    """The KEY_BYTES bytes of each key after its range's bits."""
-    low = (keys << U64(bits)) >> U64(64 - 8 * KEY_BYTES)
-    return np.ascontiguousarray(low.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :KEY_BYTES]).tobytes()
+def _short(keys: np.ndarray, k: int, bits: int) -> bytes:
+    """The steps between sorted keys of one range: all bits of single tokens, KEY_BITS of longer n-grams."""
+    low = keys << U64(bits)
+    low = low >> U64(bits if k == 1 else 64 - KEY_BITS)
+    return _packed(np.diff(low, prepend=U64(0)))
 
 
 def _long(data: bytes) -> np.ndarray:
-    out = np.zeros((len(data) // KEY_BYTES, 8), np.uint8)
-    out[:, :KEY_BYTES] = np.frombuffer(data, np.uint8).reshape(-1, KEY_BYTES)
-    return out.view("<u8").ravel()
+    return np.cumsum(_unpacked(data), dtype=np.uint64)
 
 
 def _ranges(keys: np.ndarray, bits: int) -> np.ndarray:
@@ -164,8 +193,8 @@ def questions(blocks: DataFrame, order: int, bits: int) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            for number, texts, held, half in zip(*(b.column(c) for c in range(4))):
-                tokens = Tokens(texts.values)
+            for number, texts, lengths, held, half in zip(*(b.column(c) for c in range(5))):
+                tokens = Tokens(_texts(texts.as_py(), lengths.values.to_numpy()))
                 train, half = ~held.values.to_numpy(zero_copy_only=False), half.values.to_numpy()
                 for k in range(1, order + 1):
                     keys, place = np.unique(tokens.keys(k), return_inverse=True)
@@ -177,11 +206,11 @@ def questions(blocks: DataFrame, order: int, bits: int) -> DataFrame:
                     yield pa.RecordBatch.from_arrays(
                         [pa.array(np.full(len(spans), k, np.int32)), pa.array(ranges[cuts]),
                          pa.array([number.as_py()] * len(spans), pa.int64()),
-                         pa.array([_short(keys[i:j], bits) for i, j in spans], pa.binary()),
+                         pa.array([_short(keys[i:j], k, bits) for i, j in spans], pa.binary()),
                          *(pa.array([_packed(h[i:j]) for i, j in spans], pa.binary()) for h in held_by)],
                         names=["k", "range", "block", "keys", "held0", "held1"])
 
-    return map_arrow(blocks.select("block", "texts", "held", "half"), run,
+    return map_arrow(blocks.select("block", "texts", "lengths", "held", "half"), run,
                      "k int, range long, block long, keys binary, held0 binary, held1 binary")
 
 
@@ -196,8 +225,8 @@ def answers(asked: DataFrame) -> DataFrame:
         keys = [_long(x.as_py()) for x in t["keys"]]
         ends = np.cumsum([len(x) for x in keys])
         found, place = np.unique(np.concatenate(keys), return_inverse=True)
-        totals = [np.bincount(place, np.concatenate([_unpacked(x.as_py(), len(n)) for x, n in zip(t[c], keys)]),
-                              len(found)).astype(np.int64) for c in ("held0", "held1")]
+        totals = [np.bincount(place, np.concatenate([_unpacked(x.as_py()) for x in t[c]]), len(found)).astype(np.int64)
+                  for c in ("held0", "held1")]
         spans = list(zip([0, *ends[:-1]], ends))
         n = len(spans)
         out = [[_packed(c[place[i:j]]) for i, j in spans] + [None] for c in totals]
@@ -247,16 +276,16 @@ def annotate(blocks: DataFrame, found: DataFrame, order: int, bits: int, docs: t
         table = lambda rows: pa.table({n: pa.array([r.get(n) for r in rows], t) for n, t in types.items()})
         if not left.num_rows:  # totals of one range; those of single tokens count
             return table([r for r in right.to_pylist() if r["k"] == 1])
-        tokens = Tokens(left["texts"].combine_chunks().flatten())
+        tokens = Tokens(_texts(left["texts"][0].as_py(), left["lengths"].combine_chunks().flatten().to_numpy()))
         held, half = left["held"].combine_chunks().flatten(), left["half"].combine_chunks().flatten().to_numpy()
         right = right.sort_by([("k", "ascending"), ("range", "ascending")])
         of_order, by_half = right["k"].to_numpy(), ([], [])
         for k in range(1, order + 1):
             keys, place = np.unique(tokens.keys(k), return_inverse=True)
             rows = right.take(pa.array(np.flatnonzero(of_order == k)))
-            n_keys = np.unique(_ranges(keys, bits), return_counts=True)[1]  # one answer for each range asked
             for h, c in enumerate(("count0", "count1")):
-                by_half[h].append(np.concatenate([_unpacked(x.as_py(), n) for x, n in zip(rows[c], n_keys)])[place])
+                counts = np.concatenate([_unpacked(x.as_py()) for x in rows[c]])  # ranges and keys are in the same order
+                by_half[h].append(counts.astype(np.int64)[place])
         train = ~held.to_numpy(zero_copy_only=False)
         found = [cells_of(tokens, by_half[1 - h], np.repeat(train & (half == h), tokens.sizes), docs[1 - h], h) for h in (0, 1)]
         return table([{"ids": left["ids"][0].values, "held": held, "sizes": tokens.sizes,
@@ -326,7 +355,7 @@ def learn_weights(cells: np.ndarray, n: np.ndarray, order: int, types: int, mass
 
 
 def score(df: DataFrame, held_out: Column, id_col: str = "doc_id", text_col: str = "text", order: int = 2,
-          block_bytes: int = 4 << 20, add: float = 0.1) -> DataFrame:
+          block_bytes: int = 8 << 20, add: float = 0.1) -> DataFrame:
     """(id, held_out, n_tokens, n_known, train_tokens, base_score, score); ``held_out`` is a column of ``df``.
 
     The model learns from the other documents.  ``base_score`` is the sum of
@@ -335,12 +364,12 @@ def score(df: DataFrame, held_out: Column, id_col: str = "doc_id", text_col: str
     rows = df.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"), F.coalesce(held_out, F.lit(True)).alias("held"),
                      F.pmod(F.xxhash64(F.coalesce(F.col(text_col), F.lit(""))), F.lit(2)).cast("int").alias("half"))
     kind = rows.schema["id"].dataType.simpleString()
-    blocks = through_table(blocks_of(rows, block_bytes), "blocks", compression="zstd")
+    blocks = through_table(blocks_of(rows, block_bytes), "blocks")
     first = blocks.agg(*(F.coalesce(F.sum(c), F.lit(0)) for c in ("bytes", "docs0", "docs1"))).first()
     bits = max(0, math.ceil(math.log2(first[0] / 4 / RANGE_KEYS))) if first[0] else 0
     docs = (first[1], first[2])
     found = answers(questions(blocks, order, bits))
-    marked = through_table(annotate(blocks, found, order, bits, docs, kind), "marked", compression="zstd")
+    marked = through_table(annotate(blocks, found, order, bits, docs, kind), "marked")
     totals = marked.agg(*(F.coalesce(F.sum(c), F.lit(0)) for c in ("types", "mass0", "mass1"))).first()
     cells = (marked.where("cells IS NOT NULL").select(F.explode(F.arrays_zip("cells", "weights")).alias("c"))
              .groupBy("c.cells").agg(F.sum("c.weights")).collect())
@@ -353,7 +382,7 @@ def score(df: DataFrame, held_out: Column, id_col: str = "doc_id", text_col: str
         for b in batches:
             for ids, held, sizes, counts in zip(*(b.column(i) for i in range(4))):
                 places = Places(sizes.values.to_numpy())
-                of = [_unpacked(c.as_py(), int(places.sizes.sum())) for c in counts]
+                of = [_unpacked(c.as_py()).astype(np.int64) for c in counts]
                 yield pa.RecordBatch.from_arrays(
                     [ids.values, held.values, pa.array(places.sizes),
                      pa.array(places.per_text((of[0] > 0).astype(np.int64))),
