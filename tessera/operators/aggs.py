@@ -4,10 +4,15 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
+import numpy as np
+import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from tessera.operators.common import _cols, _names, attach_scalars, join_on, prefix_sum, quantile_chunk
+from tessera.operators.common import _cols, _names, attach_scalars, empty_arrow, join_on, meet_tiles, prefix_sum, quantile_chunk
 from tessera.operators.joins import cross
 
 
@@ -315,26 +320,76 @@ def best_score(have: DataFrame, need: DataFrame, cand: str, project: str, skill:
     division by counts), scored base + plus per skill above the need and
     - minus per skill below; best candidate per project (ties: lower id).
 
-    Only a project's distinct needs enter: projects with the same multiset of
-    (skill, importance) are one signature, and each signature meets the
-    candidates of its rarest skill once, through candidates reduced to one row
-    with their skills as a map."""
+    Projects with the same multiset of (skill, importance) are one signature
+    and candidates with the same skill levels one class, named by its least
+    id.  A signature meets the classes that hold its rarest skill, in tiles of
+    bounded size (a hot skill is many tiles); in a tile the classes are a matrix
+    of levels, taken in blocks by id.  No score exceeds the sum over the needs
+    of the best any class of the tile gets on them, so a signature leaves the
+    tile with the block in which its best score reaches that bound."""
     own = need.groupBy(project).agg(F.array_sort(F.collect_list(F.struct(
         F.col(skill).alias("k"), F.col(importance).alias("v")))).alias("_need"))
     have = have.groupBy(cand, skill).agg(F.max(level).alias(level))
-    skills = have.groupBy(cand).agg(F.map_from_entries(F.collect_list(F.struct(F.col(skill), F.col(level)))).alias("_has"))
-    holders = have.groupBy(F.col(skill).alias("_k")).agg(F.count(F.lit(1)).alias("_n"))
-    sigs = own.select("_need").distinct().withColumn("_sig", F.xxhash64("_need"))
-    rarest = (sigs.select("_sig", F.explode(F.array_distinct(F.transform("_need", lambda x: x["k"]))).alias("_k"))
+    classes = (have.groupBy(cand).agg(F.array_sort(F.collect_list(F.struct(
+        F.col(skill).alias("k"), F.col(level).alias("v")))).alias("_has"))
+        .groupBy("_has").agg(F.min(cand).alias(cand)))
+    own = own.withColumn("_sig", F.xxhash64("_need"))
+    sigs = own.select("_sig", "_need").distinct()
+    by_skill = classes.select(F.explode("_has.k").alias("_k"), cand, "_has")
+    holders = by_skill.groupBy("_k").agg(F.count(F.lit(1)).alias("_n"))
+    rarest = (sigs.select("_sig", F.explode(F.array_distinct("_need.k")).alias("_k"))
               .join(holders, "_k", "left").groupBy("_sig")
               .agg(F.min_by("_k", F.struct(F.coalesce("_n", F.lit(0)), "_k")).alias("_k")))
-    cands = have.select(F.col(skill).alias("_k"), F.col(cand)).join(skills, cand)
-    pts = lambda x: F.when(F.col("_has")[x["k"]] > x["v"], plus).when(F.col("_has")[x["k"]] < x["v"], -minus).otherwise(0)
-    best = (sigs.join(rarest, "_sig").join(cands, "_k")
-            .filter(F.forall("_need", lambda x: F.map_contains_key("_has", x["k"])))
-            .select("_sig", "_need", F.col(cand), (F.lit(base) + F.aggregate(F.transform("_need", pts), F.lit(0), lambda a, x: a + x))
-                    .cast("long").alias("score"))
-            .groupBy("_sig", "_need").agg(F.min(F.struct((-F.col("score")).alias("_neg"), F.col(cand), "score")).alias("_b")))
-    mine = own.withColumn("_sig", F.xxhash64("_need"))
-    return (mine.join(best, ["_sig", "_need"])
+    sigs = sigs.join(rarest, "_sig")
+    schema = T.StructType([sigs.schema["_sig"], T.StructField(cand, have.schema[cand].dataType), T.StructField("score", T.LongType())])
+    empty = empty_arrow(schema)
+    names = (cand, base, plus, minus)
+    best = meet_tiles(sigs, by_skill, ["_k"], SCORE_TILE, lambda n, h: _best_of_tile(n, h, names, empty), schema)
+    best = best.groupBy("_sig").agg(F.min(F.struct((-F.col("score")).alias("_neg"), F.col(cand), "score")).alias("_b"))
+    return (own.join(best, "_sig")
             .select(project, F.col(f"_b.{cand}").alias(cand), F.col("_b.score").alias("score")))
+
+
+#: Signatures and classes of a tile of ``best_score``, and the classes that are scored at once.
+SCORE_TILE, SCORE_BLOCK = 2048, 256
+
+
+def _best_of_tile(needs: pa.Table, classes: pa.Table, names: tuple, empty: pa.Table) -> pa.Table:
+    """The best class of each signature that some class of the tile covers: highest score, then least id."""
+    cand, base, plus, minus = names
+    classes = classes.sort_by(cand)
+    flat = lambda t, c: pd.DataFrame({"row": np.repeat(np.arange(len(t)), pc.list_value_length(t[c]).to_numpy()),
+                                      "k": pc.struct_field(pc.list_flatten(t[c]), "k").to_pandas(),
+                                      "v": pc.struct_field(pc.list_flatten(t[c]), "v").to_pandas().astype(float)})
+    has, want = flat(classes, "_has"), flat(needs, "_need")
+    skills = {k: i for i, k in enumerate(pd.unique(want["k"]))}
+    has = has[has["k"].isin(skills)]
+    levels = np.full((len(classes), len(skills)), np.nan)
+    levels[has["row"], has["k"].map(skills)] = has["v"]
+    held = ~np.isnan(levels)
+    highest = np.where(held.any(0), np.nanmax(np.where(held, levels, -np.inf), axis=0), np.nan)
+    points = lambda x, v: plus * (x > v) - minus * (x < v)
+    column, value = want["k"].map(skills).to_numpy(), want["v"].to_numpy()
+    starts = np.searchsorted(want["row"].to_numpy(), np.arange(len(needs) + 1))
+    sig, who, score = [], [], []
+    for i in range(len(needs)):
+        cols, v = column[starts[i]: starts[i + 1]], value[starts[i]: starts[i + 1]]
+        bound, best, at = points(highest[cols], v).sum(), None, 0
+        for first in range(0, len(classes), SCORE_BLOCK):
+            block = slice(first, first + SCORE_BLOCK)
+            full = np.flatnonzero(held[block][:, cols].all(axis=1))
+            if not len(full):
+                continue
+            s = points(levels[block][full][:, cols], v).sum(axis=1)
+            j = int(s.argmax())  # the first of equal scores has the least id
+            if best is None or s[j] > best:
+                best, at = s[j], first + full[j]
+            if best >= bound:
+                break
+        if best is not None:
+            sig.append(i)
+            who.append(at)
+            score.append(base + int(best))
+    if not sig:
+        return empty
+    return pa.table([needs["_sig"].take(sig), classes[cand].take(who), pa.array(score, pa.int64())], names=empty.schema.names)

@@ -1,6 +1,10 @@
 """Scale helpers shared by operators.
 
 * ``join_on``: summaries joined back to their rows, NULL keys included.
+* ``quantile_chunk`` and ``borders_below``: equal parts of an ordered column,
+  a row's part by binary search.
+* ``meet_tiles``: every block of one side meets every block of the other, per
+  key, in tiles of bounded size.
 * ``dense_ids``: consecutive numbers for sorted distinct rows, by range
   partitions and per-partition offsets.
 * ``prefix_sum``: a running total that never pulls a hot key (or a whole
@@ -14,10 +18,12 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import uuid
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 ColLike = str | Column
 
@@ -163,14 +169,98 @@ def chunk_count(df: DataFrame) -> int:
     return max(64, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions", "200")))
 
 
+def borders_below(borders: ColLike, n: int, value: ColLike) -> Column:
+    """How many of at most ``n`` sorted borders lie below ``value``: a binary
+    search, so the cost per row is logarithmic in the borders."""
+    b, v = _cols([borders, value])
+    steps, size = [], 1
+    while size <= n:
+        steps.insert(0, size)
+        size *= 2
+    if not steps:
+        return F.lit(0)
+    return F.aggregate(F.array(*[F.lit(x) for x in steps]), F.lit(0),
+                       lambda at, step: F.when(F.get(b, at + step - 1) < v, at + step).otherwise(at))
+
+
+#: Rows drawn for each border of a column without numeric quantiles.
+SAMPLE_PER_CHUNK = 32
+
+
+def quantile_borders(df: DataFrame, col: str, buckets: int) -> DataFrame:
+    """One row: ``_qs``, at most ``buckets - 1`` sorted borders that cut ``col``
+    into about equal parts.  Numbers, dates and timestamps: approximate
+    quantiles; columns of other types (text, structs): quantiles of a random
+    sample of SAMPLE_PER_CHUNK rows a border, since only the sizes of the parts
+    depend on the borders."""
+    kind = df.schema[col].dataType
+    if isinstance(kind, (T.NumericType, T.DateType, T.TimestampType, T.TimestampNTZType)):
+        probs = [i / buckets for i in range(1, buckets)]
+        return df.agg(F.percentile_approx(col, probs, max(10_000, 4 * buckets)).alias("_qs"))
+    drawn = (df.filter(F.col(col).isNotNull()).select(F.col(col).alias("v")).orderBy(F.rand(7))
+             .limit(SAMPLE_PER_CHUNK * buckets))
+    # the sample's size is set by the number of chunks; its order is the column's own
+    return (drawn.agg(F.array_sort(F.collect_list("v")).alias("_all"))
+            .select(F.transform(F.sequence(F.lit(1), F.lit(buckets - 1)),
+                                lambda i: F.get("_all", (i * F.size("_all") / buckets).cast("int"))).alias("_qs"))
+            .select(F.filter("_qs", lambda x: x.isNotNull()).alias("_qs")))
+
+
 def quantile_chunk(df: DataFrame, col: str, buckets: int | None = None, out: str = "_chunk") -> DataFrame:
-    """Add a chunk number monotone in numeric ``col`` with about equal rows
-    per chunk (approximate quantiles from one aggregate row)."""
+    """Add a chunk number monotone in ``col`` (of any ordered type) with about
+    equal rows per chunk; NULLs are in chunk 0."""
     buckets = buckets or chunk_count(df)
-    probs = [i / buckets for i in range(1, buckets)]
-    qs = df.agg(F.percentile_approx(col, probs, max(10_000, 4 * buckets)).alias("_qs"))
-    d = attach_scalars(df, qs)
-    return d.withColumn(out, F.size(F.filter("_qs", lambda q: q < F.col(col)))).drop("_qs")
+    d = attach_scalars(df, quantile_borders(df, col, buckets))
+    return d.withColumn(out, borders_below("_qs", buckets - 1, col)).drop("_qs")
+
+
+def deal_tiles(left: DataFrame, right: DataFrame, keys: Sequence[str], block: int) -> tuple[DataFrame, DataFrame, list[str]]:
+    """Both sides with tile numbers: per key, the rows of a side are dealt by
+    hash into groups of about ``block`` rows, and every group of one side meets
+    every group of the other in one tile.  Keys without rows on both sides, and
+    NULL keys, have no tile.  The number of tiles follows the rows of a key, so
+    a hot key is many tiles and no tile grows with the data."""
+    keys = list(keys)
+    groups = lambda df, name: df.groupBy(*keys).agg(F.ceil(F.count(F.lit(1)) / block).cast("int").alias(name))
+    left_n, right_n = groups(left, "__lg"), groups(right, "__rg")
+    sizes = left_n.join(right_n, keys) if keys else attach_scalars(left_n, right_n)
+
+    def deal(df: DataFrame, own: str, own_n: str, other: str, other_n: str) -> DataFrame:
+        d = df.join(sizes, keys) if keys else attach_scalars(df, sizes)
+        mine = F.pmod(F.xxhash64(*[F.col(c) for c in df.columns]), F.col(own_n)).cast("int")
+        return (d.withColumn(own, mine).withColumn(other, F.explode(F.sequence(F.lit(0), F.col(other_n) - 1)))
+                 .drop("__lg", "__rg"))
+
+    return deal(left, "__lt", "__lg", "__rt", "__rg"), deal(right, "__rt", "__rg", "__lt", "__lg"), [*keys, "__lt", "__rt"]
+
+
+def meet_tiles(left: DataFrame, right: DataFrame, keys: Sequence[str], block: int, fn: Callable, schema) -> DataFrame:
+    """``fn(left rows, right rows)`` (Arrow tables in, one Arrow table out) for every tile of ``deal_tiles``."""
+    a, b, tile = deal_tiles(left, right, keys, block)
+    a, b = a.toDF(*a.columns), b.toDF(*b.columns)  # both may come from one table
+    nothing = empty_arrow(schema)
+
+    def one(x, y):
+        return fn(x, y) if x.num_rows and y.num_rows else nothing
+
+    return a.groupBy(*tile).cogroup(b.groupBy(*tile)).applyInArrow(one, schema)
+
+
+def empty_arrow(schema: T.StructType):
+    """An empty Arrow table of a Spark schema."""
+    from pyspark.sql.pandas.types import to_arrow_schema
+
+    return to_arrow_schema(schema).empty_table()
+
+
+def written(df: DataFrame, name: str) -> DataFrame:
+    """``df`` as Parquet in the checkpoint folder, read back: computed once
+    (``checkpoint`` computes twice) and kept by files that outlive executors."""
+    from tessera.session import scratch_path
+
+    path, schema = scratch_path(df.sparkSession, f"{name}-{uuid.uuid4().hex}"), df.schema
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(schema).parquet(path)
 
 
 def global_prefix_sum(df: DataFrame, order_col: str, tie: Sequence[ColLike], value: ColLike,

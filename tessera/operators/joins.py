@@ -12,7 +12,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tessera.operators.common import attach_scalars, running_extreme
+from tessera.operators.common import attach_scalars, borders_below, chunk_count, quantile_borders, running_extreme
 
 
 def join_inner(a: DataFrame, b: DataFrame, on) -> DataFrame:
@@ -46,11 +46,12 @@ def reconcile(src: DataFrame, tgt: DataFrame, key: str, cols: Sequence[str]) ->
     return j.select(F.col("_k").alias(key), comment.alias("comment")).filter(F.col("comment").isNotNull())
 
 
-def cross(a: DataFrame, b: DataFrame, blocks: int = 64) -> DataFrame:
+def cross(a: DataFrame, b: DataFrame, blocks: int | None = None) -> DataFrame:
     """JOIN-05: all pairs, in blocks: the rows of ``a`` are dealt to
     ``blocks`` by a hash of the whole row and ``b`` is sent once to each
-    block, so the pairs are an equi join of any size on either side."""
-    k = "__tessera_block"
+    block, so the pairs are an equi join of any size on either side.  There
+    are as many blocks as the session has shuffle partitions (64 at least)."""
+    k, blocks = "__tessera_block", blocks or chunk_count(a)
     left = a.withColumn(k, F.pmod(F.xxhash64(*[F.col(c) for c in a.columns]), F.lit(blocks)))
     right = b.withColumn(k, F.explode(F.sequence(F.lit(0).cast("long"), F.lit(blocks - 1).cast("long"))))
     return left.join(right, k).drop(k)
@@ -127,21 +128,39 @@ def count_below(a: DataFrame, b: DataFrame, key: str, a_val: str, b_val: str, ou
     return u.filter(F.col("_isb") == 0).drop("_v", "_isb", "_one", "_qc").select(*a.columns, out)
 
 
-def band_join(df: DataFrame, bands: DataFrame, col: str, lo: str, hi: str, cells: int = 256) -> DataFrame:
-    """JOIN-11: value into [lo, hi] bands.  The range that the bands span is
-    cut into ``cells`` equal cells; a band is sent to the cells it touches (at
-    most ``cells``) and a value sits in one, so the join is an equi join on the
-    cell with the exact range test behind it."""
-    span = bands.agg(F.min(F.col(lo).cast("double")).alias("_lo"), F.max(F.col(hi).cast("double")).alias("_hi"))
-
-    def cell(c):
-        width = F.greatest((F.col("_hi") - F.col("_lo")) / cells, F.lit(1e-300))
-        return F.least(F.floor((F.col(c).cast("double") - F.col("_lo")) / width), F.lit(cells)).cast("int")
-
-    b = attach_scalars(bands, span).withColumn("_cell", F.explode(F.sequence(cell(lo), cell(hi)))).drop("_lo", "_hi")
-    d = attach_scalars(df, span).filter(F.col(col).cast("double").between(F.col("_lo"), F.col("_hi")))
-    d = d.withColumn("_cell", cell(col)).drop("_lo", "_hi")
-    return d.join(b, "_cell").filter((F.col(col) >= F.col(lo)) & (F.col(col) <= F.col(hi))).drop("_cell")
+def band_join(df: DataFrame, bands: DataFrame, col: str, lo: str, hi: str, leaves: int | None = None) -> DataFrame:
+    """JOIN-11: value into [lo, hi] bands, as an equi join on dyadic nodes.
+
+    Quantiles of the values are the leaves of a binary tree, so that however
+    skewed they are a leaf holds about equally many (equal values share one).
+    A band is covered by its two outer leaves and O(log leaves) nodes between
+    them; a value has one node on each level, its path.  The nodes of a cover
+    are disjoint, so a pair meets once.  The top of the tree is cut off at
+    ``chunk_count`` nodes: a band over all values is sent to so many nodes, and
+    no node holds more than that share of the values."""
+    tasks = 1 << max(1, (chunk_count(df) - 1).bit_length())
+    leaves = max(2 * tasks, 1 << max(1, ((leaves or 8 * tasks) - 1).bit_length()))
+    top, bottom = tasks.bit_length() - 1, leaves.bit_length() - 1
+    tree = quantile_borders(df, col, leaves)
+    leaf = lambda c: borders_below("_qs", leaves - 1, c)
+    node = lambda level, at: F.lit(1 << level) + at
+    b = attach_scalars(bands.filter(F.col(lo) <= F.col(hi)), tree)
+    b = b.withColumn("_l", leaf(lo)).withColumn("_r", leaf(hi)).drop("_qs")
+    # the outer leaves hold values on both sides of the band's ends; all nodes between lie inside it
+    b = (b.withColumn("_cover", F.array_distinct(F.array(node(bottom, F.col("_l")), node(bottom, F.col("_r")))))
+          .withColumn("_l", F.col("_l") + 1).withColumn("_r", F.col("_r") - 1))
+    for level in range(bottom, top, -1):
+        left = F.when((F.col("_l") <= F.col("_r")) & (F.col("_l") % 2 == 1), F.array(node(level, F.col("_l"))))
+        right = F.when((F.col("_l") <= F.col("_r")) & (F.col("_r") % 2 == 0), F.array(node(level, F.col("_r"))))
+        none = F.array().cast("array<int>")
+        b = (b.withColumn("_cover", F.array_union("_cover", F.concat(F.coalesce(left, none), F.coalesce(right, none))))
+              .withColumn("_l", F.shiftright(F.col("_l") + 1, 1)).withColumn("_r", F.shiftright(F.col("_r") - 1, 1)))
+    rest = F.when(F.col("_l") <= F.col("_r"), F.transform(F.sequence("_l", "_r"), lambda i: node(top, i)))
+    b = b.withColumn("_node", F.explode(F.concat("_cover", F.coalesce(rest, F.array().cast("array<int>"))))).drop("_cover", "_l", "_r")
+    d = attach_scalars(df.filter(F.col(col).isNotNull()), tree).withColumn("_leaf", leaf(col)).drop("_qs")
+    path = F.array(*[node(level, F.shiftright("_leaf", bottom - level)) for level in range(bottom, top - 1, -1)])
+    d = d.withColumn("_node", F.explode(path)).drop("_leaf")
+    return d.join(b, "_node").filter((F.col(col) >= F.col(lo)) & (F.col(col) <= F.col(hi))).drop("_node")
 
 
 def overlap_pairs(df: DataFrame, key: str, id_col: str, start: str, end: str,

@@ -155,7 +155,7 @@ SELECT r.r_name, n.n_name FROM region r JOIN nation n ON n.n_regionkey < r.r_reg
 def join10b(spark, sf):
     r = T(spark, sf, "region")
     n = T(spark, sf, "nation").select("n_name", "n_regionkey")
-    return J.theta(r, F.broadcast(n), F.col("n_regionkey") < F.col("r_regionkey")).select("r_name", "n_name")
+    return J.theta(r, n, F.col("n_regionkey") < F.col("r_regionkey")).select("r_name", "n_name")
 
 
 @register("JOIN-11", "join11_band_between", """

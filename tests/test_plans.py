@@ -40,7 +40,7 @@ def test_no_cartesian_product(spark, sf, key):
 
 
 @pytest.mark.parametrize("key", ["seq06_sessionize_30min", "agg01_pricing_summary", "join01_three_way_inner",
-                                 "win05_running_total_chunked", "vec01_exact_topk_cosine"])
+                                 "win05_running_total_chunked"])
 def test_no_python_in_sql_native_operators(spark, sf, key):
     p = plan(spark, sf, key)
     assert "BatchEvalPython" not in p and "ArrowEvalPython" not in p and "MapInPandas" not in p
