@@ -49,6 +49,17 @@ def approx_distinct(df, cols: Sequence[str], rsd: float = 0.05):
     return df.agg(*[F.approx_count_distinct(c, rsd).alias(f"approx_{c}") for c in cols])
 
 
+def distinct_sketches(df, by, col, lg_k: int = 12, out: str = "sketch"):
+    """AGG-07: one mergeable distinct-count sketch (HLL) of ``col`` per group,
+    to be stored; later rows only need a sketch of their own."""
+    return df.groupBy(*_cols(by)).agg(F.hll_sketch_agg(F.col(col), F.lit(lg_k)).alias(out))
+
+
+def merged_distinct(sketches: DataFrame, by=None, sketch: str = "sketch", out: str = "approx_distinct"):
+    """AGG-07: distinct count over the union of stored sketches."""
+    return sketches.groupBy(*_cols(by)).agg(F.hll_sketch_estimate(F.hll_union_agg(sketch)).alias(out))
+
+
 def sum_if(df, by, conds: Mapping[str, Column], val: str | Column | None = None):
     """AGG-08: SUM/COUNT of CASE per named condition."""
     aggs = []

@@ -110,6 +110,21 @@ def prefix_sum(df: DataFrame, keys: Sequence[str], order: Sequence[ColLike],
              .drop("__ps_q", "__ps_v", "__ps_local", "__ps_offset"))
 
 
+def prefix_sums(df: DataFrame, keys: Sequence[str], order: Sequence[ColLike], values: dict[str, Column],
+                chunk: ColLike) -> DataFrame:
+    """``prefix_sum`` of several values (none of them NULL) in one pass: out -> value."""
+    keys = list(keys)
+    d = df.withColumn("__ps_q", chunk_key(keys, chunk))
+    w = Window.partitionBy("__ps_q").orderBy(*_cols(order)).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    totals = d.groupBy("__ps_q").agg(*[F.sum(v).alias(f"__o_{o}") for o, v in values.items()])
+    before = (Window.partitionBy(*chunk_keys(keys, "__ps_q")).orderBy("__ps_q.c").rowsBetween(Window.unboundedPreceding, -1))
+    offsets = totals.select("__ps_q", *[F.coalesce(F.sum(f"__o_{o}").over(before), F.lit(0)).alias(f"__o_{o}") for o in values])
+    d = d.select("*", *[F.sum(v).over(w).alias(f"__l_{o}") for o, v in values.items()]).join(offsets, "__ps_q")
+    for o in values:
+        d = d.withColumn(o, F.col(f"__l_{o}") + F.col(f"__o_{o}")).drop(f"__l_{o}", f"__o_{o}")
+    return d.drop("__ps_q")
+
+
 def running_extreme(df: DataFrame, keys: Sequence[str], order: str, value: str, out: str, chunk: ColLike,
                     fn: str = "min", descending: bool = False, exclusive: bool = False) -> DataFrame:
     """Running min/max of ``value`` per ``keys`` along ``order`` (a single

@@ -55,8 +55,8 @@ def surrogate_key(df: DataFrame, nk: Sequence[str], mode: str = "hash", out: str
                   start: int = 1) -> DataFrame:
     """DWH-03: stable hash key (md5 of the business key), or dense integers
     ``start..`` in business-key order.  The dense form numbers the distinct
-    keys with ``zipWithIndex`` over a range-partitioned sort (distributed,
-    one small job for partition sizes) and joins them back."""
+    keys with ``dense_ids`` (a range sort, positions inside its partitions
+    and their offsets) and joins them back."""
     if mode == "hash":
         return df.withColumn(out, hash_key(nk))
     numbered = dense_ids(df.select(*nk).distinct(), out, start)

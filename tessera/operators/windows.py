@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from tessera.operators.common import (_cols, _names, attach_scalars, chunk_count, global_prefix_sum, join_on, lag_chunked,
                                       prefix_sum,
-                                      quantile_chunk, running_extreme, shift_many_chunked)
+                                      prefix_sums, quantile_chunk, running_extreme)
 
 _RANKERS = {"row_number": F.row_number, "rank": F.rank, "dense_rank": F.dense_rank}
 
@@ -285,14 +285,13 @@ def sorted_under(df, word: str, order_col: str, alphabet: str, by=None):
     """WIN-26: are words in ``order_col`` order sorted under a custom alphabet?
 
     Each letter is translated to a sortable code; returns per row whether the
-    word is >= the previous word under that order."""
+    word is >= the previous word under that order, within ``by`` or, without
+    it, in the whole table (a chunked lag: neither is one task)."""
     target = "".join(chr(0x4E00 + i) for i in range(len(alphabet)))
-    key = F.translate(F.col(word), alphabet, target)
-    w = Window.partitionBy(*_cols(by)).orderBy(order_col) if by else None
-    d = df.withColumn("_key", key)
-    d = d.withColumn("_prev", F.lag("_key").over(w))
-    return d.withColumn("in_order", F.col("_prev").isNull() | (F.col("_prev") <= F.col("_key"))) \
-            .drop("_key", "_prev")
+    d = quantile_chunk(df.withColumn("_key", F.translate(F.col(word), alphabet, target)), order_col, out="_qc")
+    d = lag_chunked(d, _names(by), order_col, ["_key"], "_qc", prefix="_prev")
+    return d.withColumn("in_order", F.col("_prev_key").isNull() | (F.col("_prev_key") <= F.col("_key"))) \
+            .drop("_key", "_prev_key", "_qc")
 
 
 def pack_budget(df: DataFrame, cls: str, cost: str, tie: str, budget: float,
@@ -337,36 +336,64 @@ def _order_col(order: Sequence) -> Column:
     return F.struct(*cols) if len(cols) > 1 else cols[0]
 
 
-def framed_chunked(df: DataFrame, by, order: Sequence, val: str, lo: int, hi: int, agg: str, out: str,
-                   chunk, max_span: int = 64) -> DataFrame:
-    """ROWS frame ``lo .. hi`` (bounded, lo <= 0 <= hi) without a per-key
-    window: the values before and after each row come from one chunked
-    multi-lag pass each (``shift_many_chunked``), then the frame is
-    aggregated as an array.  Frames wider than ``max_span`` rows take the
-    plain per-key window."""
-    if -lo + hi > max_span:  # one column per frame row would be too many: the plain window
-        return framed(df, by, order, val, lo, hi, agg, out)
-    keys = _names(by)
-    d = df.withColumn("__fo", _order_col(order)).withColumn("__fc", chunk)
-    if lo < 0:
-        d = shift_many_chunked(d, keys, "__fo", val, -lo, "__fc", "__fb")
-    if hi > 0:
-        d = shift_many_chunked(d, keys, "__fo", val, hi, "__fc", "__fa", descending=True)
-    names = [f"__fb{i}" for i in range(-lo, 0, -1)] + [val] + [f"__fa{i}" for i in range(1, hi + 1)]
-    arr = F.filter(F.array(*[F.col(n).cast("double") for n in names]), lambda x: x.isNotNull())
-    if agg == "sum":
-        e = F.aggregate(arr, F.lit(0.0), lambda a, x: a + x)
-    elif agg == "avg":
-        e = F.aggregate(arr, F.lit(0.0), lambda a, x: a + x) / F.size(arr)
-    elif agg == "max":
-        e = F.array_max(arr)
-    elif agg == "min":
-        e = F.array_min(arr)
-    elif agg == "count":
-        e = F.size(arr).cast("bigint")
-    else:
+def _send(d: DataFrame, keys: Sequence[str], position: str, parcels: dict[str, tuple[Column, Column]]) -> DataFrame:
+    """Rows of ``d`` with what other rows of their key have sent them: name ->
+    (value, position it is sent to).  Rows and parcels meet by (key, position)
+    in one shuffle, so a hot key is as many groups as it has rows."""
+    none = lambda c: F.when(F.lit(False), c)  # noqa: E731  a typed NULL
+    row = F.struct(*[F.col(c) for c in d.columns])
+    empty = {name: none(v) for name, (v, _) in parcels.items()}
+
+    def record(at: Column, body: Column, **held: Column) -> Column:
+        return F.struct(at.alias("at"), body.alias("row"), *[held.get(n, e).alias(n) for n, e in empty.items()])
+
+    records = [record(F.col(position), row), *[record(to, none(row), **{name: v}) for name, (v, to) in parcels.items()]]
+    met = (d.select(F.struct(*[F.col(k) for k in keys]).alias("__k"), F.explode(F.array(*records)).alias("__r"))
+            .groupBy("__k", "__r.at").agg(F.first("__r.row", ignorenulls=True).alias("__row"),
+                                          *[F.first(f"__r.{n}", ignorenulls=True).alias(n) for n in parcels]))
+    return met.filter(F.col("__row").isNotNull()).select("__row.*", *parcels)
+
+
+def framed_chunked(df: DataFrame, by, order: Sequence, val: str, lo: int, hi: int, agg: str, out: str, chunk) -> DataFrame:
+    """ROWS frame ``lo .. hi`` (lo <= 0 <= hi) of any width without a per-key
+    window.  Every row gets its position in its key by a chunked prefix sum.
+    Sums, counts and means are differences of running totals (as double, so a
+    NaN or an infinity reaches all later frames of its key); extremes are those
+    of the frame's two parts: blocks as wide as the frame hold at most two of
+    them, the end of one (a suffix extreme) and the start of the next (a prefix
+    extreme).  What a row needs from the rows at the ends of its frame is sent
+    to it by position."""
+    if agg not in ("sum", "avg", "count", "min", "max"):
         raise ValueError(agg)
-    return d.withColumn(out, e).drop("__fo", "__fc", *[n for n in names if n != val])
+    keys, own = _names(by), list(df.columns)
+    there, x = F.col(val).isNotNull().cast("long"), F.col(val)
+    number = lambda c: F.coalesce(c.cast("double"), F.lit(0.0))
+    d = df.withColumn("__fc", chunk)
+    if agg in ("sum", "avg", "count"):
+        sums = {"__n": F.lit(1), "__c": there} | ({} if agg == "count" else {"__s": number(x)})
+        d = prefix_sums(d, keys, order, sums, "__fc").drop("__fc")
+        state = F.struct(*[F.col(c) for c in sums if c != "__n"])
+        whole = d.groupBy(*keys).agg(F.max_by(state, "__n").alias("__whole"))
+        d = _send(d, keys, "__n", {"__end": (state, F.col("__n") - hi), "__start": (state, F.col("__n") + 1 - lo)})
+        d = join_on(d, whole, keys)
+        part = lambda f: F.coalesce(F.col(f"__end.{f}"), F.col(f"__whole.{f}")) - F.coalesce(F.col(f"__start.{f}"), F.lit(0))
+        count = part("__c")
+        e = count if agg == "count" else F.when(count > 0, part("__s") if agg == "sum" else part("__s") / count)
+        return d.select(*own, e.alias(out))
+    wide, best, pick = hi - lo + 1, getattr(F, agg), F.least if agg == "min" else F.greatest
+    d = prefix_sums(d, keys, order, {"__n": F.lit(1)}, "__fc").drop("__fc").withColumn("__n", F.col("__n") - 1)
+    d = d.withColumn("__b", F.struct(*[F.col(k) for k in keys], F.floor(F.col("__n") / wide).alias("__block")))
+    block = Window.partitionBy("__b").orderBy("__n")  # at most as many rows as the frame
+    d = (d.withColumn("__pre", best(x).over(block.rowsBetween(Window.unboundedPreceding, Window.currentRow)))
+          .withColumn("__suf", best(x).over(block.rowsBetween(Window.currentRow, Window.unboundedFollowing))).drop("__b"))
+    last = d.groupBy(*keys).agg(F.max("__n").alias("__last"), F.max_by(F.struct("__pre"), "__n").alias("__tail"))
+    d = _send(d, keys, "__n", {"__end": (F.struct("__pre"), F.col("__n") - hi), "__start": (F.struct("__suf"), F.col("__n") - lo)})
+    d = join_on(d, last, keys)
+    first, end = F.col("__n") + lo, F.least(F.col("__n") + hi, F.col("__last"))
+    head, tail = F.col("__start.__suf"), F.coalesce("__end", "__tail")["__pre"]
+    e = (F.when(first < 0, tail).when(F.floor(first / wide) == F.floor(end / wide), head)
+          .otherwise(F.coalesce(pick(head, tail), head, tail)))
+    return d.select(*own, e.alias(out))
 
 
 def max_before_chunked(df: DataFrame, by, order: Sequence, val: str, out: str, chunk) -> DataFrame:

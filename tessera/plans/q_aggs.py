@@ -4,6 +4,7 @@ from pyspark.sql import functions as F
 
 from tessera.functions.scalars import date_str, round_half_up as r2
 from tessera.operators import aggs as A
+from tessera.operators.common import join_on, written
 from tessera.plans.registry import register
 from tessera.session import load_table as T
 
@@ -72,6 +73,16 @@ def agg07(spark, sf):
     return A.approx_distinct(T(spark, sf, "events"), ["user_id", "event_type", "props"], 0.02)
 
 
+@register("AGG-07", "agg07_merged_sketches", """
+SELECT event_type, count(DISTINCT user_id) AS users, true AS near FROM events GROUP BY 1""")
+def agg07b(spark, sf):
+    e = T(spark, sf, "events")
+    stored = written(A.distinct_sketches(e, ["event_type", F.to_date("ts").alias("day")], "user_id"), "daily-sketches")
+    exact = e.groupBy("event_type").agg(F.count_distinct("user_id").alias("users"))
+    near = F.abs(F.col("approx_distinct") - F.col("users")) <= F.greatest(0.06 * F.col("users"), F.lit(1.0))
+    return join_on(A.merged_distinct(stored, "event_type"), exact, ["event_type"]).select("event_type", "users", near.alias("near"))
+
+
 @register("AGG-08", "agg08_sum_of_case", f"""
 SELECT o_orderpriority, CAST(count_if(o_orderstatus = 'F') AS BIGINT) AS n_f, CAST(count_if(o_orderstatus = 'O') AS BIGINT) AS n_o,
        CAST(count_if(o_orderstatus = 'P') AS BIGINT) AS n_p,

@@ -54,6 +54,23 @@ def ver06(spark, sf):
     return versions.publish(p, root, "2024-01-02 00:00:00")
 
 
+@register("LOAD-11", "load11_partition_overwrite", """
+WITH o AS (SELECT *, year(o_orderdate) * 100 + month(o_orderdate) AS ym FROM orders),
+edge AS (SELECT max(ym) - 1 AS e FROM o WHERE o_orderstatus = 'O')
+SELECT o_orderkey, 'base' AS src, CAST(ym AS INTEGER) AS ym FROM o, edge WHERE ym < e
+UNION ALL
+SELECT o_orderkey, 'stage', CAST(ym AS INTEGER) FROM o, edge WHERE o_orderstatus = 'O' AND ym >= e""")
+def load11b(spark, sf):
+    path = _fresh(spark, "partitions")
+    ym = (F.year("o_orderdate") * 100 + F.month("o_orderdate")).alias("ym")
+    o = T(spark, sf, "orders").select("o_orderkey", "o_orderstatus", ym)
+    o.select("o_orderkey", F.lit("base").alias("src"), "ym").repartition("ym").write.partitionBy("ym").parquet(path)
+    stage = o.filter("o_orderstatus = 'O'").select("o_orderkey", F.lit("stage").alias("src"), "ym")
+    edge = stage.agg(F.max("ym")).first()[0] - 1  # one number
+    loads.reload_partitions(stage.repartition("ym"), path, "ym", edge)
+    return spark.read.schema("o_orderkey long, src string, ym int").parquet(path)
+
+
 @register("LOAD-10", "load10_truncate_and_reload", """SELECT p_partkey, p_name FROM part""")
 def load10(spark, sf):
     root = _fresh(spark, "reload")

@@ -41,6 +41,24 @@ def udf03(spark, sf):
     return U.reduce_by(T(spark, sf, "events"), "user_id", "value", _spread)
 
 
+@register("UDF-03", "udf03_mergeable_reducer", """
+SELECT event_type, round(stddev_pop(value), 4) AS value FROM events GROUP BY 1""")
+def udf03b(spark, sf):
+    e = T(spark, sf, "events")
+    return U.reduce_mergeable(e, "event_type", "value", SPREAD).withColumn("value", F.round("value", 4))
+
+
+def _join_moments(a, b):
+    n, d = a[0] + b[0], b[1] - a[1]
+    return (n, (a[0] * a[1] + b[0] * b[1]) / n, a[2] + b[2] + d * d * a[0] * b[0] / n) if a[0] and b[0] else max(a, b)
+
+
+#: Population standard deviation by count, mean and squared deviations.
+SPREAD = U.Reducer("n long, mean double, m2 double",
+                   lambda v: (int(v.count()), float(v.mean()) if v.count() else 0.0, float(((v - v.mean()) ** 2).sum())),
+                   _join_moments, lambda s: (s[2] / s[0]) ** 0.5 if s[0] else None)
+
+
 @register("UDF-04", "udf04_scorer_hook", """
 SELECT c.conv_id, c.turn, CAST(abs(length(c.text) - length(b.text)) <= 200 AS INTEGER) AS score
 FROM conversations c JOIN benchmark b ON b.item_id = c.conv_id WHERE c.role = 'assistant'""")

@@ -149,6 +149,26 @@ def rolling_reload(base: DataFrame, stage: DataFrame, date_col: str, days: int,
     return keep.unionByName(new)
 
 
+def reload_partitions(stage: DataFrame, path: str, part: str, keep_from) -> None:
+    """LOAD-11: replace the partitions ``part >= keep_from`` of the table at
+    ``path`` (Parquet, partitioned by ``part``) by the stage's rows of that
+    window; older partitions are not touched.
+
+    A dynamic partition overwrite replaces the partitions that the stage has;
+    partitions of the window that the stage lacks are deleted after it.  Both
+    steps give the same table when they are repeated, so a failed load is
+    simply run again."""
+    spark = stage.sparkSession
+    new = stage.filter(F.col(part) >= F.lit(keep_from))
+    new.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(part).parquet(path)
+    there = spark.read.parquet(path).select(part).filter(F.col(part) >= F.lit(keep_from)).distinct()
+    stale = there.join(new.select(part), part, "left_anti").collect()  # partition values, at most one for each folder
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    fs = folder.getFileSystem(spark._jsc.hadoopConfiguration())
+    for row in stale:
+        fs.delete(spark._jvm.org.apache.hadoop.fs.Path(folder, f"{part}={row[0]}"), True)
+
+
 def apply_error_policy(rows: DataFrame, file_col: str, bad: Column, policy: str, n: float | None = None
                        ) -> DataFrame:
     """LOAD-02: ``abort`` (raise if any bad row), ``continue`` (drop bad
