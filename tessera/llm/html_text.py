@@ -25,6 +25,7 @@ from __future__ import annotations
 
 import math
 import re
+from collections import Counter
 from collections.abc import Iterator
 from html import unescape
 
@@ -61,7 +62,9 @@ DROPPED_WORDS = frozenset(
     "menus breadcrumb breadcrumbs pagination pager sidebar aside widget widgets related recommended share sharing "
     "social footer masthead comment comments commentlist respond reply replies disqus discussion form search".split())
 
-_TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<![^>]*(?:>|\Z)|<\?[^>]*(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)(?:>|\Z)", re.S)
+#: A quote opens a string straight after an equals sign only; elsewhere it is a character like any other.
+_TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<![^>]*(?:>|\Z)|<\?[^>]*(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*)"
+                    r"((?:[^>=]++|=\s*+(?:\"[^\"]*\"|'[^']*')?+)*+)(?:>|\Z)", re.S)
 #: One attribute: name and value; found from left to right, so never inside a value.
 _ATTR = re.compile(r"([^\s\"'<>/=][^\s/>=]*)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+)))?", re.S)
 _READ = frozenset("class id role hidden aria-hidden".split())
@@ -84,10 +87,37 @@ class Node:
         self.block = tag in BLOCKS
 
 
-def _is_dropped(tag: str, attributes: dict[str, str], stack: list[Node]) -> bool:
+class _Open:
+    """The open elements, and how many there are of each tag."""
+
+    def __init__(self, root: Node):
+        self.stack, self.count = [root], Counter([root.tag])
+
+    def push(self, node: Node) -> None:
+        self.stack.append(node)
+        self.count[node.tag] += 1
+
+    def cut(self, at: int) -> None:
+        for node in self.stack[at:]:
+            self.count[node.tag] -= 1
+        del self.stack[at:]
+
+    def end(self, tags: set[str], stop: set[str]) -> None:
+        """Close the nearest open element of ``tags`` unless one of ``stop`` is nearer."""
+        if not any(self.count[t] for t in tags):
+            return
+        for i in range(len(self.stack) - 1, 0, -1):
+            if self.stack[i].tag in tags:
+                self.cut(i)
+                return
+            if self.stack[i].tag in stop:
+                return
+
+
+def _is_dropped(tag: str, attributes: dict[str, str], opened: _Open) -> bool:
     if tag in DROPPED:
         return True
-    if tag == "header" and not any(n.tag in ("article", "main") for n in stack):
+    if tag == "header" and not (opened.count["article"] or opened.count["main"]):
         return True
     return ("hidden" in attributes or attributes.get("aria-hidden", "").strip() == "true"
             or attributes.get("role", "").strip() in DROPPED_ROLES)
@@ -121,10 +151,10 @@ def drop_named(root: Node) -> None:
     chars: dict[int, int] = {}
     told: dict[int, int] = {}  # text in article and main elements
     for node in reversed(nodes):
-        inside = [c for c in node.children if isinstance(c, Node) and not c.dropped]
+        below = [c for c in node.children if isinstance(c, Node) and not c.dropped]
         chars[id(node)] = (sum(len("".join(c.split())) for c in node.children if not isinstance(c, Node))
-                           + sum(chars[id(c)] for c in inside))
-        told[id(node)] = chars[id(node)] if node.tag in ("article", "main") else sum(told[id(c)] for c in inside)
+                           + sum(chars[id(c)] for c in below))
+        told[id(node)] = chars[id(node)] if node.tag in ("article", "main") else sum(told[id(c)] for c in below)
     held: dict[str, int] = {}
     above: dict[int, frozenset[str]] = {}
     for node in nodes:  # parents first: of nested elements of one name the outer one counts
@@ -132,8 +162,11 @@ def drop_named(root: Node) -> None:
         for name in set(node.names) - before:
             held[name] = held.get(name, 0) + chars[id(node)]
         above[id(node)] = before.union(node.names) if node.names else before
+    inside = {id(root): _in_article(root)}
     for node in nodes:
-        lone = told[id(root)] > told[id(node)] and not _in_article(node)
+        if node is not root:
+            inside[id(node)] = inside[id(node.parent)] or node.tag in ("article", "main")
+        lone = told[id(root)] > told[id(node)] and not inside[id(node)]
         node.dropped |= any(2 * held[name] < chars[id(root)] or (lone and name in DROPPED_WORDS) for name in node.names)
 
 
@@ -146,7 +179,8 @@ def _in_article(node: Node) -> bool:
 def parse(html: str) -> Node:
     """The page's tree; text is unescaped."""
     root = Node("html", None)
-    stack, at, n = [root], 0, len(html)
+    opened, at, n = _Open(root), 0, len(html)
+    stack = opened.stack
     while at < n:
         m = _TOKEN.search(html, at)
         text = html[at: m.start() if m else n]
@@ -159,22 +193,22 @@ def parse(html: str) -> Node:
         if not tag or tag == "html":
             continue
         if m[1]:  # end tag: closes the nearest open element of its name, if there is one
-            for i in range(len(stack) - 1, 0, -1):
+            for i in range(len(stack) - 1, 0, -1) if opened.count[tag] else ():
                 if stack[i].tag == tag:
-                    del stack[i:]
+                    opened.cut(i)
                     break
                 if stack[i].tag in ("table", "article", "body") and tag not in BLOCKS:
                     break  # a stray inline end tag
             continue
         if tag in _ENDS_P:
-            _end(stack, {"p"}, {"button", "table", "td", "th"})
+            opened.end({"p"}, {"button", "table", "td", "th"})
         if tag in _ENDS:
-            _end(stack, *_ENDS[tag])
+            opened.end(*_ENDS[tag])
         if tag == "body":
-            _end(stack, {"head"}, set())
+            opened.end({"head"}, set())
         node = Node(tag, stack[-1])
         attributes = _attributes(tag, m[3])
-        node.dropped = _is_dropped(tag, attributes, stack)
+        node.dropped = _is_dropped(tag, attributes, opened)
         node.names = _names(attributes)
         stack[-1].children.append(node)
         if tag in RAW:
@@ -183,19 +217,10 @@ def parse(html: str) -> Node:
                 node.children.append(html[at: end.start() if end else n])
             at = end.end() if end else n
         elif tag not in VOID and not m[0].endswith("/>"):
-            stack.append(node)
+            opened.push(node)
     return root
 
 
-def _end(stack: list[Node], tags: set[str], stop: set[str]) -> None:
-    for i in range(len(stack) - 1, 0, -1):
-        if stack[i].tag in tags:
-            del stack[i:]
-            return
-        if stack[i].tag in stop:
-            return
-
-
 def _ordered(root: Node) -> list[Node]:
     """All nodes that are not dropped, parents before children."""
     out, todo = [], [root]
@@ -258,12 +283,16 @@ def select(root: Node) -> list[Node]:
             if isinstance(c, Node) and not c.dropped and best_of[id(c)].total > top.total:
                 top = best_of[id(c)]
         best_of[id(node)] = top
+    above, node = set(), best.parent
+    while node is not None:
+        above.add(id(node))
+        node = node.parent
     chosen, todo = [], [root]
     while todo:  # from the body down: the path to the best node is opened, what is beside it stands for itself
         node = todo.pop()
         if node is best:
             chosen.append(node)
-        elif _holds(node, best):
+        elif id(node) in above:
             todo += [c for c in reversed(node.children) if isinstance(c, Node) and not c.dropped]
         elif node.tag in HEADINGS and node.parent is not root and node.chars:
             chosen.append(node)
@@ -272,14 +301,6 @@ def select(root: Node) -> list[Node]:
     return chosen
 
 
-def _holds(node: Node, below: Node) -> bool:
-    while below is not None:
-        if below is node:
-            return True
-        below = below.parent
-    return False
-
-
 def blocks(node: Node) -> list[str]:
     """The block texts of a subtree, white space made one space."""
     out, run = [], []
