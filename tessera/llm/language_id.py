@@ -10,12 +10,14 @@ beyond what training texts of a similar length reach (``LIMIT_SHARE`` of their
 least cosine, by powers of two of the length), or when it has no letter.
 
 The model is fitted on about ``per_language`` rows of each language (a
-documented bound on the sample, drawn by row number over the whole table);
+documented bound on the sample, drawn by a hash of the text over the whole
+table, each text once, so that it does not depend on how the files are cut);
 its size is DIMENSIONS times the centroids.  Whole texts are read, in training
 and in prediction.
 
 Defined cases: a null text or one without a letter is ``und`` with score 0 and
-rejected; with no training rows everything is ``und``; rows that repeat an id
+rejected; equal cosines go to the first centroid, in the order of the languages;
+a text of any length is read whole, in steps; with no training rows everything is ``und``; rows that repeat an id
 each get a row; null languages are not learned; other columns are not read.
 """
 
@@ -30,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tessera.llm.common import map_arrow, numbered
+from tessera.llm.common import map_arrow
 
 DIMENSIONS = 1 << 13
 LENGTH_CLASSES = 24
@@ -54,7 +56,7 @@ def trigrams(text: str | None) -> tuple[np.ndarray, np.ndarray, int] | None:
             end = gap.end() if gap else len(text)
         words = _GAP.sub(" ", text[at:end].lower()).strip()
         at = end
-        if not words:
+        if not any(map(str.isalpha, words)):  # numerals such as a half or a circled one are no letters
             continue
         b = np.frombuffer(f" {words} ".encode(), np.uint8).astype(np.uint32)
         place = (b[:-2] * np.uint32(0x9E3779B1) + b[1:-1] * np.uint32(0x85EBCA6B) + b[2:] * np.uint32(0xC2B2AE35))
@@ -119,24 +121,28 @@ class LanguageModel:
 def fit(labelled: DataFrame, text_col: str = "text", lang_col: str = "lang", per_language: int = 400,
         clusters: int = 4, seed: int = 17) -> LanguageModel:
     """A model of the rows with a language and a letter; about ``per_language`` rows of each language are read."""
-    rows = numbered(labelled.select(F.col(text_col).alias("text"), F.col(lang_col).alias("lang")), "row")
+    rows = labelled.select(F.col(text_col).alias("text"), F.col(lang_col).alias("lang"), F.xxhash64(text_col).alias("hash"))
     rows = rows.where(F.col("lang").isNotNull() & F.col("text").isNotNull())
-    sizes = {r.lang: r["count"] for r in rows.groupBy("lang").count().collect()}  # one row per language
+    texts = rows.groupBy("lang").agg(F.approx_count_distinct("hash").alias("n"))
+    sizes = {r.lang: max(r.n, 1) for r in texts.collect()}  # one row per language
     share = F.lit(0.0)
     for lang, n in sizes.items():
         share = F.when(F.col("lang") == lang, F.lit(min(1.0, per_language / n))).otherwise(share)
-    drawn = rows.where(F.pmod(F.xxhash64("row"), F.lit(1 << 30)) < share * (1 << 30)).select("lang", "text")
+    drawn = rows.where(F.pmod("hash", F.lit(1 << 30)) < share * (1 << 30)).dropDuplicates(["lang", "hash"])
+    drawn = drawn.select("lang", "text", "hash")
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            found = [(lang, g) for lang, g in zip(b.column(0).to_pylist(), (trigrams(x.as_py()) for x in b.column(1))) if g]
+            found = [(lang, g, h) for lang, g, h in zip(b.column(0).to_pylist(), (trigrams(x.as_py()) for x in b.column(1)),
+                                                        b.column(2).to_pylist()) if g]
             yield pa.RecordBatch.from_arrays(
-                [pa.array([lang for lang, _ in found], pa.string()), pa.array([g[0].astype(np.int32) for _, g in found], pa.list_(pa.int32())),
-                 pa.array([g[1] for _, g in found], pa.list_(pa.int64())), pa.array([g[2] for _, g in found], pa.int64())],
-                names=["lang", "places", "counts", "n"])
+                [pa.array([f[0] for f in found], pa.string()), pa.array([f[1][0].astype(np.int32) for f in found], pa.list_(pa.int32())),
+                 pa.array([f[1][1] for f in found], pa.list_(pa.int64())), pa.array([f[1][2] for f in found], pa.int64()),
+                 pa.array([f[2] for f in found], pa.int64())],
+                names=["lang", "places", "counts", "n", "hash"])
 
-    sample = map_arrow(drawn, count, "lang string, places array<int>, counts array<long>, n long").toPandas()
-    sample = sample.sort_values(["lang", "n"], kind="stable")
+    sample = map_arrow(drawn, count, "lang string, places array<int>, counts array<long>, n long, hash long").toPandas()
+    sample = sample.sort_values(["lang", "n", "hash"])
     vectors_of = [(np.asarray(p), np.asarray(c)) for p, c in zip(sample["places"], sample["counts"])]
     df = np.zeros(DIMENSIONS)
     for places, _ in vectors_of:
