@@ -160,27 +160,45 @@ def fit(rows: DataFrame, components: int) -> dict[int, Axes]:
     return axes
 
 
-def _white_rows(rows: DataFrame, axes: dict[int, Axes]) -> DataFrame:
-    """(dim, w): the whitened vectors of ``rows``."""
+def identity_errors(rows: DataFrame, axes: dict[int, Axes]) -> dict[int, float]:
+    """Largest entry of the whitened fit list's covariance minus the identity, by length.
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    Every batch centres its vectors before it multiplies them; counts, means
+    and centred products merge, by task and then by length.
+    """
+    moments = "dim int, n long, mean array<double>, products array<double>"
+
+    def merged(a, b):
+        if a is None:
+            return b
+        n, gap = a[0] + b[0], b[1] - a[1]
+        return n, a[1] + gap * (b[0] / n), a[2] + b[2] + np.outer(gap, gap) * (a[0] * b[0] / n)
+
+    def emit(held: dict) -> Iterator[pa.RecordBatch]:
+        for dim, (n, mean, products) in sorted(held.items()):
+            yield pa.RecordBatch.from_arrays([pa.array([dim], pa.int32()), pa.array([n], pa.int64()), pa.array([list(mean)]),
+                                              pa.array([list(products.ravel())])], names=["dim", "n", "mean", "products"])
+
+    def by_task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: dict = {}
         for b in batches:
             for _, x in matrices(b.column(0)):
                 if (a := axes.get(x.shape[1])) and len(a.values):
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array(np.full(len(x), x.shape[1], np.int32)), pa.array(list(a.white(a.deviations(x))))],
-                        names=["dim", "w"])
-
-    return map_arrow(rows, run, "dim int, w array<double>")
+                    w = a.white(a.deviations(x))
+                    centred = w - w.mean(axis=0)
+                    held[x.shape[1]] = merged(held.get(x.shape[1]), (len(w), w.mean(axis=0), centred.T @ centred))
+        yield from emit(held)
 
+    def by_length(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: dict = {}
+        for b in batches:
+            for dim, n, mean, products in zip(*(c.to_pylist() for c in b.columns)):
+                held[dim] = merged(held.get(dim), (n, np.array(mean), np.array(products).reshape(len(mean), -1)))
+        yield from emit(held)
 
-def identity_errors(rows: DataFrame, axes: dict[int, Axes], components: int) -> dict[int, float]:
-    """Largest entry of the whitened fit list's covariance minus the identity, by length."""
-    pairs = [(i, j) for i in range(components) for j in range(i, components)]
-    # covar_pop centres before it multiplies and merges partial results
-    entries = [F.abs(F.covar_pop(F.get("w", F.lit(i)), F.get("w", F.lit(j))) - (1.0 if i == j else 0.0)) for i, j in pairs]
-    worst = F.array_max(F.array(*(F.coalesce(e, F.lit(0.0)) for e in entries)))
-    return {r.dim: r.worst for r in _white_rows(rows, axes).groupBy("dim").agg(worst.alias("worst")).collect()}
+    parts = map_arrow(rows, by_task, moments).repartition("dim")  # one small row for each task
+    return {r.dim: float(np.abs(np.array(r.products).reshape(len(r.mean), -1) / r.n - np.eye(len(r.mean))).max())
+            for r in map_arrow(parts, by_length, moments).collect()}
 
 
 def whiten(df: DataFrame, id_col: str = "vec_id", vec_col: str = "embedding", components: int = 16, scale: int = 64,
@@ -193,7 +211,7 @@ def whiten(df: DataFrame, id_col: str = "vec_id", vec_col: str = "embedding", co
     rows = df.where(usable(F.col(vec_col))).select(id_col, scaled(F.col(vec_col), scale, offset).alias(x))
     fit_list = through_table(rows.select(x).distinct(), "fit-list")
     axes = fit(fit_list, components)
-    for dim, worst in identity_errors(fit_list, axes, components).items():
+    for dim, worst in identity_errors(fit_list, axes).items():
         axes[dim].identity_error = worst
     kind = rows.schema[0].dataType.simpleString()
     names = [id_col, "component", "n", "deviation", "whitened", "explained", "identity_error"]
