@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from tessera.operators.common import (_cols, _names, attach_scalars, chunk_count, global_prefix_sum, join_on, lag_chunked,
                                       prefix_sum,
-                                      prefix_sums, quantile_chunk, running_extreme)
+                                      prefix_sums, quantile_chunk, running_extreme, shift_many_chunked)
 
 _RANKERS = {"row_number": F.row_number, "rank": F.rank, "dense_rank": F.dense_rank}
 
@@ -194,9 +194,7 @@ def form_teams(df: DataFrame, by: str, order: Sequence, size: int) -> DataFrame:
     Team number within a group is ``(rn-1) div size``; global numbers are a
     prefix over the per-group team counts (a table with one row per group).
     """
-    w = Window.partitionBy(by).orderBy(*_cols(order))
-    d = df.withColumn("_rn", F.row_number().over(w)) \
-          .withColumn("team_in_group", F.expr(f"(_rn - 1) div {size}"))
+    d = positions(df, by, order, "_rn").withColumn("team_in_group", F.expr(f"(_rn - 1) div {size}"))
     groups = d.groupBy(by).agg(F.max("team_in_group").alias("_teams"))
     groups = groups.withColumn("_n", F.col("_teams") + 1)
     # one row per group; a quantile-chunked global prefix keeps it parallel
@@ -268,17 +266,27 @@ def page_after(df, order_col: str, after, size: int, where=None):
     return d.filter(F.col(order_col) > F.lit(after)).orderBy(order_col).limit(size)
 
 
-def slide(df, by, order, val, n, out="window_vals"):
-    """WIN-25: overlapping lists of the next n values (full windows only)."""
-    w = Window.partitionBy(*_cols(by)).orderBy(*_cols(order))
-    d = df.withColumn(out, F.collect_list(val).over(w.rowsBetween(0, n - 1)))
-    return d.filter(F.size(out) == n)
+def positions(df: DataFrame, by, order: Sequence, out: str = "position") -> DataFrame:
+    """Row number (from 1) of each row in its group, ``order`` ascending: a
+    chunked prefix count over quantiles of the first order column, so a hot
+    group is many tasks."""
+    d = quantile_chunk(df.withColumn("__po", _cols(order)[0]), "__po", out="__pc")
+    return prefix_sums(d, _names(by), order, {out: F.lit(1)}, "__pc").drop("__po", "__pc")
+
+
+def slide(df, by, order, val, n, out="window_vals", full: bool = True):
+    """WIN-25: overlapping lists of the next n values, NULLs left out; with
+    ``full`` only lists of n values.  A chunked pass of n - 1 leads."""
+    d = df.withColumn("__fo", _order_col(order)).withColumn("__po", _cols(order)[0])
+    d = shift_many_chunked(quantile_chunk(d, "__po", out="__fc"), _names(by), "__fo", val, n - 1, "__fc", "__fa", descending=True)
+    ahead = [f"__fa{i}" for i in range(1, n)]
+    d = d.withColumn(out, F.filter(F.array(val, *ahead), lambda x: x.isNotNull())).drop("__fo", "__po", "__fc", *ahead)
+    return d.filter(F.size(out) == n) if full else d
 
 
 def chunk(df, by, order, n, out="chunk_no"):
     """WIN-25: consecutive chunks of n rows per group."""
-    w = Window.partitionBy(*_cols(by)).orderBy(*_cols(order))
-    return df.withColumn(out, F.floor((F.row_number().over(w) - 1) / n).cast("long"))
+    return positions(df, by, order, "__n").withColumn(out, F.floor((F.col("__n") - 1) / n).cast("long")).drop("__n")
 
 
 def sorted_under(df, word: str, order_col: str, alphabet: str, by=None):

@@ -1,6 +1,5 @@
 """Registered queries for windows, sort and limit (WIN-*)."""
 
-from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from tessera.functions.scalars import round_half_up as r2
@@ -262,9 +261,8 @@ FROM events WINDOW w AS (PARTITION BY user_id ORDER BY ts, event_id)""")
 def win25(spark, sf):
     e = T(spark, sf, "events")
     d = W.chunk(e, "user_id", ["ts", "event_id"], 5)
-    w = Window.partitionBy("user_id").orderBy("ts", "event_id").rowsBetween(0, 2)
-    d = d.withColumn("next3", F.array_join(F.collect_list(F.col("event_id").cast("string")).over(w), ","))
-    return d.select("event_id", "chunk_no", "next3")
+    d = W.slide(d.withColumn("eid", F.col("event_id").cast("string")), "user_id", ["ts", "event_id"], "eid", 3, "next3", full=False)
+    return d.select("event_id", "chunk_no", F.array_join("next3", ",").alias("next3"))
 
 
 @register("WIN-25", "win25_full_slides", """

@@ -45,3 +45,16 @@ def test_string_extremes_and_empty_tables(spark, events):
     got = {r.id: r.x for r in W.framed_chunked(d, "k", ["day", "id"], "s", -3, 2, "max", "x", F.col("day")).collect()}
     assert got == {r.id: r.x for r in W.framed(d, "k", ["day", "id"], "s", -3, 2, "max", "x").collect()}
     assert W.framed_chunked(events.limit(0), "k", ["day", "id"], "v", -3, 2, "sum", "x", F.col("day")).count() == 0
+
+
+@pytest.mark.parametrize("full", [True, False])
+def test_slides_chunks_and_positions_equal_plain_windows(events, full):
+    from pyspark.sql import Window
+
+    w = Window.partitionBy("k").orderBy("day", "id")
+    plain = events.withColumn("n", F.row_number().over(w)).withColumn("s", F.collect_list("v").over(w.rowsBetween(0, 3)))
+    plain = {r.id: r for r in plain.collect()}
+    got = W.slide(events, "k", ["day", "id"], "v", 4, "s", full).collect()
+    assert {r.id: r.s for r in got} == {i: r.s for i, r in plain.items() if not full or len(r.s) == 4}
+    assert {r.id: r.n for r in W.positions(events, "k", ["day", "id"], "n").collect()} == {i: r.n for i, r in plain.items()}
+    assert {r.id: r.c for r in W.chunk(events, "k", ["day", "id"], 7, "c").collect()} == {i: (r.n - 1) // 7 for i, r in plain.items()}
