@@ -74,8 +74,8 @@ def nth_or_last(df: DataFrame, by, order: Sequence, n: int) -> DataFrame:
 def shift(df: DataFrame, by, order: Sequence, col: str, n: int = 1, default=None,
           lead: bool = False, out: str | None = None, chunk=None) -> DataFrame:
     """WIN-04: lag/lead with offset; ``default`` may be a Column (own value).
-    With ``chunk`` (offset 1, order given as one sortable column or struct)
-    the chunked form is used so a hot key is spread over many tasks."""
+    With ``chunk`` (monotone in ``order``) no group is one task: an offset of
+    one is a chunked lag, a larger one is sent from row to row by position."""
     out = out or f"{'next' if lead else 'prev'}_{col}"
     if chunk is not None and n == 1:
         oc = F.struct(*_cols(order)) if len(list(order)) > 1 else _cols(order)[0]
@@ -85,6 +85,13 @@ def shift(df: DataFrame, by, order: Sequence, col: str, n: int = 1, default=None
         if default is not None:
             e = F.coalesce(e, default if isinstance(default, Column) else F.lit(default))
         return d.withColumn(out, e).drop("__sh_o", "__sh_v", "__sh_p__sh_v")
+    if chunk is not None:
+        d = prefix_sums(df.withColumn("__fc", chunk), _names(by), order, {"__n": F.lit(1)}, "__fc").drop("__fc")
+        d = _send(d, _names(by), "__n", {"__got": (F.struct(F.col(col).alias("v")), F.col("__n") + (-n if lead else n))})
+        e = F.col("__got.v")
+        if default is not None:
+            e = F.coalesce(e, default if isinstance(default, Column) else F.lit(default))
+        return d.select(*df.columns, e.alias(out))
     w = Window.partitionBy(*_cols(by)).orderBy(*_cols(order))
     fn = F.lead if lead else F.lag
     expr = fn(col, n).over(w)

@@ -48,7 +48,7 @@ def win04(spark, sf):
     e = T(spark, sf, "events").select("event_id", "user_id", "ts", "value")
     d = W.shift(e, "user_id", ["ts", "event_id"], "value", 1, default=F.col("value"), out="prev_value",
                 chunk=F.to_date("ts"))
-    d = W.shift(d, "user_id", ["ts", "event_id"], "value", 2, lead=True, out="next2_value")
+    d = W.shift(d, "user_id", ["ts", "event_id"], "value", 2, lead=True, out="next2_value", chunk=F.to_date("ts"))
     return d.select("event_id", "prev_value", "next2_value")
 
 

@@ -58,3 +58,10 @@ def test_slides_chunks_and_positions_equal_plain_windows(events, full):
     assert {r.id: r.s for r in got} == {i: r.s for i, r in plain.items() if not full or len(r.s) == 4}
     assert {r.id: r.n for r in W.positions(events, "k", ["day", "id"], "n").collect()} == {i: r.n for i, r in plain.items()}
     assert {r.id: r.c for r in W.chunk(events, "k", ["day", "id"], 7, "c").collect()} == {i: (r.n - 1) // 7 for i, r in plain.items()}
+
+
+@pytest.mark.parametrize("n,lead,default", [(1, False, None), (2, True, 0.5), (500, False, None), (7, True, None)])
+def test_shifts_equal_plain_windows(events, n, lead, default):
+    a = W.shift(events, "k", ["day", "id"], "v", n, default, lead, "x", chunk=F.col("day"))
+    b = W.shift(events, "k", ["day", "id"], "v", n, default, lead, "x")
+    assert {r.id: r.x for r in a.collect()} == {r.id: r.x for r in b.collect()}
