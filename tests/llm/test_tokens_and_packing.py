@@ -8,7 +8,7 @@ from tokenizers import Tokenizer
 from tessera.llm.bpe import needs_library
 from tessera.llm.common import tokenizer_path
 from tessera.llm.packing import (best_fit, crossover, cut_pieces, evolve, pack, pack_order, text_ids)
-from tessera.llm.token_counts import PRE_TOKENS, count_tokens, counter
+from tessera.llm.token_counts import count_tokens, counter, cut
 
 ODD = ["", " ", "a", "\n\n  x", "don't  we'll 'tis ''s", "<|endoftext|>", "x<|endoftext|> y", "<|startoftext|>", "naïve café İstanbul",
        "日本語 テキスト", "한국어", "e\u0301 combining", "ﬁne ½ ²³ ª", "\x1c\x1d a\x85b\xa0c", "ÀÉÎ ǅ ß", "a" * 300, "1234567890 12,5", "🙂🙂 ok",
@@ -46,10 +46,36 @@ def test_whole_tokens_are_single_pre_tokens(library):
     some = sorted(c.counts.whole)[::97]
     assert len(c.counts.whole) > 40_000
     for s in some:
-        assert PRE_TOKENS.findall(s) == [s]
+        assert cut(s) == [s]
         assert len(library["byte_bpe_50k.json"].encode(s, add_special_tokens=False).ids) == 1
 
 
+def test_other_scripts_take_the_shortcut(library):
+    c, tok = counter("byte_bpe_50k.json"), library["byte_bpe_50k.json"]
+    known = ["“Curly” – quotes… don’t", "Привет, мир! 123", "日本語 テキスト、です。", "한국어 문장", "مرحبا بالعالم ٣٤", "हिन्दी पाठ १२", "🙂🙂 ok\u2009x\u3000y",
+             "Ω ω ς ǅ", "e\u0301 combining", "\u200bzero \u2028 line", "字" * 5000, "İstanbul ⅷ ①②"]
+    for t in known:
+        assert not c.by_library(t), t
+        assert c.count(t) == len(tok.encode(t, add_special_tokens=False).ids), t
+    for t in ("x <|endoftext|> 日本", "\U0003fc3f unassigned"):
+        assert c.count(t) == len(tok.encode(t, add_special_tokens=False).ids), t
+    assert c.by_library("x <|endoftext|> y")
+    assert any("\u0400" <= ch <= "\u04ff" for s in c.counts.whole for ch in s)
+
+
+def test_random_characters_of_all_planes(library):
+    c, tok = counter("byte_bpe_50k.json"), library["byte_bpe_50k.json"]
+    rng = random.Random(11)
+    planes = [*range(0x20, 0xD800), *range(0xE000, 0x11000), *range(0x1F000, 0x20000), *range(0x3FC00, 0x3FD00)]
+    texts = ["".join(rng.choice((chr(rng.choice(planes)), chr(rng.randint(0x370, 0x700)), rng.choice("a1 '\n\u3000")))
+                     for _ in range(rng.randint(1, 30))) for _ in range(5000)]
+    cut_here = 0
+    for t, e in zip(texts, tok.encode_batch(texts, add_special_tokens=False)):
+        assert c.count(t) == len(e.ids), repr(t)
+        cut_here += not c.by_library(t)
+    assert cut_here > 2000
+
+
 def test_word_ids_equal_the_library(library, words):
     ids = text_ids("word_bpe_49k.json")
     for t in _texts(words):
