@@ -4,11 +4,12 @@ Host labels are split into words by the most probable
 segmentation under a unigram model (counts of the words that URLs write with
 separators, plus the given word lists; an unknown word costs more the longer
 it is).  The tokens of a URL are its segmented host words and its path words.
-Naive Bayes learns block from the URLs whose host has a word of
+Multinomial naive Bayes learns block from the URLs whose host has a word of
 ``block_words`` and allow from the others, and judges every URL; smoothed
-counts of all tokens of all URLs enter.  Unigrams, splits of host words and
-token counts are tables; what needs them is joined to them, hot keys with a
-salt, and only totals reach the driver.
+counts of all tokens of all URLs enter, a token as often as its URL has it.
+Unigrams, splits of host words and token counts are tables; what needs them is
+joined to them, the most frequent keys with a salt, and only totals and the
+hashes of those keys (``HOT``) reach the driver.
 
 Rules come first: a rule is (host, path, verdict); it fits its host and all
 subdomains when the URL's path starts with the rule's path, and the longest
@@ -16,13 +17,16 @@ rule (host and path) wins.
 
 Defined cases: a null URL or one without ``://`` has an empty host and path,
 no rule, and is judged by the prior; rows that repeat an id each get a row; an
-empty table gives no rows; other columns are not read.
+empty table gives no rows; other columns are not read.  Words and paths may have
+any length: the pieces of a word are looked up by their first 24 letters, in
+parts of 256 letters.
 """
 
 from __future__ import annotations
 
 import math
 import re
+from collections import Counter
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -39,7 +43,10 @@ BLOCK_WORDS = ("adult", "ads", "bet", "bets", "bonus", "casino", "cheap", "ciali
 #: Words of ordinary hosts, which no block word may swallow.
 PLAIN_WORDS = ("blog", "com", "example", "mail", "m", "net", "news", "org", "shop", "the", "to", "web", "wiki", "www")
 _SPLIT = re.compile(r"[a-z]+|[0-9]+|[^\x00-\x7f]+")
-_LONGEST = 24
+#: Letters by which a piece is looked up, and places of a word that are looked up by one row.
+_HEAD, _PART = 24, 256
+#: Keys that are spread over the salts: as many of the most frequent ones.
+HOT = 1024
 
 
 def url_parts(url: str):
@@ -53,16 +60,23 @@ def url_parts(url: str):
 
 
 def segment(word: str, cost: dict[str, float], unknown: float) -> list[str]:
-    """The cheapest split of ``word``: Viterbi over unigram costs; an unknown piece costs ``unknown`` and 2 a letter."""
+    """The cheapest split of ``word``: Viterbi over unigram costs; an unknown piece costs ``unknown`` and 2 a letter.
+
+    No known piece may cost more than it would as an unknown one."""
     if word in cost or len(word) < 2:
         return [word]
+    sizes = sorted({len(w) for w in cost}, reverse=True)
     best, back = [0.0] + [math.inf] * len(word), [0] * (len(word) + 1)
+    start, low = 0, 0.0  # the best place for an unknown piece to start, and its cost without the letters up to it
     for end in range(1, len(word) + 1):
-        for start in range(max(0, end - _LONGEST), end):
-            piece = word[start:end]
-            c = best[start] + cost.get(piece, unknown + 2.0 * len(piece))
-            if c < best[end]:
-                best[end], back[end] = c, start
+        best[end], back[end] = low + unknown + 2.0 * end, start
+        for size in sizes:
+            if size <= end:
+                c = cost.get(word[end - size:end])
+                if c is not None and best[end - size] + c < best[end]:
+                    best[end], back[end] = best[end - size] + c, end - size
+        if best[end] - 2.0 * end < low:
+            start, low = end, best[end] - 2.0 * end
     out, end = [], len(word)
     while end:
         out.append(word[back[end]:end])
@@ -88,21 +102,31 @@ class UrlFilter:
         return df.select(*keep, host.alias("host"), path.alias("path"))
 
     def _look_up(self, rows: DataFrame, table: DataFrame, key: str, by: str) -> DataFrame:
-        """Left join on ``key``; rows of a hot key are spread by ``by``."""
-        salts = F.sequence(F.lit(0).cast("long"), F.lit(self.salts - 1).cast("long"))
-        rows = rows.withColumn("salt", F.pmod(F.xxhash64(by), F.lit(self.salts)))
-        return rows.join(table.withColumn("salt", F.explode(salts)), [key, "salt"], "left").drop("salt")
+        """Left join on ``key``; rows of the most frequent keys are spread by ``by``, and only their entries copied."""
+        most = rows.groupBy(F.xxhash64(key).alias("h")).agg(F.count("*").alias("c")).orderBy(F.desc("c"), "h").limit(HOT)
+        hot = F.xxhash64(key).isin([r.h for r in most.collect()])
+        copies = F.sequence(F.lit(0).cast("long"), F.lit(self.salts - 1).cast("long"))
+        rows = rows.withColumn("salt", F.when(hot, F.pmod(F.xxhash64(by), F.lit(self.salts))).otherwise(F.lit(0).cast("long")))
+        table = table.withColumn("salt", F.explode(F.when(hot, copies).otherwise(F.array(F.lit(0).cast("long")))))
+        return rows.join(table, [key, "salt"], "left").drop("salt")
 
     def _cuts(self, hosts: DataFrame) -> DataFrame:
         """(word, cut) of the host words that are split."""
         words = hosts.select(F.explode(F.regexp_extract_all("host", F.lit("[a-z]+"), F.lit(0))).alias("word"))
-        words = words.where(F.length("word").between(2, 253)).distinct()
-        n = F.length("word")
-        pieces = F.flatten(F.transform(F.sequence(F.lit(1), n), lambda i: F.transform(
-            F.sequence(F.lit(1), F.least(F.lit(_LONGEST), n - i + 1)), lambda k: F.col("word").substr(i, k))))
-        pieces = words.select("word", F.explode(F.array_distinct(pieces)).alias("token"))
-        known = self._look_up(pieces, self.unigrams, "token", "word")
-        known = known.groupBy("word").agg(F.collect_list(F.when(F.col("n").isNotNull(), F.struct("token", "n"))).alias("known"))
+        words = through_table(words.where(F.length("word") > 1).distinct().withColumn("key", F.xxhash64("word")), "words")
+        # words of one key, if there should ever be two, share what is known: a piece that a word has not is never asked for
+        parts = words.select("key", F.explode(F.transform(
+            F.sequence(F.lit(1), F.length("word"), F.lit(_PART)),
+            lambda at: F.struct(F.col("word").substr(at, F.lit(_PART + _HEAD - 1)).alias("text"),
+                                F.least(F.lit(_PART), F.length("word") - at + 1).alias("places")))).alias("part"))
+        text = F.col("part.text")
+        heads = F.flatten(F.transform(F.sequence(F.lit(1), F.col("part.places")), lambda i: F.transform(
+            F.sequence(F.lit(1), F.least(F.lit(_HEAD), F.length(text) - i + 1)), lambda k: text.substr(i, k))))
+        heads = parts.select("key", F.explode(F.array_distinct(heads)).alias("head"))
+        entries = self.unigrams.withColumn("head", F.col("token").substr(1, _HEAD))
+        known = self._look_up(heads, entries, "head", "key").where(F.col("token").isNotNull())
+        known = known.groupBy("key").agg(F.collect_set(F.struct("token", "n")).alias("known"))
+        known = words.join(known, "key", "left").select("word", F.coalesce("known", F.array().cast(known.schema["known"].dataType)))
         total = self.total
 
         def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -124,15 +148,17 @@ class UrlFilter:
 
     @staticmethod
     def _tokens(urls: DataFrame) -> DataFrame:
-        """(url, token) of rows (url, path, host_words), each token once; "" counts the URLs."""
+        """(url, token, times) of rows (url, path, host_words), and how often; "" counts the URLs."""
         def tokens(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for b in batches:
-                found = [sorted({*words, *("/" + w for w in _path_words(path)), ""})
+                found = [Counter([*words, *("/" + w for w in _path_words(path)), ""])
                          for path, words in zip(b.column(1).to_pylist(), b.column(2).to_pylist())]
-                yield pa.RecordBatch.from_arrays([b.column(0), pa.array(found, pa.list_(pa.string()))], names=["url", "tokens"])
+                found = pa.array([list(c.items()) for c in found], pa.map_(pa.string(), pa.int64()))
+                yield pa.RecordBatch.from_arrays([b.column(0), found], names=["url", "tokens"])
 
-        schema = T.StructType([urls.schema["url"], T.StructField("tokens", T.ArrayType(T.StringType()))])
-        return map_arrow(urls.select("url", "path", "host_words"), tokens, schema).select("url", F.explode("tokens").alias("token"))
+        schema = T.StructType([urls.schema["url"], T.StructField("tokens", T.MapType(T.StringType(), T.LongType()))])
+        rows = map_arrow(urls.select("url", "path", "host_words"), tokens, schema)
+        return rows.select("url", F.explode("tokens").alias("token", "times"))
 
     def _urls(self, df: DataFrame, url_col: str) -> DataFrame:
         """One row per host and path: url (both), path, host_words, n."""
@@ -151,7 +177,7 @@ class UrlFilter:
         apart = labels.select(F.explode(F.split("label", r"[^a-z]+")).alias("token"), "n")
         paths = self.parts(df, url_col).groupBy("path").agg(F.count("*").alias("n"))
         paths = paths.select(F.explode(F.split(F.lower("path"), r"[^a-z]+")).alias("token"), "n")
-        seen = apart.union(paths).where(F.length("token").between(1, _LONGEST)).groupBy("token").agg(F.sum("n").alias("n"))
+        seen = apart.union(paths).where(F.length("token") > 0).groupBy("token").agg(F.sum("n").alias("n"))
         seeds = df.sparkSession.createDataFrame(
             [(w, self.seed_count) for w in sorted(self.block_words | self.plain_words)], "token string, seed long")
         seen = seen.join(F.broadcast(seeds), "token", "left").select("token", F.greatest("n", F.coalesce("seed", "n")).alias("n"))
@@ -160,9 +186,10 @@ class UrlFilter:
         self.total = (self.unigrams.agg(F.sum("n")).first()[0] or 0) + 1
 
         urls = self._urls(df, url_col)
+        self._fitted = df, url_col, urls
         bad = F.arrays_overlap("host_words", F.array(*map(F.lit, sorted(self.block_words))))
         sides = urls.select(F.struct(F.col("url.host"), F.col("url.path"), "n", bad.alias("bad")).alias("url"), "path", "host_words")
-        tokens = self._tokens(sides).select("token", "url.n", "url.bad")
+        tokens = self._tokens(sides).select("token", (F.col("url.n") * F.col("times")).alias("n"), "url.bad")
         self.model = through_table(tokens.groupBy("token").agg(
             F.sum(F.when(F.col("bad"), F.col("n")).otherwise(0)).alias("block"),
             F.sum(F.when(F.col("bad"), 0).otherwise(F.col("n"))).alias("allow")), "tokens")
@@ -176,11 +203,11 @@ class UrlFilter:
     def judge(self, df: DataFrame, url_col: str = "url", keep: tuple[str, ...] = ("page_id",)) -> DataFrame:
         """``keep``, host, path, rule (host/path of the rule, else null), verdict, log_odds (above 0: block), host_words."""
         rows = self.parts(df, url_col, keep)
-        urls = self._urls(df, url_col)
+        urls = self._fitted[2] if self._fitted[0] is df and self._fitted[1] == url_col else self._urls(df, url_col)
         odds = self.model.where("token != ''").select("token", (
             F.log((F.col("block") + 1) / F.lit(float(self.sums[1]))) - F.log((F.col("allow") + 1) / F.lit(float(self.sums[0])))).alias("odds"))
         scores = self._look_up(self._tokens(urls), odds, "token", "url").groupBy("url").agg(
-            F.sort_array(F.collect_list(F.when(F.col("odds").isNotNull(), F.struct("token", "odds")))).alias("found"))
+            F.sort_array(F.collect_list(F.when(F.col("odds").isNotNull(), F.struct("token", (F.col("odds") * F.col("times")).alias("odds"))))).alias("found"))
         score = F.aggregate("found", F.lit(0.0), lambda acc, x: acc + x["odds"]) + F.lit(self.prior)  # in one order: always the same sum
         scores = urls.join(scores, "url").select("url.host", "url.path", "host_words", score.alias("log_odds"))
         rule, verdict = F.lit(None).cast("string"), F.lit(None).cast("string")

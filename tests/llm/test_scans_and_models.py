@@ -230,6 +230,65 @@ def test_wrapped_and_embedded_notices(spark):
     assert [got[i].n_hits for i in (1, 2, 5, 6, 7, 8, 9, 10)] == [1, 1, 1, 1, 1, 1, 2, 0]
 
 
+def _cheapest(word, cost, unknown):
+    """The cost of the cheapest split, over all splits."""
+    best = [0.0]
+    for end in range(1, len(word) + 1):
+        best.append(min(best[a] + cost.get(word[a:end], unknown + 2.0 * (end - a)) for a in range(end)))
+    return best[-1]
+
+
+def test_segmentation_against_all_splits():
+    rng = random.Random(7)
+    for _ in range(300):
+        cost = {"".join(rng.choices("abc", k=rng.randint(1, 6))): rng.uniform(0.5, 8) for _ in range(12)}
+        word = "".join(rng.choices("abcd", k=rng.randint(2, 30)))
+        got = segment(word, cost, 9.0)
+        assert "".join(got) == word
+        want = cost[word] if word in cost else _cheapest(word, cost, 9.0)
+        assert sum(cost.get(p, 9.0 + 2.0 * len(p)) for p in got) == pytest.approx(want)
+
+
+def test_url_verdicts_against_brute_force(spark):
+    rng = random.Random(4)
+    long_word = "verylongcompoundnamethatgoesonandonwithoutend"
+    urls = [f"http://casino{w}.site{i % 7}.net/spin/spin/{w}/{i}" for i, w in enumerate(("win", "bets", "free", "slots") * 6)]
+    urls += [f"http://{w}-garden.net/plants/{i}/{w}" for i, w in enumerate(("rose", "tulip", "oak", "herb") * 6)]
+    # hosts without a word of the list, judged by what blocked hosts and their paths have beside it
+    urls += ["http://luckyreel.net/spin/spin/spin", "http://rosetulip.net/plants/oak", "http://luckyreel.net/spin/spin/spin",
+             f"http://shop.net/{long_word}/x", f"http://{'q' * 280}{long_word}rose{'z' * 300}.net/{'w' * 400}", "http://tuliprose.net/spin/plants/plants"]
+    urls += ["http://" + "".join(rng.choices(["rose", "oak", "spin", "win", "x"], k=4)) + f".net/a{i}" for i in range(20)] + [None, "none"]
+    words = ("casino", "win", "bets", "free", "slots")
+    df = spark.createDataFrame(list(enumerate(urls)), "page_id long, url string")
+    got = {r.page_id: r for r in UrlFilter([], block_words=words).fit(df, "url").judge(df).collect()}
+
+    from tessera.llm.url_filter import PLAIN_WORDS
+    cost = {}
+    for host, path in map(_parts, urls):
+        found = [w for label in host.split(".") if re.search("[^a-z]", label) for w in re.split("[^a-z]+", label)]
+        for w in filter(None, found + re.split("[^a-z]+", path.lower())):
+            cost[w] = cost.get(w, 0) + 1
+    cost = {**cost, **{w: max(cost.get(w, 0), 1000) for w in {*words, *PLAIN_WORDS}}}
+    total = sum(cost.values()) + 1
+    cost = {w: math.log(total / n) for w, n in cost.items()}
+    bags = []
+    for host, path in map(_parts, urls):
+        own = [x for w in re.findall(r"[a-z]+|[0-9]+", host) for x in (segment(w, cost, math.log(total) + 2.0) if w.isalpha() else [w])]
+        bags.append((own, own + ["/" + w for w in re.findall(r"[a-z]+|[0-9]+", path.lower())]))
+    bad = [bool(set(own) & set(words)) for own, _ in bags]
+    sides = [[t for (_, bag), b in zip(bags, bad) if b == side for t in bag] for side in (False, True)]
+    size = len({*sides[0], *sides[1]})
+    for i, (own, bag) in enumerate(bags):
+        odds = math.log((sum(bad) + 1) / (len(bad) - sum(bad) + 1)) + sum(
+            math.log((sides[1].count(t) + 1) / (len(sides[1]) + size + 1)) - math.log((sides[0].count(t) + 1) / (len(sides[0]) + size + 1))
+            for t in bag)
+        assert got[i].host_words == own, urls[i]
+        assert got[i].log_odds == pytest.approx(odds), urls[i]
+        assert got[i].verdict == ("block" if odds > 0 else "allow")
+    assert long_word in got[52].host_words and got[48].verdict == got[50].verdict == "block" and got[49].verdict == "allow"
+    assert not set(got[48].host_words) & set(words)
+
+
 def test_url_model_keeps_every_token(spark):
     urls = [f"http://blog{i}.example.net/en/{i}" for i in range(30)] + ["http://casinowin.example.net/spin/once"]
     df = spark.createDataFrame(list(enumerate(urls)), "page_id long, url string")
