@@ -8,21 +8,25 @@ it can only reach ``least`` when |A| lies between least / (2 - least) and
 All of it is DataFrame functions on the row itself: no shuffle, no Python.
 
 A notice that is wrapped over lines or stands beside other words is found by
-windows of the text's words.  The best window of a template begins and ends with
-a run of shared bigrams, since a shared bigram at its edge never lowers the
-coefficient; so all windows from the start of one run to the end of another are
-compared, up to the length at which the template's size bound ends.  A window is
-a hit of its own unless a better one overlaps it, a line that hits holds it or
-lies across its edge, or the whole text hits with the same licence.
+windows of the text's words.  A window of a template goes from the start of one
+run of shared bigrams to the end of the same or a later run, and is no longer than
+its edges lie apart in the template and the size bound lets words come in; so the
+end of one notice and the beginning of the next make no window.  What a window
+repeats of a bigram more often than its template does counts once more each in |A|:
+so two notices one after the other, whose sets complete each other, are no better
+window than each alone.  A window is a hit of its own unless a line that hits holds
+it or lies across its edge, a better one of the others overlaps it, or the whole
+text hits with the same licence (a text of few notices alone is one hit).
 
 Defined cases: a null or empty text has no hit; equal scores go to the earlier
-template and line; rows that repeat an id each get a row; a unit of fewer than
+template and line, of windows to the longer one; rows that repeat an id each get a row; a unit of fewer than
 two words has no bigram and never hits; other columns are not read.
 """
 
 from __future__ import annotations
 
 import re
+from collections import Counter
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
@@ -30,7 +34,7 @@ from pyspark.sql import functions as F
 
 from tessera.llm.common import ascii_lower
 
-#: (licence, template): one-line notices and standard texts of the public licences.
+#: Fixed values: (licence, template), one-line notices and standard texts of the public licences.
 TEMPLATES = (
     ("Apache-2.0", "Licensed under the Apache License, Version 2.0."),
     ("Apache-2.0", "Licensed under the Apache License, Version 2.0 (the \"License\"); you may not use this file except in "
@@ -65,6 +69,92 @@ TEMPLATES = (
             "granted, provided that the above copyright notice and this permission notice appear in all copies."),
     ("MPL-2.0", "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0. If a copy of the MPL "
                 "was not distributed with this file, You can obtain one at https://mozilla.org/MPL/2.0/."),
+    ("BSD-2-Clause", "Redistribution and use in source and binary forms, with or without modification, are permitted "
+                    "provided that the following conditions are met: 1. Redistributions of source code must retain the "
+                    "above copyright notice, this list of conditions and the following disclaimer. 2. Redistributions in "
+                    "binary form must reproduce the above copyright notice, this list of conditions and the following "
+                    "disclaimer in the documentation and/or other materials provided with the distribution. THIS SOFTWARE "
+                    "IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS \"AS IS\" AND ANY EXPRESS OR IMPLIED WARRANTIES, "
+                    "INCLUDING, BUT NOT LIMITED TO, THE IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS FOR A "
+                    "PARTICULAR PURPOSE ARE DISCLAIMED. IN NO EVENT SHALL THE COPYRIGHT HOLDER OR CONTRIBUTORS BE LIABLE "
+                    "FOR ANY DIRECT, INDIRECT, INCIDENTAL, SPECIAL, EXEMPLARY, OR CONSEQUENTIAL DAMAGES (INCLUDING, BUT "
+                    "NOT LIMITED TO, PROCUREMENT OF SUBSTITUTE GOODS OR SERVICES; LOSS OF USE, DATA, OR PROFITS; OR "
+                    "BUSINESS INTERRUPTION) HOWEVER CAUSED AND ON ANY THEORY OF LIABILITY, WHETHER IN CONTRACT, STRICT "
+                    "LIABILITY, OR TORT (INCLUDING NEGLIGENCE OR OTHERWISE) ARISING IN ANY WAY OUT OF THE USE OF THIS "
+                    "SOFTWARE, EVEN IF ADVISED OF THE POSSIBILITY OF SUCH DAMAGE."),
+    ("BSD-3-Clause", "Redistribution and use in source and binary forms, with or without modification, are permitted "
+                    "provided that the following conditions are met: 1. Redistributions of source code must retain the "
+                    "above copyright notice, this list of conditions and the following disclaimer. 2. Redistributions in "
+                    "binary form must reproduce the above copyright notice, this list of conditions and the following "
+                    "disclaimer in the documentation and/or other materials provided with the distribution. 3. Neither "
+                    "the name of the copyright holder nor the names of its contributors may be used to endorse or promote "
+                    "products derived from this software without specific prior written permission. THIS SOFTWARE IS "
+                    "PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS \"AS IS\" AND ANY EXPRESS OR IMPLIED WARRANTIES, "
+                    "INCLUDING, BUT NOT LIMITED TO, THE IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS FOR A "
+                    "PARTICULAR PURPOSE ARE DISCLAIMED. IN NO EVENT SHALL THE COPYRIGHT HOLDER OR CONTRIBUTORS BE LIABLE "
+                    "FOR ANY DIRECT, INDIRECT, INCIDENTAL, SPECIAL, EXEMPLARY, OR CONSEQUENTIAL DAMAGES (INCLUDING, BUT "
+                    "NOT LIMITED TO, PROCUREMENT OF SUBSTITUTE GOODS OR SERVICES; LOSS OF USE, DATA, OR PROFITS; OR "
+                    "BUSINESS INTERRUPTION) HOWEVER CAUSED AND ON ANY THEORY OF LIABILITY, WHETHER IN CONTRACT, STRICT "
+                    "LIABILITY, OR TORT (INCLUDING NEGLIGENCE OR OTHERWISE) ARISING IN ANY WAY OUT OF THE USE OF THIS "
+                    "SOFTWARE, EVEN IF ADVISED OF THE POSSIBILITY OF SUCH DAMAGE."),
+    ("ISC", "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee "
+           "is hereby granted, provided that the above copyright notice and this permission notice appear in all "
+           "copies. THE SOFTWARE IS PROVIDED \"AS IS\" AND THE AUTHOR DISCLAIMS ALL WARRANTIES WITH REGARD TO THIS "
+           "SOFTWARE INCLUDING ALL IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS. IN NO EVENT SHALL THE "
+           "AUTHOR BE LIABLE FOR ANY SPECIAL, DIRECT, INDIRECT, OR CONSEQUENTIAL DAMAGES OR ANY DAMAGES "
+           "WHATSOEVER RESULTING FROM LOSS OF USE, DATA OR PROFITS, WHETHER IN AN ACTION OF CONTRACT, NEGLIGENCE "
+           "OR OTHER TORTIOUS ACTION, ARISING OUT OF OR IN CONNECTION WITH THE USE OR PERFORMANCE OF THIS "
+           "SOFTWARE."),
+    ("0BSD", "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee "
+            "is hereby granted. THE SOFTWARE IS PROVIDED \"AS IS\" AND THE AUTHOR DISCLAIMS ALL WARRANTIES WITH "
+            "REGARD TO THIS SOFTWARE INCLUDING ALL IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS. IN NO EVENT "
+            "SHALL THE AUTHOR BE LIABLE FOR ANY SPECIAL, DIRECT, INDIRECT, OR CONSEQUENTIAL DAMAGES OR ANY "
+            "DAMAGES WHATSOEVER RESULTING FROM LOSS OF USE, DATA OR PROFITS, WHETHER IN AN ACTION OF CONTRACT, "
+            "NEGLIGENCE OR OTHER TORTIOUS ACTION, ARISING OUT OF OR IN CONNECTION WITH THE USE OR PERFORMANCE OF "
+            "THIS SOFTWARE."),
+    ("Zlib", "This software is provided 'as-is', without any express or implied warranty. In no event will the "
+            "authors be held liable for any damages arising from the use of this software. Permission is granted "
+            "to anyone to use this software for any purpose, including commercial applications, and to alter it "
+            "and redistribute it freely, subject to the following restrictions: 1. The origin of this software "
+            "must not be misrepresented; you must not claim that you wrote the original software. If you use this "
+            "software in a product, an acknowledgment in the product documentation would be appreciated but is "
+            "not required. 2. Altered source versions must be plainly marked as such, and must not be "
+            "misrepresented as being the original software. 3. This notice may not be removed or altered from any "
+            "source distribution."),
+    ("BSL-1.0", "Permission is hereby granted, free of charge, to any person or organization obtaining a copy of the "
+               "software and accompanying documentation covered by this license (the \"Software\") to use, reproduce, "
+               "display, distribute, execute, and transmit the Software, and to prepare derivative works of the "
+               "Software, and to permit third-parties to whom the Software is furnished to do so, all subject to the "
+               "following: The copyright notices in the Software and this entire statement, including the above "
+               "license grant, this restriction and the following disclaimer, must be included in all copies of the "
+               "Software, in whole or in part, and all derivative works of the Software, unless such copies or "
+               "derivative works are solely in the form of machine-executable object code generated by a source "
+               "language processor. THE SOFTWARE IS PROVIDED \"AS IS\", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR "
+               "IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY, FITNESS FOR A PARTICULAR "
+               "PURPOSE, TITLE AND NON-INFRINGEMENT. IN NO EVENT SHALL THE COPYRIGHT HOLDERS OR ANYONE DISTRIBUTING "
+               "THE SOFTWARE BE LIABLE FOR ANY DAMAGES OR OTHER LIABILITY, WHETHER IN CONTRACT, TORT OR OTHERWISE, "
+               "ARISING FROM, OUT OF OR IN CONNECTION WITH THE SOFTWARE OR THE USE OR OTHER DEALINGS IN THE "
+               "SOFTWARE."),
+    ("Unlicense", "This is free and unencumbered software released into the public domain. Anyone is free to copy, "
+                 "modify, publish, use, compile, sell, or distribute this software, either in source code form or as a "
+                 "compiled binary, for any purpose, commercial or non-commercial, and by any means."),
+    ("GPL-2.0", "This program is free software: you can redistribute it and/or modify it under the terms of the GNU "
+               "General Public License as published by the Free Software Foundation, either version 2 of the "
+               "License, or (at your option) any later version."),
+    ("LGPL-2.1", "This library is free software: you can redistribute it and/or modify it under the terms of the GNU "
+                "Lesser General Public License as published by the Free Software Foundation, either version 2.1 of "
+                "the License, or (at your option) any later version."),
+    ("LGPL-3.0", "This library is free software: you can redistribute it and/or modify it under the terms of the GNU "
+                "Lesser General Public License as published by the Free Software Foundation, either version 3 of the "
+                "License, or (at your option) any later version."),
+    ("AGPL-3.0", "This program is free software: you can redistribute it and/or modify it under the terms of the GNU "
+                "Affero General Public License as published by the Free Software Foundation, either version 3 of the "
+                "License, or (at your option) any later version."),
+    ("EPL-2.0", "This program and the accompanying materials are made available under the terms of the Eclipse Public "
+               "License 2.0 which is available at https://www.eclipse.org/legal/epl-2.0/"),
+    ("CC0-1.0", "To the extent possible under law, the author(s) have dedicated all copyright and related and "
+               "neighboring rights to this software to the public domain worldwide. This software is distributed "
+               "without any warranty."),
 )
 
 
@@ -74,6 +164,9 @@ class Template:
     bigrams: tuple[str, ...]
     low: int
     high: int
+    first: tuple[int, ...]  # place of each bigram in the template
+    last: tuple[int, ...]  # its last place, if it comes again
+    repeats: tuple[tuple[str, int], ...]  # bigrams that come again, and how often
     reach: int  # bigrams of a window at most, with repeated ones
 
 
@@ -86,7 +179,9 @@ def prepare(templates, least: float) -> list[Template]:
         n = len(pairs)
         low = next(s for s in range(1, n + 1) if 2.0 * s / (s + n) >= least)
         high = next(s for s in range(8 * n + 8, n - 1, -1) if 2.0 * n / (s + n) >= least)
-        out.append(Template(name, pairs, low, high, -(-high * (len(words) - 1) // n)))
+        places = [f"{a} {b}" for a, b in zip(words, words[1:])]
+        again, last = Counter(places) - Counter(pairs), {b: i for i, b in enumerate(places)}
+        out.append(Template(name, pairs, low, high, tuple(map(places.index, pairs)), tuple(last[b] for b in pairs), tuple(again.items()), high + again.total()))
     return out
 
 
@@ -110,23 +205,31 @@ def bigrams(unit: Column) -> Column:
 
 
 def _windows(lines: Column, whole: Column, known: list[Template], least: float) -> Column:
-    """Windows that reach ``least``: dice, template, line (both negative), from and to (places of bigrams), first and
+    """Windows that reach ``least``: dice, size, template, line (both negative), from and to (places of bigrams), first and
     last line, and whether the window begins and ends with a line."""
     templates = F.array(*[F.struct(F.lit(-n).alias("template"), F.array(*map(F.lit, t.bigrams)).alias("bigrams"), F.lit(t.low).alias("low"),
-                                   F.lit(t.reach).alias("reach")) for n, t in enumerate(known)])
-    every = F.array(*map(F.lit, dict.fromkeys(b for t in known for b in t.bigrams)))
+                                   F.lit(t.high - len(t.bigrams)).alias("spare"), F.array(*map(F.lit, t.first)).alias("first"),
+                                   F.array(*map(F.lit, t.last)).alias("last"), F.array(*[F.struct(F.lit(b).alias("b"), F.lit(c).alias("c")) for b, c in t.repeats]).cast(
+                                       "array<struct<b:string,c:int>>").alias("repeats"), F.lit(t.reach).alias("reach")) for n, t in enumerate(known)])
+    every = list(dict.fromkeys(b for t in known for b in t.bigrams))
     none = F.lit(False)
 
     def of(t: Column, g: Column, at: Column) -> Column:
         def window(s: Column, e: Column) -> Column:
-            own = F.array_distinct(F.slice(g, s + 1, e - s + 1))
-            score = F.lit(2.0) * F.size(F.array_intersect(own, t["bigrams"])) / (F.size(own) + F.size(t["bigrams"]))
+            places = F.slice(g, s + 1, e - s + 1)
+            own = F.array_distinct(places)
+            again = F.aggregate(t["repeats"], e - s + 1 - F.size(own), lambda n, r: n - F.least(
+                r["c"], F.greatest(F.size(F.filter(places, lambda b: b == r["b"])) - 1, F.lit(0))))
+            score = F.lit(2.0) * F.size(F.array_intersect(own, t["bigrams"])) / (F.size(own) + again + F.size(t["bigrams"]))
             first, last = F.get(at, s), F.get(at, e + 1)
-            return F.struct(score.alias("dice"), t["template"].alias("template"), (-first).alias("line"), (-s).alias("from"),
+            return F.struct(score.alias("dice"), (e - s).alias("size"), t["template"].alias("template"), (-first).alias("line"), (-s).alias("from"),
                             (-e).alias("to"), first.alias("first"), last.alias("last"),
                             F.coalesce(F.get(at, s - 1) != first, ~none).alias("opens"),
                             F.coalesce(F.get(at, e + 2) != last, ~none).alias("closes"))
 
+        def place(which: str, i: Column) -> Column:
+            return F.get(t[which], F.array_position(t["bigrams"], F.get(g, i)).cast("int") - 1)
+
         def runs(shared: Column) -> Column:
             def edge(step: int) -> Column:
                 return F.filter(F.transform(shared, lambda x, i: F.when(x & ~F.coalesce(F.get(shared, i + step), none), i)),
@@ -134,7 +237,8 @@ def _windows(lines: Column, whole: Column, known: list[Template], least: float)
 
             starts = F.filter(edge(-1), lambda s: F.size(F.filter(F.slice(shared, s + 1, t["reach"]), lambda x: x)) >= t["low"])
             return F.when(F.size(starts) > 0, _let(edge(1), lambda ends: F.flatten(F.transform(starts, lambda s: F.transform(
-                F.filter(ends, lambda e: (e - s + 1).between(t["low"], t["reach"])), lambda e: window(s, e))))))
+                F.filter(ends, lambda e: (e - s + 1).between(t["low"], t["reach"]) & (
+                    e - s <= place("last", e) - place("first", s) + t["spare"])), lambda e: window(s, e))))))
 
         found = _let(F.transform(g, lambda b: F.array_contains(t["bigrams"], b)), runs)
         return F.filter(F.coalesce(found, F.array().cast(WINDOWS)), lambda x: x["dice"] >= least)
@@ -145,30 +249,32 @@ def _windows(lines: Column, whole: Column, known: list[Template], least: float)
             F.flatten(F.transform(ws, lambda w, i: F.transform(w, lambda _: i))),
             lambda at: _let(_pairs(F.flatten(ws)), lambda g: F.flatten(F.transform(fit, lambda t: of(t, g, at)))))))
 
-    shared = F.array_intersect(whole, every)  # seldom enough for any template
+    shared = F.filter(whole, lambda b: b.isin(every))  # seldom enough for any template
     fit = _let(shared, lambda x: F.filter(templates, lambda t: F.size(F.array_intersect(x, t["bigrams"])) >= t["low"]))
     return F.coalesce(_let(fit, all_of), F.array().cast(WINDOWS))
 
 
-WINDOWS = "array<struct<dice:double,template:int,line:int,from:int,to:int,first:int,last:int,opens:boolean,closes:boolean>>"
+WINDOWS = "array<struct<dice:double,size:int,template:int,line:int,from:int,to:int,first:int,last:int,opens:boolean,closes:boolean>>"
 
 
 def _own_hits(windows: Column, hits: Column, lines: Column, names: Column) -> Column:
     """The windows that are hits of their own, as (dice, template, line)."""
-    def told(x: Column) -> Column:  # by a line that hits, or by the whole text
+    def by_line(x: Column) -> Column:
         def by(h: Column) -> Column:
             line = -h["line"]
-            held = (x["first"] == line) & (x["last"] == line)
             cut = ((x["first"] == line) & ~x["opens"]) | ((x["last"] == line) & ~x["closes"])
-            return F.when(line == F.size(lines), F.get(names, -h["template"]) == F.get(names, -x["template"])).otherwise(held | cut)
+            return (line < F.size(lines)) & (((x["first"] == line) & (x["last"] == line)) | cut)
         return F.exists(hits, by)
 
+    def by_whole(x: Column) -> Column:
+        return F.exists(hits, lambda h: (-h["line"] == F.size(lines)) & (F.get(names, -h["template"]) == F.get(names, -x["template"])))
+
     def add(kept: Column, x: Column) -> Column:
         over = F.exists(kept, lambda k: (-k["from"] <= -x["to"]) & (-x["from"] <= -k["to"]))
         return F.when(over, kept).otherwise(F.concat(kept, F.array(x)))
 
-    best = F.reverse(F.array_sort(F.filter(windows, lambda x: ~told(x))))
-    return F.transform(F.aggregate(best, F.array().cast(WINDOWS), add),
+    best = F.reverse(F.array_sort(F.filter(windows, lambda x: ~by_line(x))))
+    return F.transform(F.filter(F.aggregate(best, F.array().cast(WINDOWS), add), lambda x: ~by_whole(x)),
                        lambda x: F.struct(x["dice"].alias("dice"), x["template"].alias("template"), x["line"].alias("line")))
 
 
@@ -186,15 +292,25 @@ def scan(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", template
                      F.transform(F.when(F.size(lines) > 1, F.concat(lines, F.array(text))).otherwise(lines), bigrams).alias("units"),
                      lines.alias("lines"))
 
+    every = list(dict.fromkeys(b for t in known for b in t.bigrams))
+    fewest = min((t.low for t in known), default=1)
+    spans: list[tuple[int, int]] = []
+    for t in sorted(known, key=lambda t: t.low):
+        if spans and t.low <= spans[-1][1] + 1:
+            spans[-1] = spans[-1][0], max(spans[-1][1], t.high)
+        else:
+            spans.append((t.low, t.high))
+
     def dice(b: Column, t: Template) -> Column:
         return F.when(F.size(b).between(t.low, t.high),
-                      F.lit(2.0) * F.size(F.array_intersect(b, F.array(*map(F.lit, t.bigrams)))) / (F.size(b) + len(t.bigrams))
+                      F.lit(2.0) * F.size(F.filter(b, lambda x: x.isin(list(t.bigrams)))) / (F.size(b) + len(t.bigrams))
                       ).otherwise(0.0)
 
     def best(b: Column, i: Column) -> Column:
         sized = F.lit(False)
-        for t in known:
-            sized |= F.size(b).between(t.low, t.high)
+        for low, high in spans:
+            sized |= F.size(b).between(low, high)
+        sized &= F.size(F.filter(b, lambda x: x.isin(every))) >= fewest  # no template can reach `least` with fewer
         scores = F.array_max(F.array(*[F.struct(dice(b, t).alias("dice"), F.lit(-n).alias("template"), (-i).alias("line"))
                                        for n, t in enumerate(known)]))
         return F.when(sized, scores)

@@ -1,6 +1,7 @@
 import math
 import random
 import re
+from collections import Counter
 
 import numpy as np
 import pytest
@@ -230,6 +231,98 @@ def test_wrapped_and_embedded_notices(spark):
     assert [got[i].n_hits for i in (1, 2, 5, 6, 7, 8, 9, 10)] == [1, 1, 1, 1, 1, 1, 2, 0]
 
 
+def _noisy(n, rng):
+    """A template's words with a few exchanged."""
+    words = license_scan.TEMPLATES[n][1].split()
+    for at in rng.sample(range(len(words)), max(1, len(words) // 25)):
+        words[at] = f"noise{rng.randint(0, 10**6)}"
+    return words
+
+
+def test_neighbouring_notices_count_each(spark):
+    rng = random.Random(2)
+    texts, want = [], []
+    code = "\n".join(f"value_{i} = compute(value_{i + 1}, {i})" for i in range(400)) + "\n"
+    for n, name in ((4, "MIT"), (16, "BSD-3-Clause"), (19, "Zlib")):
+        for many in (1, 2, 5, 20):
+            words = [w for _ in range(many) for w in _noisy(n, rng)]
+            texts.append(code + "\n".join(" ".join(words[i: i + 9]) for i in range(0, len(words), 9)))
+            want.append((many, name))
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r.doc_id: (r.n_hits, r.licenses) for r in license_scan.scan(df).collect()}
+    assert [got[i] for i in range(len(texts))] == want
+
+
+def test_every_template_finds_itself(spark):
+    rows = []
+    for n, (name, text) in enumerate(license_scan.TEMPLATES):
+        words = text.split()
+        rows += [(2 * n, text, name), (2 * n + 1, "# start of file\n" + "\n".join(
+            " ".join(words[i: i + 8]) for i in range(0, len(words), 8)) + "\nint main(void) { return 0; }\n" * 40, name)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, name string")
+    got = {r.doc_id: r for r in license_scan.scan(df).collect()}
+    assert {i: got[i].licenses for i, _, _ in rows} == {i: name for i, _, name in rows}
+    assert all(got[i].dice == 1.0 for i, _, _ in rows if i % 2 == 0)
+
+
+def _windows_by_hand(text, templates, least):
+    """Hits (dice, -template, -line) by the definition: lines, the whole text, windows from run to run, best first."""
+    norm = lambda t: re.sub(r"[^a-z0-9]+", " ", t.lower()).split()
+    pairs = lambda w: list(zip(w, w[1:]))
+    known = [(name, pairs(norm(t))) for name, t in templates]
+    lines = text.split("\n")
+    hits = []
+    for n, unit in enumerate(lines + ([text] if len(lines) > 1 else [])):
+        a = set(pairs(norm(unit)))
+        best = max((2.0 * len(a & set(b)) / (len(a) + len(set(b))) if a else 0.0, -k) for k, (_, b) in enumerate(known))
+        if best[0] >= least:
+            hits.append((*best, -n))
+    at = [i for i, x in enumerate(lines) for _ in norm(x)]
+    g = pairs([w for x in lines for w in norm(x)])
+    found = []
+    for k, (name, b) in enumerate(known):
+        shared = [x in set(b) for x in g]
+        starts = [i for i, x in enumerate(shared) if x and not (i and shared[i - 1])]
+        ends = [i for i, x in enumerate(shared) if x and not (i + 1 < len(g) and shared[i + 1])]
+        for s in starts:
+            for e in ends:
+                own = set(g[s: e + 1])
+                again = sum(max(0, c - max(1, b.count(x))) for x, c in Counter(g[s: e + 1]).items())
+                dice = 2.0 * len(own & set(b)) / (len(own) + again + len(set(b))) if e >= s else 0.0
+                first, last = at[s], at[e + 1]
+                opens, closes = s == 0 or at[s - 1] != first, e + 2 >= len(at) or at[e + 2] != last
+                told = any(-h[2] < len(lines) and ((first == last == -h[2]) or (first == -h[2] and not opens) or
+                                                   (last == -h[2] and not closes)) for h in hits)
+                spare = max(x for x in range(1, 9 * len(b)) if 2.0 * len(set(b)) / (len(set(b)) + x) >= least) - len(set(b))
+                far = len(b) - 1 - b[::-1].index(g[e]) - b.index(g[s]) + spare
+                if dice >= least and e - s <= far and not told:
+                    found.append((dice, e - s, -k, -first, -s, -e))
+    kept = []
+    for x in sorted(found, reverse=True):
+        if all(-x[5] < -y[4] or -y[5] < -x[4] for y in kept):
+            kept.append(x)
+    whole = {known[-h[1]][0] for h in hits if -h[2] == len(lines)}
+    return hits + [(x[0], *x[2:4]) for x in kept if known[-x[2]][0] not in whole]
+
+
+def test_windows_against_all_windows(spark):
+    rng = random.Random(9)
+    templates = (("A", "a b c d e f g h"), ("B", "b c d x a b c d y z"), ("C", "p q r s t u v w x y z p q r"), ("A", "g h i j"))
+    pieces = [t.split() for _, t in templates]
+    texts = []
+    for _ in range(400):
+        words = []
+        while len(words) < rng.randint(3, 60):
+            words += [w if rng.random() > 0.06 else "n" for w in rng.choice(pieces)] if rng.random() < 0.7 else rng.choices("abcdnop", k=rng.randint(1, 5))
+        texts.append("".join(w + rng.choice("    \n") for w in words).strip())
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    for r in license_scan.scan(df, templates=templates).collect():
+        hits = _windows_by_hand(texts[r.doc_id], templates, 0.8)
+        best = max(hits, default=(0.0, 0, 1))
+        assert (r.n_hits, r.licenses, r.dice, r.line) == (
+            len(hits), ",".join(sorted({templates[-h[1]][0] for h in hits})), best[0], -best[2]), texts[r.doc_id]
+
+
 def _cheapest(word, cost, unknown):
     """The cost of the cheapest split, over all splits."""
     best = [0.0]
