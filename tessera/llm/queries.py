@@ -134,14 +134,13 @@ def op1_exact_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 ORACLES["op1_exact_topk"] = """
-WITH v AS (SELECT vec_id, min(list_transform_) AS x FROM (
-    SELECT vec_id, [CAST(floor(64 * CAST(c AS DOUBLE)) AS BIGINT) for c in embedding] AS list_transform_ FROM embeddings
-    WHERE embedding IS NOT NULL AND vec_id IS NOT NULL
-      AND len([c for c in embedding if c IS NULL OR NOT isfinite(c)]) = 0) GROUP BY vec_id),
-s AS (SELECT q.vec_id AS query_id, v.vec_id, CAST(list_sum([q.x[i] * v.x[i] for i in range(1, len(v.x) + 1)]) AS BIGINT) AS score
-      FROM v AS q JOIN v ON q.vec_id % 20 = 0 AND q.vec_id <> v.vec_id AND len(q.x) = len(v.x))
+WITH v AS (SELECT row_number() OVER () AS key, vec_id, [CAST(floor(64 * CAST(c AS DOUBLE)) AS BIGINT) for c in embedding] AS x
+    FROM embeddings WHERE embedding IS NOT NULL AND vec_id IS NOT NULL
+      AND len([c for c in embedding if c IS NULL OR NOT isfinite(c)]) = 0),
+s AS (SELECT q.key, q.vec_id AS query_id, v.vec_id, CAST(list_sum([q.x[i] * v.x[i] for i in range(1, len(v.x) + 1)]) AS BIGINT) AS score
+      FROM v AS q JOIN v ON q.vec_id % 20 = 0 AND q.key <> v.key AND len(q.x) = len(v.x))
 SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score FROM (
-    SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM s) WHERE rank <= 20
+    SELECT *, row_number() OVER (PARTITION BY key ORDER BY score DESC, vec_id) AS rank FROM s) WHERE rank <= 20
 """
 
 

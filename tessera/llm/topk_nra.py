@@ -15,9 +15,10 @@ positive and negative parts of the queries.  The streams' answers meet in one
 rank filter per query.
 
 Defined cases: vectors that are null or hold a null, NaN or infinite component
-take no part, nor do null ids; rows that repeat an id count once, with the
-least of their vectors; only vectors of equal length are compared; ties go to
-the smaller id; other columns are not read.
+take no part, nor do null ids; rows that repeat an id are rows of their own, as
+candidates and as queries (a query meets the other rows of its id); only vectors
+of equal length are compared; ties go to the smaller id; other columns are not
+read.
 """
 
 from __future__ import annotations
@@ -41,46 +42,41 @@ RESOLVE = 0.05
 
 
 def as_integers(df: DataFrame, id_col: str, vec_col: str, scale: int) -> DataFrame:
-    """(vec_id, x, dim): each usable id once, with its components as integers."""
+    """(vec_id, x, dim, key): the usable rows, with their components as integers and a number of their own."""
     usable = F.col(vec_col).isNotNull() & F.col(id_col).isNotNull() & ~F.exists(
         F.col(vec_col), lambda c: c.isNull() | F.isnan(c) | (F.abs(c) == float("inf")))
     x = F.transform(F.col(vec_col), lambda c: F.floor(c.cast("double") * scale))
     return (df.where(usable).select(F.col(id_col).alias("vec_id"), x.alias("x"))
-            .groupBy("vec_id").agg(F.min("x").alias("x")).withColumn("dim", F.size("x")))
+            .withColumn("dim", F.size("x")).withColumn("key", F.monotonically_increasing_id()))
 
 
 class Stream:
     """The k best rows so far of each query of one group."""
 
-    def __init__(self, ids: np.ndarray, queries: np.ndarray, k: int):
-        self.ids, self.queries, self.k = ids, queries, k
+    def __init__(self, ids: np.ndarray, keys: np.ndarray, queries: np.ndarray, k: int):
+        self.ids, self.keys, self.queries, self.k = ids, keys, queries, k
         n = len(ids)
         self.scores = np.full((n, k), np.iinfo(np.int64).min)
         self.found = np.full((n, k), np.iinfo(np.int64).max)
         self.seen = np.zeros(n, np.int64)
 
     def _kind(self, rows: np.ndarray):
-        """The narrowest float type that holds every sum exactly."""
+        """The first type that holds every sum exactly: float32, float64, int64."""
         most = lambda a: int(np.abs(a).max()) if a.size else 0
         bound = most(self.queries) * most(rows) * max(rows.shape[1], 1)
-        return np.float32 if bound < 1 << 24 else np.float64 if bound < 1 << 53 else None
+        return np.float32 if bound < 1 << 24 else np.float64 if bound < 1 << 53 else np.int64
 
-    def add(self, ids: np.ndarray, rows: np.ndarray) -> None:
+    def add(self, ids: np.ndarray, keys: np.ndarray, rows: np.ndarray) -> None:
         kind = self._kind(rows)
-        if kind is None:  # beyond floating point: integer sums, every row read to its end
-            for at in range(0, len(self.ids), 64):
-                exact = self.queries[at: at + 64] @ rows.T
-                q, r = np.nonzero(self.ids[at: at + 64, None] != ids[None, :])
-                self._merge(q + at, ids[r], exact[q, r])
-            return
+        wide, never = (np.int64, np.iinfo(np.int64).min) if kind is np.int64 else (np.float64, -np.inf)
         n, k = len(ids), self.k
         order = np.sort(rows, axis=0)
         rank = np.empty(rows.shape, np.int32)
         np.put_along_axis(rank, np.argsort(rows, axis=0, kind="stable"), np.arange(n, dtype=np.int32)[:, None], axis=0)
         queries = np.hstack([np.maximum(self.queries, 0), np.minimum(self.queries, 0)]).astype(kind)
-        own_q, own_r = np.nonzero(self.ids[:, None] == ids[None, :])
+        own_q, own_r = np.nonzero(self.keys[:, None] == keys[None, :])
         full = self.seen >= k
-        last = np.where(full, self.scores[:, -1], -np.inf).astype(np.float64)
+        last = np.where(full, self.scores[:, -1], never).astype(wide)
         last_id = np.where(full, self.found[:, -1], np.iinfo(np.int64).max)
         depths = (1.0,) if not self.seen.any() else DEPTHS
         for depth in depths:
@@ -88,21 +84,21 @@ class Stream:
             from_top, from_bottom = rank >= n - read, rank < read
             upper = queries @ np.hstack([np.where(from_top, rows, order[n - read]),
                                          np.where(from_bottom, rows, order[read - 1])]).astype(kind).T
-            upper[own_q, own_r] = -np.inf
+            upper[own_q, own_r] = never
             floor = last
             if read == n:
                 lower = upper
             else:
                 lower = queries @ np.hstack([np.where(from_top, rows, order[0]),
                                              np.where(from_bottom, rows, order[-1])]).astype(kind).T
-                lower[own_q, own_r] = -np.inf
+                lower[own_q, own_r] = never
             if n > k:
-                floor = np.maximum(floor, np.partition(lower, n - k, axis=1)[:, n - k].astype(np.float64))
+                floor = np.maximum(floor, np.partition(lower, n - k, axis=1)[:, n - k].astype(wide))
             upper_bound = upper.astype(np.float64) if kind is np.float64 else upper
             can = upper_bound >= floor[:, None].astype(upper_bound.dtype)
             # a row that only ties with the k-th score so far needs the smaller id
             can &= (upper_bound > last[:, None].astype(upper_bound.dtype)) | (ids[None, :] < last_id[:, None])
-            can &= upper_bound > -np.inf
+            can &= upper_bound > never
             if read == n or np.count_nonzero(can) <= max(RESOLVE * can.size, 4 * k * len(self.ids)):
                 break
         q, r = np.nonzero(can)
@@ -130,19 +126,19 @@ class Stream:
 
     def result(self) -> pa.RecordBatch:
         q, at = np.nonzero(np.arange(self.k)[None, :] < self.seen[:, None])
-        return pa.RecordBatch.from_arrays([pa.array(self.ids[q]), pa.array(self.found[q, at]), pa.array(self.scores[q, at])],
-                                          names=["query_id", "vec_id", "score"])
+        return pa.RecordBatch.from_arrays([pa.array(self.keys[q]), pa.array(self.ids[q]), pa.array(self.found[q, at]), pa.array(self.scores[q, at])],
+                                          names=["key", "query_id", "vec_id", "score"])
 
 
 def _streams(k: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """Rows arrive sorted by stream (part, dim), queries (kind 0) before rows (kind 1)."""
-        now, stream, ids, vectors, size = None, None, [], [], 0
+        now, stream, held_rows, size = None, None, [], 0
 
         def block():
-            nonlocal ids, vectors, size
-            out = (np.concatenate(ids), np.concatenate(vectors)) if ids else None
-            ids, vectors, size = [], [], 0
+            nonlocal held_rows, size
+            out = tuple(map(np.concatenate, zip(*held_rows))) if held_rows else None
+            held_rows, size = [], 0
             return out
 
         def begin():
@@ -154,7 +150,7 @@ def _streams(k: int):
             held = block()
             if stream is not None and held is not None:
                 for at in range(0, len(held[0]), BLOCK):
-                    stream.add(held[0][at: at + BLOCK], held[1][at: at + BLOCK])
+                    stream.add(*(x[at: at + BLOCK] for x in held))
 
         kind_now = 0
         for b in batches:
@@ -175,18 +171,17 @@ def _streams(k: int):
                     stream, kind_now = begin(), 1
                 values = b.column(4).slice(a, z - a).flatten().to_numpy(zero_copy_only=False).reshape(z - a, int(dim[a]))
                 own = b.column(3).slice(a, z - a).to_numpy()
+                keys = b.column(5).slice(a, z - a).to_numpy()
                 if kind_now == 0:
-                    ids.append(own)
-                    vectors.append(values)
+                    held_rows.append((own, keys, values))
                     continue
                 at = 0
                 while at < len(own):
                     most = FIRST_BLOCK if stream is not None and not stream.seen.any() else BLOCK
-                    step = own[at: at + most - size]
-                    ids.append(step)
-                    vectors.append(values[at: at + len(step)])
-                    size += len(step)
-                    at += len(step)
+                    step = min(len(own) - at, most - size)
+                    held_rows.append(tuple(x[at: at + step] for x in (own, keys, values)))
+                    size += step
+                    at += step
                     if size >= most:
                         feed()
         if kind_now == 1:
@@ -201,7 +196,7 @@ def top_k(df: DataFrame, is_query, id_col: str = "vec_id", vec_col: str = "embed
           group_queries: int = 2048, slab_rows: int = 8192) -> DataFrame:
     """The k best rows of every query: query_id, rank (from 1), vec_id, score.
 
-    ``is_query``: a condition on ``vec_id``.  A query meets every row but its own.
+    ``is_query``: a condition on ``vec_id``.  A query meets every row but its own; each row of a repeated id is a query.
     """
     rows = through_table(as_integers(df, id_col, vec_col, scale), "vectors")
     queries = rows.where(is_query)
@@ -211,13 +206,13 @@ def top_k(df: DataFrame, is_query, id_col: str = "vec_id", vec_col: str = "embed
     def all_of(n: int):
         return F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
 
-    q = (queries.withColumn("g", F.pmod(F.xxhash64("vec_id", F.lit(1)), F.lit(groups)).cast("int"))
+    q = (queries.withColumn("g", F.pmod(F.xxhash64("key", F.lit(1)), F.lit(groups)).cast("int"))
          .withColumn("s", all_of(slabs)).withColumn("kind", F.lit(0)))
-    r = (rows.withColumn("s", F.pmod(F.xxhash64("vec_id", F.lit(2)), F.lit(slabs)).cast("int"))
+    r = (rows.withColumn("s", F.pmod(F.xxhash64("key", F.lit(2)), F.lit(slabs)).cast("int"))
          .withColumn("g", all_of(groups)).withColumn("kind", F.lit(1)))
-    both = q.unionByName(r).select((F.col("g").cast("long") * slabs + F.col("s")).alias("part"), "dim", "kind", "vec_id", "x")
+    both = q.unionByName(r).select((F.col("g").cast("long") * slabs + F.col("s")).alias("part"), "dim", "kind", "vec_id", "x", "key")
     both = both.repartition(groups * slabs, "part").sortWithinPartitions("part", "dim", "kind", "vec_id")
-    streams = map_arrow(both, _streams(k), "query_id long, vec_id long, score long")
-    best = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
+    streams = map_arrow(both, _streams(k), "key long, query_id long, vec_id long, score long")
+    best = Window.partitionBy("key").orderBy(F.desc("score"), "vec_id")
     return (streams.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k)
             .select("query_id", "rank", "vec_id", "score"))
