@@ -118,10 +118,10 @@ def decode(col, mapping: Mapping, other=None) -> Column:
 
 def map_codes(df: DataFrame, col: str, mapping_df: DataFrame, code: str, label: str,
               out: str | None = None) -> DataFrame:
-    """SCL-08: lookup-table mapping.  The mapping table is a code set (bounded
-    by its domain), broadcast; unknown codes keep NULL."""
+    """SCL-08: lookup-table mapping; unknown codes keep NULL.  A small mapping
+    table is broadcast by its measured size, a large one is shuffled."""
     m = mapping_df.select(F.col(code).alias("_code"), F.col(label).alias(out or f"{col}_std"))
-    return df.join(F.broadcast(m), F.col(col) == F.col("_code"), "left").drop("_code")
+    return df.join(m, F.col(col) == F.col("_code"), "left").drop("_code")
 
 
 def contains_word(col, word: str, case_sensitive: bool = False) -> Column:

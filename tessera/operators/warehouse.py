@@ -34,7 +34,7 @@ def date_dim(df: DataFrame, date_col: str, fiscal_start_month: int = 1,
           .withColumn("month_start", F.trunc("date", "month")).withColumn("month_end", F.last_day("date")))
     if holidays is not None:
         h = holidays.select(F.to_date(holiday_col).alias("date")).distinct().withColumn("is_holiday", F.lit(True))
-        d = d.join(F.broadcast(h), "date", "left").withColumn("is_holiday", F.coalesce("is_holiday", F.lit(False)))
+        d = d.join(h, "date", "left").withColumn("is_holiday", F.coalesce("is_holiday", F.lit(False)))
     return d
 
 
