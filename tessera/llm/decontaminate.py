@@ -17,7 +17,8 @@ documents hold is spread over ``salts`` tasks for each hash.
 
 Defined cases: a null text has no words; rows that repeat an id are reported
 one by one; items that repeat an item id count once; a null item id is left
-out; empty tables give no hits; other columns are not read.
+out; empty tables give no hits; a text of any length is fingerprinted whole, in
+one row of a batch; other columns are not read.
 """
 
 from __future__ import annotations

@@ -25,7 +25,8 @@ k words: the whole sequence as one).  Two documents link when 100 * |A and B|
 
 Defined cases: a null or empty text has an empty set and links with nothing;
 rows that repeat an id are reported one by one (and link by their texts); null
-ids are left out of a component's least id; other columns are not read.
+ids are left out of a component's least id; a text of any length is cut into
+shingles whole, in one row of a batch; other columns are not read.
 """
 
 from __future__ import annotations

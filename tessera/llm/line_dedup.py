@@ -16,8 +16,8 @@ largest id that holds them.  Hashes have 128 bits.
 
 Defined cases: a null or empty text is one empty line and stays as it is; rows that repeat an id
 are one document, and the keeper's rows all keep the line; rows with a null id
-are not counted and keep all their lines; an empty table gives no rows; other
-columns pass through.
+are not counted and keep all their lines; ids are numbers, as their quantiles
+set the batches; an empty table gives no rows; other columns pass through.
 """
 
 from __future__ import annotations

@@ -13,8 +13,8 @@ round (``rounds``) deals the pieces of the worst-filled bins into new shards
 and breeds again, so that the remainders of different shards meet.
 
 Defined cases: a null or empty text is the end id alone; rows that repeat an
-id are packed row by row; an empty table packs into nothing; other columns are
-not read.  Seeds come from the shard's number, so a lost task repeats itself.
+id are packed row by row; an empty table packs into nothing; a text of any
+length is encoded whole and cut into full pieces; other columns are not read.  Seeds come from the shard's number, so a lost task repeats itself.
 """
 
 from __future__ import annotations
