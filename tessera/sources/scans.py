@@ -104,10 +104,9 @@ def with_provenance(df: DataFrame) -> DataFrame:
     for Parquet sources also the row index inside the file."""
     d = df.withColumn("_file", F.col("_metadata.file_name")) \
           .withColumn("_file_mtime", F.col("_metadata.file_modification_time"))
-    try:
-        return d.withColumn("_row_no", F.col("_metadata.row_index") + 1)
-    except Exception:  # noqa: BLE001 - row_index exists for Parquet only
-        return d
+    if "row_index" in df.select("_metadata.*").columns:
+        d = d.withColumn("_row_no", F.col("_metadata.row_index") + 1)
+    return d
 
 
 def lines_with_numbers(spark: SparkSession, path: str) -> DataFrame:
