@@ -1,13 +1,15 @@
 """Semi-structured data (SEMI-*): JSON / variant paths, flattening, XML.
 
 JSON text is parsed with built-in ``parse_json``/``variant_get`` or
-``from_json`` with a declared schema; XML with ``from_xml``/``xpath``.  Only
-the recursive chunker (SEMI-10) parses in Python, per Arrow batch.
+``from_json`` with a declared schema; XML with ``from_xml`` at plain paths and
+``xpath`` at any other.  Only the recursive chunker (SEMI-10) parses in
+Python, per Arrow batch.
 """
 
 from __future__ import annotations
 
 import json
+import re
 from collections.abc import Mapping, Sequence
 
 import pyarrow as pa
@@ -59,9 +61,46 @@ def json_to_pairs(df: DataFrame, ids: Sequence[str], cols: Sequence[str]) -> Dat
     return df.unpivot(list(ids), [F.col(c).cast("string").alias(c) for c in cols], "key", "value")
 
 
+#: Absolute XPaths of child steps, each with or without a position.
+_PLAIN_PATH = re.compile(r"/[A-Za-z_]\w*(/[A-Za-z_]\w*(\[[1-9]\d*\])?)*")
+
+
+def _first_at(col, path: str, attr: str | None, general: Column) -> Column:
+    """Text, or an attribute, of the first node at a plain path by ``from_xml``:
+    ``xpath_string`` sets up a new parser and document model for every row and
+    call, which costs many times the parsing.  ``general``, Spark's XPath, reads
+    other paths, documents that do not begin with the root's tag or hold
+    anything but plain tags and text, and values not found or with markup."""
+    if not _PLAIN_PATH.fullmatch(path) or (attr and not re.fullmatch(r"[A-Za-z_]\w*", attr)) or not attr and path.count("/") == 1:
+        return general
+    doc = _c(col)
+    root, *steps = path[1:].split("/")
+    names = [x.partition("[")[0] for x in steps]
+    kind = T.StructType().add(f"_{attr}", T.StringType()) if attr else T.StringType()
+    for name in reversed(names):
+        kind = T.StructType().add(name, T.ArrayType(kind))
+    known = F.lit(True)
+    for mark in ("&", "<!", "<?", ":"):
+        known = known & ~doc.contains(mark)
+    for name in {*names, attr} - {None}:  # from_xml does not tell a from A
+        known = known & ~F.lower(F.replace(doc, F.lit(name), F.lit(""))).contains(name.lower())
+    known = known & (doc.startswith(f"<{root} ") | doc.startswith(f"<{root}>")) & doc.endswith(f"</{root}>")
+    at = F.from_xml(F.when(known, doc), kind, {"mode": "FAILFAST", "ignoreSurroundingSpaces": "false"})
+    at = F.array(at)
+    for name, step in zip(names, steps):
+        place = int(step.partition("[")[2].rstrip("]") or 0)
+        found = F.filter(F.transform(at, lambda x: x[name]), lambda x: x.isNotNull())
+        at = F.transform(found, lambda x: F.get(x, F.lit(place - 1))) if place else F.flatten(found)
+        at = F.filter(at, lambda x: x.isNotNull()) if attr or name != names[-1] else at
+    if attr:
+        at = F.filter(F.transform(at, lambda x: x[f"_{attr}"]), lambda x: x.isNotNull())
+    at = F.filter(F.slice(at, 1, 1), lambda x: ~x.contains("<"))  # in one expression, so that it is evaluated once
+    return F.coalesce(F.get(at, F.lit(0)), general)
+
+
 def xml_text(col, path: str) -> Column:
     """SEMI-06: text of the first node at an XPath."""
-    return F.xpath_string(_c(col), F.lit(path))
+    return _first_at(col, path, None, F.xpath_string(_c(col), F.lit(path)))
 
 
 def xml_rows(df: DataFrame, col: str, path: str, alias: str = "node") -> DataFrame:
@@ -71,7 +110,7 @@ def xml_rows(df: DataFrame, col: str, path: str, alias: str = "node") -> DataFra
 
 def xml_attr(col, path: str, name: str) -> Column:
     """SEMI-08: attribute value (``path/@name``)."""
-    return F.xpath_string(_c(col), F.lit(f"{path}/@{name}"))
+    return _first_at(col, path, name, F.xpath_string(_c(col), F.lit(f"{path}/@{name}")))
 
 
 def xml_count(col, path: str) -> Column:
@@ -142,7 +181,6 @@ def json_chunks(df: DataFrame, id_col: str, col: str, max_chars: int) -> DataFra
 def split_rows(df: DataFrame, col: str, sep: str, alias: str = "part", pos: str = "pos") -> DataFrame:
     """SEMI-11: delimited string to rows with 1-based positions (``sep`` is
     a literal, not a regex)."""
-    import re
     return df.select("*", F.posexplode(F.split(F.col(col), re.escape(sep))).alias(pos, alias)) \
              .withColumn(pos, F.col(pos) + 1)
 

@@ -69,11 +69,12 @@ def _order_xml(spark, sf):
     """XML per order: <order id=".." status=".."><line n=".."><part>..</part></line>...</order>."""
     li = T(spark, sf, "lineitem")
     o = T(spark, sf, "orders").select(F.col("o_orderkey").alias("l_orderkey"), "o_orderstatus")
-    lines = li.groupBy("l_orderkey").agg(F.array_join(F.array_sort(F.collect_list(F.struct(
-        "l_linenumber", "l_partkey", F.format_string("<line n=\"%d\"><part>%d</part></line>", "l_linenumber", "l_partkey")
-        .alias("x")))).x, "").alias("body"))
-    return lines.join(o, "l_orderkey").select("l_orderkey", F.format_string(
-        "<order id=\"%d\" status=\"%s\">%s</order>", "l_orderkey", "o_orderstatus", "body").alias("xml"))
+    # text is joined from parts, a NULL as "null", after the lines have met
+    text = lambda *parts: F.concat(*[F.lit(p) if isinstance(p, str) else F.coalesce(p.cast("string"), F.lit("null")) for p in parts])
+    lines = li.groupBy("l_orderkey").agg(F.sort_array(F.collect_list(F.struct("l_linenumber", "l_partkey"))).alias("lines"))
+    body = F.array_join(F.transform("lines", lambda x: text('<line n="', x.l_linenumber, '"><part>', x.l_partkey, "</part></line>")), "")
+    return lines.join(o, "l_orderkey").select("l_orderkey", text(
+        '<order id="', F.col("l_orderkey"), '" status="', F.col("o_orderstatus"), '">', body, "</order>").alias("xml"))
 
 
 @register("SEMI-06", "semi06_xml_text", """
