@@ -19,7 +19,7 @@
 from __future__ import annotations
 
 import uuid
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Iterator, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -261,6 +261,97 @@ def meet_tiles(left: DataFrame, right: DataFrame, keys: Sequence[str], block: in
     return a.groupBy(*tile).cogroup(b.groupBy(*tile)).applyInArrow(one, schema)
 
 
+#: Bytes of the tables' files (compressed) whose rows one task sorts or holds.
+TASK_BYTES = 8 << 20
+
+
+def input_bytes(df: DataFrame) -> int | None:
+    """Bytes of the files that ``df`` reads, by the planner's figures; None where it knows no size."""
+    leaves = df._jdf.queryExecution().optimizedPlan().collectLeaves()
+    size = sum(int(str(leaves.apply(i).stats().sizeInBytes())) for i in range(leaves.length()))
+    return size if size < 1 << 60 else None
+
+
+def task_count(df: DataFrame) -> int:
+    """Tasks for a step over all rows of ``df``: one for every TASK_BYTES of the
+    files it reads, as many as there are cores at least.  A task's share then
+    stays the same while the tables grow.  Where no size is known, the
+    session's shuffle partitions."""
+    spark, size = df.sparkSession, input_bytes(df)
+    if size is None:
+        return int(spark.conf.get("spark.sql.shuffle.partitions"))
+    return max(spark.sparkContext.defaultParallelism, -(-size // TASK_BYTES))
+
+
+def spread(df: DataFrame, *cols: ColLike, tasks: int | None = None) -> DataFrame:
+    """``df`` dealt by the hash of ``cols`` to as many tasks as its size asks
+    for; a grouping or join by these columns needs no further shuffle."""
+    return df.repartition(tasks or task_count(df), *cols)
+
+
+#: Rows of an Arrow batch where a row may be a very long text: a batch is in memory on both sides.
+ARROW_ROWS = 256
+
+
+def small_batches(df: DataFrame) -> DataFrame:
+    """``df``, with the session's Arrow batches lowered to ARROW_ROWS rows if
+    they are larger: what a Python worker holds then depends on the length of
+    a few hundred texts, not on how many rows a task reads."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    conf = df.sparkSession.conf
+    if not 0 < int(conf.get(key)) <= ARROW_ROWS:
+        conf.set(key, str(ARROW_ROWS))
+    return df
+
+
+#: Characters of the texts that a Python worker cuts up at a time, and of the pieces that it sends back at a time.
+TEXT_STEP = 1 << 20
+
+
+def text_steps(texts: Sequence[str | None]) -> Iterator[tuple[int, int]]:
+    """(first, end) of runs of texts with about TEXT_STEP characters; a longer text is a run of its own."""
+    first, held = 0, 0
+    for i, t in enumerate(texts):
+        if i > first and held + len(t or "") > TEXT_STEP:
+            yield first, i
+            first, held = i, 0
+        held += len(t or "")
+    if first < len(texts):
+        yield first, len(texts)
+
+
+def cut_texts(df: DataFrame, id_col: str, text: str, cut: Callable, schema: str) -> DataFrame:
+    """One row per piece of a text: ``cut(text)`` yields the columns after the
+    id.  Pieces leave the worker every TEXT_STEP characters, so neither a full
+    batch of texts nor all their pieces are held as Python objects."""
+    import pyarrow as pa
+    from pyspark.sql.pandas.types import to_arrow_schema
+
+    types = T.StructType.fromDDL(schema)
+
+    def run(batches):
+        arrow = to_arrow_schema(types)
+
+        def block(rows):
+            return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows), arrow)], schema=arrow)
+
+        for b in batches:
+            rows, held = [], 0
+            for key, value in zip(b.column(0), b.column(1)):
+                key = key.as_py()
+                for piece in cut(value.as_py() or ""):
+                    rows.append((key, *piece))
+                    held += 100 + len(piece[-1])
+                    if held > TEXT_STEP:
+                        yield block(rows)
+                        rows, held = [], 0
+            if rows:
+                yield block(rows)
+        pa.default_memory_pool().release_unused()
+
+    return small_batches(df.select(id_col, text)).mapInArrow(run, types)
+
+
 def empty_arrow(schema: T.StructType):
     """An empty Arrow table of a Spark schema."""
     from pyspark.sql.pandas.types import to_arrow_schema

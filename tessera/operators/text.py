@@ -2,7 +2,7 @@
 
 Counting, search, line hygiene, token statistics and chat-history trimming
 are built-in column expressions and windows.  Chunkers and the HTML walk run
-per document in Arrow batches (``mapInPandas``): Spark partitions and
+per document in small Arrow batches (``cut_texts``): Spark partitions and
 shuffles the documents; the Python helpers below only cut one text.
 """
 
@@ -10,13 +10,14 @@ from __future__ import annotations
 
 import re
 from bisect import bisect_left, bisect_right
-from collections.abc import Callable, Iterator, Sequence
+from collections.abc import Callable, Sequence
 from html.parser import HTMLParser
 
-import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tessera.operators.common import cut_texts
+
 WORD_RE = r"[\p{L}\p{N}_]+"
 TOKEN_RE = r"[^ \t\n\r\f]+"
 
@@ -196,26 +197,18 @@ def _token_len(s: str) -> int:
 CHUNK_SCHEMA = "doc_id long, chunk_no int, start int, end int, chunk string"
 
 
-def _chunk_batches(id_col: str, text_col: str, size: int, overlap: int, seps, counter: str):
+def chunk_recursive(df: DataFrame, id_col: str, text: str, size: int, overlap: int,
+                    seps: Sequence[str] = DEFAULT_SEPARATORS, counter: str = "chars") -> DataFrame:
+    """TXT-05: recursive character chunking, one text at a time; output
+    (doc_id, chunk_no, start, end, chunk)."""
     length = _token_len if counter == "tokens" else len
+    seps = list(seps)
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in batches:
-            rows = []
-            for doc_id, text in zip(pdf[id_col], pdf[text_col]):
-                for k, (s, e, c) in enumerate(split_text(text or "", size, overlap, seps, length)):
-                    rows.append((doc_id, k, s, e, c))
-            yield pd.DataFrame(rows, columns=["doc_id", "chunk_no", "start", "end", "chunk"])
-
-    return run
+    def cut(t: str):
+        for k, (s, e, c) in enumerate(split_text(t, size, overlap, seps, length)):
+            yield k, s, e, c
 
-
-def chunk_recursive(df: DataFrame, id_col: str, text: str, size: int, overlap: int,
-                    seps: Sequence[str] = DEFAULT_SEPARATORS, counter: str = "chars") -> DataFrame:
-    """TXT-05: recursive character chunking, one Arrow batch of documents per
-    call; output (doc_id, chunk_no, start, end, chunk)."""
-    return df.select(id_col, text).mapInPandas(
-        _chunk_batches(id_col, text, size, overlap, list(seps), counter), CHUNK_SCHEMA)
+    return cut_texts(df, id_col, text, cut, CHUNK_SCHEMA)
 
 
 def chunk_fixed(df: DataFrame, id_col: str, text: str, sep: str, size: int, overlap: int) -> DataFrame:
@@ -326,21 +319,16 @@ def chunk_html(df: DataFrame, id_col: str, html: str, headers: Sequence[str] = _
     heads = list(headers)
     schema = f"{id_col} long, section_no int, " + ", ".join(f"{h} string" for h in heads) + ", text string"
 
-    def run(batches):
-        for pdf in batches:
-            rows = []
-            for pid, doc in zip(pdf[id_col], pdf[html]):
-                for k, sec in enumerate(split_html(doc, heads)):
-                    rows.append((pid, k, *sec))
-            yield pd.DataFrame(rows, columns=[id_col, "section_no", *heads, "text"])
+    def cut(doc: str):
+        for k, sec in enumerate(split_html(doc, heads)):
+            yield k, *sec
 
-    return df.select(id_col, html).mapInPandas(run, schema)
+    return cut_texts(df, id_col, html, cut, schema)
 
 
 def main_text(df: DataFrame, id_col: str, html: str, tags: Sequence[str] = ("main", "article")) -> DataFrame:
     """TXT-09: text of main/article; scripts, styles and navigation dropped."""
-    def run(batches):
-        for pdf in batches:
-            yield pd.DataFrame({id_col: pdf[id_col], "main_text": [extract_main(h, tuple(tags)) for h in pdf[html]]})
+    def cut(doc: str):
+        yield (extract_main(doc, tuple(tags)),)
 
-    return df.select(id_col, html).mapInPandas(run, f"{id_col} long, main_text string")
+    return cut_texts(df, id_col, html, cut, f"{id_col} long, main_text string")
