@@ -29,3 +29,9 @@ def test_chunks_of_short_and_long_texts(spark, long):
     for key, t in rows:
         assert [tuple(r)[1:] for r in got if r.doc_id == key] == \
             [(k, *c) for k, c in enumerate(text.split_text(t or "", 800, 0, ["\n"]))]
+
+
+def test_html_of_null_and_nested_pages(spark):
+    df = spark.createDataFrame([(1, None), (2, "<h1>A</h1><p>b</p><article>c</article>")], "page_id long, html string")
+    assert [tuple(r) for r in text.chunk_html(df, "page_id", "html").collect()] == [(2, 0, "A", None, None, "b c")]
+    assert sorted(map(tuple, text.main_text(df, "page_id", "html").collect())) == [(1, ""), (2, "c")]
