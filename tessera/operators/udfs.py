@@ -15,6 +15,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tessera.operators.common import small_batches, text_steps
+
 
 def map_rows(df: DataFrame, fn: Callable[[pd.Series], pd.Series], col: str, return_type: str,
              out: str | None = None) -> DataFrame:
@@ -25,9 +27,16 @@ def map_rows(df: DataFrame, fn: Callable[[pd.Series], pd.Series], col: str, retu
 
 def flat_map(df: DataFrame, col: str, fn: Callable[[str], list], element_type: str = "string",
              out: str = "item") -> DataFrame:
-    """UDF-02: one value to many rows: a vectorised list mapper, then explode."""
-    udf = F.pandas_udf(lambda s: s.map(lambda v: list(fn(v)) if v is not None else []), f"array<{element_type}>")
-    return df.withColumn(out, F.explode(udf(F.col(col))))
+    """UDF-02: one value to many rows: a vectorised list mapper, then explode.
+    A few texts' lists at a time go back, never those of a whole batch."""
+    def lists(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        for s in batches:
+            held = s.tolist()
+            for a, z in text_steps([v if isinstance(v, str) else "" for v in held]):
+                yield pd.Series([list(fn(v)) if v is not None else [] for v in held[a:z]], dtype=object)
+
+    udf = F.pandas_udf(lists, f"array<{element_type}>")
+    return small_batches(df).withColumn(out, F.explode(udf(F.col(col))))
 
 
 def reduce_by(df: DataFrame, key, col: str, fn: Callable[[pd.Series], float], return_type: str = "double",

@@ -31,6 +31,22 @@ def test_chunks_of_short_and_long_texts(spark, long):
             [(k, *c) for k, c in enumerate(text.split_text(t or "", 800, 0, ["\n"]))]
 
 
+def test_flat_map_sends_lists_back_in_steps(spark):
+    seen = []
+
+    def halves(v):
+        seen.append(v)
+        return [v[: len(v) // 2], v[len(v) // 2:]]
+
+    long = "x" * (common.TEXT_STEP // 2 + 1)
+    df = spark.createDataFrame([(1, long), (2, None), (3, "ab"), (4, long), (5, "")], "n int, text string").coalesce(1)
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "10000")
+    got = udfs.flat_map(df, "text", halves).select("n", F.length("item")).collect()
+    assert int(spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")) <= common.ARROW_ROWS
+    half = len(long) // 2
+    assert sorted(map(tuple, got)) == sorted([(1, half), (1, len(long) - half), (3, 1), (3, 1), (4, half), (4, len(long) - half), (5, 0), (5, 0)])
+
+
 def test_html_of_null_and_nested_pages(spark):
     df = spark.createDataFrame([(1, None), (2, "<h1>A</h1><p>b</p><article>c</article>")], "page_id long, html string")
     assert [tuple(r) for r in text.chunk_html(df, "page_id", "html").collect()] == [(2, 0, "A", None, None, "b c")]
