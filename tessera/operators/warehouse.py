@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tessera.functions.scalars import hash_key
-from tessera.operators.common import _cols, attach_scalars, dense_ids, join_on
+from tessera.operators.common import _cols, attach_scalars, dense_ids, join_on, spread, task_count
 from tessera.operators.joins import cross
 from tessera.sources.loads import upsert
 
@@ -315,9 +315,22 @@ def fd_audit(df: DataFrame, det: Sequence[str], dep: str) -> DataFrame:
 
 def mvd_audit(df: DataFrame, key: str, a: str, b: str) -> DataFrame:
     """DWH-28 (4NF): per key, is the (a, b) set the product of the a-set and
-    b-set?  (multi-valued independence)."""
-    g = df.select(key, a, b).distinct().groupBy(key).agg(
-        F.count(F.lit(1)).alias("pairs"), F.count_distinct(a).alias("n_a"), F.count_distinct(b).alias("n_b"))
+    b-set?  (multi-valued independence).
+
+    A pair counts once for its a and once for its b; the values of a key are
+    counted where they are dealt, so neither a hot key nor a task whose share
+    grows with the table gathers them."""
+    rows = df.select(F.col(key).alias("k"), F.col(a).alias("a"), F.col(b).alias("b"))
+    tasks = task_count(rows)
+    none = lambda c: F.lit(None).cast(rows.schema[c].dataType)
+    pairs = spread(rows, "k", "a", "b", tasks=tasks).distinct()
+    sides = pairs.select("k", F.inline(F.array(F.struct(F.lit(True).alias("of_a"), F.col("a"), none("b").alias("b")),
+                                               F.struct(F.lit(False).alias("of_a"), none("a").alias("a"), F.col("b")))))
+    values = spread(sides, "k", "of_a", "a", "b", tasks=tasks).groupBy("k", "of_a", "a", "b").agg(F.count(F.lit(1)).alias("n"))
+    g = values.groupBy(F.col("k").alias(key)).agg(
+        F.sum(F.when(F.col("of_a"), F.col("n"))).alias("pairs"),
+        F.count_if(F.col("of_a") & F.col("a").isNotNull()).alias("n_a"),
+        F.count_if(~F.col("of_a") & F.col("b").isNotNull()).alias("n_b"))
     return g.withColumn("independent", F.col("pairs") == F.col("n_a") * F.col("n_b"))
 
 

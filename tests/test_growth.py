@@ -51,3 +51,26 @@ def test_html_of_null_and_nested_pages(spark):
     df = spark.createDataFrame([(1, None), (2, "<h1>A</h1><p>b</p><article>c</article>")], "page_id long, html string")
     assert [tuple(r) for r in text.chunk_html(df, "page_id", "html").collect()] == [(2, 0, "A", None, None, "b c")]
     assert sorted(map(tuple, text.main_text(df, "page_id", "html").collect())) == [(1, ""), (2, "c")]
+
+
+def test_tasks_follow_the_size_of_the_files(spark, tmp, monkeypatch):
+    spark.range(1000).withColumn("v", F.col("id") % 7).write.parquet(f"{tmp}/t")
+    df = spark.read.parquet(f"{tmp}/t")
+    size = common.input_bytes(df)
+    assert size > 0
+    monkeypatch.setattr(common, "TASK_BYTES", size // 40)
+    assert common.task_count(df) in (40, 41)
+    assert common.task_count(df.join(df.select("id"), "id")) in (80, 81, 82)
+    assert common.task_count(spark.range(3).join(df, "id")) >= 40
+
+
+def _dealt(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_product_audit_deals_by_size(spark):
+    rows = [(1, 1, 1), (1, 1, 2), (1, 2, 1), (1, 2, 2), (1, 2, 2), (2, 1, 1), (2, 2, 2), (3, None, 1), (3, 1, None), (None, 5, 5), (None, 5, None), (4, None, None)]
+    df = spark.createDataFrame(rows, "k int, a int, b int")
+    got = warehouse.mvd_audit(df, "k", "a", "b")
+    assert "REPARTITION_BY_NUM" in _dealt(got) and "Expand" not in _dealt(got)
+    assert {tuple(r) for r in got.collect()} == {(1, 4, 2, 2, True), (2, 2, 2, 2, False), (3, 2, 1, 1, False), (None, 2, 1, 1, False), (4, 1, 0, 0, False)}
