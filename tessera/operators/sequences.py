@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tessera.operators.common import (_cols, _names, attach_scalars, chunk_key, chunk_keys, join_on, lag_chunked, month_index,
-                                      prefix_sum, running_extreme)
+                                      prefix_sum, running_extreme, spread)
 
 __all__ = ["month_index"]
 
@@ -308,12 +308,16 @@ def conversion_within(df: DataFrame, who: str, ts: str, kind: str, start_kind: s
 
 def campaign_success(df: DataFrame, who: str, date: str, item: str) -> DataFrame:
     """SEQ-20: subjects that bought, on a later day, an item not bought on
-    their first day (and are active on more than one day)."""
-    first = df.groupBy(who).agg(F.min(date).alias("_first"))
-    d = df.join(first, who)
-    day1 = d.filter(F.col(date) == F.col("_first")).select(who, item).distinct()
-    later = d.filter(F.col(date) > F.col("_first")).select(who, item).distinct()
-    return later.join(day1, [who, item], "left_anti").select(who).distinct()
+    their first day (and are active on more than one day).
+
+    An item not bought on the first day is one whose own first day is later,
+    so two groupings answer it; a NULL item equals none of the first day's,
+    so its last day counts."""
+    rows = spread(df.filter(F.col(who).isNotNull()).select(who, item, date), who, item)
+    items = rows.groupBy(who, item).agg(F.min(date).alias("_min"), F.max(date).alias("_max"))
+    new = F.when(F.col(item).isNull(), F.col("_max")).otherwise(F.col("_min"))
+    return items.groupBy(who).agg(F.min("_min").alias("_first"), F.max(new).alias("_new")) \
+                .filter(F.col("_new") > F.col("_first")).select(who)
 
 
 def lapsed(df: DataFrame, who: str, date: str, idle_days: int, age_days: int) -> DataFrame:

@@ -4,7 +4,7 @@ from pyspark.sql import functions as F
 
 from tessera.functions.scalars import date_str, round_half_up as r2, ts_str
 from tessera.operators import sequences as Q
-from tessera.operators.common import quantile_chunk
+from tessera.operators.common import quantile_chunk, spread, task_count
 from tessera.plans.registry import register
 from tessera.session import load_table as T
 
@@ -224,7 +224,9 @@ SELECT DISTINCT b.o_custkey FROM b JOIN f USING (o_custkey) WHERE b.d > f.fd
 def seq20(spark, sf):
     li = T(spark, sf, "lineitem").select(F.col("l_orderkey").alias("o_orderkey"), "l_partkey")
     o = T(spark, sf, "orders").select("o_orderkey", "o_custkey", F.to_date("o_orderdate").alias("d"))
-    return Q.campaign_success(li.join(o, "o_orderkey"), "o_custkey", "d", "l_partkey")
+    tasks = task_count(li)
+    both = spread(li, "o_orderkey", tasks=tasks).join(spread(o, "o_orderkey", tasks=tasks), "o_orderkey")
+    return Q.campaign_success(both, "o_custkey", "d", "l_partkey")
 
 
 @register("SEQ-21", "seq21_lapsed_customers", """

@@ -74,3 +74,12 @@ def test_product_audit_deals_by_size(spark):
     got = warehouse.mvd_audit(df, "k", "a", "b")
     assert "REPARTITION_BY_NUM" in _dealt(got) and "Expand" not in _dealt(got)
     assert {tuple(r) for r in got.collect()} == {(1, 4, 2, 2, True), (2, 2, 2, 2, False), (3, 2, 1, 1, False), (None, 2, 1, 1, False), (4, 1, 0, 0, False)}
+
+
+def test_campaign_success_in_two_groupings(spark):
+    rows = [(1, 1, 10), (1, 2, 11), (2, 1, 10), (2, 2, 10), (3, 1, 10), (4, 1, None), (4, 2, None), (5, 1, 10), (5, 1, 11), (5, 2, 11),
+            (None, 1, 10), (None, 2, 11), (6, None, 10), (6, 1, 11), (7, None, 10), (8, 1, None), (8, 1, 3), (8, 2, 3)]
+    df = spark.createDataFrame(rows, "who int, day int, item int")
+    got = sequences.campaign_success(df, "who", "day", "item")
+    assert "REPARTITION_BY_NUM" in _dealt(got) and "Join" not in _dealt(got)
+    assert sorted(r.who for r in got.collect()) == [1, 4]
