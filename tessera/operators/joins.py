@@ -12,7 +12,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tessera.operators.common import attach_scalars, borders_below, chunk_count, quantile_borders, running_extreme
+from tessera.operators.common import attach_scalars, borders_below, chunk_count, quantile_borders, running_extreme, spread, task_count
 
 
 def join_inner(a: DataFrame, b: DataFrame, on) -> DataFrame:
@@ -282,10 +282,11 @@ def salted_join(big: DataFrame, small: DataFrame, key: str, buckets: int = 16,
     row (deterministic, so a task retried after an executor loss salts the
     same way); the small side is replicated once per salt value, so one hot
     key spreads over ``buckets`` tasks.  (AQE skew join does the same at run
-    time for sort-merge joins.)"""
+    time for sort-merge joins.)  Both sides are shuffled: the planner does not
+    count the replicas, so it would send all of them to every task."""
     b = big.withColumn("_salt", F.pmod(F.xxhash64(*[F.col(c) for c in big.columns]), F.lit(buckets)).cast("int"))
     s = small.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(buckets - 1))))
-    return b.join(s, [key, "_salt"], how).drop("_salt")
+    return b.join(s.hint("merge"), [key, "_salt"], how).drop("_salt")
 
 
 def preagg_join(fact: DataFrame, key: str, aggs: Sequence[Column], dim: DataFrame, how="inner"):
@@ -382,14 +383,19 @@ def match_all(have: DataFrame, need: DataFrame, who: str, what: str, group: str
 
 def rejoin_check(df: DataFrame, projections: Sequence[Sequence[str]]) -> DataFrame:
     """JOIN-29: split into distinct projections, natural-join back, count
-    rows lost and spurious versus the distinct original."""
-    base = df.distinct()
-    parts = [df.select(*p).distinct() for p in projections]
+    rows lost and spurious versus the distinct original.
+
+    The rows are joined back once and compared in one grouping: both sides are
+    sets, so a row is of the original, of the joined rows, or of both."""
+    tasks = task_count(df)
+    names = df.columns
+    parts = [spread(df.select(*p), *p, tasks=tasks).distinct() for p in projections]
     back = parts[0]
     for p in parts[1:]:
         common = [c for c in back.columns if c in p.columns]
         back = back.join(p, common)
-    back = back.select(*base.columns)
-    lost = base.exceptAll(back).agg(F.count(F.lit(1)).alias("lost"))
-    spurious = back.exceptAll(base).agg(F.count(F.lit(1)).alias("spurious"))
-    return attach_scalars(lost, spurious)
+    rows = df.distinct().select(*names, F.lit(1).alias("_base"), F.lit(0).alias("_back")) \
+             .unionByName(back.select(*names, F.lit(0).alias("_base"), F.lit(1).alias("_back")))
+    per = spread(rows, *names, tasks=tasks).groupBy(*names).agg(F.max("_base").alias("_base"), F.max("_back").alias("_back"))
+    return per.agg(F.count_if((F.col("_base") == 1) & (F.col("_back") == 0)).alias("lost"),
+                   F.count_if((F.col("_base") == 0) & (F.col("_back") == 1)).alias("spurious"))
