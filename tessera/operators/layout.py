@@ -10,12 +10,19 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tessera.operators.aggs import median_by
-from tessera.operators.common import attach_scalars
+from tessera.operators.common import TASK_BYTES, attach_scalars, input_bytes
+
+
+#: Bytes of the tables' files whose rows go to one clustered file.
+FILE_BYTES = 4 * TASK_BYTES
 
 
 def cluster(df: DataFrame, cols: Sequence[str], path: str, files: int) -> None:
     """LAY-01: range-partition by the clustering columns and sort inside
-    each file, so per-file min/max ranges barely overlap."""
+    each file, so per-file min/max ranges barely overlap.  ``files`` is the
+    least number of files; beyond FILE_BYTES of input to a file there are
+    more, so what one task sorts does not grow with the table."""
+    files = max(files, -(-(input_bytes(df) or 0) // FILE_BYTES))
     (df.repartitionByRange(files, *cols).sortWithinPartitions(*cols)
        .write.mode("overwrite").parquet(path))
 

@@ -100,3 +100,14 @@ def test_salted_join_shuffles_both_sides(spark):
     got = joins.salted_join(big, small, "k", 4)
     assert "SortMergeJoin" in _dealt(got) and "Broadcast" not in _dealt(got)
     assert sorted(map(tuple, got.collect())) == [(1, 5.0, "a"), (1, 5.0, "b"), (1, 6.0, "a"), (1, 6.0, "b"), (2, 7.0, "c")]
+
+
+def test_clustered_files_follow_the_size(spark, tmp, monkeypatch):
+    spark.range(3000).write.parquet(f"{tmp}/t")
+    df = spark.read.parquet(f"{tmp}/t")
+    layout.cluster(df, ["id"], f"{tmp}/few", 2)
+    monkeypatch.setattr(layout, "FILE_BYTES", common.input_bytes(df) // 6)
+    layout.cluster(df, ["id"], f"{tmp}/many", 2)
+    files = {k: len(glob(os.path.join(tmp, k, "*.parquet"))) for k in ("few", "many")}
+    assert files["few"] == 2 and files["many"] >= 6
+    assert spark.read.parquet(f"{tmp}/many").distinct().count() == 3000
