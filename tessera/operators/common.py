@@ -323,7 +323,8 @@ def text_steps(texts: Sequence[str | None]) -> Iterator[tuple[int, int]]:
 def cut_texts(df: DataFrame, id_col: str, text: str, cut: Callable, schema: str) -> DataFrame:
     """One row per piece of a text: ``cut(text)`` yields the columns after the
     id.  Pieces leave the worker every TEXT_STEP characters, so neither a full
-    batch of texts nor all their pieces are held as Python objects."""
+    batch of texts nor all their pieces are held as Python objects.  All text
+    columns count: a heading is repeated on each section below it."""
     import pyarrow as pa
     from pyspark.sql.pandas.types import to_arrow_schema
 
@@ -341,7 +342,7 @@ def cut_texts(df: DataFrame, id_col: str, text: str, cut: Callable, schema: str)
                 key = key.as_py()
                 for piece in cut(value.as_py() or ""):
                     rows.append((key, *piece))
-                    held += 100 + len(piece[-1])
+                    held += 100 + sum(len(v) for v in piece if isinstance(v, str))
                     if held > TEXT_STEP:
                         yield block(rows)
                         rows, held = [], 0

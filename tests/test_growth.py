@@ -3,6 +3,7 @@
 import os
 from glob import glob
 
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -53,6 +54,23 @@ def test_html_of_null_and_nested_pages(spark):
     assert sorted(map(tuple, text.main_text(df, "page_id", "html").collect())) == [(1, ""), (2, "c")]
 
 
+def test_headings_count_in_the_steps_of_sections(spark, monkeypatch):
+    class Frame:
+        def select(self, *cols):
+            return self
+
+        def mapInArrow(self, run, schema):
+            return run
+
+    monkeypatch.setattr(common, "small_batches", lambda df: df)
+    page = "<h1>" + "x" * 20_000 + "</h1>" + "<h2>a</h2>b" * 200
+    pages = pa.record_batch({"page_id": [1, 2, None, 4], "html": [page, None, "<h1>A</h1>b", page]})
+    blocks = list(text.chunk_html(Frame(), "page_id", "html")(iter([pages])))
+    assert max(b.nbytes for b in blocks) < 2 * common.TEXT_STEP
+    assert [tuple(r.values()) for b in blocks for r in b.to_pylist()] == \
+        [(key, k, *s) for key, html in zip(*pages.to_pydict().values()) for k, s in enumerate(text.split_html(html))]
+
+
 def test_tasks_follow_the_size_of_the_files(spark, tmp, monkeypatch):
     spark.range(1000).withColumn("v", F.col("id") % 7).write.parquet(f"{tmp}/t")
     df = spark.read.parquet(f"{tmp}/t")
